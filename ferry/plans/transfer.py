@@ -150,11 +150,17 @@ def metrics_frame(spark: SparkSession, results: list[TransferResult]) -> DataFra
 
 
 def verify_round_trip(source: DataFrame, landed: DataFrame) -> DataFrame:
-    """Rows present on one side only, both ways (distributed ``exceptAll``); empty = exact copy."""
+    """Rows whose copy count differs between the two sides; empty = exact copy (as multisets).
+
+    One aggregation over the union of both sides, grouped by every column:
+    a single shuffle (two ``exceptAll`` would need two), and identical rows
+    are combined map-side before it.
+    """
     cols = source.columns
-    a = source.select(*cols).exceptAll(landed.select(*cols)).withColumn("_side", F.lit("source_only"))
-    b = landed.select(*cols).exceptAll(source.select(*cols)).withColumn("_side", F.lit("landed_only"))
-    return a.unionByName(b)
+    tagged = (source.select(*cols, F.lit(1).alias("_f_s"), F.lit(0).alias("_f_l"))
+              .unionByName(landed.select(*cols, F.lit(0).alias("_f_s"), F.lit(1).alias("_f_l"))))
+    counts = tagged.groupBy(*cols).agg(F.sum("_f_s").alias("source_rows"), F.sum("_f_l").alias("landed_rows"))
+    return counts.filter(F.col("source_rows") != F.col("landed_rows"))
 
 
 def timed(fn: Callable[[], object]) -> tuple[object, float]:

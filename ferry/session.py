@@ -19,8 +19,12 @@ _OWN_CHECKPOINT_ROOT: str | None = None
 
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str = "ferry",
-                  driver_memory: str = "16g") -> SparkSession:
-    """A local session configured the way the library expects a cluster to be."""
+                  driver_memory: str = "16g", max_partition_bytes: str = "16m") -> SparkSession:
+    """A local session configured the way the library expects a cluster to be.
+
+    ``max_partition_bytes`` is small here so a few cores share a small landed
+    file; on a cluster keep Spark's 128 MB (or more) so tasks stay few and large.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -33,6 +37,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", driver_memory)
+        .config("spark.sql.files.maxPartitionBytes", max_partition_bytes)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
