@@ -86,7 +86,9 @@ def match_any(col: Column | str, patterns: str | Iterable[str], wildcard: str =
     out = conds[0]
     for x in conds[1:]:
         out = out | x
-    return F.coalesce(out, F.lit(False))
+    # NULL (not false) for a NULL name: filters drop it either way, and a bare
+    # IN list stays visible to the parquet scan as a pushed filter.
+    return out
 
 
 def wildcard_match(df: DataFrame, col: str, patterns: str | Iterable[str], **kw) -> DataFrame:
@@ -146,7 +148,7 @@ def flag_exceptions(df: DataFrame, exceptions, cols: tuple[str, str], flag: str
     cond = F.lit(False)
     for pa, pb in exceptions:
         cond = cond | (match_any(a, [pa], **kw) & match_any(b, [pb], **kw))
-    return df.withColumn(flag, F.when(cond, 1).otherwise(0))
+    return df.withColumn(flag, F.when(F.coalesce(cond, F.lit(False)), 1).otherwise(0))
 
 
 def missing_names(requested: DataFrame, existing: DataFrame, on: str, existing_col: str | None = None,
