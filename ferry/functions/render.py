@@ -42,10 +42,12 @@ class UnsupportedTypeError(TypeError):
 
 
 def is_supported(dt: T.DataType) -> bool:
-    return isinstance(dt, _CAST_TO_STRING + _JSON_TYPES + _STRING_TYPES + (T.BooleanType, T.BinaryType))
+    return isinstance(dt, _CAST_TO_STRING + _JSON_TYPES + _STRING_TYPES + (T.BooleanType, T.BinaryType, T.NullType))
 
 
 def _raw_text(c: Column, dt: T.DataType) -> Column:
+    if isinstance(dt, T.NullType):
+        return F.lit(None).cast("string")
     if isinstance(dt, T.BooleanType):
         return c.cast("int").cast("string")
     if isinstance(dt, T.BinaryType):
@@ -96,6 +98,8 @@ def parse(text: Column, dt: T.DataType, strict: bool = True) -> Column:
     """
     if isinstance(dt, _STRING_TYPES):
         return text
+    if isinstance(dt, T.NullType):
+        return F.lit(None)
     if isinstance(dt, T.BooleanType):
         as_bool = F.when(text == "1", F.lit(True)).when(text == "0", F.lit(False))
         rest = text.cast("boolean") if strict else text.try_cast("boolean")

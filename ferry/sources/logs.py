@@ -19,14 +19,15 @@ BENIGN_SENTENCE = "BCP import with a format file will convert empty strings in d
 
 
 def read_logs(spark: SparkSession, path: str) -> DataFrame:
-    """(file, line_no, line): line numbers are positions inside each file.
+    """(file, line_no, line) for every line of every log under ``path``.
 
-    ``line_no`` comes from the byte offset of the split and the row position,
-    so it orders lines of one file without moving the file to one task.
+    ``line_no`` orders the lines of one file without moving the file to one
+    task: (start offset of the file split, position inside the split).
     """
     raw = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"),
                                        F.col("_metadata.file_block_start").alias("_blk"))
-    return raw.withColumn("line_no", F.monotonically_increasing_id()).drop("_blk")
+    return raw.select("file", F.struct("_blk", F.monotonically_increasing_id().alias("_pos")).alias("line_no"),
+                      "line")
 
 
 def _to_long(c):
