@@ -60,18 +60,54 @@ def guard_types(df: DataFrame, targets: dict[str, str], raise_on_fail: bool = Fa
     return out
 
 
+def overlap_suffixes(delim: str) -> list[str]:
+    """Field endings that make a split find the delimiter too early.
+
+    A field ending in ``delim[:k]`` is unsafe when the rest ``delim[k:]`` is
+    also a prefix of ``delim`` (the delimiter overlaps itself): the splitter
+    then matches ``delim[:k] + delim[:len-k]`` first. For ``^|^`` that is
+    the ending ``^|``; delimiters without self-overlap (``~|^``) have none.
+    """
+    return [delim[:k] for k in range(1, len(delim)) if delim.startswith(delim[k:])]
+
+
+def safe_record_predicate(fields: list[Column], fmt: FileFormat, record: Column | None = None) -> Column:
+    """True when the record built from ``fields`` (rendered, non-NULL) reads back field for field.
+
+    Exact for leftmost-match splitting: no field contains the delimiter, no
+    field but the last ends in an overlapping delimiter prefix, and the record
+    holds no record separator. Only ``contains`` / ``endswith`` per field,
+    no regular expression, so it costs a fraction of the render itself.
+    """
+    ok = F.lit(True)
+    ends = overlap_suffixes(fmt.field_delim)
+    for i, f in enumerate(fields):
+        ok = ok & ~f.contains(fmt.field_delim)
+        if i < len(fields) - 1:
+            for e in ends:
+                ok = ok & ~f.endswith(e)
+    rec = record if record is not None else F.concat_ws(fmt.field_delim, *fields)
+    sep = fmt.line_sep
+    for e in overlap_suffixes(sep):
+        ok = ok & ~rec.endswith(e)
+    return ok & (F.instr(F.concat(rec, F.lit(sep)), F.lit(sep)) == F.length(rec) + 1)
+
+
 def unsafe_rows_predicate(df: DataFrame, fmt: FileFormat) -> Column:
     """True for rows whose landed record would not read back field for field.
 
     Containment of the delimiter is not enough: a value ending in a prefix of
-    the field delimiter shifts the boundary. So the record is re-split exactly
-    as the importer will and compared to the rendered fields; the record must
-    also not contain the record separator.
+    the field delimiter shifts the boundary (see ``overlap_suffixes``).
     """
     fields = [render_field(f.name, f.dataType) for f in df.schema.fields]
+    return ~safe_record_predicate(fields, fmt)
+
+
+def split_check_predicate(df: DataFrame, fmt: FileFormat) -> Column:
+    """Slow reference form of ``unsafe_rows_predicate``: re-split and compare (used in tests)."""
+    fields = [render_field(f.name, f.dataType) for f in df.schema.fields]
     line = encode(df, fmt)
-    split_back = F.split(line, fmt.split_regex, -1)
-    same = split_back == F.array(*fields)
+    same = F.split(line, fmt.split_regex, -1) == F.array(*fields)
     sep_ok = F.instr(F.concat(line, F.lit(fmt.line_sep)), F.lit(fmt.line_sep)) == F.length(line) + 1
     return ~(same & sep_ok)
 

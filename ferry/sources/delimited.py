@@ -83,16 +83,28 @@ def header_line(names: list[str], fmt: FileFormat) -> str:
     return fmt.field_delim.join(names)
 
 
-def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "errorifexists") -> int:
+def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "errorifexists",
+                    stats: dict | None = None) -> int:
     """Land ``df`` at ``path``; returns the number of data rows written.
 
     The count comes from an ``Observation`` on the final (result) stage, whose
     accumulator updates Spark applies once per partition even when tasks are
-    retried, so the figure stays exact under executor loss.
+    retried, so the figure stays exact under executor loss. If ``stats`` is a
+    dict, the same pass also counts records that would not read back (see
+    ``ferry.operators.checks.unsafe_rows_predicate``) into ``stats["unsafe"]``:
+    the delimiter check costs no second scan.
     """
     spark = df.sparkSession
     obs = Observation("ferry_rows")
-    body = encode_rows(df, fmt).observe(obs, F.count(F.lit(1)).alias("rows"))
+    if stats is None:
+        body = encode_rows(df, fmt).observe(obs, F.count(F.lit(1)).alias("rows"))
+    else:
+        from ferry.operators.checks import safe_record_predicate
+        names = [f"_f{i}" for i in range(len(df.columns))]
+        rendered = df.select(*[render_field(f.name, f.dataType).alias(n) for f, n in zip(df.schema.fields, names)])
+        rec = rendered.select(F.concat_ws(fmt.field_delim, *names).alias("value"), *names)
+        ok = safe_record_predicate([F.col(n) for n in names], fmt, F.col("value"))
+        body = rec.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("unsafe")).select("value")
     out = body
     if fmt.header:
         hdr = spark.createDataFrame([(header_line(df.columns, fmt),)], "value string")
@@ -101,7 +113,10 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     if fmt.compression:
         writer = writer.option("compression", fmt.compression)
     writer.text(path)
-    return int(obs.get.get("rows", 0) or 0)
+    got = obs.get
+    if stats is not None:
+        stats["unsafe"] = int(got.get("unsafe", 0) or 0)
+    return int(got.get("rows", 0) or 0)
 
 
 def read_records(spark: SparkSession, path: str, fmt: FileFormat, skip_header: bool | None = None,
