@@ -19,7 +19,8 @@ from ferry.plans.catalog import column_summary, format_fields, plan_preview
 from ferry.plans.transfer import (export_all, export_table, import_by_name, import_inferred, import_table, load_into,
                                   metrics_frame, run_parallel)
 from ferry.session import scratch_path
-from ferry.sources.delimited import encode_rows, parse_records, read_delimited, write_delimited
+from ferry.sources.delimited import (encode_rows, parse_records, read_delimited, read_header_records,
+                                     write_delimited)
 from ferry.sources.logs import log_metrics
 
 Q: dict = {}
@@ -85,10 +86,7 @@ def export_header(spark, sf):
     failed = [r for r in results if r.error]
     if failed:
         raise RuntimeError(failed[0].error)
-    raw = spark.read.option("lineSep", fmt.line_sep).text(f"{base}/*")
-    hdr = raw.filter(F.col("_metadata.file_name").startswith("part-00000-"))
-    return hdr.select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/part-00000-[^/]*$", 1)
-                      .alias("table_name"), F.col("value").alias("header"))
+    return read_header_records(spark, base, fmt)
 
 
 @query("import_typed", "SELECT * FROM orders")

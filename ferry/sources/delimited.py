@@ -136,17 +136,28 @@ def read_records(spark: SparkSession, path: str, fmt: FileFormat, skip_header: b
 
 
 def read_header(spark: SparkSession, path: str, fmt: FileFormat) -> list[str]:
-    """Column names from the header record (one record, read on the driver)."""
-    raw = spark.read.option("lineSep", fmt.line_sep).text(path)
-    first = (raw.filter(F.col("_metadata.file_name").startswith(HEADER_FILE_PREFIX))
-             .select("value").limit(1).collect())
-    if not first:
-        first = raw.limit(1).collect()
+    """Column names from the header record (one record, read on the driver).
+
+    For our layout only the header file is listed and read (a path glob), never
+    the data parts; a foreign single file gives its first record.
+    """
+    rdr = spark.read.option("lineSep", fmt.line_sep)
+    try:
+        first = rdr.text(f"{path.rstrip('/')}/{HEADER_FILE_PREFIX}*").limit(1).collect()
+    except Exception:  # noqa: BLE001 - not our layout (no header part): a foreign file
+        first = rdr.text(path).limit(1).collect()
     if not first:
         return []
     return first[0][0].split(fmt.field_delim)
 
 
+def read_header_records(spark: SparkSession, base: str, fmt: FileFormat) -> DataFrame:
+    """(table_name, header) of every landed table directly under ``base``; lists header files only."""
+    raw = spark.read.option("lineSep", fmt.line_sep).text(f"{base.rstrip('/')}/*/{HEADER_FILE_PREFIX}*")
+    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/part-00000-[^/]*$", 1)
+                      .alias("table_name"), F.col("value").alias("header"))
+
+
 def _fields_checked(fmt: FileFormat, n: int, strict: bool) -> Column:
     parts = F.split(F.col("value"), fmt.split_regex, -1)
     if not strict:
