@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.functions.render import render
+from ferry.functions.render import render, render_field
 from ferry.operators.names import as_list, is_wildcard, like_to_regex
 from ferry.sources.delimited import FileFormat, encode
 
@@ -129,10 +129,16 @@ def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat) -> DataFrame:
     """
     parts = []
     sep_len = len(fmt.line_sep.encode("utf-8"))
+    fd_len = len(fmt.field_delim.encode("utf-8"))
     for name, df in tables.items():
         hdr = len(fmt.field_delim.join(df.columns).encode("utf-8")) + sep_len if fmt.header else 0
-        parts.append(df.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"),
-                            (F.coalesce(F.sum(F.octet_length(encode(df, fmt)) + sep_len), F.lit(0)) + hdr)
+        # per record: its fields' bytes + (n - 1) delimiters + the separator; summing
+        # field lengths avoids building each record string just to measure it
+        per_row = (max(len(df.columns) - 1, 0)) * fd_len + sep_len
+        field_bytes = sum((F.octet_length(render_field(f.name, f.dataType)) for f in df.schema.fields), F.lit(0))
+        rows = F.count(F.lit(1))
+        parts.append(df.agg(F.lit(name).alias("table_name"), rows.alias("rows"),
+                            (F.coalesce(F.sum(field_bytes.cast("long")), F.lit(0)) + rows * per_row + hdr)
                             .cast("long").alias("bytes")))
     out = parts[0]
     for p in parts[1:]:
