@@ -256,7 +256,10 @@ def format_fields_demo(spark, sf):
     return format_fields(load(spark, sf, "lineitem"), FMT)
 
 
-@query("object_agg")
+@query("object_agg",
+       "SELECT r_name, '[' || string_agg(json_object('n_nationkey', n_nationkey, 'n_name', n_name, "
+       "'n_regionkey', n_regionkey)::VARCHAR, ',' ORDER BY n_nationkey) || ']' AS nations "
+       "FROM nation JOIN region ON n_regionkey = r_regionkey GROUP BY r_name")
 def object_agg_demo(spark, sf):
     nation, region = load(spark, sf, "nation"), load(spark, sf, "region")
     j = nation.join(region, nation.n_regionkey == region.r_regionkey).select("r_name", "n_nationkey", "n_name",
