@@ -100,8 +100,10 @@ def object_agg(df: DataFrame, group: Sequence[str], order_by: str, out: str = "o
                columns: Sequence[str] | None = None) -> DataFrame:
     """ARRAY_AGG(OBJECT_CONSTRUCT(*)) per group as an ordered JSON array text.
 
-    Meant for bounded groups (dimension rows per parent); rows are reduced to
-    JSON text before the shuffle.
+    The whole group becomes one value, so this is for bounded groups only
+    (one object per column of a table, dimension rows per parent); rows are
+    reduced to JSON text before the shuffle. For unbounded groups use the
+    rows themselves (``to_json(struct(*))`` per row) instead of one value.
     """
     cols = list(columns or df.columns)
     staged = df.select(*group, F.col(order_by).alias("_o"), F.to_json(F.struct(*cols)).alias("_j"))
