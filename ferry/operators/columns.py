@@ -23,7 +23,7 @@ from ferry.operators.names import as_list, like_to_regex, is_wildcard
 import re
 
 
-def _matches(name: str, patterns: list[str], case_sensitive: bool = False, wildcard: str = "*") -> bool:
+def _matches(name: str, patterns: list[str], case_sensitive: bool = False, wildcard: str | None = "*") -> bool:
     flags = 0 if case_sensitive else re.IGNORECASE
     for p in patterns:
         if is_wildcard(p, wildcard):
@@ -50,30 +50,33 @@ def flag_of(field: T.StructField, flag: str) -> bool:
     return bool(field.metadata.get(flag, False))
 
 
-def project_columns(df: DataFrame, names: str | Iterable[str] | None = None, case_sensitive: bool = False) -> DataFrame:
+def project_columns(df: DataFrame, names: str | Iterable[str] | None = None, case_sensitive: bool = False,
+                    wildcard: str | None = "*", sep: str = ",") -> DataFrame:
     """Keep the listed columns (wildcards allowed) in *schema* order, not list order."""
     if names is None:
         return df
-    pats = as_list(names)
-    return df.select(*[f.name for f in df.schema.fields if _matches(f.name, pats, case_sensitive)])
+    pats = as_list(names, sep)
+    return df.select(*[f.name for f in df.schema.fields if _matches(f.name, pats, case_sensitive, wildcard)])
 
 
-def exclude_by_name(df: DataFrame, names: str | Iterable[str] | None, case_sensitive: bool = False) -> DataFrame:
-    pats = as_list(names)
-    return df.select(*[f.name for f in df.schema.fields if not _matches(f.name, pats, case_sensitive)])
+def exclude_by_name(df: DataFrame, names: str | Iterable[str] | None, case_sensitive: bool = False,
+                    wildcard: str | None = "*", sep: str = ",") -> DataFrame:
+    pats = as_list(names, sep)
+    return df.select(*[f.name for f in df.schema.fields if not _matches(f.name, pats, case_sensitive, wildcard)])
 
 
-def exclude_by_type(df: DataFrame, types: str | Iterable[str] | None) -> DataFrame:
+def exclude_by_type(df: DataFrame, types: str | Iterable[str] | None, wildcard: str | None = "*",
+                    sep: str = ",") -> DataFrame:
     """Drop columns whose type name (``typeName()``, e.g. ``timestamp_ntz``, ``decimal``) is listed.
 
     A user-defined type counts as its underlying SQL type.
     """
-    pats = as_list(types)
+    pats = as_list(types, sep)
 
     def label(dt: T.DataType) -> str:
         return type_label(dt.sqlType() if isinstance(dt, T.UserDefinedType) else dt)
 
-    return df.select(*[f.name for f in df.schema.fields if not _matches(label(f.dataType), pats)])
+    return df.select(*[f.name for f in df.schema.fields if not _matches(label(f.dataType), pats, False, wildcard)])
 
 
 def exclude_by_flag(df: DataFrame, export_identity: bool = True, export_computed: bool = False) -> DataFrame:
@@ -84,11 +87,11 @@ def exclude_by_flag(df: DataFrame, export_identity: bool = True, export_computed
 
 
 def choose_columns(df: DataFrame, exclude_names=None, exclude_types=None, export_identity: bool = True,
-                   export_computed: bool = False) -> DataFrame:
+                   export_computed: bool = False, wildcard: str | None = "*", sep: str = ",") -> DataFrame:
     """All column rules together, in the order flags -> names -> types."""
     out = exclude_by_flag(df, export_identity, export_computed)
-    out = exclude_by_name(out, exclude_names)
-    return exclude_by_type(out, exclude_types)
+    out = exclude_by_name(out, exclude_names, wildcard=wildcard, sep=sep)
+    return exclude_by_type(out, exclude_types, wildcard=wildcard, sep=sep)
 
 
 COLUMNS_SCHEMA = T.StructType([

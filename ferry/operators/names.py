@@ -36,8 +36,9 @@ def as_list(names: str | Iterable[str] | None, sep: str = ",") -> list[str]:
     return [n for n in names if n is not None and str(n).strip()]
 
 
-def is_wildcard(name: str, wildcard: str = "*") -> bool:
-    return wildcard in name
+def is_wildcard(name: str, wildcard: str | None = "*") -> bool:
+    """Does a list entry use the wildcard character? (``wildcard=None``: wildcards off.)"""
+    return wildcard is not None and wildcard in name
 
 
 def like_to_regex(pattern: str, wildcard: str = "*") -> str:

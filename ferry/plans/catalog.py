@@ -49,7 +49,7 @@ def catalog_from_dir(root: str, default_schema: str = "dbo") -> list[TableRef]:
     return refs
 
 
-def _expand(entries: list[str], universe: list[str], wildcard: str) -> list[str]:
+def _expand(entries: list[str], universe: list[str], wildcard: str | None) -> list[str]:
     out: dict[str, None] = {}
     for e in entries:
         if is_wildcard(e, wildcard):
@@ -63,7 +63,7 @@ def _expand(entries: list[str], universe: list[str], wildcard: str) -> list[str]
 
 
 def select_tables(catalog: list[TableRef], schemas=None, tables=None, schemas_except=None, tables_except=None,
-                  all_tables: bool = False, wildcard: str = "*") -> list[TableRef]:
+                  all_tables: bool = False, wildcard: str | None = "*", sep: str = ",") -> list[TableRef]:
     """Tables chosen by include lists minus exception pairs.
 
     * ``all_tables`` takes every table and forbids include lists;
@@ -74,8 +74,8 @@ def select_tables(catalog: list[TableRef], schemas=None, tables=None, schemas_ex
     * exceptions need both lists and remove the pairs they name;
     * an empty result raises.
     """
-    s_in, t_in = as_list(schemas), as_list(tables)
-    s_ex, t_ex = as_list(schemas_except), as_list(tables_except)
+    s_in, t_in = as_list(schemas, sep), as_list(tables, sep)
+    s_ex, t_ex = as_list(schemas_except, sep), as_list(tables_except, sep)
     if not all_tables and (not s_in or not t_in):
         raise SelectionError("schema and table lists must not be empty unless all tables are chosen")
     if all_tables and (s_in or t_in):

@@ -41,6 +41,8 @@ class TransferOptions:
     parallel: int = 4
     target: str = "typed"          # "typed": append by name into existing / source schema; "inferred": replace
     identity_order: dict[str, list[str]] = field(default_factory=dict)
+    list_sep: str = ","            # separator of the name lists
+    wildcard: str | None = "*"     # wildcard character of the name lists (None: no wildcards)
 
 
 @dataclass
@@ -63,7 +65,7 @@ def plan_table(spark: SparkSession, ref: TableRef, opts: TransferOptions, df: Da
     """Column rules and schema guards for one table (no data is read)."""
     src = df if df is not None else spark.read.parquet(ref.path)
     exported = choose_columns(src, opts.columns_except, opts.types_except, opts.export_identity,
-                              opts.export_computed)
+                              opts.export_computed, opts.wildcard, opts.list_sep)
     kept = set(exported.columns)
     error = None
     unmapped = [f"{f.name} {f.dataType.simpleString()}" for f in exported.schema.fields if not is_supported(f.dataType)]
@@ -82,7 +84,8 @@ def plan_table(spark: SparkSession, ref: TableRef, opts: TransferOptions, df: Da
 
 def plan_transfer(spark: SparkSession, catalog: list[TableRef], opts: TransferOptions, schemas=None, tables=None,
                   schemas_except=None, tables_except=None, all_tables: bool = False) -> list[TablePlan]:
-    refs = select_tables(catalog, schemas, tables, schemas_except, tables_except, all_tables)
+    refs = select_tables(catalog, schemas, tables, schemas_except, tables_except, all_tables,
+                         wildcard=opts.wildcard, sep=opts.list_sep)
     return [plan_table(spark, r, opts) for r in refs]
 
 

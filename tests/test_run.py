@@ -74,3 +74,23 @@ def test_inferred_target_replaces_table(spark):
     back = spark.read.parquet(f"{target}/dbo.part")
     assert back.count() == plans[0].source.count()
     assert dict(back.dtypes)["p_size"] == "bigint"
+
+
+def test_cli_export_and_import(spark, capsys):
+    from ferry.cli import main
+    landing, target = scratch_path(spark, "cli-land"), scratch_path(spark, "cli-target")
+    rc = main(["--source", SF, "--landing", landing, "--target", target, "--schemas", "dbo",
+               "--tables", "nation; reg*", "--list-sep", ";", "--header", "--columns-except", "n_comment"])
+    assert rc == 0
+    assert spark.read.parquet(f"{target}/dbo.nation").count() == 25
+    assert spark.read.parquet(f"{target}/dbo.region").count() == 5
+    rc = main(["--source", SF, "--landing", landing, "--schemas", "dbo", "--tables", "nation", "--what-if"])
+    assert rc == 0 and "dbo.nation" in capsys.readouterr().out
+
+
+def test_wildcards_can_be_switched_off(spark):
+    opts = TransferOptions(wildcard=None)
+    import pytest
+    from ferry.plans.catalog import SelectionError
+    with pytest.raises(SelectionError):  # "reg*" is now a literal name that does not exist
+        plan_transfer(spark, catalog_from_dir(SF), opts, schemas="dbo", tables="reg*")
