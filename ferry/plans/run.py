@@ -41,6 +41,7 @@ class TransferOptions:
     parallel: int = 4
     target: str = "typed"          # "typed": append by name into existing / source schema; "inferred": replace
     identity_order: dict[str, list[str]] = field(default_factory=dict)
+    landing_mode: str = "overwrite"  # re-export replaces a table's landed files; "append" adds parts
     list_sep: str = ","            # separator of the name lists
     wildcard: str | None = "*"     # wildcard character of the name lists (None: no wildcards)
 
@@ -120,12 +121,12 @@ def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts:
         if p.error:
             return _failed(p.name, p.error)
         if not opts.check_delimiters:
-            return export_table(p.exported, path, opts.fmt, p.name)
+            return export_table(p.exported, path, opts.fmt, p.name, mode=opts.landing_mode)
         from datetime import datetime
         start = datetime.now()
         stats: dict = {}
         try:
-            rows = write_delimited(p.exported, path, opts.fmt, stats=stats)
+            rows = write_delimited(p.exported, path, opts.fmt, mode=opts.landing_mode, stats=stats)
             err = None if stats["unsafe"] == 0 else \
                 f"{stats['unsafe']} records contain the field delimiter or record separator"
         except Exception as exc:  # noqa: BLE001

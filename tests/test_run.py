@@ -86,6 +86,9 @@ def test_cli_export_and_import(spark, capsys):
     assert spark.read.parquet(f"{target}/dbo.region").count() == 5
     rc = main(["--source", SF, "--landing", landing, "--schemas", "dbo", "--tables", "nation", "--what-if"])
     assert rc == 0 and "dbo.nation" in capsys.readouterr().out
+    # exporting again into the same landing folder replaces the landed files
+    rc = main(["--source", SF, "--landing", landing, "--schemas", "dbo", "--tables", "nation", "--header"])
+    assert rc == 0
 
 
 def test_wildcards_can_be_switched_off(spark):
