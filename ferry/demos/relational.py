@@ -11,6 +11,7 @@ from ferry.operators.numbering import last_in_group, next_key, row_number
 from ferry.operators.relational import (agg_string, apply_union, count_where, delete_where, distinct_union,
                                         existing_pairs, insert_select, insert_values, lookup, merge_insert,
                                         outer_apply_flag, replace_table, update_set)
+from ferry.operators.skew import skew_join
 from ferry.session import scratch_path
 
 Q: dict = {}
@@ -35,9 +36,14 @@ def query(name: str, sql: str | None = None):
 def join_inner(spark, sf):
     li, o, c = load(spark, sf, "lineitem"), load(spark, sf, "orders"), load(spark, sf, "customer")
     n, r = load(spark, sf, "nation"), load(spark, sf, "region")
-    return (li.join(o, li.l_orderkey == o.o_orderkey).join(c, o.o_custkey == c.c_custkey)
-            .join(n, c.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-            .select("l_orderkey", "l_linenumber", "l_partkey", "c_custkey", "n_name", "r_name"))
+    # fact-to-fact joins are skew-safe (a hot order or customer is split off);
+    # the small dimensions join plainly and Catalyst sizes them
+    lo = skew_join(li.select("l_orderkey", "l_linenumber", "l_partkey"), o.select("o_orderkey", "o_custkey"),
+                   [("l_orderkey", "o_orderkey")])
+    loc = skew_join(lo, c.select("c_custkey", "c_nationkey"), [("o_custkey", "c_custkey")])
+    return (loc.join(n, loc.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
+            .select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("c_custkey"), "n_name",
+                    "r_name"))
 
 
 @query("join_left",
@@ -45,15 +51,17 @@ def join_inner(spark, sf):
        "AND c_mktsegment = 'BUILDING'")
 def join_left(spark, sf):
     o, c = load(spark, sf, "orders"), load(spark, sf, "customer")
-    return o.join(c, (o.o_custkey == c.c_custkey) & (c.c_mktsegment == "BUILDING"), "left").select("o_orderkey",
-                                                                                                  "c_name")
+    # the extra ON condition only restricts the right side, so it is applied there
+    building = c.filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name")
+    return skew_join(o.select("o_orderkey", "o_custkey"), building, [("o_custkey", "c_custkey")], "left").select(
+        "o_orderkey", "c_name")
 
 
 @query("join_anti",
        "SELECT * FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)")
 def join_anti(spark, sf):
     d, lab = load(spark, sf, "documents"), load(spark, sf, "labels")
-    return d.join(lab, "doc_id", "left_anti")
+    return skew_join(d, lab.select("doc_id"), ["doc_id"], "left_anti")
 
 
 @query("join_semi",
@@ -61,8 +69,8 @@ def join_anti(spark, sf):
        "AND o_totalprice > 300000)")
 def join_semi(spark, sf):
     c, o = load(spark, sf, "customer"), load(spark, sf, "orders")
-    big = o.filter(F.col("o_totalprice") > 300000)
-    return c.join(big, c.c_custkey == big.o_custkey, "left_semi")
+    big = o.filter(F.col("o_totalprice") > 300000).select("o_custkey")
+    return skew_join(c, big, [("c_custkey", "o_custkey")], "left_semi")
 
 
 _REGIONS = ["ASIA", "EUROPE", "AMERICA"]

@@ -143,8 +143,9 @@ def flag_exceptions(df: DataFrame, exceptions, cols: tuple[str, str], flag: str
     """
     a, b = cols
     if isinstance(exceptions, DataFrame):
+        from ferry.operators.skew import skew_join
         keys = exceptions.select(a, b).distinct().withColumn("_hit", F.lit(1))
-        return (df.join(keys, on=[a, b], how="left")
+        return (skew_join(df, keys, [a, b], "left")
                 .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit"))
     cond = F.lit(False)
     for pa, pb in exceptions:
@@ -155,12 +156,12 @@ def flag_exceptions(df: DataFrame, exceptions, cols: tuple[str, str], flag: str
 def missing_names(requested: DataFrame, existing: DataFrame, on: str, existing_col: str | None = None,
                   case_sensitive: bool = False) -> DataFrame:
     """Requested names with no counterpart in ``existing`` (anti join, distributed)."""
+    from ferry.operators.skew import skew_join
     ecol = existing_col or on
-    if case_sensitive:
-        keys = existing.select(F.col(ecol).alias("_k")).distinct()
-        return requested.join(keys, requested[on] == keys["_k"], "left_anti")
-    keys = existing.select(F.lower(F.col(ecol).cast("string")).alias("_k")).distinct()
-    return requested.join(keys, F.lower(requested[on].cast("string")) == keys["_k"], "left_anti")
+    norm = (lambda c: F.col(c)) if case_sensitive else (lambda c: F.lower(F.col(c).cast("string")))
+    keys = existing.select(norm(ecol).alias("_f_k")).distinct()
+    staged = requested.withColumn("_f_k", norm(on))
+    return skew_join(staged, keys, ["_f_k"], "left_anti").drop("_f_k")
 
 
 def missing_message(spark: SparkSession, names: str | Iterable[str], existing: DataFrame, col: str,

@@ -24,11 +24,12 @@ def _c(x: Column | str) -> Column:
 def merge_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """MERGE ... WHEN NOT MATCHED BY TARGET THEN INSERT: target plus source rows with new keys.
 
-    The anti join and the union keep both inputs distributed; source rows that
-    repeat one new key are all inserted, as MERGE would.
+    Keys compare with SQL equality, so a NULL key never matches and is
+    inserted. The anti join is skew-safe and both inputs stay distributed;
+    source rows that repeat one new key are all inserted, as MERGE would.
     """
-    cond = [source[k].eqNullSafe(target[k]) for k in keys]
-    new = source.join(target.select(*keys).distinct(), cond, "left_anti")
+    from ferry.operators.skew import skew_join
+    new = skew_join(source, target.select(*keys).distinct(), list(keys), "left_anti")
     return target.unionByName(new.select(*target.columns))
 
 
@@ -125,12 +126,12 @@ def outer_apply_flag(df: DataFrame, other: DataFrame, on: Sequence[tuple[str, st
     Decorrelated into a left join against the *distinct* matching keys, so a
     row is never duplicated however many partners it has.
     """
+    from ferry.operators.skew import skew_join
     keys = other if where is None else other.filter(where)
     rk = [r for _, r in on]
-    keys = keys.select(*rk).distinct().withColumn("_f_hit", F.lit(1))
-    cond = [df[l] == keys[r] for l, r in on]
-    j = df.join(keys, cond, "left")
-    return j.select(df["*"], F.coalesce(keys["_f_hit"], F.lit(0)).alias(flag))
+    keys = keys.select(*[F.col(r).alias(f"_f_k{i}") for i, r in enumerate(rk)]).distinct().withColumn("_f_hit", F.lit(1))
+    j = skew_join(df, keys, [(l, f"_f_k{i}") for i, (l, _) in enumerate(on)], "left")
+    return j.select(*df.columns, F.coalesce(F.col("_f_hit"), F.lit(0)).alias(flag))
 
 
 def apply_union(df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[tuple[str, str]], str]],
@@ -142,22 +143,23 @@ def apply_union(df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[tupl
     exclusive (as a base-type and a user-type lookup are), so the union is the
     first non-NULL branch value. Each branch is one left join.
     """
+    from ferry.operators.skew import skew_join
     cur = df
     vals = []
     for i, (tbl, on, val) in enumerate(branches):
         rk = [r for _, r in on]
         lk = tbl.select(*[F.col(r).alias(f"_b{i}_{r}") for r in rk], F.col(val).alias(f"_b{i}_v")).dropDuplicates(
             [f"_b{i}_{r}" for r in rk])
-        cond = [cur[l] == lk[f"_b{i}_{r}"] for l, r in on]
-        cur = cur.join(lk, cond, "left").drop(*[f"_b{i}_{r}" for r in rk])
+        cur = skew_join(cur, lk, [(l, f"_b{i}_{r}") for l, r in on], "left")
         vals.append(F.col(f"_b{i}_v"))
     return cur.withColumn(out, F.coalesce(*vals)).drop(*[f"_b{i}_v" for i in range(len(branches))])
 
 
 def lookup(df: DataFrame, table: DataFrame, left: str, right: str, value: str, out: str) -> DataFrame:
     """Scalar lookup function (name <-> id) as a left join; unknown keys give NULL."""
+    from ferry.operators.skew import skew_join
     lk = table.select(F.col(right).alias("_lk_k"), F.col(value).alias(out)).dropDuplicates(["_lk_k"])
-    return df.join(lk, df[left] == lk["_lk_k"], "left").drop("_lk_k")
+    return skew_join(df, lk, [(left, "_lk_k")], "left")
 
 
 def existing_pairs(df: DataFrame, col_a: str, list_a: Sequence[str], col_b: str, list_b: Sequence[str]) -> DataFrame:
