@@ -8,14 +8,15 @@ holds, say, a third of the left side, that task does a third of the work.
      (a key is hot if it holds at least ``hot_fraction`` of the sample);
      the sample only *chooses the route*, every row is still joined;
      at most ``1 / hot_fraction`` keys can be hot, so the key list is small;
-  2. rows with a hot key (and rows with a NULL key, which never match but
-     would all hash to one partition) take a broadcast join against the other
-     side's rows for those keys - checked to be at most ``max_broadcast_rows``,
-     else the hot part is salted: left rows get a random bucket, the right
-     hot rows are replicated once per bucket, so each left row still meets
-     each partner exactly once;
-  3. all other rows take the ordinary shuffle join;
-  4. the two results are unioned.
+  2. rows with a hot key take a broadcast join against the other side's rows
+     for those keys - checked to be at most ``max_broadcast_rows``, else the
+     hot part is salted: left rows get a random bucket, the right hot rows
+     are replicated once per bucket, so each left row still meets each
+     partner exactly once;
+  3. rows with a NULL key match nothing; they skip the join (and the shuffle,
+     where they would all hash to one partition) and are dropped, kept or
+     NULL-padded as the join type says;
+  4. all other rows take the ordinary shuffle join; the parts are unioned.
 
 Valid for inner, left (outer), left_semi and left_anti joins: a row's key is
 hot on both sides or on neither, so no match crosses the split.
@@ -28,7 +29,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-_HOT = "_f_hot"
 _SALT = "_f_salt"
 
 
@@ -52,13 +52,14 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = 0.02, sam
             if r["_n"] >= need and all(r[k] is not None for k in keys)]
 
 
-def _mark(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """Adds boolean ``_f_hot``: the row's key is hot or NULL (hot list is tiny: broadcast)."""
-    flagged = df.join(F.broadcast(hot), list(keys), "left")
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    return flagged.withColumn(_HOT, F.coalesce(F.col(_HOT), F.lit(False)) | null_key)
+def _null_key_rows(rows: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame | None:
+    """Result rows for left rows with a NULL key: they match nothing, so no join is needed."""
+    if how in ("inner", "left_semi"):
+        return None
+    if how == "left_anti":
+        return rows
+    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
+    return rows.select("*", *extra)
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]], how: str = "inner",
@@ -68,7 +69,8 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tu
 
     ``on`` is a list of shared column names, or of (left column, right column)
     pairs; the right key columns then take the left names (one key column each
-    in the output, as with a join on names).
+    in the output, as with a join on names). Rows are routed by plain filters
+    (the hot-key predicate has at most ``1 / hot_fraction`` terms).
     """
     how = {"left_outer": "left", "leftouter": "left", "semi": "left_semi", "anti": "left_anti"}.get(how, how)
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
@@ -78,28 +80,35 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tu
         right = right.withColumnsRenamed(dict(renamed))
     if how not in ("inner", "left", "left_semi", "left_anti"):
         return left.join(right, keys, how)
-    spark = left.sparkSession
-    hk = hot_keys(left, keys, hot_fraction, sample_fraction) if hot is None else hot
-    key_schema = left.select(*keys).schema
-    hot_df = spark.createDataFrame(hk, key_schema).withColumn(_HOT, F.lit(True))
-    lm, rm = _mark(left, keys, hot_df), _mark(right, keys, hot_df)
-    l_hot, l_cold = lm.filter(F.col(_HOT)).drop(_HOT), lm.filter(~F.col(_HOT)).drop(_HOT)
-    r_hot, r_cold = rm.filter(F.col(_HOT)).drop(_HOT), rm.filter(~F.col(_HOT)).drop(_HOT)
-    cold = l_cold.join(r_cold, keys, how)
-    if not hk:
-        # only NULL keys are on the hot side: they match nothing, so no partner rows are needed
-        return l_hot.join(F.broadcast(r_hot.limit(0)), keys, how).unionByName(cold)
-    if r_hot.count() <= max_broadcast_rows:
-        hot_part = l_hot.join(F.broadcast(r_hot), keys, how)
-    else:
-        salted_l = l_hot.withColumn(_SALT, (F.rand(seed=31) * salt_buckets).cast("int"))
-        salted_r = r_hot.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        hot_part = salted_l.join(salted_r, keys + [_SALT], how).drop(_SALT)
-    return hot_part.unionByName(cold)
+    hk = hot_keys(left, keys, hot_fraction, sample_fraction) if hot is None else list(hot)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    is_hot = F.coalesce(hot_key_condition(keys, hk), F.lit(False)) if hk else F.lit(False)
+    parts = []
+    cold = left.filter(~null_key & ~is_hot).join(right.filter(~null_key & ~is_hot), keys, how)
+    parts.append(cold)
+    nulls = _null_key_rows(left.filter(null_key), right, keys, how)
+    if nulls is not None:
+        parts.append(nulls)
+    if hk:
+        l_hot, r_hot = left.filter(is_hot), right.filter(is_hot)
+        if r_hot.count() <= max_broadcast_rows:
+            parts.append(l_hot.join(F.broadcast(r_hot), keys, how))
+        else:
+            salted_l = l_hot.withColumn(_SALT, (F.rand(seed=31) * salt_buckets).cast("int"))
+            salted_r = r_hot.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+            parts.append(salted_l.join(salted_r, keys + [_SALT], how).drop(_SALT))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
 
 
 def hot_key_condition(keys: Sequence[str], hot: list[tuple]) -> Column:
-    """Predicate "key is one of the hot keys" for callers that split work themselves."""
+    """Predicate "key is one of the hot keys" (an IN list for a single key)."""
+    if len(keys) == 1:
+        return F.col(keys[0]).isin(*[v[0] for v in hot])
     cond = F.lit(False)
     for values in hot:
         one = F.lit(True)
