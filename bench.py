@@ -6,7 +6,8 @@ Queries (each timed end to end, output forced with a write or a count):
   export_lineitem      land lineitem as delimited text (^|^, ~~~ + CRLF)
   import_lineitem      typed import of the landed lineitem (to the noop sink)
   transfer_8_tables    8 core tables landed in parallel, with header and metrics
-  round_trip_verify    exceptAll both ways between lineitem and its landed copy
+  round_trip_verify    exact multiset comparison of lineitem and its landed copy (one shuffle)
+  verify_fingerprint   shuffle-free content fingerprints of both sides compared
   delimiter_check      unsafe-record scan of documents (whole texts)
   plan_preview         rows and rendered bytes of the 8 core tables
   row_number_all       global row numbers over lineitem (no single-task window)
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F  # noqa: E402
 from ferry.demos import QUERIES  # noqa: E402
 from ferry.demos.common import CORE_TABLES, FMT, load  # noqa: E402
 from ferry.operators.checks import delimiter_check  # noqa: E402
-from ferry.plans.transfer import export_all, import_table, verify_round_trip  # noqa: E402
+from ferry.plans.transfer import export_all, import_table, same_content, verify_round_trip  # noqa: E402
 from ferry.session import local_session, scratch_path  # noqa: E402
 from ferry.sources.delimited import write_delimited  # noqa: E402
 
@@ -69,6 +70,8 @@ def main() -> None:
     errors = [r.error for r in results if r.error]
     diff = timed("round_trip_verify",
                  lambda: verify_round_trip(lineitem, import_table(spark, landed, FMT, lineitem.schema)).count())
+    same = timed("verify_fingerprint",
+                 lambda: same_content(lineitem, import_table(spark, landed, FMT, lineitem.schema)))
     timed("delimiter_check", lambda: delimiter_check(load(spark, sf_dir, "documents"), FMT, "documents").collect())
     for key in ("plan_preview", "row_number_all", "column_summary", "join_inner"):
         timed(key, lambda k=key: QUERIES[k](spark, sf_dir).write.format("noop").mode("overwrite").save())
@@ -78,7 +81,7 @@ def main() -> None:
         "metric": "total_transfer_suite_sec", "value": total, "unit": "sec", "queries": times,
         "warmup_sec": warmup_sec,
         "warmup": "8 sf0.001 tables landed + orders round trip, not in the total", "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
-        "lineitem_rows": rows, "round_trip_differences": diff, "errors": errors,
+        "lineitem_rows": rows, "round_trip_differences": diff, "fingerprints_equal": same, "errors": errors,
         "rows_per_sec_export": round(rows / times["export_lineitem"]) if times["export_lineitem"] else None,
     }))
     spark.stop()

@@ -24,8 +24,8 @@ from ferry.functions.render import is_supported
 from ferry.operators.columns import choose_columns, columns_plan, flag_of
 from ferry.operators.numbering import identity_generate
 from ferry.plans.catalog import TableRef, plan_preview, select_tables
-from ferry.plans.transfer import (TransferResult, export_table, import_by_name, import_inferred, import_table,
-                                  load_into, metrics_frame, run_parallel)
+from ferry.plans.transfer import (TransferResult, export_table, fingerprints, import_by_name, import_inferred,
+                                  import_table, load_into, metrics_frame, run_parallel)
 from ferry.sources.delimited import FileFormat, write_delimited
 
 
@@ -42,6 +42,7 @@ class TransferOptions:
     target: str = "typed"          # "typed": append by name into existing / source schema; "inferred": replace
     identity_order: dict[str, list[str]] = field(default_factory=dict)
     landing_mode: str = "overwrite"  # re-export replaces a table's landed files; "append" adds parts
+    verify: bool = True            # after a typed load, compare content fingerprints of source and target
     list_sep: str = ","            # separator of the name lists
     wildcard: str | None = "*"     # wildcard character of the name lists (None: no wildcards)
 
@@ -164,7 +165,14 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
         for col in missing_ids:
             order = opts.identity_order.get(p.name) or [c for c in p.exported.columns][:1]
             df = _continue_identity(spark, df.drop(col), col, order, dest).select(*schema.names)
-        return load_into(df, dest, mode="append")
+        res = load_into(df, dest, mode="append")
+        if opts.verify and res.error is None:
+            # the loaded rows (this load's files only) against the exported rows
+            landed = import_table(spark, path, opts.fmt, p.exported.schema)
+            a, b = fingerprints(p.exported, landed, columns=p.exported.columns)
+            if a != b:
+                res.error = "loaded content differs from the source (fingerprint mismatch)"
+        return res
 
     return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
 

@@ -93,3 +93,15 @@ def test_entry_contract(spark):
     oracles = set(entry_mod.oracle_sql())
     assert oracles == keys
     assert len(keys) >= 60
+
+
+def test_fingerprint_detects_changes_and_ignores_order(spark):
+    from ferry.plans.transfer import fingerprint, same_content
+    df = spark.read.parquet(f"{SF}/orders.parquet")
+    assert same_content(df, df.orderBy(F.desc("o_orderkey")).repartition(3))
+    changed = df.withColumn("o_totalprice", F.when(F.col("o_orderkey") == 1, 0.0).otherwise(F.col("o_totalprice")))
+    assert not same_content(df, changed)
+    dup = df.unionByName(df.limit(1))
+    assert fingerprint(dup)[0] == fingerprint(df)[0] + 1 and not same_content(df, dup)
+    m = spark.createDataFrame([(1, {"a": 1})], "id int, m map<string,int>")
+    assert same_content(m, m)
