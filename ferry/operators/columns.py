@@ -3,7 +3,8 @@
 Column flags live in ``StructField.metadata``:
   * ``{"identity": true}``  - generated key column,
   * ``{"computed": true}``  - derived column (the target recomputes it),
-  * ``{"not_null": true}``  - NOT NULL in the source (parquet reads are always nullable).
+  * ``{"not_null": true}``  - NOT NULL in the source (parquet reads are always nullable);
+  * ``{"sql_type": "xml"}`` - the source system's type name, for type exclusion lists.
 
 All functions only change the projection, so Catalyst prunes the parquet scan
 to the exported columns (``ReadSchema`` in the plan).
@@ -46,6 +47,14 @@ def with_flags(df: DataFrame, **flags: Iterable[str]) -> DataFrame:
     return out
 
 
+def with_source_types(df: DataFrame, types: dict[str, str]) -> DataFrame:
+    """Record source-system type names, e.g. ``{"rowguid": "uniqueidentifier"}``."""
+    out = df
+    for n, t in types.items():
+        out = out.withMetadata(n, {**out.schema[n].metadata, "sql_type": t})
+    return out
+
+
 def flag_of(field: T.StructField, flag: str) -> bool:
     return bool(field.metadata.get(flag, False))
 
@@ -67,16 +76,24 @@ def exclude_by_name(df: DataFrame, names: str | Iterable[str] | None, case_sensi
 
 def exclude_by_type(df: DataFrame, types: str | Iterable[str] | None, wildcard: str | None = "*",
                     sep: str = ",") -> DataFrame:
-    """Drop columns whose type name (``typeName()``, e.g. ``timestamp_ntz``, ``decimal``) is listed.
+    """Drop columns whose type is listed.
 
-    A user-defined type counts as its underlying SQL type.
+    A column matches by its Spark type name (``typeName()``, e.g.
+    ``timestamp_ntz``, ``decimal``; a user-defined type counts as its
+    underlying SQL type) or by the source system's type name kept in field
+    metadata ``sql_type`` (e.g. ``uniqueidentifier`` or ``xml`` landed as strings).
     """
     pats = as_list(types, sep)
 
-    def label(dt: T.DataType) -> str:
-        return type_label(dt.sqlType() if isinstance(dt, T.UserDefinedType) else dt)
+    def labels(f: T.StructField) -> list[str]:
+        dt = f.dataType
+        out = [type_label(dt.sqlType() if isinstance(dt, T.UserDefinedType) else dt)]
+        if f.metadata.get("sql_type"):
+            out.append(str(f.metadata["sql_type"]))
+        return out
 
-    return df.select(*[f.name for f in df.schema.fields if not _matches(label(f.dataType), pats, False, wildcard)])
+    return df.select(*[f.name for f in df.schema.fields
+                       if not any(_matches(lb, pats, False, wildcard) for lb in labels(f))])
 
 
 def exclude_by_flag(df: DataFrame, export_identity: bool = True, export_computed: bool = False) -> DataFrame:
