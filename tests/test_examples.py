@@ -101,3 +101,35 @@ def test_example_6_multi_line_column_list(spark):
     assert strict.error is not None  # NOT NULL columns excluded without the override
     ok = plan_table(spark, ref, TransferOptions(columns_except=listing, allow_not_null_exceptions=True), df)
     assert ok.error is None and ok.exported.columns == ["ProductKey", "EnglishProductName"]
+
+
+def test_change_script_rows_appended_and_transferred(spark):
+    """Two sales-person rows inserted (the original change script), then landed and appended to a target."""
+    import datetime as dt
+    import decimal as dc
+
+    from ferry.operators.relational import insert_values
+    from ferry.plans.transfer import import_table, load_into, same_content
+    from ferry.session import scratch_path
+    from ferry.sources.delimited import write_delimited
+
+    schema = T.StructType([
+        T.StructField("BusinessEntityID", T.IntegerType()), T.StructField("TerritoryID", T.IntegerType()),
+        T.StructField("SalesQuota", T.DecimalType(19, 4)), T.StructField("Bonus", T.DecimalType(19, 4)),
+        T.StructField("CommissionPct", T.DecimalType(10, 4)), T.StructField("SalesYTD", T.DecimalType(19, 4)),
+        T.StructField("SalesLastYear", T.DecimalType(19, 4)), T.StructField("rowguid", T.StringType()),
+        T.StructField("ModifiedDate", T.TimestampNTZType())])
+    base = spark.createDataFrame([], schema)
+    d = dc.Decimal
+    rows = [(1, 7, d("250000.00"), d("985.00"), d("0.016"), d("3121616.3202"), d("2396539.7601"),
+             "F509E3D4-76C8-42AA-B353-90B7B8DB08DE", dt.datetime(2025, 5, 23)),
+            (2, 4, None, d("0.00"), d("0.0"), d("559697.5639"), d("0.0000"),
+             "48754992-9EE0-4C0E-8C94-9451604E3E02", dt.datetime(2025, 5, 23, 12, 30, 0, 123000))]
+    sales_person = insert_values(spark, base, rows)
+    fmt = FileFormat(header=True)
+    landing, target = scratch_path(spark, "sp-land"), scratch_path(spark, "sp-target")
+    assert write_delimited(sales_person, landing, fmt) == 2
+    res = load_into(import_table(spark, landing, fmt, schema), target, mode="append")
+    assert res.rows == 2 and res.error is None
+    back = spark.read.parquet(target)
+    assert back.schema == schema and same_content(sales_person, back)
