@@ -46,10 +46,29 @@ def _names(cols: Sequence[Column | str]) -> set[str]:
     return {c for c in cols if isinstance(c, str)}
 
 
+TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+MAX_PARTITIONS = 200_000
+
+
+def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
+    """Range-partition count for ``df``: about ``target_bytes`` per partition.
+
+    The count must be explicit (AQE never re-coalesces an explicit count, which
+    keeps partition ids stable), so it comes from Catalyst's size estimate of
+    the plan, never below ``spark.sql.shuffle.partitions``.
+    """
+    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: use the configured count
+        return floor
+    return max(floor, min(MAX_PARTITIONS, -(-size // target_bytes)))
+
+
 def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str] = (),
            num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(ranged rows with piece id and position, piece table with offsets)."""
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or range_partitions(df)
     used = set(partition_by) | _names(order_by)
     tie = [F.col(f.name) for f in df.schema.fields if f.name not in used and _orderable(f.dataType)]
     keys = [F.col(c) for c in partition_by] + [_col(c) for c in order_by] + tie
