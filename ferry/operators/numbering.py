@@ -54,15 +54,23 @@ def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES)
     """Range-partition count for ``df``: about ``target_bytes`` per partition.
 
     The count must be explicit (AQE never re-coalesces an explicit count, which
-    keeps partition ids stable), so it comes from Catalyst's size estimate of
-    the plan, never below ``spark.sql.shuffle.partitions``.
+    keeps partition ids stable), so it comes from the size of the plan's
+    inputs: the sum of its leaf relations with a known size (file scans report
+    their bytes; Catalyst's estimate of a whole plan multiplies join inputs, and
+    unknown sources report the maximum). Never below ``spark.sql.shuffle.partitions``.
     """
-    floor = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
     try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
     except Exception:  # noqa: BLE001 - no estimate: use the configured count
         return floor
-    return max(floor, min(MAX_PARTITIONS, -(-size // target_bytes)))
+    known = [x for x in sizes if x < unknown]
+    if not known:
+        return floor
+    return max(floor, min(MAX_PARTITIONS, -(-sum(known) // target_bytes)))
 
 
 def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str] = (),
