@@ -24,6 +24,8 @@ hot on both sides or on neither, so no match crosses the split.
 
 from __future__ import annotations
 
+import uuid
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Observation
@@ -40,7 +42,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = 0.02, sam
     total is observed on the way, and only the top ``1 / hot_fraction`` keys
     reach the driver - no more can pass the threshold.
     """
-    obs = Observation("ferry_hot_keys")
+    obs = Observation(f"ferry_hot_keys_{uuid.uuid4().hex}")
     sampled = df.select(*keys).sample(withReplacement=False, fraction=sample_fraction, seed=seed)
     counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(obs, F.sum("_n").alias("t"))
     top = counts.orderBy(F.col("_n").desc()).limit(max(1, int(1 / hot_fraction))).collect()

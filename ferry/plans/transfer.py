@@ -9,6 +9,8 @@ others. Metrics come back as a DataFrame ordered by table name.
 
 from __future__ import annotations
 
+import uuid
+
 import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
@@ -90,7 +92,7 @@ def load_into(df: DataFrame, target_path: str, mode: str = "append", fmt: str =
     """Append (bulk load never truncates) or replace a target table stored at ``target_path``."""
     start = datetime.now()
     from pyspark.sql import Observation
-    obs = Observation("ferry_load")
+    obs = Observation(f"ferry_load_{uuid.uuid4().hex}")
     try:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).save(target_path)
         rows, err = int(obs.get.get("rows", 0) or 0), None

@@ -14,6 +14,8 @@ splits become tasks) -> ``split`` -> typed cast, again shuffle-free.
 
 from __future__ import annotations
 
+import uuid
+
 import re
 from dataclasses import dataclass, replace
 
@@ -95,7 +97,7 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     the delimiter check costs no second scan.
     """
     spark = df.sparkSession
-    obs = Observation("ferry_rows")
+    obs = Observation(f"ferry_rows_{uuid.uuid4().hex}")
     if stats is None:
         body = encode_rows(df, fmt).observe(obs, F.count(F.lit(1)).alias("rows"))
     else:
