@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferry.demos.common import CORE_TABLES, FMT, LINE_SEP_SQL, TABLE_COLUMNS, load, sql_record, sql_render
+from ferry.demos.common import CORE_TABLES, FMT, LINE_SEP_SQL, TABLE_COLUMNS, load, sql_record
 from ferry.functions.render import render_field
 from ferry.operators.columns import exclude_by_name
 from ferry.operators.numbering import identity_generate

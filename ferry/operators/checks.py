@@ -21,11 +21,6 @@ class GuardError(ValueError):
     pass
 
 
-def _unpivot(spark: SparkSession, row, names: Sequence[str], fields: Sequence[str], schema: str) -> DataFrame:
-    data = [tuple([n] + [row[f"{f}{i}"] for f in fields]) for i, n in enumerate(names)]
-    return spark.createDataFrame(data, schema)
-
-
 def null_counts(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """(column_name, null_rows) for each required column, one pass."""
     if not required:

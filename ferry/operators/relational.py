@@ -196,7 +196,3 @@ def searched_case(branches: Sequence[tuple[Column, object]], default=None) -> Co
         expr = F.when(cond, val) if expr is None else expr.when(cond, val)
     d = default if isinstance(default, Column) else F.lit(default)
     return d if expr is None else expr.otherwise(d)
-
-
-def schema_of(df: DataFrame) -> T.StructType:
-    return df.schema

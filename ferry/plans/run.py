@@ -24,7 +24,7 @@ from ferry.functions.render import is_supported
 from ferry.operators.columns import choose_columns, columns_plan, flag_of
 from ferry.operators.numbering import identity_generate
 from ferry.plans.catalog import TableRef, plan_preview, select_tables
-from ferry.plans.transfer import (TransferResult, export_table, fingerprints, import_by_name, import_inferred,
+from ferry.plans.transfer import (TransferResult, export_table, fingerprints, import_inferred,
                                   import_table, load_into, metrics_frame, run_parallel)
 from ferry.sources.delimited import FileFormat, write_delimited
 

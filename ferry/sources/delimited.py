@@ -16,7 +16,6 @@ from __future__ import annotations
 
 import uuid
 
-import re
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -255,8 +254,3 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
             dt = T.StringType()
         fields.append(T.StructField(name, dt, True))
     return fields
-
-
-def quote_regex(text: str) -> str:
-    """Java-regex literal for ``text`` (escape every non-alphanumeric)."""
-    return re.sub(r"([^0-9A-Za-z])", r"\\\1", text)
