@@ -24,9 +24,9 @@ from ferry.functions.render import is_supported
 from ferry.operators.columns import choose_columns, columns_plan, flag_of
 from ferry.operators.numbering import identity_generate
 from ferry.plans.catalog import TableRef, plan_preview, select_tables
-from ferry.plans.transfer import (TransferResult, export_table, fingerprints, import_inferred,
+from ferry.plans.transfer import (FingerprintTap, TransferResult, export_table, fingerprints, import_inferred,
                                   import_table, load_into, metrics_frame, run_parallel)
-from ferry.sources.delimited import FileFormat, write_delimited
+from ferry.sources.delimited import FileFormat, read_manifest, write_delimited, write_manifest
 
 
 @dataclass(frozen=True)
@@ -125,11 +125,17 @@ def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts:
             return export_table(p.exported, path, opts.fmt, p.name, mode=opts.landing_mode)
         from datetime import datetime
         start = datetime.now()
-        stats: dict = {}
+        # the fingerprint of the rows written rides along the same pass and is kept
+        # next to the landed files, so the import can verify without re-reading
+        keep_fp = opts.verify and opts.landing_mode == "overwrite"
+        stats: dict = {"fingerprint": keep_fp}
         try:
             rows = write_delimited(p.exported, path, opts.fmt, mode=opts.landing_mode, stats=stats)
             err = None if stats["unsafe"] == 0 else \
                 f"{stats['unsafe']} records contain the field delimiter or record separator"
+            if keep_fp:
+                write_manifest(spark, path, {"rows": rows, "fingerprint": list(stats["fingerprint"]),
+                                             "columns": p.exported.columns})
         except Exception as exc:  # noqa: BLE001
             rows, err = None, f"{type(exc).__name__}: {str(exc).splitlines()[0] if str(exc) else ''}"
         return TransferResult(p.name, start, datetime.now(), rows, err, path)
@@ -160,23 +166,37 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
                 return _failed(p.name, "an inferred-schema load needs a header record")
             return load_into(import_inferred(spark, path, opts.fmt), dest, mode="overwrite")
         schema = targets.get(p.name, p.source.schema)
-        df = import_table(spark, path, opts.fmt, p.exported.schema, target=schema)
+        parsed = import_table(spark, path, opts.fmt, p.exported.schema)
+        manifest = read_manifest(spark, path) if opts.verify else None
+        tap = FingerprintTap(parsed) if manifest else None
+        df = _to_target(tap.df if tap else parsed, schema)
         missing_ids = [f.name for f in schema.fields if flag_of(f, "identity") and f.name not in p.exported.columns]
         for col in missing_ids:
             order = opts.identity_order.get(p.name) or [c for c in p.exported.columns][:1]
             df = _continue_identity(spark, df.drop(col), col, order, dest).select(*schema.names)
         res = load_into(df, dest, mode="append")
         if opts.verify and res.error is None:
-            # the loaded rows (this load's files only) against the exported rows
-            landed = import_table(spark, path, opts.fmt, p.exported.schema)
-            a, b = fingerprints(p.exported, landed, columns=p.exported.columns)
-            if a != b:
+            if manifest:
+                # fingerprint taken during the load vs the one taken during the export
+                ok = tap.result() == tuple(manifest["fingerprint"])
+            else:
+                # no manifest (e.g. appended landings): compare by re-reading both sides
+                a, b = fingerprints(p.exported, parsed, columns=p.exported.columns)
+                ok = a == b
+            if not ok:
                 res.error = "loaded content differs from the source (fingerprint mismatch)"
         return res
 
     return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
 
 
+def _to_target(parsed: DataFrame, schema: T.StructType) -> DataFrame:
+    """Parsed file columns into the target schema by name; absent columns NULL."""
+    have = {c.lower(): c for c in parsed.columns}
+    return parsed.select(*[F.col(have[f.name.lower()]).cast(f.dataType).alias(f.name) if f.name.lower() in have
+                           else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
 def _continue_identity(spark: SparkSession, df: DataFrame, col: str, order: list[str], dest: str) -> DataFrame:
     try:
         top = spark.read.parquet(dest).agg(F.max(col)).collect()[0][0] or 0

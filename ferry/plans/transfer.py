@@ -16,10 +16,11 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions.fingerprint import fingerprint_aggs, from_metrics, row_hashes
 from ferry.sources.delimited import (FileFormat, infer_fields, read_delimited, read_header,
                                      read_records, parse_records, write_delimited)
 
@@ -32,6 +33,7 @@ class TransferResult:
     rows: int | None
     error: str | None = None
     path: str | None = None
+    fingerprint: tuple[int, int, int] | None = None
 
     @property
     def duration_ms(self) -> int:
@@ -90,7 +92,6 @@ def import_inferred(spark: SparkSession, path: str, fmt: FileFormat, sample_frac
 def load_into(df: DataFrame, target_path: str, mode: str = "append", fmt: str = "parquet") -> TransferResult:
     """Append (bulk load never truncates) or replace a target table stored at ``target_path``."""
     start = datetime.now()
-    from pyspark.sql import Observation
     obs = Observation(f"ferry_load_{uuid.uuid4().hex}")
     try:
         df.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode(mode).format(fmt).save(target_path)
@@ -100,6 +101,27 @@ def load_into(df: DataFrame, target_path: str, mode: str = "append", fmt: str =
     return TransferResult(target_path, start, datetime.now(), rows, err, target_path)
 
 
+class FingerprintTap:
+    """Takes the content fingerprint of rows while a later action runs over them.
+
+        tap = FingerprintTap(parsed)            # tap.df: the same rows, observed
+        load_into(tap.df.select(...), dest)     # one pass: load and fingerprint
+        tap.result()                            # only after the action succeeded
+
+    Exact when the observed rows are in the action's final stage (a plain
+    load); behind a shuffle a retried map task could count twice, which shows
+    as a mismatch, never as a false match.
+    """
+
+    def __init__(self, df: DataFrame, columns: list[str] | None = None):
+        self._obs = Observation(f"ferry_fp_{uuid.uuid4().hex}")
+        h1, h2 = row_hashes(df, columns)
+        self.df = df.observe(self._obs, *fingerprint_aggs(h1, h2))
+
+    def result(self) -> tuple[int, int, int]:
+        return from_metrics(self._obs.get)
+
+
 def run_parallel(spark: SparkSession, items: list[tuple[str, Callable[[], TransferResult]]],
                  parallel: int = 4) -> list[TransferResult]:
     """Run transfer items from a bounded pool of driver threads, one FAIR pool per item."""
@@ -164,19 +186,10 @@ def verify_round_trip(source: DataFrame, landed: DataFrame) -> DataFrame:
     return counts.filter(F.col("source_rows") != F.col("landed_rows"))
 
 
-def _hashable(df: DataFrame) -> list:
-    """Columns as hash inputs; maps (not hashable) go through their JSON text."""
-    return [F.to_json(F.col(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name)
-            for f in df.schema.fields]
-
-
 def _fingerprint_row(df: DataFrame, columns: list[str], side: int) -> DataFrame:
     d = df.select(*columns)
-    cols = _hashable(d)
-    h1 = F.xxhash64(*cols).cast("decimal(38,0)")
-    h2 = F.xxhash64(F.lit("ferry-fp-2"), *cols).cast("decimal(38,0)")
-    return d.agg(F.lit(side).alias("side"), F.count(F.lit(1)).alias("n"),
-                 F.coalesce(F.sum(h1), F.lit(0)).alias("a"), F.coalesce(F.sum(h2), F.lit(0)).alias("b"))
+    h1, h2 = row_hashes(d)
+    return d.agg(F.lit(side).alias("side"), *fingerprint_aggs(h1, h2))
 
 
 def fingerprints(*dfs: DataFrame, columns: list[str] | None = None) -> list[tuple[int, int, int]]:
@@ -192,8 +205,8 @@ def fingerprints(*dfs: DataFrame, columns: list[str] | None = None) -> list[tupl
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    rows = {r["side"]: r for r in out.collect()}
-    return [(int(rows[i]["n"]), int(rows[i]["a"]), int(rows[i]["b"])) for i in range(len(dfs))]
+    rows = {r["side"]: r.asDict() for r in out.collect()}
+    return [from_metrics(rows[i]) for i in range(len(dfs))]
 
 
 def fingerprint(df: DataFrame, columns: list[str] | None = None) -> tuple[int, int, int]:

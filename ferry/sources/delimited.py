@@ -93,19 +93,31 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     retried, so the figure stays exact under executor loss. If ``stats`` is a
     dict, the same pass also counts records that would not read back (see
     ``ferry.operators.checks.unsafe_rows_predicate``) into ``stats["unsafe"]``:
-    the delimiter check costs no second scan.
+    the delimiter check costs no second scan. With ``stats["fingerprint"] = True``
+    the pass also yields the content fingerprint of the rows written
+    (``stats["fingerprint"]`` becomes (rows, hash sum a, hash sum b)).
     """
     spark = df.sparkSession
     obs = Observation(f"ferry_rows_{uuid.uuid4().hex}")
     if stats is None:
         body = encode_rows(df, fmt).observe(obs, F.count(F.lit(1)).alias("rows"))
     else:
+        from ferry.functions.fingerprint import fingerprint_aggs, row_hashes
         from ferry.operators.checks import safe_record_predicate
         names = [f"_f{i}" for i in range(len(df.columns))]
-        rendered = df.select(*[render_field(f.name, f.dataType).alias(n) for f, n in zip(df.schema.fields, names)])
-        rec = rendered.select(F.concat_ws(fmt.field_delim, *names).alias("value"), *names)
+        extra = []
+        if stats.get("fingerprint"):
+            h1, h2 = row_hashes(df)
+            extra = [h1.alias("_h1"), h2.alias("_h2")]
+        rendered = df.select(*[render_field(f.name, f.dataType).alias(n) for f, n in zip(df.schema.fields, names)],
+                             *extra)
+        rec = rendered.select(F.concat_ws(fmt.field_delim, *names).alias("value"), *names,
+                              *([F.col("_h1"), F.col("_h2")] if extra else []))
         ok = safe_record_predicate([F.col(n) for n in names], fmt, F.col("value"))
-        body = rec.observe(obs, F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("unsafe")).select("value")
+        metrics = [F.count(F.lit(1)).alias("rows"), F.count_if(~ok).alias("unsafe")]
+        if extra:
+            metrics += fingerprint_aggs(F.col("_h1"), F.col("_h2"))
+        body = rec.observe(obs, *metrics).select("value")
     out = body
     if fmt.header:
         hdr = spark.createDataFrame([(header_line(df.columns, fmt),)], "value string")
@@ -117,9 +129,31 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     got = obs.get
     if stats is not None:
         stats["unsafe"] = int(got.get("unsafe", 0) or 0)
+        if stats.get("fingerprint"):
+            from ferry.functions.fingerprint import from_metrics
+            stats["fingerprint"] = from_metrics(got)
     return int(got.get("rows", 0) or 0)
 
 
+MANIFEST_DIR = "_ferry_manifest"
+
+
+def write_manifest(spark: SparkSession, path: str, info: dict) -> None:
+    """Facts of one landing (rows, fingerprint, columns) in a hidden sub-folder readers skip."""
+    import json
+    spark.createDataFrame([(json.dumps(info),)], "value string").coalesce(1).write.mode("overwrite") \
+        .text(f"{path.rstrip('/')}/{MANIFEST_DIR}")
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    import json
+    try:
+        rows = spark.read.text(f"{path.rstrip('/')}/{MANIFEST_DIR}").limit(1).collect()
+    except Exception:  # noqa: BLE001 - landed without a manifest
+        return None
+    return json.loads(rows[0][0]) if rows else None
+
+
 def read_records(spark: SparkSession, path: str, fmt: FileFormat, skip_header: bool | None = None,
                  header_text: str | None = None) -> DataFrame:
     """Raw records (column ``value``) of a landed directory or a foreign file.

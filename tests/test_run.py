@@ -97,3 +97,30 @@ def test_wildcards_can_be_switched_off(spark):
     from ferry.plans.catalog import SelectionError
     with pytest.raises(SelectionError):  # "reg*" is now a literal name that does not exist
         plan_transfer(spark, catalog_from_dir(SF), opts, schemas="dbo", tables="reg*")
+
+
+def test_load_is_verified_against_the_export_fingerprint(spark):
+    """A landed value changed between export and import is caught without re-reading the source."""
+    import glob
+    import os
+    import shutil
+    opts = TransferOptions(fmt=FileFormat(header=True))
+    plans = plan_transfer(spark, catalog_from_dir(SF), opts, schemas="dbo", tables="nation")
+    landing, target = scratch_path(spark, "fp-land"), scratch_path(spark, "fp-target")
+    run_export(spark, plans, landing, opts).collect()
+    ok = run_import(spark, plans, landing, target, opts).collect()[0]
+    assert ok.error == "None" and ok.rows_copied == 25
+    # a copy of the landing (without the local checksum files, which would catch it first)
+    tampered = scratch_path(spark, "fp-tampered")
+    shutil.copytree(os.path.join(landing.removeprefix("file:"), "dbo.nation"),
+                    os.path.join(tampered.removeprefix("file:"), "dbo.nation"),
+                    ignore=shutil.ignore_patterns("*.crc"))
+    part = [f for f in glob.glob(os.path.join(tampered.removeprefix("file:"), "dbo.nation", "part-*"))
+            if not os.path.basename(f).startswith("part-00000-")][0]
+    with open(part, "rb") as fh:
+        data = fh.read()
+    assert b"NATION_1^" in data
+    with open(part, "wb") as fh:
+        fh.write(data.replace(b"NATION_1^", b"NATION_7^", 1))
+    bad = run_import(spark, plans, tampered, scratch_path(spark, "fp-target2"), opts).collect()[0]
+    assert "fingerprint mismatch" in bad.error
