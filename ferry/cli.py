@@ -73,7 +73,7 @@ def main(argv: list[str] | None = None) -> int:
         from pyspark.sql import SparkSession
         spark = SparkSession.builder.getOrCreate()
     opts = options_from(args)
-    plans = plan_transfer(spark, catalog_from_dir(args.source), opts, args.schemas, args.tables,
+    plans = plan_transfer(spark, catalog_from_dir(args.source, spark=spark), opts, args.schemas, args.tables,
                           args.schemas_except, args.tables_except, args.all_tables)
     columns_report(spark, plans).show(1000, truncate=False)
     if args.what_if:

@@ -27,25 +27,55 @@ class SelectionError(ValueError):
 class TableRef:
     schema: str
     name: str
-    path: str
+    path: str | None = None   # parquet folder / file; None: a table of Spark's catalog
 
     @property
     def full_name(self) -> str:
         return f"{self.schema}.{self.name}"
 
+    def read(self, spark) -> DataFrame:
+        return spark.read.parquet(self.path) if self.path else spark.table(f"{self.schema}.{self.name}")
 
-def catalog_from_dir(root: str, default_schema: str = "dbo") -> list[TableRef]:
+
+def _list_dir(root: str, spark=None) -> list[tuple[str, str, bool]]:
+    """(name, full path, is directory) of the entries of ``root``.
+
+    With a session, the listing goes through the Hadoop FileSystem of the path
+    (HDFS, object stores, local); without one, the local file system.
+    """
+    if spark is None:
+        return [(e, os.path.join(root, e), os.path.isdir(os.path.join(root, e))) for e in sorted(os.listdir(root))]
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    out = [(st.getPath().getName(), st.getPath().toString(), st.isDirectory()) for st in fs.listStatus(path)]
+    return sorted(out)
+
+
+def catalog_from_dir(root: str, default_schema: str = "dbo", spark=None) -> list[TableRef]:
     """Tables of a folder: ``<root>/<t>.parquet`` (schema ``default_schema``) and
-    ``<root>/<schema>/<t>.parquet``."""
+    ``<root>/<schema>/<t>.parquet`` (metadata listing only, no data is read)."""
     refs = []
-    for entry in sorted(os.listdir(root)):
-        p = os.path.join(root, entry)
-        if entry.endswith(".parquet"):
-            refs.append(TableRef(default_schema, entry[: -len(".parquet")], p))
-        elif os.path.isdir(p):
-            for sub in sorted(os.listdir(p)):
+    for name, full, is_dir in _list_dir(root, spark):
+        if name.startswith(("_", ".")):
+            continue
+        if name.endswith(".parquet"):
+            refs.append(TableRef(default_schema, name[: -len(".parquet")], full))
+        elif is_dir:
+            for sub, sub_full, _d in _list_dir(full, spark):
                 if sub.endswith(".parquet"):
-                    refs.append(TableRef(entry, sub[: -len(".parquet")], os.path.join(p, sub)))
+                    refs.append(TableRef(name, sub[: -len(".parquet")], sub_full))
+    return refs
+
+
+def catalog_from_metastore(spark, databases: list[str] | None = None) -> list[TableRef]:
+    """Tables of Spark's catalog: databases act as schemas (temporary views are skipped)."""
+    dbs = databases or [d.name for d in spark.catalog.listDatabases()]
+    refs = []
+    for db in dbs:
+        for t in spark.catalog.listTables(db):
+            if not t.isTemporary:
+                refs.append(TableRef(db, t.name))
     return refs
 
 

@@ -65,7 +65,7 @@ def _not_null(f: T.StructField) -> bool:
 
 def plan_table(spark: SparkSession, ref: TableRef, opts: TransferOptions, df: DataFrame | None = None) -> TablePlan:
     """Column rules and schema guards for one table (no data is read)."""
-    src = df if df is not None else spark.read.parquet(ref.path)
+    src = df if df is not None else ref.read(spark)
     exported = choose_columns(src, opts.columns_except, opts.types_except, opts.export_identity,
                               opts.export_computed, opts.wildcard, opts.list_sep)
     kept = set(exported.columns)

@@ -149,3 +149,16 @@ def test_match_any_literal_list_pushes_down(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
     plan = df.filter(match_any("o_orderstatus", "F, O", case_sensitive=True))._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [In(o_orderstatus" in plan
+
+
+def test_catalog_listing_through_hadoop_fs_and_metastore(spark):
+    local = catalog_from_dir("/root/testdata/sf0.001")
+    via_fs = catalog_from_dir("/root/testdata/sf0.001", spark=spark)
+    assert [(r.schema, r.name) for r in local] == [(r.schema, r.name) for r in via_fs]
+    assert via_fs[0].read(spark).count() >= 0
+    from ferry.plans.catalog import catalog_from_metastore
+    spark.sql("CREATE DATABASE IF NOT EXISTS ferry_t")
+    spark.read.parquet("/root/testdata/sf0.001/region.parquet").write.mode("overwrite").saveAsTable("ferry_t.region")
+    refs = catalog_from_metastore(spark, ["ferry_t"])
+    assert [(r.schema, r.name) for r in refs] == [("ferry_t", "region")] and refs[0].read(spark).count() == 5
+    assert _names(select_tables(refs, "ferry_t", "reg*")) == ["ferry_t.region"]
