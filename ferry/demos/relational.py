@@ -36,11 +36,12 @@ def query(name: str, sql: str | None = None):
 def join_inner(spark, sf):
     li, o, c = load(spark, sf, "lineitem"), load(spark, sf, "orders"), load(spark, sf, "customer")
     n, r = load(spark, sf, "nation"), load(spark, sf, "region")
-    # fact-to-fact joins are skew-safe (a hot order or customer is split off);
-    # the small dimensions join plainly and Catalyst sizes them
-    lo = skew_join(li.select("l_orderkey", "l_linenumber", "l_partkey"), o.select("o_orderkey", "o_custkey"),
-                   [("l_orderkey", "o_orderkey")])
-    loc = skew_join(lo, c.select("c_custkey", "c_nationkey"), [("o_custkey", "c_custkey")])
+    # the big joins are skew-safe (a hot order or customer is split off); they are
+    # ordered so that each one's left side is a base table, whose key column is
+    # all the hot-key sample reads; the small dimensions join plainly (Catalyst sizes them)
+    oc = skew_join(o.select("o_orderkey", "o_custkey"), c.select("c_custkey", "c_nationkey"),
+                   [("o_custkey", "c_custkey")])
+    loc = skew_join(li.select("l_orderkey", "l_linenumber", "l_partkey"), oc, [("l_orderkey", "o_orderkey")])
     return (loc.join(n, loc.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
             .select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("c_custkey"), "n_name",
                     "r_name"))

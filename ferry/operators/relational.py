@@ -143,14 +143,17 @@ def apply_union(df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[tupl
     exclusive (as a base-type and a user-type lookup are), so the union is the
     first non-NULL branch value. Each branch is one left join.
     """
-    from ferry.operators.skew import skew_join
+    from ferry.operators.skew import hot_keys, skew_join
     cur = df
     vals = []
     for i, (tbl, on, val) in enumerate(branches):
         rk = [r for _, r in on]
         lk = tbl.select(*[F.col(r).alias(f"_b{i}_{r}") for r in rk], F.col(val).alias(f"_b{i}_v")).dropDuplicates(
             [f"_b{i}_{r}" for r in rk])
-        cur = skew_join(cur, lk, [(l, f"_b{i}_{r}") for l, r in on], "left")
+        # lookups are de-duplicated, so ``cur`` keeps ``df``'s rows one to one: sample
+        # the hot keys on ``df`` itself instead of on the previous join's result
+        hot = hot_keys(df, [l for l, _ in on])
+        cur = skew_join(cur, lk, [(l, f"_b{i}_{r}") for l, r in on], "left", hot=hot)
         vals.append(F.col(f"_b{i}_v"))
     return cur.withColumn(out, F.coalesce(*vals)).drop(*[f"_b{i}_v" for i in range(len(branches))])
 

@@ -69,6 +69,10 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tu
               max_broadcast_rows: int = 1_000_000, salt_buckets: int = 64) -> DataFrame:
     """``left.join(right, on, how)`` with hot keys split off (see module doc).
 
+    Finding hot keys samples ``left`` right away (one job over its key
+    columns). When ``left`` is itself an expensive result, find them on the
+    base table its keys come from and pass ``hot=`` instead.
+
     ``on`` is a list of shared column names, or of (left column, right column)
     pairs; the right key columns then take the left names (one key column each
     in the output, as with a join on names). Rows are routed by plain filters
