@@ -69,7 +69,7 @@ def main() -> None:
     timed("import_lineitem",
           lambda: import_table(spark, landed, FMT, lineitem.schema).write.format("noop").mode("overwrite").save())
     results = timed("transfer_8_tables", lambda: export_all(
-        spark, {t: load(spark, sf_dir, t) for t in CORE_TABLES}, scratch_path(spark, "bench-all"),
+        spark, {t: (lambda t=t: load(spark, sf_dir, t)) for t in CORE_TABLES}, scratch_path(spark, "bench-all"),
         FMT.with_(header=True), parallel=8))
     errors = [r.error for r in results if r.error]
 

@@ -88,7 +88,12 @@ def plan_transfer(spark: SparkSession, catalog: list[TableRef], opts: TransferOp
                   schemas_except=None, tables_except=None, all_tables: bool = False) -> list[TablePlan]:
     refs = select_tables(catalog, schemas, tables, schemas_except, tables_except, all_tables,
                          wildcard=opts.wildcard, sep=opts.list_sep)
-    return [plan_table(spark, r, opts) for r in refs]
+    if len(refs) <= 1 or opts.parallel <= 1:
+        return [plan_table(spark, r, opts) for r in refs]
+    # each plan reads one table's schema (a small Spark job): overlap them
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(opts.parallel, len(refs))) as pool:
+        return list(pool.map(lambda r: plan_table(spark, r, opts), refs))
 
 
 def columns_report(spark: SparkSession, plans: list[TablePlan]) -> DataFrame:

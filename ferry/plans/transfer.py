@@ -146,12 +146,19 @@ def run_parallel(spark: SparkSession, items: list[tuple[str, Callable[[], Transf
         return list(pool.map(run, items))
 
 
-def export_all(spark: SparkSession, tables: dict[str, DataFrame], base_path: str, fmt: FileFormat,
-               parallel: int = 4) -> list[TransferResult]:
-    """Land every table under ``base_path/<table>``; results in input order."""
-    items = [(name, (lambda n=name, d=df: export_table(d, f"{base_path.rstrip('/')}/{n}", fmt, n)))
-             for name, df in tables.items()]
-    return run_parallel(spark, items, parallel)
+def export_all(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]], base_path: str,
+               fmt: FileFormat, parallel: int = 4) -> list[TransferResult]:
+    """Land every table under ``base_path/<table>``; results in input order.
+
+    A table may be given as a loader (``lambda: spark.read.parquet(p)``): it
+    then runs inside its worker thread, so the per-table schema reads overlap
+    instead of running one after another on the driver.
+    """
+    def item(name: str, src) -> TransferResult:
+        df = src() if callable(src) else src
+        return export_table(df, f"{base_path.rstrip('/')}/{name}", fmt, name)
+
+    return run_parallel(spark, [(n, (lambda n=n, d=d: item(n, d))) for n, d in tables.items()], parallel)
 
 
 def metrics_frame(spark: SparkSession, results: list[TransferResult]) -> DataFrame:
