@@ -61,10 +61,16 @@ def _raw_text(c: Column, dt: T.DataType) -> Column:
     raise UnsupportedTypeError(f"no text mapping for type {dt.simpleString()}")
 
 
-def render(c: Column | str, dt: T.DataType) -> Column:
-    """Field text of a value: NULL stays NULL here (the encoder makes it empty)."""
+def render(c: Column | str, dt: T.DataType, nulls: str = "marker") -> Column:
+    """Field text of a value: NULL stays NULL here (the encoder makes it empty).
+
+    ``nulls="tokens"`` writes values plainly (no NUL marker): under that policy
+    an empty string, ``NULL`` and ``null`` read back as NULL, by design.
+    """
     col = F.col(c) if isinstance(c, str) else c
     txt = _raw_text(col, dt)
+    if nulls == "tokens":
+        return txt
     if isinstance(dt, _STRING_TYPES):
         nul_only = (txt == "") | (txt.startswith(NUL) & (F.length(F.replace(txt, F.lit(NUL), F.lit(""))) == 0))
         return F.when(nul_only, F.concat(txt, F.lit(NUL))).otherwise(txt)
@@ -73,9 +79,9 @@ def render(c: Column | str, dt: T.DataType) -> Column:
     return txt
 
 
-def render_field(name: str, dt: T.DataType) -> Column:
+def render_field(name: str, dt: T.DataType, nulls: str = "marker") -> Column:
     """Rendered field with NULL as the empty string (what lands in the file)."""
-    return F.coalesce(render(F.col(name), dt), F.lit(""))
+    return F.coalesce(render(F.col(name), dt, nulls), F.lit(""))
 
 
 def untoken(field: Column, nulls: str = "marker") -> Column:

@@ -94,13 +94,13 @@ def unsafe_rows_predicate(df: DataFrame, fmt: FileFormat) -> Column:
     Containment of the delimiter is not enough: a value ending in a prefix of
     the field delimiter shifts the boundary (see ``overlap_suffixes``).
     """
-    fields = [render_field(f.name, f.dataType) for f in df.schema.fields]
+    fields = [render_field(f.name, f.dataType, fmt.nulls) for f in df.schema.fields]
     return ~safe_record_predicate(fields, fmt)
 
 
 def split_check_predicate(df: DataFrame, fmt: FileFormat) -> Column:
     """Slow reference form of ``unsafe_rows_predicate``: re-split and compare (used in tests)."""
-    fields = [render_field(f.name, f.dataType) for f in df.schema.fields]
+    fields = [render_field(f.name, f.dataType, fmt.nulls) for f in df.schema.fields]
     line = encode(df, fmt)
     same = F.split(line, fmt.split_regex, -1) == F.array(*fields)
     sep_ok = F.instr(F.concat(line, F.lit(fmt.line_sep)), F.lit(fmt.line_sep)) == F.length(line) + 1

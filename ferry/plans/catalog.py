@@ -165,7 +165,8 @@ def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat) -> DataFrame:
         # per record: its fields' bytes + (n - 1) delimiters + the separator; summing
         # field lengths avoids building each record string just to measure it
         per_row = (max(len(df.columns) - 1, 0)) * fd_len + sep_len
-        field_bytes = sum((F.octet_length(render_field(f.name, f.dataType)) for f in df.schema.fields), F.lit(0))
+        field_bytes = sum((F.octet_length(render_field(f.name, f.dataType, fmt.nulls)) for f in df.schema.fields),
+                          F.lit(0))
         rows = F.count(F.lit(1))
         parts.append(df.agg(F.lit(name).alias("table_name"), rows.alias("rows"),
                             (F.coalesce(F.sum(field_bytes.cast("long")), F.lit(0)) + rows * per_row + hdr)

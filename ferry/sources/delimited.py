@@ -73,7 +73,7 @@ def encode(df: DataFrame, fmt: FileFormat, columns: list[str] | None = None) ->
     if columns is not None:
         order = {n: i for i, n in enumerate(columns)}
         fields.sort(key=lambda f: order[f.name])
-    return F.concat_ws(fmt.field_delim, *[render_field(f.name, f.dataType) for f in fields])
+    return F.concat_ws(fmt.field_delim, *[render_field(f.name, f.dataType, fmt.nulls) for f in fields])
 
 
 def encode_rows(df: DataFrame, fmt: FileFormat, columns: list[str] | None = None) -> DataFrame:
@@ -109,7 +109,8 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
         if stats.get("fingerprint"):
             h1, h2 = row_hashes(df)
             extra = [h1.alias("_h1"), h2.alias("_h2")]
-        rendered = df.select(*[render_field(f.name, f.dataType).alias(n) for f, n in zip(df.schema.fields, names)],
+        rendered = df.select(*[render_field(f.name, f.dataType, fmt.nulls).alias(n)
+                               for f, n in zip(df.schema.fields, names)],
                              *extra)
         rec = rendered.select(F.concat_ws(fmt.field_delim, *names).alias("value"), *names,
                               *([F.col("_h1"), F.col("_h2")] if extra else []))
