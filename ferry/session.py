@@ -38,6 +38,7 @@ def local_session(cores: str | int = "*", shuffle_partitions: int = 8, app: str
         .config("spark.scheduler.mode", "FAIR")
         .config("spark.driver.memory", driver_memory)
         .config("spark.sql.files.maxPartitionBytes", max_partition_bytes)
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="ferry-warehouse-", dir="/tmp"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
