@@ -122,3 +122,57 @@ def parse(text: Column, dt: T.DataType, strict: bool = True) -> Column:
 def type_label(dt: T.DataType) -> str:
     """Stable, engine-neutral type name used in plans and exclusion lists."""
     return dt.typeName() if not isinstance(dt, T.DecimalType) else "decimal"
+
+
+def rendering_rule(dt: T.DataType) -> str:
+    """How a type lands as text (the type map's "file type" column)."""
+    if isinstance(dt, T.NullType):
+        return "always empty"
+    if isinstance(dt, T.BooleanType):
+        return "1 / 0"
+    if isinstance(dt, T.BinaryType):
+        return "hex"
+    if isinstance(dt, _JSON_TYPES):
+        return "json"
+    if isinstance(dt, _STRING_TYPES):
+        return "as is"
+    if isinstance(dt, _CAST_TO_STRING):
+        return "cast as string"
+    raise UnsupportedTypeError(f"no text mapping for type {dt.simpleString()}")
+
+
+def max_text_length(dt: T.DataType) -> int | None:
+    """Longest text a value of ``dt`` can render to, in characters; None if unbounded.
+
+    Derived from the type, not from data: integer types by their digit count
+    plus sign, decimals by precision plus sign and point, doubles / floats by
+    the longest shortest-round-trip form, dates and timestamps by their
+    pattern (years 1-9999, microseconds), fixed / bounded strings by length.
+    """
+    if isinstance(dt, T.NullType):
+        return 0
+    if isinstance(dt, T.BooleanType):
+        return 1
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    for t, d in digits.items():
+        if isinstance(dt, t):
+            return d + 1
+    if isinstance(dt, T.DecimalType):
+        return dt.precision + 2 + (1 if dt.scale == dt.precision else 0)
+    if isinstance(dt, T.DoubleType):
+        return 24      # e.g. -2.2250738585072014E-308
+    if isinstance(dt, T.FloatType):
+        return 15      # e.g. -1.17549435E-38
+    if isinstance(dt, T.DateType):
+        return 10
+    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
+        return 26
+    if isinstance(dt, (T.CharType, T.VarcharType)):
+        return dt.length
+    return None
+
+
+def type_map(dts: list[T.DataType]) -> list[tuple[str, str, int | None]]:
+    """(type, rendering rule, max text length) for the given types."""
+    return [(dt.simpleString(), rendering_rule(dt), max_text_length(dt)) for dt in dts]
+

@@ -114,7 +114,11 @@ def delimiter_check(df: DataFrame, fmt: FileFormat, label: str = "") -> DataFram
 
 
 def length_check(df: DataFrame, declared: dict[str, int] | None = None) -> DataFrame:
-    """(column_name, max_len, over_rows): longest rendered field in bytes and rows over a declared length."""
+    """(column_name, max_len, over_rows): longest rendered field in bytes and rows over a declared length.
+
+    Columns without a declared length get none (``over_rows`` 0); use
+    ``type_limits(df)`` to declare the limits the types themselves imply.
+    """
     declared = declared or {}
     fields = df.schema.fields
     aggs = []
@@ -128,6 +132,17 @@ def length_check(df: DataFrame, declared: dict[str, int] | None = None) -> DataF
     return agg.selectExpr(f"stack({len(fields)}, {stack}) as (column_name, max_len, over_rows)")
 
 
+def type_limits(df: DataFrame) -> dict[str, int]:
+    """Declared lengths implied by the column types (see ``max_text_length``); unbounded types left out."""
+    from ferry.functions.render import max_text_length
+    out = {}
+    for f in df.schema.fields:
+        n = max_text_length(f.dataType)
+        if n is not None:
+            out[f.name] = n
+    return out
+
+
 def unique_check(df: DataFrame, keys: Sequence[str], raise_on_fail: bool = False) -> DataFrame:
     """Keys that occur more than once, with their counts (PRIMARY KEY / UNIQUE check)."""
     dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")

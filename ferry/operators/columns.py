@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferry.functions.render import is_supported, type_label
+from ferry.functions.render import is_supported, max_text_length, type_label
 from ferry.operators.names import as_list, like_to_regex, is_wildcard
 
 import re
@@ -120,6 +120,7 @@ COLUMNS_SCHEMA = T.StructType([
     T.StructField("is_computed", T.BooleanType()),
     T.StructField("is_not_null", T.BooleanType()),
     T.StructField("has_mapping", T.BooleanType()),
+    T.StructField("max_text_len", T.IntegerType()),
     T.StructField("is_exported", T.BooleanType()),
 ])
 
@@ -128,6 +129,7 @@ def columns_plan(spark: SparkSession, table: str, source: DataFrame, exported: D
     """One row per source column with its flags and whether it is exported (metadata only)."""
     kept = set(exported.columns)
     rows = [(table, i + 1, f.name, f.dataType.simpleString(), flag_of(f, "identity"), flag_of(f, "computed"),
-             flag_of(f, "not_null") or not f.nullable, is_supported(f.dataType), f.name in kept)
+             flag_of(f, "not_null") or not f.nullable, is_supported(f.dataType),
+             max_text_length(f.dataType) if is_supported(f.dataType) else None, f.name in kept)
             for i, f in enumerate(source.schema.fields)]
     return spark.createDataFrame(rows, COLUMNS_SCHEMA)

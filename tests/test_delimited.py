@@ -204,3 +204,16 @@ def test_encode_rows_is_one_codegen_project(spark):
     plan = encode_rows(df, FMT)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert "l_orderkey" in plan and "l_partkey" not in plan  # pruned scan
+
+
+def test_type_map_bounds_hold_on_extreme_values(spark):
+    from ferry.functions.render import max_text_length, rendering_rule, type_map
+    from ferry.operators.checks import length_check, type_limits
+    df = _type_edges(spark).drop("bin", "arr", "st", "s")
+    limits = type_limits(df)
+    assert set(limits) == set(df.columns)
+    # measured in bytes, all ASCII here: no extreme value renders longer than its type allows
+    assert all(r.over_rows == 0 for r in length_check(df, limits).collect())
+    assert max_text_length(T.StringType()) is None and max_text_length(T.VarcharType(12)) == 12
+    assert rendering_rule(T.BinaryType()) == "hex"
+    assert ("decimal(38,10)", "cast as string", 40) in type_map([T.DecimalType(38, 10)])
