@@ -144,7 +144,8 @@ def identity_generate_demo(spark, sf):
 
 
 @query("import_infer",
-       "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, p_retailprice FROM part")
+       "SELECT p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, "
+       "CAST(p_retailprice AS DECIMAL(4,1)) AS p_retailprice FROM part")
 def import_infer(spark, sf):
     fmt = FMT.with_(header=True)
     path = scratch_path(spark, "part-infer")

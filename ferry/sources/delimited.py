@@ -235,6 +235,7 @@ def read_delimited(spark: SparkSession, path: str, file_fields: list[T.StructFie
 
 
 _INT_RE = r"^[+-]?[0-9]{1,18}$"
+_DEC_RE = r"^[+-]?[0-9]+(\.[0-9]+)?$"
 _DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
 
@@ -244,7 +245,9 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
 
     Per column, each non-NULL value votes for the narrowest type it parses as;
     the column gets the narrowest type all its values accept, in the order
-    boolean (literal true / false only), bigint, double, date, timestamp, string.
+    boolean (literal true / false only), bigint, decimal(p, s) (plain digits
+    with a point; p and s from the longest integer and fraction parts, p <= 38),
+    double, date, timestamp, string. Decimal before double keeps money exact.
     The whole file is read unless ``sample_fraction`` is given.
     """
     if names is None:
@@ -265,6 +268,9 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
             F.count(t).alias(f"n{i}"),
             F.count_if(F.lower(t).isin("true", "false")).alias(f"b{i}"),
             F.count_if(t.rlike(_INT_RE)).alias(f"i{i}"),
+            F.count_if(t.rlike(_DEC_RE)).alias(f"p{i}"),
+            F.max(F.length(F.ltrim(F.regexp_extract(t, r"^[+-]?([0-9]+)", 1)))).alias(f"pi{i}"),
+            F.max(F.length(F.regexp_extract(t, r"\.([0-9]+)$", 1))).alias(f"pf{i}"),
             F.count_if(t.try_cast("double").isNotNull()).alias(f"d{i}"),
             F.count_if(t.rlike(_DATE_RE) & t.try_cast("date").isNotNull()).alias(f"dt{i}"),
             F.count_if(t.try_cast("timestamp_ntz").isNotNull()).alias(f"ts{i}"),
@@ -279,6 +285,9 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
             dt = T.BooleanType()
         elif votes[f"i{i}"] == n:
             dt = T.LongType()
+        elif votes[f"p{i}"] == n and 0 < (votes[f"pi{i}"] or 0) + (votes[f"pf{i}"] or 0) <= 38:
+            scale = votes[f"pf{i}"] or 0
+            dt = T.DecimalType(max(1, (votes[f"pi{i}"] or 0) + scale), scale)
         elif votes[f"d{i}"] == n:
             dt = T.DoubleType()
         elif votes[f"dt{i}"] == n:

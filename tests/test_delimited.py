@@ -174,17 +174,20 @@ def test_match_by_name_with_wide_header(spark):
 
 def test_infer_types_by_votes(spark):
     df = spark.createDataFrame(
-        [(1, "1.5", "true", "2024-01-01", "2024-01-01 10:00:00", "abc", None),
-         (2, "1e3", "false", "2024-02-29", "2024-01-02 11:00:00.5", "12", None),
-         (3, "-7", None, None, None, "1", None)],
-        "i long, d string, b string, dt string, ts string, s string, n string")
+        [(1, "1.5", "true", "2024-01-01", "2024-01-01 10:00:00", "abc", None, "3121616.3202"),
+         (2, "1e3", "false", "2024-02-29", "2024-01-02 11:00:00.5", "12", None, "-985.00"),
+         (3, "-7", None, None, None, "1", None, "12345678901234567.8901")],
+        "i long, d string, b string, dt string, ts string, s string, n string, m string")
     fmt = FMT.with_(header=True)
     path = scratch_path(spark, "t-infer")
     write_delimited(df, path, fmt)
     back = import_inferred(spark, path, fmt)
     types = {f.name: f.dataType.simpleString() for f in back.schema.fields}
     assert types == {"i": "bigint", "d": "double", "b": "boolean", "dt": "date", "ts": "timestamp_ntz",
-                     "s": "string", "n": "string"}
+                     "s": "string", "n": "string", "m": "decimal(21,4)"}
+    import decimal
+    # money keeps every digit (a double would not)
+    assert decimal.Decimal("12345678901234567.8901") in {r.m for r in back.collect()}
     assert back.count() == 3
 
 
