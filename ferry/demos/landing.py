@@ -21,7 +21,7 @@ from ferry.plans.transfer import (export_all, export_table, import_by_name, impo
 from ferry.session import scratch_path
 from ferry.sources.delimited import (encode_rows, parse_records, read_delimited, read_header_records,
                                      write_delimited)
-from ferry.sources.logs import log_metrics
+from ferry.sources.logs import log_metrics, read_logs
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -238,7 +238,13 @@ FROM g
 
 @query("log_metrics", _LOG_LINES_SQL)
 def log_metrics_demo(spark, sf):
-    return log_metrics(_log_lines(spark, sf))
+    # land the lines as one text log per file (in line order), then parse the files
+    path = scratch_path(spark, "logs")
+    (_log_lines(spark, sf).repartition("file").sortWithinPartitions("file", "line_no")
+     .select("file", "line").write.partitionBy("file").text(path))
+    lines = read_logs(spark, path)
+    named = lines.withColumn("file", F.regexp_extract("file", r"/file=([^/]+)/[^/]*$", 1))
+    return log_metrics(named)
 
 
 def _format_fields_sql() -> str:
