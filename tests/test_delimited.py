@@ -220,3 +220,11 @@ def test_type_map_bounds_hold_on_extreme_values(spark):
     assert max_text_length(T.StringType()) is None and max_text_length(T.VarcharType(12)) == 12
     assert rendering_rule(T.BinaryType()) == "hex"
     assert ("decimal(38,10)", "cast as string", 40) in type_map([T.DecimalType(38, 10)])
+
+
+def test_empty_table_without_header(spark):
+    df = spark.createDataFrame([], "a int, b string")
+    path = scratch_path(spark, "t-empty-nohdr")
+    assert write_delimited(df, path, FMT) == 0
+    back = read_delimited(spark, path, df.schema, FMT)
+    assert back.schema == df.schema and back.count() == 0
