@@ -172,20 +172,27 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
             return load_into(import_inferred(spark, path, opts.fmt), dest, mode="overwrite")
         schema = targets.get(p.name, p.source.schema)
         parsed = import_table(spark, path, opts.fmt, p.exported.schema)
-        manifest = read_manifest(spark, path) if opts.verify else None
-        tap = FingerprintTap(parsed) if manifest else None
-        df = _to_target(tap.df if tap else parsed, schema)
+        df = _to_target(parsed, schema)
         missing_ids = [f.name for f in schema.fields if flag_of(f, "identity") and f.name not in p.exported.columns]
         for col in missing_ids:
             order = opts.identity_order.get(p.name) or [c for c in p.exported.columns][:1]
             df = _continue_identity(spark, df.drop(col), col, order, dest).select(*schema.names)
-        res = load_into(df, dest, mode="append")
+        manifest = read_manifest(spark, path) if opts.verify else None
+        # the exported columns pass into the target unchanged (same names up to case, same
+        # types): tap them on the final rows, in the final stage of the write, in export order
+        by_lower = {f.name.lower(): f for f in schema.fields}
+        tap_cols = [by_lower[c.lower()].name for c in p.exported.columns if c.lower() in by_lower]
+        same = len(tap_cols) == len(p.exported.columns) and all(
+            by_lower[f.name.lower()].dataType == f.dataType for f in p.exported.schema.fields)
+        tap = FingerprintTap(df, tap_cols) if manifest and same else None
+        res = load_into(tap.df if tap else df, dest, mode="append")
         if opts.verify and res.error is None:
-            if manifest:
+            if tap:
                 # fingerprint taken during the load vs the one taken during the export
                 ok = tap.result() == tuple(manifest["fingerprint"])
             else:
-                # no manifest (e.g. appended landings): compare by re-reading both sides
+                # no manifest (appended landings) or retyped target: compare the landing
+                # with the source by re-reading both sides
                 a, b = fingerprints(p.exported, parsed, columns=p.exported.columns)
                 ok = a == b
             if not ok:
