@@ -111,9 +111,13 @@ def parse(text: Column, dt: T.DataType, strict: bool = True) -> Column:
         rest = text.cast("boolean") if strict else text.try_cast("boolean")
         return as_bool.otherwise(rest)
     if isinstance(dt, T.BinaryType):
-        return F.unhex(text) if not strict else F.when(text.isNull(), None).otherwise(F.unhex(text))
+        if not strict:
+            return F.unhex(text)
+        bad = text.isNotNull() & F.unhex(text).isNull()
+        return F.when(bad, F.raise_error(F.concat(F.lit("not a hex field: "), F.substring(text, 1, 100))).cast("binary")) \
+            .otherwise(F.unhex(text))
     if isinstance(dt, _JSON_TYPES):
-        return F.from_json(text, dt)
+        return F.from_json(text, dt, {"mode": "FAILFAST"} if strict else None)
     if isinstance(dt, _CAST_TO_STRING):
         return text.cast(dt) if strict else text.try_cast(dt)
     raise UnsupportedTypeError(f"no text mapping for type {dt.simpleString()}")

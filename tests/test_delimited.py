@@ -228,3 +228,14 @@ def test_empty_table_without_header(spark):
     assert write_delimited(df, path, FMT) == 0
     back = read_delimited(spark, path, df.schema, FMT)
     assert back.schema == df.schema and back.count() == 0
+
+
+def test_strict_import_rejects_bad_hex_and_bad_json(spark):
+    fields = [T.StructField("b", T.BinaryType()), T.StructField("a", T.ArrayType(T.IntegerType()))]
+    good = spark.createDataFrame([("00FF^|^[1,2]",)], "value string")
+    assert parse_records(good, fields, FMT).collect()[0] == (bytes([0, 255]), [1, 2])
+    for bad in ("ZZ^|^[1]", "00^|^[1,"):
+        recs = spark.createDataFrame([(bad,)], "value string")
+        with pytest.raises(Exception):
+            parse_records(recs, fields, FMT).collect()
+        assert parse_records(recs, fields, FMT, strict=False).count() == 1
