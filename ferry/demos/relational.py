@@ -40,7 +40,7 @@ def join_inner(spark, sf):
     # ordered so that each one's left side is a base table, whose key column is
     # all the hot-key sample reads; the small dimensions join plainly (Catalyst sizes them)
     oc = skew_join(o.select("o_orderkey", "o_custkey"), c.select("c_custkey", "c_nationkey"),
-                   [("o_custkey", "c_custkey")])
+                   [("o_custkey", "c_custkey")])  # customer keys are not declared unique: counted
     loc = skew_join(li.select("l_orderkey", "l_linenumber", "l_partkey"), oc, [("l_orderkey", "o_orderkey")])
     return (loc.join(n, loc.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
             .select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("c_custkey"), "n_name",

@@ -145,7 +145,7 @@ def flag_exceptions(df: DataFrame, exceptions, cols: tuple[str, str], flag: str
     if isinstance(exceptions, DataFrame):
         from ferry.operators.skew import skew_join
         keys = exceptions.select(a, b).distinct().withColumn("_hit", F.lit(1))
-        return (skew_join(df, keys, [a, b], "left")
+        return (skew_join(df, keys, [a, b], "left", right_unique=True)
                 .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit"))
     cond = F.lit(False)
     for pa, pb in exceptions:
@@ -161,7 +161,7 @@ def missing_names(requested: DataFrame, existing: DataFrame, on: str, existing_c
     norm = (lambda c: F.col(c)) if case_sensitive else (lambda c: F.lower(F.col(c).cast("string")))
     keys = existing.select(norm(ecol).alias("_f_k")).distinct()
     staged = requested.withColumn("_f_k", norm(on))
-    return skew_join(staged, keys, ["_f_k"], "left_anti").drop("_f_k")
+    return skew_join(staged, keys, ["_f_k"], "left_anti", right_unique=True).drop("_f_k")
 
 
 def missing_message(spark: SparkSession, names: str | Iterable[str], existing: DataFrame, col: str,

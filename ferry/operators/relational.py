@@ -29,7 +29,7 @@ def merge_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     source rows that repeat one new key are all inserted, as MERGE would.
     """
     from ferry.operators.skew import skew_join
-    new = skew_join(source, target.select(*keys).distinct(), list(keys), "left_anti")
+    new = skew_join(source, target.select(*keys).distinct(), list(keys), "left_anti", right_unique=True)
     return target.unionByName(new.select(*target.columns))
 
 
@@ -130,7 +130,7 @@ def outer_apply_flag(df: DataFrame, other: DataFrame, on: Sequence[tuple[str, st
     keys = other if where is None else other.filter(where)
     rk = [r for _, r in on]
     keys = keys.select(*[F.col(r).alias(f"_f_k{i}") for i, r in enumerate(rk)]).distinct().withColumn("_f_hit", F.lit(1))
-    j = skew_join(df, keys, [(l, f"_f_k{i}") for i, (l, _) in enumerate(on)], "left")
+    j = skew_join(df, keys, [(l, f"_f_k{i}") for i, (l, _) in enumerate(on)], "left", right_unique=True)
     return j.select(*df.columns, F.coalesce(F.col("_f_hit"), F.lit(0)).alias(flag))
 
 
@@ -153,7 +153,7 @@ def apply_union(df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[tupl
         # lookups are de-duplicated, so ``cur`` keeps ``df``'s rows one to one: sample
         # the hot keys on ``df`` itself instead of on the previous join's result
         hot = hot_keys(df, [l for l, _ in on])
-        cur = skew_join(cur, lk, [(l, f"_b{i}_{r}") for l, r in on], "left", hot=hot)
+        cur = skew_join(cur, lk, [(l, f"_b{i}_{r}") for l, r in on], "left", hot=hot, right_unique=True)
         vals.append(F.col(f"_b{i}_v"))
     return cur.withColumn(out, F.coalesce(*vals)).drop(*[f"_b{i}_v" for i in range(len(branches))])
 
@@ -162,7 +162,7 @@ def lookup(df: DataFrame, table: DataFrame, left: str, right: str, value: str, o
     """Scalar lookup function (name <-> id) as a left join; unknown keys give NULL."""
     from ferry.operators.skew import skew_join
     lk = table.select(F.col(right).alias("_lk_k"), F.col(value).alias(out)).dropDuplicates(["_lk_k"])
-    return skew_join(df, lk, [(left, "_lk_k")], "left")
+    return skew_join(df, lk, [(left, "_lk_k")], "left", right_unique=True)
 
 
 def existing_pairs(df: DataFrame, col_a: str, list_a: Sequence[str], col_b: str, list_b: Sequence[str]) -> DataFrame:

@@ -66,7 +66,8 @@ def _null_key_rows(rows: DataFrame, right: DataFrame, keys: list[str], how: str)
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]], how: str = "inner",
               hot: list[tuple] | None = None, hot_fraction: float = 0.02, sample_fraction: float = 0.01,
-              max_broadcast_rows: int = 1_000_000, salt_buckets: int = 64) -> DataFrame:
+              max_broadcast_rows: int = 1_000_000, salt_buckets: int = 64,
+              right_unique: bool = False) -> DataFrame:
     """``left.join(right, on, how)`` with hot keys split off (see module doc).
 
     Finding hot keys samples ``left`` right away (one job over its key
@@ -77,6 +78,9 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tu
     pairs; the right key columns then take the left names (one key column each
     in the output, as with a join on names). Rows are routed by plain filters
     (the hot-key predicate has at most ``1 / hot_fraction`` terms).
+    ``right_unique``: the right side holds at most one row per key (a lookup,
+    distinct keys), so its hot rows number at most the hot keys and are
+    broadcast without being counted first.
     """
     how = {"left_outer": "left", "leftouter": "left", "semi": "left_semi", "anti": "left_anti"}.get(how, how)
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
@@ -99,7 +103,7 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tu
         parts.append(nulls)
     if hk:
         l_hot, r_hot = left.filter(is_hot), right.filter(is_hot)
-        if r_hot.count() <= max_broadcast_rows:
+        if (len(hk) if right_unique else r_hot.count()) <= max_broadcast_rows:
             parts.append(l_hot.join(F.broadcast(r_hot), keys, how))
         else:
             salted_l = l_hot.withColumn(_SALT, (F.rand(seed=31) * salt_buckets).cast("int"))

@@ -39,3 +39,9 @@ def test_salted_route_when_hot_partners_are_many(spark, sides, how):
     right_dup = right.unionByName(right.filter("k = 7")).unionByName(right.filter("k = 7"))
     got = skew_join(left, right_dup, ["k"], how, hot=[(7,)], max_broadcast_rows=1, salt_buckets=8)
     assert _rows(got) == _rows(left.join(right_dup, ["k"], how))
+
+
+def test_right_unique_skips_the_count_and_stays_exact(sides):
+    left, right = sides
+    got = skew_join(left, right, ["k"], "left", hot=[(7,)], right_unique=True)
+    assert _rows(got) == _rows(left.join(right, ["k"], "left"))
