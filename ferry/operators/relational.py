@@ -83,18 +83,31 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 # ---------------------------------------------------------------- aggregates
 
 def agg_string(df: DataFrame, group: Sequence[str], value: str, sep: str = ",", out: str = "agg",
-               distinct: bool = True) -> DataFrame:
-    """STRING_AGG(value, sep) WITHIN GROUP (ORDER BY value) per group.
-
-    With ``distinct`` (default) the (group, value) pairs are de-duplicated by a
-    partial aggregation first, so what reaches one group's task is bounded by
-    the number of distinct values, not by the group's row count.
+               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
+    """STRING_AGG(value, sep) WITHIN GROUP (ORDER BY value) per group, without a hot task.
+
+    With ``distinct`` (default) (group, value) pairs are de-duplicated first
+    (map-side combined). The values are then range-partitioned on
+    (group, value): each (partition, group) piece is sorted and joined in its
+    own task, and a group's pieces - at most one per partition, already in
+    value order - are concatenated at the end. A group holding a third of the
+    rows is therefore sorted and joined by many tasks; only its final string
+    (the result itself) is assembled in one.
     """
-    base = df.select(*group, value).where(F.col(value).isNotNull())
+    from ferry.operators.numbering import range_partitions
+    # order by the typed value (numbers as numbers), emit its text
+    base = df.select(*group, F.col(value).alias("_f_o")).where(F.col("_f_o").isNotNull())
     if distinct:
         base = base.distinct()
-    return base.groupBy(*group).agg(
-        F.array_join(F.array_sort(F.collect_list(F.col(value).cast("string"))), sep).alias(out))
+    n = num_partitions or range_partitions(base)
+    keys = [F.col(g) for g in group] + [F.col("_f_o")]
+    ranged = base.repartitionByRange(n, *keys).withColumn("_f_pid", F.spark_partition_id())
+    pieces = ranged.groupBy("_f_pid", *group).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f_o", F.col("_f_o").cast("string")
+                                                                       .alias("_f_v")))),
+                                 lambda x: x["_f_v"]), sep).alias("_f_part"))
+    whole = pieces.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_f_pid", "_f_part"))).alias("_f_a"))
+    return whole.select(*group, F.array_join(F.transform("_f_a", lambda x: x["_f_part"]), sep).alias(out))
 
 
 def object_agg(df: DataFrame, group: Sequence[str], order_by: str, out: str = "objects",

@@ -87,3 +87,19 @@ def test_scalar_helpers(spark):
     assert row == (4, 3, "ab]c  1", "[ab]]c  ]")
     parts = spark.createDataFrame([("a, b ,, c",)], "s string").select(split_explode("s", ",").alias("p"))
     assert [r.p for r in parts.collect()] == ["a", "b", "c"]
+
+
+def test_agg_string_splits_a_hot_group(spark):
+    from ferry.operators.relational import agg_string
+    rows = [("hot", f"v{i:05d}") for i in range(3000)] + [("cold", "b"), ("cold", "a"), ("cold", "a")]
+    df = spark.createDataFrame(rows, "g string, v string")
+    got = dict(agg_string(df, ["g"], "v", "|", num_partitions=6).collect())
+    assert got["cold"] == "a|b"
+    assert got["hot"] == "|".join(f"v{i:05d}" for i in range(3000))
+    assert dict(agg_string(df, ["g"], "v", ",", distinct=False, num_partitions=6).collect())["cold"] == "a,a,b"
+
+
+def test_agg_string_orders_numbers_as_numbers(spark):
+    from ferry.operators.relational import agg_string
+    df = spark.createDataFrame([(1, 10), (1, 9), (1, 100), (2, -1)], "g int, v int")
+    assert dict(agg_string(df, ["g"], "v", ",").collect()) == {1: "9,10,100", 2: "-1"}
