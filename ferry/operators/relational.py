@@ -111,19 +111,27 @@ def agg_string(df: DataFrame, group: Sequence[str], value: str, sep: str = ",",
 
 
 def object_agg(df: DataFrame, group: Sequence[str], order_by: str, out: str = "objects",
-               columns: Sequence[str] | None = None) -> DataFrame:
-    """ARRAY_AGG(OBJECT_CONSTRUCT(*)) per group as an ordered JSON array text.
-
-    The whole group becomes one value, so this is for bounded groups only
-    (one object per column of a table, dimension rows per parent); rows are
-    reduced to JSON text before the shuffle. For unbounded groups use the
-    rows themselves (``to_json(struct(*))`` per row) instead of one value.
+               columns: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
+    """ARRAY_AGG(OBJECT_CONSTRUCT(*)) per group as a JSON array text ordered by ``order_by``.
+
+    Rows become JSON text before any shuffle; as in ``agg_string`` they are
+    range-partitioned on (group, order), each piece is sorted and joined in
+    its own task, and a group's pieces are concatenated in order at the end.
+    The result is one value per group, so it suits bounded groups (one object
+    per column of a table, dimension rows per parent).
     """
+    from ferry.operators.numbering import range_partitions
     cols = list(columns or df.columns)
-    staged = df.select(*group, F.col(order_by).alias("_o"), F.to_json(F.struct(*cols)).alias("_j"))
-    agg = staged.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_o", "_j"))).alias("_a"))
-    return agg.select(*group, F.concat(F.lit("["), F.array_join(F.transform("_a", lambda s: s["_j"]), ","),
-                                       F.lit("]")).alias(out))
+    base = df.select(*group, F.col(order_by).alias("_o"), F.to_json(F.struct(*cols)).alias("_j"))
+    n = num_partitions or range_partitions(base)
+    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], F.col("_o"), F.col("_j")) \
+        .withColumn("_f_pid", F.spark_partition_id())
+    pieces = ranged.groupBy("_f_pid", *group).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_j"))), lambda x: x["_j"]), ",")
+        .alias("_f_part"))
+    whole = pieces.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_f_pid", "_f_part"))).alias("_f_a"))
+    return whole.select(*group, F.concat(F.lit("["), F.array_join(F.transform("_f_a", lambda x: x["_f_part"]), ","),
+                                         F.lit("]")).alias(out))
 
 
 def count_where(cond: Column, name: str) -> Column:
