@@ -82,56 +82,55 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
 
 # ---------------------------------------------------------------- aggregates
 
-def agg_string(df: DataFrame, group: Sequence[str], value: str, sep: str = ",", out: str = "agg",
-               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
-    """STRING_AGG(value, sep) WITHIN GROUP (ORDER BY value) per group, without a hot task.
-
-    With ``distinct`` (default) (group, value) pairs are de-duplicated first
-    (map-side combined). The values are then range-partitioned on
-    (group, value): each (partition, group) piece is sorted and joined in its
-    own task, and a group's pieces - at most one per partition, already in
-    value order - are concatenated at the end. A group holding a third of the
-    rows is therefore sorted and joined by many tasks; only its final string
-    (the result itself) is assembled in one.
+def ordered_concat(df: DataFrame, group: Sequence[str], order: Column | str, text: Column | str, sep: str,
+                   out: str = "concat", num_partitions: int | None = None) -> DataFrame:
+    """Per group, ``text`` values joined by ``sep`` in ``order`` - without a hot task.
+
+    Rows are range-partitioned on (group, order); each (partition, group)
+    piece is sorted and joined by its own task, and a group's pieces (at most
+    one per partition, already in order) are concatenated at the end. A group
+    holding a third of the rows is sorted and joined by many tasks; only its
+    final value (the result itself) is assembled in one place.
     """
     from ferry.operators.numbering import range_partitions
-    # order by the typed value (numbers as numbers), emit its text
-    base = df.select(*group, F.col(value).alias("_f_o")).where(F.col("_f_o").isNotNull())
-    if distinct:
-        base = base.distinct()
+    o = F.col(order) if isinstance(order, str) else order
+    t = F.col(text) if isinstance(text, str) else text
+    base = df.select(*group, o.alias("_f_o"), t.cast("string").alias("_f_t"))
     n = num_partitions or range_partitions(base)
-    keys = [F.col(g) for g in group] + [F.col("_f_o")]
-    ranged = base.repartitionByRange(n, *keys).withColumn("_f_pid", F.spark_partition_id())
+    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], F.col("_f_o"), F.col("_f_t")) \
+        .withColumn("_f_pid", F.spark_partition_id())
     pieces = ranged.groupBy("_f_pid", *group).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f_o", F.col("_f_o").cast("string")
-                                                                       .alias("_f_v")))),
-                                 lambda x: x["_f_v"]), sep).alias("_f_part"))
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f_o", "_f_t"))), lambda x: x["_f_t"]), sep)
+        .alias("_f_part"))
     whole = pieces.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_f_pid", "_f_part"))).alias("_f_a"))
     return whole.select(*group, F.array_join(F.transform("_f_a", lambda x: x["_f_part"]), sep).alias(out))
 
 
+def agg_string(df: DataFrame, group: Sequence[str], value: str, sep: str = ",", out: str = "agg",
+               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
+    """STRING_AGG(value, sep) WITHIN GROUP (ORDER BY value) per group (see ``ordered_concat``).
+
+    With ``distinct`` (default) (group, value) pairs are de-duplicated first,
+    map-side combined. Values order as their type (numbers as numbers).
+    """
+    base = df.select(*group, F.col(value).alias("_f_v")).where(F.col("_f_v").isNotNull())
+    if distinct:
+        base = base.distinct()
+    return ordered_concat(base, group, "_f_v", "_f_v", sep, out, num_partitions)
+
+
 def object_agg(df: DataFrame, group: Sequence[str], order_by: str, out: str = "objects",
                columns: Sequence[str] | None = None, num_partitions: int | None = None) -> DataFrame:
     """ARRAY_AGG(OBJECT_CONSTRUCT(*)) per group as a JSON array text ordered by ``order_by``.
 
-    Rows become JSON text before any shuffle; as in ``agg_string`` they are
-    range-partitioned on (group, order), each piece is sorted and joined in
-    its own task, and a group's pieces are concatenated in order at the end.
-    The result is one value per group, so it suits bounded groups (one object
-    per column of a table, dimension rows per parent).
+    Rows become JSON text before any shuffle and are joined as in
+    ``ordered_concat``. The result is one value per group, so it suits
+    bounded groups (one object per column of a table, dimension rows per parent).
     """
-    from ferry.operators.numbering import range_partitions
     cols = list(columns or df.columns)
-    base = df.select(*group, F.col(order_by).alias("_o"), F.to_json(F.struct(*cols)).alias("_j"))
-    n = num_partitions or range_partitions(base)
-    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], F.col("_o"), F.col("_j")) \
-        .withColumn("_f_pid", F.spark_partition_id())
-    pieces = ranged.groupBy("_f_pid", *group).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_o", "_j"))), lambda x: x["_j"]), ",")
-        .alias("_f_part"))
-    whole = pieces.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_f_pid", "_f_part"))).alias("_f_a"))
-    return whole.select(*group, F.concat(F.lit("["), F.array_join(F.transform("_f_a", lambda x: x["_f_part"]), ","),
-                                         F.lit("]")).alias(out))
+    staged = df.select(*group, F.col(order_by).alias("_f_ob"), F.to_json(F.struct(*cols)).alias("_f_j"))
+    joined = ordered_concat(staged, group, "_f_ob", "_f_j", ",", "_f_c", num_partitions)
+    return joined.select(*group, F.concat(F.lit("["), F.col("_f_c"), F.lit("]")).alias(out))
 
 
 def count_where(cond: Column, name: str) -> Column:

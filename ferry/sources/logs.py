@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ferry.operators.relational import ordered_concat
+
 # The patterns and the benign sentence of a bulk-copy log.
 ROWS_RE = r"([0-9][0-9,]*)\s+rows copied"
 CLOCK_RE = r"Clock Time.*?:\s*([0-9,]+)"
@@ -50,19 +52,19 @@ def log_metrics(lines: DataFrame, file_col: str = "file", order_col: str = "line
         F.when(l.rlike(ERROR_RE) & ~l.contains(BENIGN_SENTENCE), l).alias("_err"),
     ).filter(F.col("_rows").isNotNull() | F.col("_clock").isNotNull() | F.col("_speed").isNotNull()
              | F.col("_err").isNotNull())
-    agg = staged.groupBy("file").agg(
+    figures = staged.groupBy("file").agg(
         F.min_by("_rows", F.when(F.col("_rows").isNotNull(), F.col("_o"))).alias("_rows"),
         F.min_by("_clock", F.when(F.col("_clock").isNotNull(), F.col("_o"))).alias("_clock"),
         F.min_by("_speed", F.when(F.col("_speed").isNotNull(), F.col("_o"))).alias("_speed"),
-        F.array_sort(F.collect_list(F.when(F.col("_err").isNotNull(), F.struct("_o", "_err")))).alias("_errs"),
     )
-    out = agg.select(
+    # error lines joined in line order without gathering a large log in one task
+    errors = ordered_concat(staged.filter(F.col("_err").isNotNull()), ["file"], "_o", "_err", "\n", "_errtext")
+    out = figures.join(errors, "file", "left").select(
         "file",
         _to_long("_rows").alias("rows_copied"),
         _to_long("_clock").alias("clock_ms"),
         _to_long("_speed").alias("rows_per_sec"),
-        F.when(F.size("_errs") > 0, F.array_join(F.transform("_errs", lambda s: s["_err"]), "\n"))
-        .otherwise(F.lit("None")).alias("error"),
+        F.coalesce(F.col("_errtext"), F.lit("None")).alias("error"),
     )
     return (out.withColumn("rows_text", F.coalesce(F.format_number("rows_copied", 0), F.lit("?")))
             .withColumn("clock_text", F.coalesce(F.format_number("clock_ms", 0), F.lit("?")))
