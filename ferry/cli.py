@@ -19,7 +19,8 @@ import argparse
 import sys
 
 from ferry.plans.catalog import catalog_from_dir
-from ferry.plans.run import TransferOptions, columns_report, plan_transfer, run_export, run_import, what_if
+from ferry.plans.run import (TransferOptions, columns_report, format_layout, plan_transfer, run_export, run_import,
+                             what_if)
 from ferry.session import local_session
 from ferry.sources.delimited import FileFormat
 
@@ -77,6 +78,7 @@ def main(argv: list[str] | None = None) -> int:
                           args.schemas_except, args.tables_except, args.all_tables)
     columns_report(spark, plans).show(1000, truncate=False)
     if args.what_if:
+        format_layout(spark, plans, opts.fmt).show(10000, truncate=False)
         what_if(plans, opts).orderBy("table_name").show(1000, truncate=False)
         return 0
     exported = run_export(spark, plans, args.landing, opts)

@@ -105,6 +105,33 @@ def columns_report(spark: SparkSession, plans: list[TablePlan]) -> DataFrame:
     return out.orderBy("table_name", "ordinal")
 
 
+LAYOUT_SCHEMA = T.StructType([
+    T.StructField("table_name", T.StringType()), T.StructField("field_no", T.IntegerType()),
+    T.StructField("column_name", T.StringType()), T.StructField("data_type", T.StringType()),
+    T.StructField("rendering", T.StringType()), T.StructField("max_length", T.IntegerType()),
+    T.StructField("terminator", T.StringType()),
+])
+
+
+def format_layout(spark: SparkSession, plans: list[TablePlan], fmt: FileFormat) -> DataFrame:
+    """The landed files' field layout per table, from metadata only (no data read).
+
+    Field numbers follow the exported columns; the last field ends with the
+    record separator, the others with the field delimiter; ``max_length`` is
+    the longest text the column's type can render to (NULL: unbounded).
+    """
+    from ferry.functions.render import max_text_length, rendering_rule
+    rows = []
+    for p in plans:
+        if p.error:
+            continue
+        fields = p.exported.schema.fields
+        for i, f in enumerate(fields):
+            rows.append((p.name, i + 1, f.name, f.dataType.simpleString(), rendering_rule(f.dataType),
+                         max_text_length(f.dataType), fmt.line_sep if i == len(fields) - 1 else fmt.field_delim))
+    return spark.createDataFrame(rows, LAYOUT_SCHEMA)
+
+
 def what_if(plans: list[TablePlan], opts: TransferOptions) -> DataFrame:
     """Rows and landed bytes each table would move; nothing is written."""
     return plan_preview({p.name: p.exported for p in plans if p.error is None}, opts.fmt)

@@ -125,3 +125,13 @@ def test_load_is_verified_against_the_export_fingerprint(spark):
         fh.write(data.replace(b"NATION_1^", b"NATION_7^", 1))
     bad = run_import(spark, plans, tampered, scratch_path(spark, "fp-target2"), opts).collect()[0]
     assert "fingerprint mismatch" in bad.error
+
+
+def test_format_layout_from_metadata(spark):
+    from ferry.plans.run import format_layout
+    opts = TransferOptions(fmt=FileFormat())
+    plans = plan_transfer(spark, catalog_from_dir(SF), opts, schemas="dbo", tables="region, nation")
+    rows = [tuple(r) for r in format_layout(spark, plans, opts.fmt).orderBy("table_name", "field_no").collect()]
+    assert rows[:3] == [("dbo.nation", 1, "n_nationkey", "int", "cast as string", 11, "^|^"),
+                        ("dbo.nation", 2, "n_name", "string", "as is", None, "^|^"),
+                        ("dbo.nation", 3, "n_regionkey", "int", "cast as string", 11, "~~~\r\n")]
