@@ -242,3 +242,29 @@ def _continue_identity(spark: SparkSession, df: DataFrame, col: str, order: list
     except Exception:  # noqa: BLE001 - no target yet
         top = 0
     return identity_generate(df, order, out=col, seed=int(top) + 1)
+
+
+def transfer(spark: SparkSession, catalog: list[TableRef], landing: str, target_root: str, opts: TransferOptions,
+             **selection) -> DataFrame:
+    """Choose, land and load in one call; one report row per table.
+
+    ``selection`` takes the ``plan_transfer`` arguments (schemas, tables,
+    schemas_except, tables_except, all_tables). The report sets rows landed
+    beside rows loaded, both durations, and the first error of either step.
+    """
+    plans = plan_transfer(spark, catalog, opts, **selection)
+    ex = run_export(spark, plans, landing, opts)
+    ok = [p for p in plans if p.error is None]
+    failed_export = {r.table_name for r in ex.filter("error <> 'None'").select("table_name").collect()}
+    im = run_import(spark, [p for p in ok if p.name not in failed_export], landing, target_root, opts)
+    e = ex.select("table_name", F.col("rows_copied").alias("rows_landed"),
+                  F.col("duration_ms").alias("export_ms"), F.col("error").alias("export_error"))
+    i = im.select("table_name", F.col("rows_copied").alias("rows_loaded"),
+                  F.col("duration_ms").alias("load_ms"), F.col("error").alias("load_error"))
+    j = e.join(i, "table_name", "left")
+    err = (F.when(F.col("export_error") != "None", F.col("export_error"))
+           .when(F.col("load_error").isNull(), F.lit("not loaded"))
+           .when(F.col("load_error") != "None", F.col("load_error")).otherwise(F.lit("None")))
+    return j.select("table_name", "rows_landed", "rows_loaded", "export_ms", "load_ms", err.alias("error")) \
+        .orderBy("table_name")
+

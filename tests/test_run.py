@@ -135,3 +135,12 @@ def test_format_layout_from_metadata(spark):
     assert rows[:3] == [("dbo.nation", 1, "n_nationkey", "int", "cast as string", 11, "^|^"),
                         ("dbo.nation", 2, "n_name", "string", "as is", None, "^|^"),
                         ("dbo.nation", 3, "n_regionkey", "int", "cast as string", 11, "~~~\r\n")]
+
+
+def test_transfer_in_one_call(spark):
+    from ferry.plans.run import transfer
+    opts = TransferOptions(fmt=FileFormat(header=True), parallel=4)
+    rep = transfer(spark, catalog_from_dir(SF), scratch_path(spark, "one-land"), scratch_path(spark, "one-target"),
+                   opts, schemas="dbo", tables="region, nation, orders").collect()
+    assert [r.table_name for r in rep] == ["dbo.nation", "dbo.orders", "dbo.region"]
+    assert all(r.error == "None" and r.rows_landed == r.rows_loaded > 0 for r in rep)
