@@ -136,23 +136,59 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     return int(got.get("rows", 0) or 0)
 
 
-MANIFEST_DIR = "_ferry_manifest"
+MANIFEST_FILE = "_ferry_manifest.json"
+
+
+def _hadoop_fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def write_manifest(spark: SparkSession, path: str, info: dict) -> None:
-    """Facts of one landing (rows, fingerprint, columns) in a hidden sub-folder readers skip."""
+    """Facts of one landing (rows, fingerprint, columns) as a hidden file readers skip.
+
+    One small metadata file, written through the path's Hadoop FileSystem
+    (no Spark job); without a JVM gateway it is written by a one-row Spark job.
+    """
     import json
-    spark.createDataFrame([(json.dumps(info),)], "value string").coalesce(1).write.mode("overwrite") \
-        .text(f"{path.rstrip('/')}/{MANIFEST_DIR}")
+    text = json.dumps(info)
+    target = f"{path.rstrip('/')}/{MANIFEST_FILE}"
+    try:
+        p, fs = _hadoop_fs(spark, target)
+        out = fs.create(p, True)
+        try:
+            out.write(bytearray(text.encode("utf-8")))
+        finally:
+            out.close()
+    except AttributeError:
+        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(target)
 
 
 def read_manifest(spark: SparkSession, path: str) -> dict | None:
     import json
+    target = f"{path.rstrip('/')}/{MANIFEST_FILE}"
     try:
-        rows = spark.read.text(f"{path.rstrip('/')}/{MANIFEST_DIR}").limit(1).collect()
-    except Exception:  # noqa: BLE001 - landed without a manifest
-        return None
-    return json.loads(rows[0][0]) if rows else None
+        p, fs = _hadoop_fs(spark, target)
+        if not fs.exists(p):
+            return None
+        if fs.getFileStatus(p).isDirectory():
+            rows = spark.read.text(target).limit(1).collect()
+            return json.loads(rows[0][0]) if rows else None
+        stream = fs.open(p)
+        try:
+            reader = spark.sparkContext._jvm.java.io.BufferedReader(
+                spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
+            line = reader.readLine()
+        finally:
+            stream.close()
+        return json.loads(line) if line else None
+    except AttributeError:
+        try:
+            rows = spark.read.text(target).limit(1).collect()
+        except Exception:  # noqa: BLE001 - landed without a manifest
+            return None
+        return json.loads(rows[0][0]) if rows else None
 
 
 def read_records(spark: SparkSession, path: str, fmt: FileFormat, skip_header: bool | None = None,
