@@ -1,6 +1,6 @@
 """Command line: one call exports (and optionally imports) a chosen set of tables.
 
-    python -m ferry.cli --source /data/src --landing /landing [--target /target] \\
+    python -m ferry --source /data/src --landing /landing [--target /target] \\
         --schemas "Sales, HR" --tables "Order*, Employee*" \\
         --schemas-except "*" --tables-except "*History" \\
         --columns-except "LargePhoto" --types-except "binary" \\
