@@ -57,10 +57,15 @@ def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES)
     keeps partition ids stable), so it comes from the size of the plan's
     inputs: the sum of its leaf relations with a known size (file scans report
     their bytes; Catalyst's estimate of a whole plan multiplies join inputs, and
-    unknown sources report the maximum). Never below ``spark.sql.shuffle.partitions``.
+    unknown sources report the maximum). Never below the cluster's total cores
+    (``defaultParallelism``), so every core takes part; AQE cannot shrink an
+    explicit count, so tiny inputs should not get hundreds of tasks either.
     """
     spark = df.sparkSession
-    floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        floor = int(spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001 - no SparkContext access (e.g. a remote session)
+        floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
     unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()

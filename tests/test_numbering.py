@@ -75,5 +75,5 @@ def test_global_numbering_plan_has_no_single_partition_row_exchange(spark):
 def test_range_partition_count_follows_data_size(spark):
     from ferry.operators.numbering import range_partitions
     small = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
-    assert range_partitions(small) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert range_partitions(small) == spark.sparkContext.defaultParallelism
     assert range_partitions(small, target_bytes=1024) > 8  # a (pretend) large table gets more partitions
