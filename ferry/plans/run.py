@@ -180,8 +180,9 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
     """Load landed tables into ``target_root/<schema>.<table>`` (parquet); metrics DataFrame.
 
     ``typed``: fields by position with the exported types, matched by name
-    into the target schema (default: the source schema); absent columns are
-    NULL; identity columns that were not exported are generated after the
+    into the target schema (given in ``targets``, else the existing target
+    table's, else the source's); target columns the landing lacks are NULL,
+    as through a column-subset view; identity columns that were not exported are generated after the
     target's current maximum, in ``identity_order`` (default: the first
     exported column). Rows are appended, as bulk loads never truncate.
     ``inferred``: types inferred from the text, table replaced, columns by name.
@@ -197,7 +198,7 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
             if not opts.fmt.header:
                 return _failed(p.name, "an inferred-schema load needs a header record")
             return load_into(import_inferred(spark, path, opts.fmt), dest, mode="overwrite")
-        schema = targets.get(p.name, p.source.schema)
+        schema = targets.get(p.name) or _existing_schema(spark, dest, p.source.schema) or p.source.schema
         parsed = import_table(spark, path, opts.fmt, p.exported.schema)
         df = _to_target(parsed, schema)
         missing_ids = [f.name for f in schema.fields if flag_of(f, "identity") and f.name not in p.exported.columns]
@@ -229,6 +230,23 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
     return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
 
 
+def _existing_schema(spark: SparkSession, dest: str, source: T.StructType) -> T.StructType | None:
+    """Schema of an existing parquet target (None when there is none yet).
+
+    Column flags (identity, computed, ...) come from the source column of the
+    same name, since a stored table does not keep them.
+    """
+    try:
+        existing = spark.read.parquet(dest).schema
+    except Exception:  # noqa: BLE001 - no target yet
+        return None
+    src = {f.name.lower(): f for f in source.fields}
+    return T.StructType([T.StructField(f.name, f.dataType, f.nullable,
+                                       {**(src[f.name.lower()].metadata if f.name.lower() in src else {}),
+                                        **f.metadata})
+                         for f in existing.fields])
+
+
 def _to_target(parsed: DataFrame, schema: T.StructType) -> DataFrame:
     """Parsed file columns into the target schema by name; absent columns NULL."""
     have = {c.lower(): c for c in parsed.columns}

@@ -144,3 +144,20 @@ def test_transfer_in_one_call(spark):
                    opts, schemas="dbo", tables="region, nation, orders").collect()
     assert [r.table_name for r in rep] == ["dbo.nation", "dbo.orders", "dbo.region"]
     assert all(r.error == "None" and r.rows_landed == r.rows_loaded > 0 for r in rep)
+
+
+def test_import_into_an_existing_wider_target(spark):
+    """Loading into an existing table: columns matched by name, the target's extra column stays NULL."""
+    from pyspark.sql import types as T
+    opts = TransferOptions(fmt=FileFormat(header=True))
+    plans = plan_transfer(spark, catalog_from_dir(SF), opts, schemas="dbo", tables="region")
+    landing, target = scratch_path(spark, "wide-land"), scratch_path(spark, "wide-target")
+    schema = T.StructType([T.StructField("R_NAME", T.StringType()), T.StructField("note", T.StringType()),
+                           T.StructField("r_regionkey", T.IntegerType())])
+    spark.createDataFrame([("OLD", "kept", 99)], schema).write.parquet(f"{target}/dbo.region")
+    run_export(spark, plans, landing, opts).collect()
+    res = run_import(spark, plans, landing, target, opts).collect()[0]
+    assert res.error == "None" and res.rows_copied == 5
+    back = spark.read.parquet(f"{target}/dbo.region")
+    assert back.columns == ["R_NAME", "note", "r_regionkey"] and back.count() == 6
+    assert back.filter("note is null").count() == 5 and back.filter("R_NAME = 'OLD'").count() == 1
