@@ -21,6 +21,7 @@ import sys
 from ferry.plans.catalog import catalog_from_dir
 from ferry.plans.run import (TransferOptions, columns_report, format_layout, plan_transfer, run_export, run_import,
                              what_if)
+from ferry.plans.transfer import report_frame
 from ferry.session import local_session
 from ferry.sources.delimited import FileFormat
 
@@ -82,13 +83,11 @@ def main(argv: list[str] | None = None) -> int:
         what_if(plans, opts).orderBy("table_name").show(1000, truncate=False)
         return 0
     exported = run_export(spark, plans, args.landing, opts)
-    exported.select("table_name", "start_time", "end_time", "duration_text", "rows_text", "speed_text",
-                    "error").show(1000, truncate=False)
+    report_frame(exported).show(1000, truncate=False)
     failed = exported.filter("error <> 'None'").count()
     if args.target:
         loaded = run_import(spark, plans, args.landing, args.target, opts)
-        loaded.select("table_name", "start_time", "end_time", "duration_text", "rows_text", "speed_text",
-                      "error").show(1000, truncate=False)
+        report_frame(loaded).show(1000, truncate=False)
         failed += loaded.filter("error <> 'None'").count()
     return 1 if failed else 0
 

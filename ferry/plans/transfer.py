@@ -179,6 +179,16 @@ def metrics_frame(spark: SparkSession, results: list[TransferResult]) -> DataFra
             .orderBy("table_name"))
 
 
+# The headings of the per-table job report, in their order.
+REPORT_HEADINGS = ("Table", "StartTime", "EndTime", "Duration [ms]", "RowsCopied", "Speed [rows/s]", "Error")
+
+
+def report_frame(metrics: DataFrame) -> DataFrame:
+    """The job report as printed after a run: text figures (thousands separators, ``?``), sorted by table."""
+    cols = ["table_name", "start_time", "end_time", "duration_text", "rows_text", "speed_text", "error"]
+    return metrics.select(*[F.col(c).alias(h) for c, h in zip(cols, REPORT_HEADINGS)]).orderBy("Table")
+
+
 def verify_round_trip(source: DataFrame, landed: DataFrame) -> DataFrame:
     """Rows whose copy count differs between the two sides; empty = exact copy (as multisets).
 

@@ -105,3 +105,12 @@ def test_fingerprint_detects_changes_and_ignores_order(spark):
     assert fingerprint(dup)[0] == fingerprint(df)[0] + 1 and not same_content(df, dup)
     m = spark.createDataFrame([(1, {"a": 1})], "id int, m map<string,int>")
     assert same_content(m, m)
+
+
+def test_report_frame_headings(spark):
+    from ferry.plans.transfer import REPORT_HEADINGS, report_frame
+    res = export_all(spark, {"nation": load(spark, SF, "nation")}, scratch_path(spark, "t-rep"), FMT)
+    rep = report_frame(metrics_frame(spark, res))
+    assert tuple(rep.columns) == REPORT_HEADINGS
+    row = rep.collect()[0]
+    assert row["Table"] == "nation" and row["RowsCopied"] == "25" and row["Error"] == "None"
