@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 _SALT = "_f_salt"
+# Session setting: "sample" (default) finds hot keys on a sample; "off" skips that pass.
+DETECT_CONF = "ferry.skewJoin.detect"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = 0.02, sample_fraction: float = 0.01,
@@ -90,7 +92,12 @@ def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tu
         right = right.withColumnsRenamed(dict(renamed))
     if how not in ("inner", "left", "left_semi", "left_anti"):
         return left.join(right, keys, how)
-    hk = hot_keys(left, keys, hot_fraction, sample_fraction) if hot is None else list(hot)
+    if hot is not None:
+        hk = list(hot)
+    elif left.sparkSession.conf.get(DETECT_CONF, "sample") == "off":
+        hk = []  # the session relies on AQE skew splitting; NULL keys are still routed around the shuffle
+    else:
+        hk = hot_keys(left, keys, hot_fraction, sample_fraction)
     null_key = F.lit(False)
     for k in keys:
         null_key = null_key | F.col(k).isNull()

@@ -45,3 +45,14 @@ def test_right_unique_skips_the_count_and_stays_exact(sides):
     left, right = sides
     got = skew_join(left, right, ["k"], "left", hot=[(7,)], right_unique=True)
     assert _rows(got) == _rows(left.join(right, ["k"], "left"))
+
+
+def test_detection_can_be_switched_off(spark, sides):
+    from ferry.operators.skew import DETECT_CONF
+    left, right = sides
+    spark.conf.set(DETECT_CONF, "off")
+    try:
+        got = skew_join(left, right, ["k"], "left")
+    finally:
+        spark.conf.unset(DETECT_CONF)
+    assert _rows(got) == _rows(left.join(right, ["k"], "left"))
