@@ -155,7 +155,8 @@ def format_fields(df: DataFrame, fmt: FileFormat) -> DataFrame:
 def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat) -> DataFrame:
     """What a transfer would move, writing nothing: (table_name, rows, bytes) per table.
 
-    ``bytes`` counts every record with its separator, plus the header record.
+    ``bytes`` counts every record with its separator, plus the header record,
+    as landed without compression (gzip parts come out smaller).
     """
     parts = []
     sep_len = len(fmt.line_sep.encode("utf-8"))
