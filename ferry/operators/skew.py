@@ -4,8 +4,10 @@ A shuffle join sends all rows of one key to one task. When a key (or NULL)
 holds, say, a third of the left side, that task does a third of the work.
 ``skew_join`` splits the work by key:
 
-  1. hot keys are found on a Bernoulli sample of the left key columns
-     (a key is hot if it holds at least ``hot_fraction`` of the sample);
+  1. hot keys are found on a sample of the left key columns - every k-th
+     input file when the left side reads many parquet files, else a
+     Bernoulli row sample (a key is hot if it holds at least ``hot_fraction``
+     of the sample);
      the sample only *chooses the route*, every row is still joined;
      at most ``1 / hot_fraction`` keys can be hot, so the key list is small;
   2. rows with a hot key take a broadcast join against the other side's rows
@@ -45,7 +47,9 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = 0.02, sam
     reach the driver - no more can pass the threshold.
     """
     obs = Observation(f"ferry_hot_keys_{uuid.uuid4().hex}")
-    sampled = df.select(*keys).sample(withReplacement=False, fraction=sample_fraction, seed=seed)
+    sampled = _file_sample(df, keys, sample_fraction)
+    if sampled is None:
+        sampled = df.select(*keys).sample(withReplacement=False, fraction=sample_fraction, seed=seed)
     counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(obs, F.sum("_n").alias("t"))
     top = counts.orderBy(F.col("_n").desc()).limit(max(1, int(1 / hot_fraction))).collect()
     total = obs.get.get("t") or 0
@@ -56,6 +60,31 @@ def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = 0.02, sam
             if r["_n"] >= need and all(r[k] is not None for k in keys)]
 
 
+MIN_FILES_FOR_FILE_SAMPLE = 20
+
+
+def _file_sample(df: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame | None:
+    """Key columns of every k-th input file (k = 1 / fraction), or None if that does not apply.
+
+    A row sample still reads the whole key column; a file sample reads only
+    its files. Used when ``df`` reads many parquet files that carry the key
+    columns by name (filters and projections on top are ignored - the sample
+    only picks the join route, it never decides which rows are joined).
+    """
+    try:
+        files = sorted(df.inputFiles())
+    except Exception:  # noqa: BLE001 - not a file-based plan
+        return None
+    if len(files) < MIN_FILES_FOR_FILE_SAMPLE or not all(f.endswith(".parquet") for f in files):
+        return None
+    step = max(1, int(round(1 / fraction)))
+    chosen = files[::step]
+    raw = df.sparkSession.read.parquet(*chosen)
+    if not all(k in raw.columns for k in keys):
+        return None
+    return raw.select(*keys)
+
+
 def _null_key_rows(rows: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame | None:
     """Result rows for left rows with a NULL key: they match nothing, so no join is needed."""
     if how in ("inner", "left_semi"):

@@ -56,3 +56,18 @@ def test_detection_can_be_switched_off(spark, sides):
     finally:
         spark.conf.unset(DETECT_CONF)
     assert _rows(got) == _rows(left.join(right, ["k"], "left"))
+
+
+def test_hot_keys_from_a_file_sample(spark):
+    from ferry.operators import skew
+    from ferry.session import scratch_path
+    path = scratch_path(spark, "t-files")
+    df = spark.range(0, 60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v"))
+    df.repartition(40).write.parquet(path)
+    many = spark.read.parquet(path)
+    assert len(many.inputFiles()) >= 20
+    sampled = skew._file_sample(many, ["k"], 0.1)
+    assert sampled is not None and len(sampled.inputFiles()) <= 4  # reads a tenth of the files
+    assert (7,) in hot_keys(many, ["k"], hot_fraction=0.05, sample_fraction=0.1)
+    assert skew._file_sample(many.withColumnRenamed("k", "kk"), ["kk"], 0.1) is None  # computed key: row sample
