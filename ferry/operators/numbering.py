@@ -7,8 +7,8 @@ rows are *range*-partitioned on (group, order keys, tie-breakers) instead, so
 a hot group is cut into consecutive pieces on several partitions:
 
   1. ``repartitionByRange(n, group, order, tie)`` + ``sortWithinPartitions``;
-     tie-breakers are the remaining orderable columns, so the order is total
-     (up to identical rows) and a hot key still splits across partitions;
+     the tie-breaker is a hash of the remaining columns, so a hot key still
+     splits across partitions and the driver's range sample stays small;
   2. ``spark_partition_id`` / ``monotonically_increasing_id`` give every row
      its piece and position; the piece table (one row per (partition, group))
      carries counts and first positions, and a window over the pieces of each
@@ -29,13 +29,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_PID, _MID, _START, _END, _N, _OFF, _LASTPIECE = "_f_pid", "_f_mid", "_f_start", "_f_end", "_f_n", "_f_off", "_f_lastpiece"
 
+from ferry.functions.fingerprint import hash_inputs
 
-def _orderable(dt: T.DataType) -> bool:
-    return "map<" not in dt.simpleString() and not isinstance(dt, (T.MapType, T.VariantType))
+_PID, _MID, _START, _END, _N, _OFF, _LASTPIECE = "_f_pid", "_f_mid", "_f_start", "_f_end", "_f_n", "_f_off", "_f_lastpiece"
 
 
 def _col(c: Column | str) -> Column:
@@ -83,7 +81,11 @@ def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequen
     """(ranged rows with piece id and position, piece table with offsets)."""
     n = num_partitions or range_partitions(df)
     used = set(partition_by) | _names(order_by)
-    tie = [F.col(f.name) for f in df.schema.fields if f.name not in used and _orderable(f.dataType)]
+    rest = [f.name for f in df.schema.fields if f.name not in used]
+    # one 64-bit hash of the other columns breaks ties: it splits a hot key over
+    # partitions while the range sample the driver collects stays a few longs
+    # per row, whatever the width of the columns (whole texts, maps)
+    tie = [F.xxhash64(*hash_inputs(df, rest))] if rest else []
     keys = [F.col(c) for c in partition_by] + [_col(c) for c in order_by] + tie
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())

@@ -97,7 +97,9 @@ def ordered_concat(df: DataFrame, group: Sequence[str], order: Column | str, tex
     t = F.col(text) if isinstance(text, str) else text
     base = df.select(*group, o.alias("_f_o"), t.cast("string").alias("_f_t"))
     n = num_partitions or range_partitions(base)
-    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], F.col("_f_o"), F.col("_f_t")) \
+    # ties in the order split by a hash of the text, not the text itself: the
+    # range sample the driver collects stays small however long the texts are
+    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], F.col("_f_o"), F.xxhash64("_f_t")) \
         .withColumn("_f_pid", F.spark_partition_id())
     pieces = ranged.groupBy("_f_pid", *group).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f_o", "_f_t"))), lambda x: x["_f_t"]), sep)
