@@ -197,8 +197,14 @@ def verify_round_trip(source: DataFrame, landed: DataFrame) -> DataFrame:
     are combined map-side before it.
     """
     cols = source.columns
-    tagged = (source.select(*cols, F.lit(1).alias("_f_s"), F.lit(0).alias("_f_l"))
-              .unionByName(landed.select(*cols, F.lit(0).alias("_f_s"), F.lit(1).alias("_f_l"))))
+    # map columns cannot be grouped: they are compared through their JSON text
+    maps = {f.name for f in source.schema.fields if "map<" in f.dataType.simpleString()}
+
+    def side(df: DataFrame, s: int, l: int) -> DataFrame:
+        return df.select(*[F.to_json(c).alias(c) if c in maps else F.col(c) for c in cols],
+                         F.lit(s).alias("_f_s"), F.lit(l).alias("_f_l"))
+
+    tagged = side(source, 1, 0).unionByName(side(landed, 0, 1))
     counts = tagged.groupBy(*cols).agg(F.sum("_f_s").alias("source_rows"), F.sum("_f_l").alias("landed_rows"))
     return counts.filter(F.col("source_rows") != F.col("landed_rows"))
 

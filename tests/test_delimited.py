@@ -103,6 +103,9 @@ def test_map_columns_round_trip_as_json(spark):
     write_delimited(df, path, FMT)
     back = read_delimited(spark, path, df.schema, FMT)
     assert sorted(map(tuple, _as_text(back).collect())) == sorted(map(tuple, _as_text(df).collect()))
+    assert verify_round_trip(df, back).count() == 0
+    changed = back.withColumn("m", F.when(F.col("id") == 3, F.create_map(F.lit("z"), F.lit(1))).otherwise(F.col("m")))
+    assert verify_round_trip(df, changed).count() == 2
 
 
 def test_header_is_alone_in_first_part_and_skipped(spark):
