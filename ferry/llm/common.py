@@ -17,14 +17,14 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def landed(df: DataFrame, label: str) -> DataFrame:
+def landed(df: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     The files survive lost executors and cut the lineage; Parquet keeps them
     smaller than ``checkpoint()`` does.
     """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.options(**({"compression": compression} if compression else {})).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

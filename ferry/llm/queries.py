@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
-from ferry.llm import lines, simhash
+from ferry.llm import lines, mixing, packing, quality, simhash, substrings, tokens, toxicity
 from ferry.llm.common import read
 
 QUERIES = {
+    "op1_toxicity": lambda spark, d: toxicity.digest(read(spark, d, "documents"), read(spark, d, "labels")),
     "op4_simhash_golay": lambda spark, d: simhash.digest(read(spark, d, "documents")),
     "op5_line_dedup": lambda spark, d: lines.digest(read(spark, d, "documents")),
+    "op6_substring_dedup": lambda spark, d: substrings.digest(read(spark, d, "documents")),
+    "op7_huffman_tokens": lambda spark, d: tokens.digest(read(spark, d, "documents")),
+    "op8_pfair_mixing": lambda spark, d: mixing.digest(read(spark, d, "documents")),
+    "op9_quality_rff": lambda spark, d: quality.digest(read(spark, d, "documents"), read(spark, d, "labels")),
+    "op10_best_fit_packing": lambda spark, d: packing.digest(read(spark, d, "documents")),
 }
 
 ORACLES = {

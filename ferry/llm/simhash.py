@@ -33,6 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ferry.llm.common import landed
 from ferry.llm.components import components
@@ -82,18 +83,25 @@ def fingerprints(texts: list[bytes | None], size: int = 3) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
-    """``(doc_id, fp)`` for every row, fp as a signed long."""
+def with_fingerprint(docs: DataFrame, text_col: str, size: int, name: str) -> DataFrame:
+    """``docs`` and the fingerprint of each row's text as a signed long column ``name``."""
+    place = docs.columns.index(text_col)
+
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-                part = texts.slice(at, DOCS_AT_ONCE).cast(pa.binary()).to_pylist()
-                yield pa.record_batch([ids.slice(at, DOCS_AT_ONCE), pa.array(fingerprints(part, size).view(np.int64))],
-                                      names=["doc_id", "fp"])
+                part = batch.slice(at, DOCS_AT_ONCE)
+                texts = part.column(place).cast(pa.string()).cast(pa.binary()).to_pylist()
+                yield pa.record_batch([*part.columns, pa.array(fingerprints(texts, size).view(np.int64))],
+                                      names=[*part.schema.names, name])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, fp long")
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField(name, T.LongType())]))
+
+
+def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, size: int) -> DataFrame:
+    """``(doc_id, fp)`` for every row, fp as a signed long."""
+    texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return with_fingerprint(texts, "text", size, "fp").select("doc_id", "fp")
 
 
 def _remainder(words: np.ndarray) -> np.ndarray:
@@ -168,3 +176,19 @@ def digest(docs: DataFrame) -> DataFrame:
     """The contract's columns over a ``documents`` table."""
     return simhash_components(docs).select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3,
+             max_bits: int = 3) -> DataFrame:
+    """Rows of ``docs`` that stay: of each group the row with the smallest id, all columns.
+
+    Of several rows with that id one stays (the semi-join has already brought
+    them together). Rows without an id stay only if no row with an id has their
+    fingerprint, one for each fingerprint.
+    """
+    table = simhash_components(docs, id_col, text_col, size, max_bits)
+    heads = table.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
+    named = docs.join(heads, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col])
+    nameless = with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, size, "_fp")
+    taken = table.where("doc_id is not null").select(F.col("fp").alias("_fp")).distinct()
+    return named.unionAll(nameless.join(taken, "_fp", "left_anti").dropDuplicates(["_fp"]).select(*docs.columns))
