@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -72,3 +73,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers of any executor (once per Spark application)."""
+    sc = spark.sparkContext
+    if getattr(sc, "_ferry_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    made = os.path.join(tempfile.mkdtemp(prefix="ferry-package-"), "ferry.zip")  # Spark copies it to the executors
+    with zipfile.ZipFile(made, "w", zipfile.ZIP_DEFLATED) as out:
+        for folder, _, names in os.walk(root):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.join("ferry", os.path.relpath(path, root)))
+    sc.addPyFile(made)
+    sc._ferry_shipped = True
