@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from ferry.llm import lines, mixing, packing, quality, simhash, substrings, tokens, toxicity
+from ferry.llm import ann, lines, mixing, neighbours, packing, quality, simhash, substrings, tokens, toxicity
 from ferry.llm.common import read
 
 QUERIES = {
     "op1_toxicity": lambda spark, d: toxicity.digest(read(spark, d, "documents"), read(spark, d, "labels")),
+    "op2_nn_descent": lambda spark, d: neighbours.digest(read(spark, d, "embeddings")),
+    "op3_multi_index": lambda spark, d: ann.digest(read(spark, d, "embeddings")),
     "op4_simhash_golay": lambda spark, d: simhash.digest(read(spark, d, "documents")),
     "op5_line_dedup": lambda spark, d: lines.digest(read(spark, d, "documents")),
     "op6_substring_dedup": lambda spark, d: substrings.digest(read(spark, d, "documents")),
