@@ -34,6 +34,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def folded(docs: DataFrame, **named: Column | str) -> DataFrame:
+    """``docs`` as one struct column ``row`` beside the named columns, so that no extra column can clash."""
+    own = [c if isinstance(c, Column) else F.col(c) for c in named.values()]
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"),
+                       *[c.alias(name) for name, c in zip(named, own)])
+
+
+def unfolded(row: Column, names: list[str], **changed: Column) -> list[Column]:
+    """The columns of a struct made by :func:`folded`, some of them replaced."""
+    return [(changed[c] if c in changed else row.getField(c)).alias(c) for c in names]
+
+
 def is_held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id's decimal text leaves ``remainder``; null ids are never held out."""
     crc = F.crc32(doc_id.cast("string").cast("binary"))

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER, landed
+from ferry.llm.common import ASCII_LOWER, ASCII_SPACE, ASCII_UPPER, folded, landed, unfolded
 
 
 def _lines(text: Column) -> Column:
@@ -52,19 +52,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ``_n_lines`` and ``_n_dropped``."""
     pairs, counts = frequent_lines(docs, id_col, text_col, min_chars, min_docs)
     dropped = (pairs.join(counts, "line_hash").where("doc_id <> last_doc")
-               .groupBy(F.col("doc_id").alias("_drop_id")).agg(F.collect_set("line_hash").alias("_drop")))
-    joined = docs.join(dropped, F.col(id_col) == F.col("_drop_id"), "left")
-    lines = _lines(F.col(text_col))
-    stay = F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("_drop"), line_hash(x, min_chars)),
-                                                 F.lit(False)))
-    touched = F.col("_drop").isNotNull()
-    out = (joined.withColumn("_stay", F.when(touched, stay))
-           .withColumn("_n_lines", F.size(lines).cast("long"))
-           .withColumn("_n_dropped", F.when(touched, F.col("_n_lines") - F.size("_stay")).otherwise(F.lit(0)).cast("long"))
-           .withColumn("_kept", F.when(touched, F.array_join("_stay", "\n")).otherwise(
-               F.coalesce(F.col(text_col), F.lit("")))))
-    rest = [F.col("_kept").alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return out.select(*rest, "_n_lines", "_n_dropped")
+               .groupBy("doc_id").agg(F.collect_set("line_hash").alias("gone")))
+    joined = folded(docs, doc_id=id_col, text=text_col).join(dropped, "doc_id", "left")
+    lines = _lines(F.col("text"))
+    stay = F.filter(lines, lambda x: ~F.coalesce(F.array_contains("gone", line_hash(x, min_chars)), F.lit(False)))
+    touched = F.col("gone").isNotNull()
+    out = joined.withColumn("stay", F.when(touched, stay)).withColumn("n_lines", F.size(lines).cast("long"))
+    kept = F.when(touched, F.array_join("stay", "\n")).otherwise(F.coalesce("text", F.lit("")))
+    n_dropped = F.when(touched, F.col("n_lines") - F.size("stay")).otherwise(F.lit(0)).cast("long")
+    return out.select(*unfolded(F.col("row"), docs.columns, **{text_col: kept}),
+                      F.col("n_lines").alias("_n_lines"), n_dropped.alias("_n_dropped"))
 
 
 def digest(docs: DataFrame) -> DataFrame:

@@ -30,6 +30,8 @@ import math
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ferry.llm.common import folded, unfolded
+
 BLOCK_CHARS = 65_536
 RESOLUTION = 1_000      # least number of slots of a cycle
 MAX_SOURCES = 100_000   # more than that are refused: weights are a stated table of that size at most
@@ -122,11 +124,11 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, i
     per_source = cycle.select(F.col("_cs").alias("_as"), F.col("_a").alias("_share")).distinct()
 
     bits = max(1, min(40, math.ceil(math.log2(max(2, docs.count() / ROWS_PER_BUCKET)))))
-    keyed = (docs.withColumn("_s", _source_key(F.col(source_col)))
-             .withColumn("_h", F.xxhash64(F.col(id_col).cast("string"))).withColumn("_n", size)
+    keyed = (folded(docs, _s=_source_key(F.col(source_col)), _id=id_col, _h=F.xxhash64(F.col(id_col).cast("string")),
+                    _n=size, _m=F.md5(text_col))
              .withColumn("_b", F.shiftrightunsigned("_h", 64 - bits)))
     before = _prefix(keyed.groupBy("_s", "_b").agg(F.sum("_n").alias("_n")))
-    order = Window.partitionBy("_s", "_b").orderBy("_h", id_col, F.xxhash64(text_col), F.md5(text_col))
+    order = Window.partitionBy("_s", "_b").orderBy("_h", "_id", "_m")
     placed = (keyed.withColumn("_in", F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n"))
               .join(before, (F.col("_s") == F.col("_ps")) & (F.col("_b") == F.col("_pb")))
               .withColumn("_at", F.col("_before") + F.col("_in"))
@@ -137,7 +139,7 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, i
     placed = placed.join(F.broadcast(cycle.drop("_a")),
                          (F.col("_s") == F.col("_cs")) & (F.col("_block") % F.col("_share") == F.col("_cj")))
     turn = F.floor(F.col("_block") / F.col("_share")).cast("long") * slots
-    return placed.select(*docs.columns, "_block", "_offset", (turn + F.col("_r")).alias("_release"),
+    return placed.select(*unfolded(F.col("row"), docs.columns), "_block", "_offset", (turn + F.col("_r")).alias("_release"),
                          (turn + F.col("_d")).alias("_deadline"), (turn + F.col("_t")).alias("_slot"))
 
 

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferry.llm.common import landed
+from ferry.llm.common import folded, landed, unfolded
 from ferry.llm.components import components
 
 SEED = 42
@@ -187,8 +187,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", si
     fingerprint, one for each fingerprint.
     """
     table = simhash_components(docs, id_col, text_col, size, max_bits)
-    heads = table.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias("_kept")).distinct()
-    named = docs.join(heads, F.col(id_col) == F.col("_kept"), "left_semi").dropDuplicates([id_col])
-    nameless = with_fingerprint(docs.where(F.col(id_col).isNull()), text_col, size, "_fp")
-    taken = table.where("doc_id is not null").select(F.col("fp").alias("_fp")).distinct()
-    return named.unionAll(nameless.join(taken, "_fp", "left_anti").dropDuplicates(["_fp"]).select(*docs.columns))
+    rows = folded(docs, doc_id=F.col(id_col).cast("long"), text=F.col(text_col).cast("string"))
+    heads = table.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    named = rows.join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    nameless = with_fingerprint(rows.where("doc_id is null"), "text", size, "fp")
+    taken = table.where("doc_id is not null").select("fp").distinct()
+    nameless = nameless.join(taken, "fp", "left_anti").dropDuplicates(["fp"])
+    return named.select("row").unionAll(nameless.select("row")).select(*unfolded(F.col("row"), docs.columns))
