@@ -1,164 +1,79 @@
 """Equi-joins that stay balanced when one key holds a large share of the rows.
 
-A shuffle join sends all rows of one key to one task. When a key (or NULL)
-holds, say, a third of the left side, that task does a third of the work.
-``skew_join`` splits the work by key:
-
-  1. hot keys are found on a sample of the left key columns - every k-th
-     input file when the left side reads many parquet files, else a
-     Bernoulli row sample (a key is hot if it holds at least ``hot_fraction``
-     of the sample);
-     the sample only *chooses the route*, every row is still joined;
-     at most ``1 / hot_fraction`` keys can be hot, so the key list is small;
-  2. rows with a hot key take a broadcast join against the other side's rows
-     for those keys - checked to be at most ``max_broadcast_rows``, else the
-     hot part is salted: left rows get a random bucket, the right hot rows
-     are replicated once per bucket, so each left row still meets each
-     partner exactly once;
-  3. rows with a NULL key match nothing; they skip the join (and the shuffle,
-     where they would all hash to one partition) and are dropped, kept or
-     NULL-padded as the join type says;
-  4. all other rows take the ordinary shuffle join; the parts are unioned.
-
-Valid for inner, left (outer), left_semi and left_anti joins: a row's key is
-hot on both sides or on neither, so no match crosses the split.
+``skew_join`` is one pass over each input and one join; nothing runs while the
+query is built. What keeps a hot key from being one task's work:
+
+* a right side that only decides (semi, anti) is reduced to its distinct keys
+  by a map-side combined aggregation before it is shuffled, however often a key
+  repeats there;
+* hot keys on the left, and on either side of an inner join, are split by
+  AQE's skew-join handling, which sees the real partition sizes at run time.
+  The right side always has an exchange of its own (the salt makes it so), a
+  condition AQE sets for splitting;
+* rows with a NULL key match nothing. Inner and semi joins drop them before the
+  shuffle; left and anti joins keep them, and a salt in the join key spreads
+  them over the partitions;
+* a hot key on the right of a *left* join cannot be split by AQE (an unmatched
+  row must be seen by one task). ``right_hot=True`` asks for the two-step form
+  (inner join plus anti join), where every part can be split; it reads both
+  inputs twice.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-_SALT = "_f_salt"
-# Session setting: "sample" (default) finds hot keys on a sample; "off" skips that pass.
-DETECT_CONF = "ferry.skewJoin.detect"
-
+from ferry.functions.text import quoted
 
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_fraction: float = 0.02, sample_fraction: float = 0.01,
-             seed: int = 29) -> list[tuple]:
-    """Keys holding at least ``hot_fraction`` of a sample of ``df`` (at most 1/hot_fraction of them).
-
-    One job: the sampled key counts are aggregated (map-side combined), their
-    total is observed on the way, and only the top ``1 / hot_fraction`` keys
-    reach the driver - no more can pass the threshold.
-    """
-    obs = Observation(f"ferry_hot_keys_{uuid.uuid4().hex}")
-    sampled = _file_sample(df, keys, sample_fraction)
-    if sampled is None:
-        sampled = df.select(*keys).sample(withReplacement=False, fraction=sample_fraction, seed=seed)
-    counts = sampled.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).observe(obs, F.sum("_n").alias("t"))
-    top = counts.orderBy(F.col("_n").desc()).limit(max(1, int(1 / hot_fraction))).collect()
-    total = obs.get.get("t") or 0
-    if total == 0:
-        return []
-    need = max(2, int(hot_fraction * total))
-    return [tuple(r[k] for k in keys) for r in top
-            if r["_n"] >= need and all(r[k] is not None for k in keys)]
-
-
-MIN_FILES_FOR_FILE_SAMPLE = 20
+_SALT = "_f_salt"
+NULL_BUCKETS = 1024
+_NAMES = {"left_outer": "left", "leftouter": "left", "semi": "left_semi", "anti": "left_anti"}
 
 
-def _file_sample(df: DataFrame, keys: Sequence[str], fraction: float) -> DataFrame | None:
-    """Key columns of every k-th input file (k = 1 / fraction), or None if that does not apply.
+def _salts(keys: Sequence[str]) -> tuple[Column, Column]:
+    """Join-key parts: 0 on both sides, but on the left a bucket from 1 for rows with a NULL key.
 
-    A row sample still reads the whole key column; a file sample reads only
-    its files. Used when ``df`` reads many parquet files that carry the key
-    columns by name (filters and projections on top are ignored - the sample
-    only picks the join route, it never decides which rows are joined).
+    The bucket comes from the input partition, so no other column has to be
+    read and a retried task gives its rows the same buckets again. The right
+    side's zero is computed from its keys: a literal would be folded into a
+    filter on the left side.
     """
-    try:
-        files = sorted(df.inputFiles())
-    except Exception:  # noqa: BLE001 - not a file-based plan
-        return None
-    if len(files) < MIN_FILES_FOR_FILE_SAMPLE or not all(f.endswith(".parquet") for f in files):
-        return None
-    step = max(1, int(round(1 / fraction)))
-    chosen = files[::step]
-    raw = df.sparkSession.read.parquet(*chosen)
-    if not all(k in raw.columns for k in keys):
-        return None
-    return raw.select(*keys)
-
-
-def _null_key_rows(rows: DataFrame, right: DataFrame, keys: list[str], how: str) -> DataFrame | None:
-    """Result rows for left rows with a NULL key: they match nothing, so no join is needed."""
-    if how in ("inner", "left_semi"):
-        return None
-    if how == "left_anti":
-        return rows
-    extra = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
-    return rows.select("*", *extra)
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(quoted(k)).isNull()
+    bucket = F.pmod(F.hash(F.spark_partition_id()), F.lit(NULL_BUCKETS)) + 1
+    return (F.when(null_key, bucket).otherwise(F.lit(0)),
+            F.pmod(F.hash(*[F.col(quoted(k)) for k in keys]), F.lit(1)))
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: Sequence[str] | Sequence[tuple[str, str]], how: str = "inner",
-              hot: list[tuple] | None = None, hot_fraction: float = 0.02, sample_fraction: float = 0.01,
-              max_broadcast_rows: int = 1_000_000, salt_buckets: int = 64,
-              right_unique: bool = False) -> DataFrame:
-    """``left.join(right, on, how)`` with hot keys split off (see module doc).
-
-    Finding hot keys samples ``left`` right away (one job over its key
-    columns). When ``left`` is itself an expensive result, find them on the
-    base table its keys come from and pass ``hot=`` instead.
+              right_hot: bool = False) -> DataFrame:
+    """``left.join(right, on, how)`` as described above.
 
     ``on`` is a list of shared column names, or of (left column, right column)
     pairs; the right key columns then take the left names (one key column each
-    in the output, as with a join on names). Rows are routed by plain filters
-    (the hot-key predicate has at most ``1 / hot_fraction`` terms).
-    ``right_unique``: the right side holds at most one row per key (a lookup,
-    distinct keys), so its hot rows number at most the hot keys and are
-    broadcast without being counted first.
+    in the output, as with a join on names). Other join types than inner, left,
+    left_semi and left_anti are plain joins.
     """
-    how = {"left_outer": "left", "leftouter": "left", "semi": "left_semi", "anti": "left_anti"}.get(how, how)
+    how = _NAMES.get(how, how)
     pairs = [(k, k) if isinstance(k, str) else tuple(k) for k in on]
     keys = [lk for lk, _ in pairs]
-    renamed = [(rk, lk) for lk, rk in pairs if rk != lk]
+    renamed = {rk: lk for lk, rk in pairs if rk != lk}
     if renamed:
-        right = right.withColumnsRenamed(dict(renamed))
-    if how not in ("inner", "left", "left_semi", "left_anti"):
+        right = right.withColumnsRenamed(renamed)
+    if how in ("left_semi", "left_anti"):
+        for k in keys:
+            right = right.where(F.col(quoted(k)).isNotNull())
+        right = right.select(*[F.col(quoted(k)) for k in keys]).distinct()
+    if how == "left" and right_hot:
+        missing = skew_join(left, right, keys, "left_anti")
+        blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields if f.name not in keys]
+        return skew_join(left, right, keys).unionByName(missing.select("*", *blank))
+    if how not in ("left", "left_anti"):
         return left.join(right, keys, how)
-    if hot is not None:
-        hk = list(hot)
-    elif left.sparkSession.conf.get(DETECT_CONF, "sample") == "off":
-        hk = []  # the session relies on AQE skew splitting; NULL keys are still routed around the shuffle
-    else:
-        hk = hot_keys(left, keys, hot_fraction, sample_fraction)
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    is_hot = F.coalesce(hot_key_condition(keys, hk), F.lit(False)) if hk else F.lit(False)
-    parts = []
-    cold = left.filter(~null_key & ~is_hot).join(right.filter(~null_key & ~is_hot), keys, how)
-    parts.append(cold)
-    nulls = _null_key_rows(left.filter(null_key), right, keys, how)
-    if nulls is not None:
-        parts.append(nulls)
-    if hk:
-        l_hot, r_hot = left.filter(is_hot), right.filter(is_hot)
-        if (len(hk) if right_unique else r_hot.count()) <= max_broadcast_rows:
-            parts.append(l_hot.join(F.broadcast(r_hot), keys, how))
-        else:
-            salted_l = l_hot.withColumn(_SALT, (F.rand(seed=31) * salt_buckets).cast("int"))
-            salted_r = r_hot.withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-            parts.append(salted_l.join(salted_r, keys + [_SALT], how).drop(_SALT))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def hot_key_condition(keys: Sequence[str], hot: list[tuple]) -> Column:
-    """Predicate "key is one of the hot keys" (an IN list for a single key)."""
-    if len(keys) == 1:
-        return F.col(keys[0]).isin(*[v[0] for v in hot])
-    cond = F.lit(False)
-    for values in hot:
-        one = F.lit(True)
-        for k, v in zip(keys, values):
-            one = one & (F.col(k) == F.lit(v))
-        cond = cond | one
-    return cond
+    left_salt, right_salt = _salts(keys)
+    return (left.withColumn(_SALT, left_salt).join(right.withColumn(_SALT, right_salt), [*keys, _SALT], how)
+            .drop(_SALT))
