@@ -2,25 +2,22 @@
 
 A plain ``Window.partitionBy(g).orderBy(k)`` sends every row of a group to one
 task, and a window without ``partitionBy`` sends the whole table to one task.
-Both break when one group (or the table) holds a third of all rows. Here the
-rows are *range*-partitioned on (group, order keys, tie-breakers) instead, so
-a hot group is cut into consecutive pieces on several partitions:
-
-  1. ``repartitionByRange(n, group, order, tie)`` + ``sortWithinPartitions``;
-     the tie-breaker is a hash of the remaining columns, so a hot key still
-     splits across partitions and the driver's range sample stays small;
-  2. ``spark_partition_id`` / ``monotonically_increasing_id`` give every row
-     its piece and position; the piece table (one row per (partition, group))
-     carries counts and first positions, and a window over the pieces of each
-     group (at most ``n`` pieces per group) yields each piece's offset;
-  3. rows join their piece (broadcast when there is no group: at most ``n``
-     rows; otherwise Spark/AQE sizes the join at run time).
-
-Both uses of the ranged rows read one reused shuffle (same plan subtree), and a
-``repartitionByRange`` with an explicit count is never re-coalesced by AQE, so
-partition ids agree between the piece table and the rows. Range bounds are
-fixed once per exchange, so recomputed tasks after executor loss place and
-order rows identically.
+
+Groups are counted first (keys only, map-side combined). Groups below
+``HOT_ROWS`` take the plain window: one exchange of full rows. Larger ones -
+there are at most rows / ``HOT_ROWS`` of them - and numbering without groups are
+*range*-partitioned on (group, order keys, tie-breaker), so a hot group is cut
+into consecutive pieces on several partitions:
+
+  1. ``repartitionByRange`` + ``sortWithinPartitions``; the tie-breaker is a hash
+     of the remaining columns, so equal order keys still split and the driver's
+     range sample stays small;
+  2. every row gets its partition and position, and the result is checkpointed
+     in the shared folder: piece table and rows are read from the same files,
+     whatever Spark reuses or recomputes;
+  3. the piece table - at most one row per partition and hot group boundary -
+     carries counts and first positions; a window over a group's pieces yields
+     each piece's offset, and the pieces are broadcast to the rows.
 """
 
 from __future__ import annotations
@@ -32,12 +29,14 @@ from pyspark.sql import functions as F
 
 
 from ferry.functions.fingerprint import hash_inputs
+from ferry.functions.text import quoted
+from ferry.session import checkpoint_dir
 
 _PID, _MID, _START, _END, _N, _OFF, _LASTPIECE = "_f_pid", "_f_mid", "_f_start", "_f_end", "_f_n", "_f_off", "_f_lastpiece"
 
 
 def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return F.col(quoted(c)) if isinstance(c, str) else c
 
 
 def _names(cols: Sequence[Column | str]) -> set[str]:
@@ -45,7 +44,7 @@ def _names(cols: Sequence[Column | str]) -> set[str]:
 
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
-MAX_PARTITIONS = 200_000
+HOT_ROWS = 2_000_000
 
 
 def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -73,7 +72,7 @@ def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES)
     known = [x for x in sizes if x < unknown]
     if not known:
         return floor
-    return max(floor, min(MAX_PARTITIONS, -(-sum(known) // target_bytes)))
+    return max(floor, -(-sum(known) // target_bytes))
 
 
 def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str] = (),
@@ -86,79 +85,115 @@ def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequen
     # partitions while the range sample the driver collects stays a few longs
     # per row, whatever the width of the columns (whole texts, maps)
     tie = [F.xxhash64(*hash_inputs(df, rest))] if rest else []
-    keys = [F.col(c) for c in partition_by] + [_col(c) for c in order_by] + tie
+    keys = [_col(c) for c in partition_by] + [_col(c) for c in order_by] + tie
+    checkpoint_dir(df.sparkSession)
     ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
               .withColumn(_PID, F.spark_partition_id())
-              .withColumn(_MID, F.monotonically_increasing_id()))
-    grp = [_PID, *partition_by]
-    pieces = ranged.groupBy(*grp).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_START),
+              .withColumn(_MID, F.monotonically_increasing_id())).checkpoint(eager=True)
+    groups = [_col(c) for c in partition_by]
+    pieces = ranged.groupBy(_PID, *groups).agg(F.count(F.lit(1)).alias(_N), F.min(_MID).alias(_START),
                                       F.max(_MID).alias(_END))
-    w = Window.partitionBy(*partition_by).orderBy(_PID) if partition_by else Window.orderBy(_PID)
+    w = Window.partitionBy(*groups).orderBy(_PID) if partition_by else Window.orderBy(_PID)
     pieces = (pieces.withColumn(_OFF, F.coalesce(F.sum(_N).over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
               .withColumn(_LASTPIECE, F.lead(_PID).over(w).isNull()))
     return ranged, pieces
 
 
 def _attach(ranged: DataFrame, pieces: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    if not partition_by:
-        return ranged.join(F.broadcast(pieces), _PID)
-    cond = [ranged[_PID] == pieces[_PID]] + [ranged[c].eqNullSafe(pieces[c]) for c in partition_by]
-    joined = ranged.join(pieces, cond)
-    return joined.select(ranged["*"], *[pieces[c] for c in (_N, _START, _END, _OFF, _LASTPIECE)])
+    """Rows with their piece; the pieces are few (see the module text)."""
+    names = [c for c in pieces.columns if c != _PID and c not in partition_by]
+    renamed = pieces.select(F.col(_PID).alias("_f_ppid"), *[_col(c).alias(f"_f_g{i}") for i, c in enumerate(partition_by)], *names)
+    cond = F.col(_PID) == F.col("_f_ppid")
+    for i, c in enumerate(partition_by):
+        cond = cond & _col(c).eqNullSafe(F.col(f"_f_g{i}"))
+    return ranged.join(F.broadcast(renamed), cond).drop("_f_ppid", *[f"_f_g{i}" for i in range(len(partition_by))])
 
 
 def _clean(df: DataFrame) -> DataFrame:
     return df.drop(_PID, _MID, _START, _END, _N, _OFF, _LASTPIECE)
 
 
+def _by_size(df: DataFrame, partition_by: Sequence[str], hot_rows: int) -> tuple[DataFrame | None, DataFrame | None]:
+    """(rows of ordinary groups, rows of hot groups); None where there are no such rows."""
+    if not partition_by:
+        return None, df
+    keys = df.groupBy(*[_col(c) for c in partition_by]).agg(F.count(F.lit(1)).alias(_N)).where(F.col(_N) >= hot_rows)
+    checkpoint_dir(df.sparkSession)
+    hot = keys.select(*[_col(c).alias(f"_f_g{i}") for i, c in enumerate(partition_by)]).checkpoint(eager=True)
+    if not hot.take(1):
+        return df, None
+    cond = F.lit(True)
+    for i, c in enumerate(partition_by):
+        cond = cond & _col(c).eqNullSafe(F.col(f"_f_g{i}"))
+    return df.join(F.broadcast(hot), cond, "left_anti"), df.join(F.broadcast(hot), cond, "left_semi")
+
+
+def _united(parts: list[DataFrame]) -> DataFrame:
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def row_number(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str] = (),
-               out: str = "row_number", start: int = 1, step: int = 1, num_partitions: int | None = None) -> DataFrame:
+               out: str = "row_number", start: int = 1, step: int = 1, num_partitions: int | None = None,
+               hot_rows: int = HOT_ROWS) -> DataFrame:
     """ROW_NUMBER() OVER ([PARTITION BY ...] ORDER BY ...) as ``out`` (first column)."""
-    ranged, pieces = spread(df, order_by, partition_by, num_partitions)
-    j = _attach(ranged, pieces, partition_by)
-    rn = (F.col(_MID) - F.col(_START) + F.col(_OFF)) * step + start
-    return _clean(j.select(rn.cast("long").alias(out), *[F.col(c) for c in j.columns]))
+    cold, hot = _by_size(df, partition_by, hot_rows)
+    rest = [_col(c) for c in df.columns]
+    parts = []
+    if cold is not None:
+        w = Window.partitionBy(*[_col(c) for c in partition_by]).orderBy(*[_col(c) for c in order_by])
+        parts.append(cold.select(((F.row_number().over(w) - 1) * step + start).cast("long").alias(out), *rest))
+    if hot is not None:
+        ranged, pieces = spread(hot, order_by, partition_by, num_partitions)
+        rn = (F.col(_MID) - F.col(_START) + F.col(_OFF)) * step + start
+        parts.append(_attach(ranged, pieces, partition_by).select(rn.cast("long").alias(out), *rest))
+    return _united(parts)
 
 
 def identity_generate(df: DataFrame, order_by: Sequence[Column | str], out: str = "id", seed: int = 1,
                       step: int = 1, num_partitions: int | None = None) -> DataFrame:
-    """IDENTITY(seed, step) values for rows in ``order_by`` order: dense, gap-free, one pass."""
+    """IDENTITY(seed, step) values for rows in ``order_by`` order: dense, gap-free."""
     return row_number(df, order_by, (), out, seed, step, num_partitions)
 
 
-def with_offset(df: DataFrame, base: DataFrame, key: str, out: str) -> DataFrame:
-    """Identity values continuing after ``max(key)`` of an existing ``base`` table (one scalar)."""
-    top = base.agg(F.coalesce(F.max(key), F.lit(0)).alias("_top")).collect()[0][0]
-    return df.withColumn(out, F.col(out) + F.lit(int(top)))
-
-
 def last_in_group(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str],
-                  out: str = "is_last", num_partitions: int | None = None) -> DataFrame:
+                  out: str = "is_last", num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """LEAD(x) OVER (PARTITION BY g ORDER BY k) IS NULL: the last row of each group."""
-    ranged, pieces = spread(df, order_by, partition_by, num_partitions)
-    j = _attach(ranged, pieces, partition_by)
-    flag = (F.col(_MID) == F.col(_END)) & F.col(_LASTPIECE)
-    return _clean(j.withColumn(out, flag))
+    cold, hot = _by_size(df, partition_by, hot_rows)
+    parts = []
+    if cold is not None:
+        w = Window.partitionBy(*[_col(c) for c in partition_by]).orderBy(*[_col(c) for c in order_by])
+        parts.append(cold.withColumn(out, F.lead(F.lit(1)).over(w).isNull()))
+    if hot is not None:
+        ranged, pieces = spread(hot, order_by, partition_by, num_partitions)
+        flag = (F.col(_MID) == F.col(_END)) & F.col(_LASTPIECE)
+        parts.append(_clean(_attach(ranged, pieces, partition_by).withColumn(out, flag)))
+    return _united(parts)
 
 
 def next_key(df: DataFrame, key: str, partition_by: Sequence[str], out: str = "next_key",
-             num_partitions: int | None = None) -> DataFrame:
+             num_partitions: int | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
     """COALESCE(MIN(key) over the following rows of the group, key + 1) for a unique key.
 
-    Inside a piece the next row is a ``lead`` over (group, piece) - a hot group
-    is several pieces, so several tasks; the last row of a piece takes the
-    first key of the next piece of its group.
+    In a hot group the next row is a ``lead`` inside the piece - several pieces,
+    so several tasks; the last row of a piece takes the first key of the next
+    piece of its group.
     """
-    ranged, pieces = spread(df, [key], partition_by, num_partitions)
-    firsts = ranged.groupBy(_PID, *partition_by).agg(F.min(key).alias("_f_first"))
-    w = Window.partitionBy(*partition_by).orderBy(_PID) if partition_by else Window.orderBy(_PID)
-    nxt = firsts.withColumn("_f_next_piece", F.lead("_f_first").over(w)).drop("_f_first")
-    within = Window.partitionBy(_PID, *partition_by).orderBy(_MID)
-    rows = ranged.withColumn("_f_lead", F.lead(key).over(within))
-    if partition_by:
-        cond = [rows[_PID] == nxt[_PID]] + [rows[c].eqNullSafe(nxt[c]) for c in partition_by]
-        j = rows.join(nxt, cond).select(rows["*"], nxt["_f_next_piece"])
-    else:
-        j = rows.join(F.broadcast(nxt), _PID)
-    res = j.withColumn(out, F.coalesce(F.col("_f_lead"), F.col("_f_next_piece"), F.col(key) + 1))
-    return _clean(res.drop("_f_lead", "_f_next_piece"))
+    cold, hot = _by_size(df, partition_by, hot_rows)
+    groups = [_col(c) for c in partition_by]
+    parts = []
+    if cold is not None:
+        w = Window.partitionBy(*groups).orderBy(_col(key))
+        parts.append(cold.withColumn(out, F.coalesce(F.lead(_col(key)).over(w), _col(key) + 1)))
+    if hot is not None:
+        ranged, _ = spread(hot, [key], partition_by, num_partitions)
+        firsts = ranged.groupBy(_PID, *groups).agg(F.min(_col(key)).alias("_f_first"))
+        w = Window.partitionBy(*groups).orderBy(_PID) if partition_by else Window.orderBy(_PID)
+        nxt = firsts.withColumn("_f_next_piece", F.lead("_f_first").over(w)).drop("_f_first")
+        rows = ranged.withColumn("_f_lead", F.lead(_col(key)).over(Window.partitionBy(_PID, *groups).orderBy(_MID)))
+        res = _attach(rows, nxt, partition_by).withColumn(
+            out, F.coalesce(F.col("_f_lead"), F.col("_f_next_piece"), _col(key) + 1))
+        parts.append(_clean(res.drop("_f_lead", "_f_next_piece")))
+    return _united(parts)
