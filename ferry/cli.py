@@ -48,6 +48,7 @@ def build_parser() -> argparse.ArgumentParser:
     p.add_argument("--export-computed", action="store_true")
     p.add_argument("--no-identity", action="store_true", help="do not export identity columns")
     p.add_argument("--allow-not-null-exceptions", action="store_true")
+    p.add_argument("--strict", action="store_true", help="fail on excluded columns that no chosen table has")
     p.add_argument("--no-delimiter-check", action="store_true")
     p.add_argument("--target-kind", choices=["typed", "inferred"], default="typed")
     p.add_argument("--parallel", type=int, default=4)
@@ -63,10 +64,15 @@ def options_from(args: argparse.Namespace) -> TransferOptions:
     return TransferOptions(fmt=fmt, columns_except=args.columns_except, types_except=args.types_except,
                            export_identity=not args.no_identity, export_computed=args.export_computed,
                            allow_not_null_exceptions=args.allow_not_null_exceptions,
-                           check_delimiters=not args.no_delimiter_check, parallel=args.parallel,
+                           check_delimiters=not args.no_delimiter_check, strict=args.strict, parallel=args.parallel,
                            target=args.target_kind, list_sep=args.list_sep, wildcard=args.wildcard or None)
 
 
+def show_all(df) -> None:
+    """Print every row of a report (one row per table or column of the run)."""
+    df.show(max(1, df.count()), truncate=False)
+
+
 def main(argv: list[str] | None = None) -> int:
     args = build_parser().parse_args(argv)
     if args.master:
@@ -77,17 +83,18 @@ def main(argv: list[str] | None = None) -> int:
     opts = options_from(args)
     plans = plan_transfer(spark, catalog_from_dir(args.source, spark=spark), opts, args.schemas, args.tables,
                           args.schemas_except, args.tables_except, args.all_tables)
-    columns_report(spark, plans).show(1000, truncate=False)
+    show_all(columns_report(spark, plans))
     if args.what_if:
-        format_layout(spark, plans, opts.fmt).show(10000, truncate=False)
-        what_if(plans, opts).orderBy("table_name").show(1000, truncate=False)
+        show_all(format_layout(spark, plans, opts.fmt))
+        show_all(what_if(plans, opts).orderBy("table_name"))
         return 0
     exported = run_export(spark, plans, args.landing, opts)
-    report_frame(exported).show(1000, truncate=False)
-    failed = exported.filter("error <> 'None'").count()
+    show_all(report_frame(exported))
+    broken = {r.table_name for r in exported.filter("error <> 'None'").select("table_name").collect()}
+    failed = len(broken)
     if args.target:
-        loaded = run_import(spark, plans, args.landing, args.target, opts)
-        report_frame(loaded).show(1000, truncate=False)
+        loaded = run_import(spark, [p for p in plans if p.name not in broken], args.landing, args.target, opts)
+        show_all(report_frame(loaded))
         failed += loaded.filter("error <> 'None'").count()
     return 1 if failed else 0
 

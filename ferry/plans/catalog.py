@@ -7,7 +7,6 @@ the number of tables, so it runs on the driver. Everything that looks at rows
 
 from __future__ import annotations
 
-import os
 import re
 from dataclasses import dataclass
 
@@ -15,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.render import render, render_field
-from ferry.operators.names import as_list, is_wildcard, like_to_regex
+from ferry.functions.text import quoted
+from ferry.operators.names import as_list, is_wildcard, like_body
 from ferry.sources.delimited import FileFormat, encode
 
 
@@ -40,11 +40,12 @@ class TableRef:
 def _list_dir(root: str, spark=None) -> list[tuple[str, str, bool]]:
     """(name, full path, is directory) of the entries of ``root``.
 
-    With a session, the listing goes through the Hadoop FileSystem of the path
-    (HDFS, object stores, local); without one, the local file system.
+    The listing goes through the Hadoop FileSystem of the path (HDFS, object
+    stores, local).
     """
     if spark is None:
-        return [(e, os.path.join(root, e), os.path.isdir(os.path.join(root, e))) for e in sorted(os.listdir(root))]
+        from pyspark.sql import SparkSession
+        spark = SparkSession.active()
     jvm = spark.sparkContext._jvm
     path = jvm.org.apache.hadoop.fs.Path(root)
     fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -83,9 +84,9 @@ def _expand(entries: list[str], universe: list[str], wildcard: str | None) -> li
     out: dict[str, None] = {}
     for e in entries:
         if is_wildcard(e, wildcard):
-            rx = re.compile(like_to_regex(e, wildcard), re.IGNORECASE)
+            rx = re.compile(like_body(e, wildcard), re.IGNORECASE | re.DOTALL)
             for u in universe:
-                if rx.match(u):
+                if rx.fullmatch(u):
                     out.setdefault(u, None)
         else:
             out.setdefault(e, None)
@@ -144,7 +145,7 @@ def format_fields(df: DataFrame, fmt: FileFormat) -> DataFrame:
     """
     spark = df.sparkSession
     fields = df.schema.fields
-    agg = df.agg(*[F.max(F.octet_length(render(F.col(f.name), f.dataType))).alias(f"m{i}")
+    agg = df.agg(*[F.max(F.octet_length(render(f.name, f.dataType))).alias(f"m{i}")
                    for i, f in enumerate(fields)]).collect()[0]
     n = len(fields)
     rows = [(i + 1, f.name, agg[f"m{i}"], fmt.line_sep if i == n - 1 else fmt.field_delim)
@@ -152,13 +153,13 @@ def format_fields(df: DataFrame, fmt: FileFormat) -> DataFrame:
     return spark.createDataFrame(rows, "field_no int, column_name string, max_len int, terminator string")
 
 
-def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat) -> DataFrame:
+def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat, parallel: int = 4) -> DataFrame:
     """What a transfer would move, writing nothing: (table_name, rows, bytes) per table.
 
     ``bytes`` counts every record with its separator, plus the header record,
     as landed without compression (gzip parts come out smaller).
     """
-    parts = []
+    queries = []
     sep_len = len(fmt.line_sep.encode("utf-8"))
     fd_len = len(fmt.field_delim.encode("utf-8"))
     for name, df in tables.items():
@@ -169,13 +170,15 @@ def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat) -> DataFrame:
         field_bytes = sum((F.octet_length(render_field(f.name, f.dataType, fmt.nulls)) for f in df.schema.fields),
                           F.lit(0))
         rows = F.count(F.lit(1))
-        parts.append(df.agg(F.lit(name).alias("table_name"), rows.alias("rows"),
+        queries.append(df.agg(F.lit(name).alias("table_name"), rows.alias("rows"),
                             (F.coalesce(F.sum(field_bytes.cast("long")), F.lit(0)) + rows * per_row + hdr)
                             .cast("long").alias("bytes")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    from concurrent.futures import ThreadPoolExecutor
+    # One small job per table, a few at a time: a union of a thousand plans would be one huge plan.
+    with ThreadPoolExecutor(max_workers=max(1, min(parallel, len(queries)))) as pool:
+        found = list(pool.map(lambda q: tuple(q.first()), queries))
+    from pyspark.sql import SparkSession
+    return SparkSession.active().createDataFrame(found, "table_name string, rows long, bytes long")
 
 
 def column_summary(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
@@ -187,11 +190,10 @@ def column_summary(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
     fields = df.schema.fields
     aggs = [F.count(F.lit(1)).alias("rows")]
     for i, f in enumerate(fields):
-        c = F.col(f.name)
+        c = F.col(quoted(f.name))
         aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
         aggs.append((F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"d{i}"))
     agg = df.agg(*aggs)
-    stack = ", ".join(f"{i + 1}, '{f.name}', n{i}, d{i}" for i, f in enumerate(fields))
-    return agg.selectExpr(f"'{table}' as table_name",
-                          f"stack({len(fields)}, {stack}) as (ordinal, column_name, nulls, distinct_values)",
-                          "rows")
+    cells = [x for i, f in enumerate(fields) for x in (F.lit(i + 1), F.lit(f.name), F.col(f"n{i}"), F.col(f"d{i}"))]
+    return agg.select(F.lit(table).alias("table_name"),
+                      F.stack(F.lit(len(fields)), *cells).alias("ordinal", "column_name", "nulls", "distinct_values"), "rows")

@@ -14,6 +14,7 @@ per table on import, run concurrently from a bounded thread pool.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -21,12 +22,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions.render import is_supported
-from ferry.operators.columns import choose_columns, columns_plan, flag_of
+from ferry.operators.columns import COLUMNS_SCHEMA, choose_columns, columns_rows, flag_of, unknown_names
 from ferry.operators.numbering import identity_generate
-from ferry.plans.catalog import TableRef, plan_preview, select_tables
-from ferry.plans.transfer import (FingerprintTap, TransferResult, export_table, fingerprints, import_inferred,
+from ferry.plans.catalog import SelectionError, TableRef, plan_preview, select_tables
+from ferry.plans.transfer import (FingerprintTap, TransferResult, fingerprints, import_inferred,
                                   import_table, load_into, metrics_frame, run_parallel)
-from ferry.sources.delimited import FileFormat, read_manifest, write_delimited, write_manifest
+from ferry.functions.text import quoted
+from ferry.sources.delimited import (FileFormat, discard, has_data, publish, read_manifest, refusal, refuse,
+                                     write_delimited, write_manifest)
 
 
 @dataclass(frozen=True)
@@ -38,6 +41,7 @@ class TransferOptions:
     export_computed: bool = False
     allow_not_null_exceptions: bool = False
     check_delimiters: bool = True
+    strict: bool = False           # an excluded column that no chosen table has is an error
     parallel: int = 4
     target: str = "typed"          # "typed": append by name into existing / source schema; "inferred": replace
     identity_order: dict[str, list[str]] = field(default_factory=dict)
@@ -88,21 +92,21 @@ def plan_transfer(spark: SparkSession, catalog: list[TableRef], opts: TransferOp
                   schemas_except=None, tables_except=None, all_tables: bool = False) -> list[TablePlan]:
     refs = select_tables(catalog, schemas, tables, schemas_except, tables_except, all_tables,
                          wildcard=opts.wildcard, sep=opts.list_sep)
-    if len(refs) <= 1 or opts.parallel <= 1:
-        return [plan_table(spark, r, opts) for r in refs]
     # each plan reads one table's schema (a small Spark job): overlap them
     from concurrent.futures import ThreadPoolExecutor
-    with ThreadPoolExecutor(max_workers=min(opts.parallel, len(refs))) as pool:
-        return list(pool.map(lambda r: plan_table(spark, r, opts), refs))
+    with ThreadPoolExecutor(max_workers=max(1, min(opts.parallel, len(refs)))) as pool:
+        plans = list(pool.map(lambda r: plan_table(spark, r, opts), refs))
+    if opts.strict:
+        missing = [set(unknown_names(p.source, opts.columns_except, opts.wildcard, opts.list_sep)) for p in plans]
+        if unknown := set.intersection(*missing):
+            raise SelectionError("excluded columns not found in any chosen table: " + ", ".join(sorted(unknown)))
+    return plans
 
 
 def columns_report(spark: SparkSession, plans: list[TablePlan]) -> DataFrame:
     """All columns of all chosen tables with their flags, ordered by table and ordinal."""
-    parts = [columns_plan(spark, p.name, p.source, p.exported) for p in plans]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("table_name", "ordinal")
+    rows = [row for p in plans for row in columns_rows(p.name, p.source, p.exported)]
+    return spark.createDataFrame(rows, COLUMNS_SCHEMA).orderBy("table_name", "ordinal")
 
 
 LAYOUT_SCHEMA = T.StructType([
@@ -134,7 +138,7 @@ def format_layout(spark: SparkSession, plans: list[TablePlan], fmt: FileFormat)
 
 def what_if(plans: list[TablePlan], opts: TransferOptions) -> DataFrame:
     """Rows and landed bytes each table would move; nothing is written."""
-    return plan_preview({p.name: p.exported for p in plans if p.error is None}, opts.fmt)
+    return plan_preview({p.name: p.exported for p in plans if p.error is None}, opts.fmt, opts.parallel)
 
 
 def _failed(name: str, msg: str) -> TransferResult:
@@ -146,30 +150,36 @@ def _failed(name: str, msg: str) -> TransferResult:
 def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts: TransferOptions) -> DataFrame:
     """Land every planned table under ``landing/<schema>.<table>``; metrics DataFrame.
 
+    Every table is written to a folder of its own beside the landing and
+    published (its files renamed into place) only when the write has ended well.
     With ``check_delimiters`` the same pass counts records that would not read
-    back; a table with any is reported as failed (its files are not loadable).
+    back; a table with any is not published, and its landing is marked so that
+    ``run_import`` refuses it until an export succeeds. A manifest with the rows
+    and the fingerprint of every published batch stays next to its files.
     """
     def item(p: TablePlan):
         path = f"{landing.rstrip('/')}/{p.name}"
         if p.error:
             return _failed(p.name, p.error)
-        if not opts.check_delimiters:
-            return export_table(p.exported, path, opts.fmt, p.name, mode=opts.landing_mode)
         from datetime import datetime
         start = datetime.now()
-        # the fingerprint of the rows written rides along the same pass and is kept
-        # next to the landed files, so the import can verify without re-reading
-        keep_fp = opts.verify and opts.landing_mode == "overwrite"
-        stats: dict = {"fingerprint": keep_fp}
+        made = f"{landing.rstrip('/')}/_ferry_batch_{uuid.uuid4().hex}"
+        stats: dict = {"fingerprint": True}
+        rows, err = None, None
         try:
-            rows = write_delimited(p.exported, path, opts.fmt, mode=opts.landing_mode, stats=stats)
-            err = None if stats["unsafe"] == 0 else \
-                f"{stats['unsafe']} records contain the field delimiter or record separator"
-            if keep_fp:
-                write_manifest(spark, path, {"rows": rows, "fingerprint": list(stats["fingerprint"]),
+            rows = write_delimited(p.exported, made, opts.fmt, stats=stats)
+            if stats["unsafe"] and opts.check_delimiters:
+                err = f"{stats['unsafe']} records contain the field delimiter or record separator"
+                discard(spark, made)
+                refuse(spark, path, err)
+            else:
+                write_manifest(spark, made, {"rows": rows, "fingerprint": list(stats["fingerprint"]),
                                              "columns": p.exported.columns})
-        except Exception as exc:  # noqa: BLE001
+                publish(spark, made, path, replace_all=opts.landing_mode == "overwrite")
+        except Exception as exc:  # noqa: BLE001 - one failing table must not stop the others
             rows, err = None, f"{type(exc).__name__}: {str(exc).splitlines()[0] if str(exc) else ''}"
+            discard(spark, made)
+            refuse(spark, path, err)
         return TransferResult(p.name, start, datetime.now(), rows, err, path)
 
     return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
@@ -194,6 +204,9 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
             return _failed(p.name, p.error)
         path = f"{landing.rstrip('/')}/{p.name}"
         dest = f"{target_root.rstrip('/')}/{p.name}"
+        refused = refusal(spark, path)
+        if refused:
+            return _failed(p.name, f"not loaded, its export failed: {refused}")
         if opts.target == "inferred":
             if not opts.fmt.header:
                 return _failed(p.name, "an inferred-schema load needs a header record")
@@ -204,7 +217,7 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
         missing_ids = [f.name for f in schema.fields if flag_of(f, "identity") and f.name not in p.exported.columns]
         for col in missing_ids:
             order = opts.identity_order.get(p.name) or [c for c in p.exported.columns][:1]
-            df = _continue_identity(spark, df.drop(col), col, order, dest).select(*schema.names)
+            df = _continue_identity(spark, df.drop(col), col, order, dest).select(*[F.col(quoted(n)) for n in schema.names])
         manifest = read_manifest(spark, path) if opts.verify else None
         # the exported columns pass into the target unchanged (same names up to case, same
         # types): tap them on the final rows, in the final stage of the write, in export order
@@ -236,10 +249,9 @@ def _existing_schema(spark: SparkSession, dest: str, source: T.StructType) -> T.
     Column flags (identity, computed, ...) come from the source column of the
     same name, since a stored table does not keep them.
     """
-    try:
-        existing = spark.read.parquet(dest).schema
-    except Exception:  # noqa: BLE001 - no target yet
+    if not has_data(spark, dest):
         return None
+    existing = spark.read.parquet(dest).schema  # a target that cannot be read is an error, not an absent one
     src = {f.name.lower(): f for f in source.fields}
     return T.StructType([T.StructField(f.name, f.dataType, f.nullable,
                                        {**(src[f.name.lower()].metadata if f.name.lower() in src else {}),
@@ -250,15 +262,15 @@ def _existing_schema(spark: SparkSession, dest: str, source: T.StructType) -> T.
 def _to_target(parsed: DataFrame, schema: T.StructType) -> DataFrame:
     """Parsed file columns into the target schema by name; absent columns NULL."""
     have = {c.lower(): c for c in parsed.columns}
-    return parsed.select(*[F.col(have[f.name.lower()]).cast(f.dataType).alias(f.name) if f.name.lower() in have
+    return parsed.select(*[F.col(quoted(have[f.name.lower()])).cast(f.dataType).alias(f.name) if f.name.lower() in have
                            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def _continue_identity(spark: SparkSession, df: DataFrame, col: str, order: list[str], dest: str) -> DataFrame:
-    try:
-        top = spark.read.parquet(dest).agg(F.max(col)).collect()[0][0] or 0
-    except Exception:  # noqa: BLE001 - no target yet
-        top = 0
+    top = 0
+    if has_data(spark, dest):
+        # A failing read or a missing column fails the load: numbering from 1 again would repeat identities.
+        top = spark.read.parquet(dest).agg(F.max(F.col(quoted(col)))).collect()[0][0] or 0
     return identity_generate(df, order, out=col, seed=int(top) + 1)
 
 

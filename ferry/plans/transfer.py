@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions.text import quoted
 from ferry.functions.fingerprint import fingerprint_aggs, from_metrics, row_hashes
 from ferry.sources.delimited import (FileFormat, infer_fields, read_delimited, read_header,
                                      read_records, parse_records, write_delimited)
@@ -201,16 +202,16 @@ def verify_round_trip(source: DataFrame, landed: DataFrame) -> DataFrame:
     maps = {f.name for f in source.schema.fields if "map<" in f.dataType.simpleString()}
 
     def side(df: DataFrame, s: int, l: int) -> DataFrame:
-        return df.select(*[F.to_json(c).alias(c) if c in maps else F.col(c) for c in cols],
+        return df.select(*[F.to_json(F.col(quoted(c))).alias(c) if c in maps else F.col(quoted(c)) for c in cols],
                          F.lit(s).alias("_f_s"), F.lit(l).alias("_f_l"))
 
     tagged = side(source, 1, 0).unionByName(side(landed, 0, 1))
-    counts = tagged.groupBy(*cols).agg(F.sum("_f_s").alias("source_rows"), F.sum("_f_l").alias("landed_rows"))
+    counts = tagged.groupBy(*[F.col(quoted(c)) for c in cols]).agg(F.sum("_f_s").alias("source_rows"), F.sum("_f_l").alias("landed_rows"))
     return counts.filter(F.col("source_rows") != F.col("landed_rows"))
 
 
 def _fingerprint_row(df: DataFrame, columns: list[str], side: int) -> DataFrame:
-    d = df.select(*columns)
+    d = df.select(*[F.col(quoted(c)) for c in columns])
     h1, h2 = row_hashes(d)
     return d.agg(F.lit(side).alias("side"), *fingerprint_aggs(h1, h2))
 

@@ -18,6 +18,7 @@ import uuid
 
 from dataclasses import dataclass, replace
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -136,7 +137,8 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     return int(got.get("rows", 0) or 0)
 
 
-MANIFEST_FILE = "_ferry_manifest.json"
+MANIFEST_PREFIX = "_ferry_manifest"
+REFUSED_FILE = "_ferry_refused.json"
 
 
 def _hadoop_fs(spark: SparkSession, path: str):
@@ -145,66 +147,108 @@ def _hadoop_fs(spark: SparkSession, path: str):
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def write_manifest(spark: SparkSession, path: str, info: dict) -> None:
-    """Facts of one landing (rows, fingerprint, columns) as a hidden file readers skip.
+def file_names(spark: SparkSession, path: str) -> list[str]:
+    """Names below a folder, or [] if there is no such folder (through the path's own file system)."""
+    p, fs = _hadoop_fs(spark, path)
+    return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
-    One small metadata file, written through the path's Hadoop FileSystem
-    (no Spark job); without a JVM gateway it is written by a one-row Spark job.
-    """
+
+def has_data(spark: SparkSession, path: str) -> bool:
+    return any(not n.startswith(("_", ".")) for n in file_names(spark, path))
+
+
+def _write_small(spark: SparkSession, target: str, info: dict) -> None:
     import json
-    text = json.dumps(info)
-    target = f"{path.rstrip('/')}/{MANIFEST_FILE}"
+    p, fs = _hadoop_fs(spark, target)
+    out = fs.create(p, True)
     try:
-        p, fs = _hadoop_fs(spark, target)
-        out = fs.create(p, True)
-        try:
-            out.write(bytearray(text.encode("utf-8")))
-        finally:
-            out.close()
-    except AttributeError:
-        spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("overwrite").text(target)
+        out.write(bytearray(json.dumps(info).encode("utf-8")))
+    finally:
+        out.close()
 
 
-def read_manifest(spark: SparkSession, path: str) -> dict | None:
+def _read_small(spark: SparkSession, target: str) -> dict:
     import json
-    target = f"{path.rstrip('/')}/{MANIFEST_FILE}"
+    p, fs = _hadoop_fs(spark, target)
+    stream = fs.open(p)
     try:
-        p, fs = _hadoop_fs(spark, target)
-        if not fs.exists(p):
-            return None
-        if fs.getFileStatus(p).isDirectory():
-            rows = spark.read.text(target).limit(1).collect()
-            return json.loads(rows[0][0]) if rows else None
-        stream = fs.open(p)
-        try:
-            reader = spark.sparkContext._jvm.java.io.BufferedReader(
-                spark.sparkContext._jvm.java.io.InputStreamReader(stream, "UTF-8"))
-            line = reader.readLine()
-        finally:
-            stream.close()
-        return json.loads(line) if line else None
-    except AttributeError:
-        try:
-            rows = spark.read.text(target).limit(1).collect()
-        except Exception:  # noqa: BLE001 - landed without a manifest
-            return None
-        return json.loads(rows[0][0]) if rows else None
+        java = spark.sparkContext._jvm.java.io
+        return json.loads(java.BufferedReader(java.InputStreamReader(stream, "UTF-8")).readLine())
+    finally:
+        stream.close()
+
+
+def write_manifest(spark: SparkSession, path: str, info: dict) -> None:
+    """Facts of one landing batch (rows, fingerprint, columns) as a hidden file that readers skip.
+
+    Every batch has its own manifest, so appended landings add up.
+    """
+    _write_small(spark, f"{path.rstrip('/')}/{MANIFEST_PREFIX}-{uuid.uuid4().hex}.json", info)
+
+
+def read_manifest(spark: SparkSession, path: str) -> dict | None:
+    """The manifests of all batches of a landing as one (rows and fingerprint sums added), None without any."""
+    found = [_read_small(spark, f"{path.rstrip('/')}/{n}") for n in file_names(spark, path) if n.startswith(MANIFEST_PREFIX)]
+    if not found:
+        return None
+    return {"rows": sum(m["rows"] for m in found), "fingerprint": [sum(x) for x in zip(*(m["fingerprint"] for m in found))],
+            "columns": found[0]["columns"], "batches": len(found)}
+
+
+def refuse(spark: SparkSession, path: str, why: str) -> None:
+    """Mark a landing as not to be loaded."""
+    _write_small(spark, f"{path.rstrip('/')}/{REFUSED_FILE}", {"error": why})
+
+
+def refusal(spark: SparkSession, path: str) -> str | None:
+    return _read_small(spark, f"{path.rstrip('/')}/{REFUSED_FILE}")["error"] if REFUSED_FILE in file_names(spark, path) else None
+
+
+def publish(spark: SparkSession, made: str, path: str, replace_all: bool) -> None:
+    """Move a finished batch of files into ``path``; with ``replace_all`` they become its only files."""
+    source, fs = _hadoop_fs(spark, made)
+    target, _ = _hadoop_fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    if replace_all and fs.exists(target):
+        fs.delete(target, True)
+    fs.mkdirs(target)
+    for status in fs.listStatus(source):
+        name = status.getPath().getName()
+        if name != "_SUCCESS" and not fs.rename(status.getPath(), jvm.org.apache.hadoop.fs.Path(target, name)):
+            raise OSError(f"could not move {name} into {path}")
+    marker = jvm.org.apache.hadoop.fs.Path(target, REFUSED_FILE)
+    if fs.exists(marker):
+        fs.delete(marker, False)
+    fs.delete(source, True)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Remove a batch that was never published."""
+    p, fs = _hadoop_fs(spark, path)
+    fs.delete(p, True)
 
 
 def read_records(spark: SparkSession, path: str, fmt: FileFormat, skip_header: bool | None = None,
                  header_text: str | None = None) -> DataFrame:
-    """Raw records (column ``value``) of a landed directory or a foreign file.
+    """Raw records (column ``value``) of a landed directory or of foreign files.
 
-    Our own layout keeps the header alone in ``part-00000-*``; for a foreign
-    single file pass ``header_text`` and records equal to it are dropped.
+    The header is known by its content, not by the name of a part file: records
+    at the beginning of a file (its first split) that equal the header record
+    are left out, all others are data. ``header_text`` names the header; without
+    it, it is the first record (``read_header``).
     """
     raw = spark.read.option("lineSep", fmt.line_sep).text(path)
     skip = fmt.header if skip_header is None else skip_header
     if not skip:
         return raw
-    if header_text is not None:
-        return raw.filter(F.col("value") != F.lit(header_text))
-    return raw.filter(~F.col("_metadata.file_name").startswith(HEADER_FILE_PREFIX)).select("value")
+    if header_text is None:
+        header_text = header_line(read_header(spark, path, fmt), fmt)
+    is_header = (F.col("value") == F.lit(header_text)) & (F.col("_metadata.file_block_start") == 0)
+    return raw.filter(~is_header).select("value")
+
+
+class HeaderError(ValueError):
+    """A landing that should have a header record has none."""
 
 
 def read_header(spark: SparkSession, path: str, fmt: FileFormat) -> list[str]:
@@ -216,7 +260,7 @@ def read_header(spark: SparkSession, path: str, fmt: FileFormat) -> list[str]:
     rdr = spark.read.option("lineSep", fmt.line_sep)
     try:
         first = rdr.text(f"{path.rstrip('/')}/{HEADER_FILE_PREFIX}*").limit(1).collect()
-    except Exception:  # noqa: BLE001 - not our layout (no header part): a foreign file
+    except AnalysisException:  # no header part below this path: a foreign file
         first = rdr.text(path).limit(1).collect()
     if not first:
         return []
@@ -266,13 +310,23 @@ def read_delimited(spark: SparkSession, path: str, file_fields: list[T.StructFie
                    fmt: FileFormat, target: T.StructType | None = None, strict: bool = True,
                    header_text: str | None = None) -> DataFrame:
     fields = list(file_fields.fields if isinstance(file_fields, T.StructType) else file_fields)
+    if fmt.header and header_text is None:
+        # The first record must be the header of these fields; a data record is never taken for one.
+        found = read_header(spark, path, fmt)
+        if found and [n.lower() for n in found] != [f.name.lower() for f in fields]:
+            raise HeaderError(f"{path}: the first record is not the header of the expected fields")
+        header_text = header_line(found, fmt)
     records = read_records(spark, path, fmt, header_text=header_text)
     return parse_records(records, fields, fmt, target, strict)
 
 
-_INT_RE = r"^[+-]?[0-9]{1,18}$"
-_DEC_RE = r"^[+-]?[0-9]+(\.[0-9]+)?$"
-_DATE_RE = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+# Numbers as this library (or a bulk-copy tool) writes them. Codes such as 007, 1D or ' 5' are text.
+_WHOLE = r"[+-]?(0|[1-9][0-9]*)"
+_INT_RE = r"\A[+-]?(0|[1-9][0-9]{0,17})\z"
+_DEC_RE = rf"\A{_WHOLE}(\.[0-9]+)?\z"
+_DOUBLE_RE = rf"\A({_WHOLE}(\.[0-9]+)?([eE][+-]?[0-9]+)?|NaN|-?Infinity)\z"
+_DATE_RE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}\z"
+_TIME_RE = r"\A[0-9]{4}-[0-9]{2}-[0-9]{2}[ T][0-9]{2}:[0-9]{2}(:[0-9]{2}(\.[0-9]{1,9})?)?\z"
 
 
 def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
@@ -284,6 +338,8 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
     boolean (literal true / false only), bigint, decimal(p, s) (plain digits
     with a point; p and s from the longest integer and fraction parts, p <= 38),
     double, date, timestamp, string. Decimal before double keeps money exact.
+    Text that a number would not give back (leading zeros, blanks, letters as
+    in ``1D``) keeps its column a string.
     The whole file is read unless ``sample_fraction`` is given.
     """
     if names is None:
@@ -307,9 +363,9 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
             F.count_if(t.rlike(_DEC_RE)).alias(f"p{i}"),
             F.max(F.length(F.ltrim(F.regexp_extract(t, r"^[+-]?([0-9]+)", 1)))).alias(f"pi{i}"),
             F.max(F.length(F.regexp_extract(t, r"\.([0-9]+)$", 1))).alias(f"pf{i}"),
-            F.count_if(t.try_cast("double").isNotNull()).alias(f"d{i}"),
+            F.count_if(t.rlike(_DOUBLE_RE)).alias(f"d{i}"),
             F.count_if(t.rlike(_DATE_RE) & t.try_cast("date").isNotNull()).alias(f"dt{i}"),
-            F.count_if(t.try_cast("timestamp_ntz").isNotNull()).alias(f"ts{i}"),
+            F.count_if(t.rlike(_TIME_RE) & t.try_cast("timestamp_ntz").isNotNull()).alias(f"ts{i}"),
         ]
     votes = staged.agg(*aggs).collect()[0] if aggs else None
     fields = []

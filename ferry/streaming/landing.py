@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ferry.session import checkpoint_dir
-from ferry.sources.delimited import HEADER_FILE_PREFIX, FileFormat, parse_records
+from ferry.sources.delimited import FileFormat, header_line, parse_records
 
 
 def stream_import(spark: SparkSession, landing: str, file_fields: list[T.StructField] | T.StructType,
@@ -35,7 +35,9 @@ def stream_import(spark: SparkSession, landing: str, file_fields: list[T.StructF
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(landing)
     if fmt.header:
-        raw = raw.filter(~F.col("_metadata.file_name").startswith(HEADER_FILE_PREFIX)).select("value")
+        # by content, as in read_records: a part file is never skipped for its name
+        header = header_line([f.name for f in fields], fmt)
+        raw = raw.filter((F.col("value") != F.lit(header)) | (F.col("_metadata.file_block_start") > 0)).select("value")
     rows = parse_records(raw, fields, fmt, target=target)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/ferry-streams/{name}"
     writer = (rows.writeStream.format("parquet").option("path", target_path)
@@ -45,8 +47,3 @@ def stream_import(spark: SparkSession, landing: str, file_fields: list[T.StructF
     if once:
         query.awaitTermination()
     return query
-
-
-def loaded_rows(query: StreamingQuery) -> int:
-    """Rows written by the last run of a query (sum over its micro-batches)."""
-    return sum(int(p.get("numInputRows", 0)) for p in query.recentProgress)
