@@ -7,10 +7,14 @@ from pyspark.sql import functions as F
 from ferry.demos.common import FMT, TABLE_COLUMNS, load, sql_record, sql_render
 from ferry.operators.checks import all_children_flag, delimiter_check, guard_not_null, guard_types, length_check
 from ferry.operators.columns import (exclude_by_flag, exclude_by_name, exclude_by_type, project_columns,
-                                     with_flags)
+                                     unknown_columns, with_flags)
 from ferry.operators.names import (flag_exceptions, missing_names, pattern_pairs, select_pairs, wildcard_expand,
                                    wildcard_match)
 from ferry.operators.relational import case_map, searched_case
+from ferry.operators.skew import skew_join
+from ferry.plans.catalog import column_summary
+from ferry.session import scratch_path
+from ferry.sources.delimited import read_delimited, write_delimited
 from ferry.functions.text import iif
 
 Q: dict = {}
@@ -57,6 +61,12 @@ def wildcard_match_demo(spark, sf):
     return wildcard_match(load(spark, sf, "part"), "p_name", "small*, *widget")
 
 
+@query("wildcard_text", "SELECT doc_id, lang FROM documents WHERE text ILIKE '%the%' OR text ILIKE 'a%n_s%.'")
+def wildcard_text_demo(spark, sf):
+    """Values with line breaks: a wildcard spans them."""
+    return wildcard_match(load(spark, sf, "documents"), "text", "*the*, a*n_s*.").select("doc_id", "lang")
+
+
 # Entries without "*" compare by equality ("S_ALL" matches nothing); inside a
 # wildcard entry "_" is LIKE's any-character ("S_A*" matches SMALL, STANDARD).
 _JOIN_LIKE_PATTERNS = ["ECO*", "*AR*", "S_ALL", "S_A*", "PROMO", "promo*"]
@@ -90,7 +100,7 @@ def select_pairs_demo(spark, sf):
        "FROM orders JOIN customer ON o_custkey = c_custkey")
 def flag_exceptions_demo(spark, sf):
     o, c = load(spark, sf, "orders"), load(spark, sf, "customer")
-    j = o.join(c, o.o_custkey == c.c_custkey).select("o_orderkey", "c_mktsegment", "o_orderstatus")
+    j = skew_join(o, c, [("o_custkey", "c_custkey")]).select("o_orderkey", "c_mktsegment", "o_orderstatus")
     return flag_exceptions(j, [("BUILDING", "F"), ("MACHINE*", "O")], ("c_mktsegment", "o_orderstatus"))
 
 
@@ -211,3 +221,32 @@ def predicates_demo(spark, sf):
             & F.col("o_orderdate").isNotNull() & (F.col("o_custkey") != 0) & ~(F.col("o_totalprice") < 0))
     return o.filter(cond).select("o_orderkey", "o_orderstatus",
                                  iif(F.col("o_totalprice") >= 150000, F.lit(1), F.lit(0)).alias("big"))
+
+
+# Column names with a dot, a quote, a blank and a backquote.
+_ODD = {"o_orderkey": "a.b", "o_orderstatus": "it's", "o_orderpriority": "two words", "o_custkey": "back`tick"}
+_ODD_SQL = 'SELECT o_orderkey AS "a.b", o_orderstatus AS "it\'s", o_orderpriority AS "two words", o_custkey AS "back`tick" FROM orders'
+
+
+@query("odd_names",
+       f"SELECT column_name, nulls, distinct_values FROM (VALUES ('a.b', 1), ('it''s', 2), ('two words', 3), "
+       f"('back`tick', 4)) v(column_name, i) JOIN (SELECT 1 AS i, count(*) - count(\"a.b\") AS nulls, "
+       f"count(DISTINCT \"a.b\") AS distinct_values FROM ({_ODD_SQL}) UNION ALL SELECT 2, count(*) - count(\"it's\"), "
+       f"count(DISTINCT \"it's\") FROM ({_ODD_SQL}) UNION ALL SELECT 3, count(*) - count(\"two words\"), "
+       f"count(DISTINCT \"two words\") FROM ({_ODD_SQL}) UNION ALL SELECT 4, count(*) - count(\"back`tick\"), "
+       f"count(DISTINCT \"back`tick\") FROM ({_ODD_SQL})) USING (i)")
+def odd_names_demo(spark, sf):
+    """A table with awkward column names is landed, read back and summarised."""
+    o = load(spark, sf, "orders")
+    odd = o.select(*[F.col(c).alias(n) for c, n in _ODD.items()])
+    path = scratch_path(spark, "odd-names")
+    write_delimited(odd, path, FMT.with_(header=True))
+    back = read_delimited(spark, path, odd.schema, FMT.with_(header=True))
+    return column_summary(back, "orders").select("column_name", "nulls", "distinct_values")
+
+
+@query("unknown_columns",
+       "SELECT 'c_phone' AS column_name UNION SELECT 'no_such'")
+def unknown_columns_demo(spark, sf):
+    """Literal entries of a column list that the table does not have (the strict option's finding)."""
+    return unknown_columns(load(spark, sf, "customer"), "c_phone, C_NAME, no_such, c_acct*")

@@ -15,13 +15,13 @@ from ferry.functions.render import render_field
 from ferry.operators.columns import exclude_by_name
 from ferry.operators.numbering import identity_generate
 from ferry.operators.relational import object_agg
-from ferry.plans.catalog import column_summary, format_fields, plan_preview
-from ferry.plans.transfer import (export_all, export_table, import_by_name, import_inferred, import_table, load_into,
-                                  metrics_frame, run_parallel)
+from ferry.plans.catalog import catalog_from_dir, column_summary, format_fields, plan_preview
+from ferry.plans.run import TransferOptions, transfer
+from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_into
 from ferry.session import scratch_path
-from ferry.sources.delimited import (encode_rows, parse_records, read_delimited, read_header_records,
+from ferry.sources.delimited import (encode, encode_rows, header_line, parse_records, read_delimited, read_header_records,
                                      write_delimited)
-from ferry.sources.logs import log_metrics, read_logs
+from ferry.sources.logs import log_metrics
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -154,31 +154,25 @@ def import_infer(spark, sf):
 
 
 def _transfer(spark, sf):
+    """The whole flow: choose, guard, land, publish, load, verify."""
     base = scratch_path(spark, "transfer")
-    tables = {t: load(spark, sf, t) for t in CORE_TABLES}
-    items = []
-    for name, df in tables.items():
-        def item(n=name, d=df):
-            land = f"{base}/landed/{n}"
-            out = export_table(d, land, FMT, n)
-            if out.error:
-                return out
-            return load_into(import_table(spark, land, FMT, d.schema), f"{base}/target/{n}", mode="append")
-        items.append((name, item))
-    return metrics_frame(spark, run_parallel(spark, items, parallel=4))
+    return transfer(spark, catalog_from_dir(sf, spark=spark), f"{base}/landing", f"{base}/target",
+                    TransferOptions(fmt=FMT), schemas="dbo", tables=", ".join(CORE_TABLES)).withColumn(
+        "table_name", F.regexp_replace("table_name", "^dbo[.]", ""))
 
 
 @query("transfer_all", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows_copied FROM {t}" for t in CORE_TABLES))
 def transfer_all(spark, sf):
-    return _transfer(spark, sf).select("table_name", "rows_copied")
+    return _transfer(spark, sf).select("table_name", F.col("rows_loaded").alias("rows_copied"))
 
 
 @query("transfer_metrics", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS rows_copied, format('{{:,}}', count(*)) AS rows_text, "
     f"'None' AS error FROM {t}" for t in CORE_TABLES))
 def transfer_metrics(spark, sf):
-    return _transfer(spark, sf).select("table_name", "rows_copied", "rows_text", "error")
+    return _transfer(spark, sf).select("table_name", F.col("rows_landed").alias("rows_copied"),
+                                       F.format_number("rows_loaded", 0).alias("rows_text"), "error")
 
 
 def _log_lines(spark, sf):
@@ -238,13 +232,57 @@ FROM g
 
 @query("log_metrics", _LOG_LINES_SQL)
 def log_metrics_demo(spark, sf):
-    # land the lines as one text log per file (in line order), then parse the files
-    path = scratch_path(spark, "logs")
-    (_log_lines(spark, sf).repartition("file").sortWithinPartitions("file", "line_no")
-     .select("file", "line").write.partitionBy("file").text(path))
-    lines = read_logs(spark, path)
-    named = lines.withColumn("file", F.regexp_extract("file", r"/file=([^/]+)/[^/]*$", 1))
-    return log_metrics(named)
+    return log_metrics(_log_lines(spark, sf))
+
+
+def _import_lines(spark, sf):
+    ev = load(spark, sf, "events")
+    speed = F.when(F.col("event_id") % 3 == 0, F.format_number(F.col("value") * 1000, 1)).otherwise(
+        F.col("event_id").cast("string"))
+    line = F.concat(F.lit("Clock Time (ms.) Total : "), F.format_number(F.col("event_id") * 1000, 0),
+                    F.lit("  Average : ("), speed, F.lit(" rows per sec.)"))
+    return ev.select(F.concat(F.lit("in_"), F.col("event_id").cast("string")).alias("file"), F.lit(1).alias("line_no"),
+                     line.alias("line"))
+
+
+@query("log_metrics_import",
+       "SELECT 'in_' || CAST(event_id AS VARCHAR) AS file, event_id * 1000 AS clock_ms, "
+       "CASE WHEN event_id % 3 = 0 THEN CAST(string_split(replace(printf('%.1f', value * 1000), ',', ''), '.')[1] AS BIGINT) "
+       "ELSE event_id END AS rows_per_sec FROM events")
+def log_metrics_import(spark, sf):
+    """Logs of the loading side: speeds with thousands separators (22,035.7) or without a point."""
+    return log_metrics(_import_lines(spark, sf), side="import").select("file", "clock_ms", "rows_per_sec")
+
+
+@query("infer_codes",
+       "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, lpad(CAST(p_partkey % 1000 AS VARCHAR), 6, '0') AS zeros, "
+       "CAST(p_size AS VARCHAR) || 'D' AS letter, ' ' || CAST(p_size AS VARCHAR) AS blank, p_retailprice * 1e10 AS big FROM part")
+def infer_codes(spark, sf):
+    """Codes that look like numbers stay text: leading zeros, a letter that Java reads as a double, blanks.
+
+    The landing is foreign: every file has the header on top of its data.
+    """
+    p = load(spark, sf, "part").select(
+        F.col("p_partkey").cast("long").alias("p_partkey"), F.lpad((F.col("p_partkey") % 1000).cast("string"), 6, "0").alias("zeros"),
+        F.concat(F.col("p_size").cast("string"), F.lit("D")).alias("letter"),
+        F.concat(F.lit(" "), F.col("p_size").cast("string")).alias("blank"), (F.col("p_retailprice") * F.lit(1e10)).alias("big"))
+    fmt, path = FMT.with_(header=True), scratch_path(spark, "codes")
+    body = p.select(encode(p, fmt).alias("value"), F.lit(1).alias("o"), F.pmod(F.hash("p_partkey"), F.lit(4)).alias("file"))
+    heads = spark.range(4).select(F.lit(header_line(p.columns, fmt)).alias("value"), F.lit(0).alias("o"), F.col("id").cast("int").alias("file"))
+    (heads.union(body).repartition("file").sortWithinPartitions("file", "o").drop("o")
+     .write.partitionBy("file").option("lineSep", fmt.line_sep).text(path))
+    return import_inferred(spark, path, fmt)
+
+
+@query("exact_timestamps",
+       "SELECT event_id, ts, ts AS nested, [ts, NULL] AS many FROM events")
+def exact_timestamps(spark, sf):
+    """Instants, alone and nested, survive to the microsecond."""
+    ev = load(spark, sf, "events").select("event_id", "ts", F.struct(F.col("ts").alias("t")).alias("s"),
+                                          F.array("ts", F.lit(None)).alias("many"))
+    path = scratch_path(spark, "timestamps")
+    write_delimited(ev, path, FMT)
+    return read_delimited(spark, path, ev.schema, FMT).select("event_id", "ts", F.col("s.t").alias("nested"), "many")
 
 
 def _format_fields_sql() -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ferry.demos.common import load
-from ferry.functions.text import quote_name, split_explode
+from ferry.functions.text import charindex, concat_nn, quote_name, replace_text, split_explode, tsql_len
 from ferry.operators.checks import unique_check
 from ferry.operators.numbering import last_in_group, next_key, row_number
 from ferry.operators.relational import (agg_string, apply_union, count_where, delete_where, distinct_union,
@@ -36,11 +36,8 @@ def query(name: str, sql: str | None = None):
 def join_inner(spark, sf):
     li, o, c = load(spark, sf, "lineitem"), load(spark, sf, "orders"), load(spark, sf, "customer")
     n, r = load(spark, sf, "nation"), load(spark, sf, "region")
-    # the big joins are skew-safe (a hot order or customer is split off); they are
-    # ordered so that each one's left side is a base table, whose key column is
-    # all the hot-key sample reads; the small dimensions join plainly (Catalyst sizes them)
     oc = skew_join(o.select("o_orderkey", "o_custkey"), c.select("c_custkey", "c_nationkey"),
-                   [("o_custkey", "c_custkey")])  # customer keys are not declared unique: counted
+                   [("o_custkey", "c_custkey")])
     loc = skew_join(li.select("l_orderkey", "l_linenumber", "l_partkey"), oc, [("l_orderkey", "o_orderkey")])
     return (loc.join(n, loc.c_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
             .select("l_orderkey", "l_linenumber", "l_partkey", F.col("o_custkey").alias("c_custkey"), "n_name",
@@ -118,6 +115,19 @@ def apply_union_demo(spark, sf):
                            (other, [("o_custkey", "c_custkey")], "n_name")], "label").select("o_orderkey", "label")
 
 
+@query("apply_matches",
+       "SELECT o_orderkey, x.label FROM orders LEFT JOIN LATERAL ("
+       "SELECT c_name AS label FROM customer WHERE c_custkey = o_custkey "
+       "UNION SELECT c_mktsegment FROM customer WHERE c_custkey = o_custkey AND c_acctbal > 0 "
+       "UNION SELECT l_returnflag FROM lineitem WHERE l_orderkey = o_orderkey) x ON true")
+def apply_matches(spark, sf):
+    """Several branches match one row, two of them by one column and one by another."""
+    o, c, li = load(spark, sf, "orders"), load(spark, sf, "customer"), load(spark, sf, "lineitem")
+    by_customer = [("o_custkey", "c_custkey")]
+    return apply_union(o, [(c, by_customer, "c_name"), (c.filter(F.col("c_acctbal") > 0), by_customer, "c_mktsegment"),
+                           (li, [("o_orderkey", "l_orderkey")], "l_returnflag")], "label").select("o_orderkey", "label")
+
+
 # ---------------------------------------------------------------- aggregates, sets, windows
 
 @query("agg_count",
@@ -150,7 +160,15 @@ def next_key_demo(spark, sf):
        "SELECT o_orderstatus, string_agg(DISTINCT o_orderpriority, ',' ORDER BY o_orderpriority) AS priorities "
        "FROM orders GROUP BY o_orderstatus")
 def agg_string_demo(spark, sf):
-    return agg_string(load(spark, sf, "orders"), ["o_orderstatus"], "o_orderpriority", ",", out="priorities")
+    return agg_string(load(spark, sf, "orders"), ["o_orderstatus"], "o_orderpriority", ",", out="priorities",
+                      distinct=True)
+
+
+@query("agg_string_all",
+       "SELECT c_nationkey, string_agg(c_mktsegment, '|' ORDER BY c_mktsegment) AS segments FROM customer "
+       "GROUP BY c_nationkey")
+def agg_string_all(spark, sf):
+    return agg_string(load(spark, sf, "customer"), ["c_nationkey"], "c_mktsegment", "|", out="segments")
 
 
 @query("distinct", "SELECT DISTINCT c_mktsegment, c_nationkey FROM customer")
@@ -212,6 +230,25 @@ def update_set_demo(spark, sf):
                       o_orderpriority="1-URGENT")
 
 
+@query("update_two",
+       "SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'X' ELSE o_orderstatus END AS o_orderstatus, "
+       "o_totalprice, o_orderdate, CASE WHEN o_orderstatus = 'P' THEN o_orderstatus || '/' || o_orderpriority "
+       "ELSE o_orderpriority END AS o_orderpriority FROM orders")
+def update_two(spark, sf):
+    """Condition and second expression use a column that the first assignment changes."""
+    return update_set(load(spark, sf, "orders"), F.col("o_orderstatus") == "P", O_ORDERSTATUS="X",
+                      o_orderpriority=F.concat("o_orderstatus", F.lit("/"), "o_orderpriority"))
+
+
+@query("insert_other_case",
+       "SELECT n_nationkey, n_name, n_regionkey FROM nation UNION ALL "
+       "SELECT s_suppkey + 1000, s_name, NULL FROM supplier")
+def insert_other_case(spark, sf):
+    rows = load(spark, sf, "supplier").select(F.col("s_name").alias("N_NAME"),
+                                              (F.col("s_suppkey") + 1000).alias("N_NationKey"))
+    return insert_select(load(spark, sf, "nation"), rows)
+
+
 @query("delete_where",
        "SELECT * FROM orders WHERE NOT coalesce(o_orderstatus = 'F' AND o_orderpriority LIKE '5%', false)")
 def delete_where_demo(spark, sf):
@@ -227,7 +264,7 @@ _HAS_P = "EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderst
        f"SELECT * FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND NOT {_HAS_P}")
 def merge_insert_demo(spark, sf):
     c, o = load(spark, sf, "customer"), load(spark, sf, "orders")
-    target = c.join(o.filter(F.col("o_orderstatus") == "P"), c.c_custkey == o.o_custkey, "left_semi")
+    target = skew_join(c, o.filter(F.col("o_orderstatus") == "P"), [("c_custkey", "o_custkey")], "left_semi")
     source = c.filter(F.col("c_mktsegment").isin("BUILDING", "MACHINERY"))
     return merge_insert(target, source, ["c_custkey"])
 
@@ -273,3 +310,21 @@ def quote_name_demo(spark, sf):
     n, r = load(spark, sf, "nation"), load(spark, sf, "region")
     j = n.join(r, n.n_regionkey == r.r_regionkey)
     return j.select("n_nationkey", F.concat(quote_name("r_name"), F.lit("."), quote_name("n_name")).alias("qualified"))
+
+
+@query("scalar_text",
+       "SELECT o_orderkey, length(rtrim(o_orderpriority || '  ')) AS len, strpos(o_orderpriority, '-') AS dash, "
+       "replace(o_orderpriority, '-', ' / ') AS replaced, o_orderstatus || '' || CAST(o_custkey AS VARCHAR) AS joined, "
+       "substr(o_orderpriority, 3, 4) AS part, CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS rank, "
+       "chr(CAST(64 + o_orderkey % 26 + 1 AS INTEGER)) AS letter, CAST(o_orderkey AS VARCHAR) AS key_text FROM orders")
+def scalar_text(spark, sf):
+    """LEN, CHARINDEX, REPLACE, CONCAT (NULL as empty), SUBSTRING, CAST, CHAR and TO_VARCHAR."""
+    o = load(spark, sf, "orders")
+    priority = F.col("o_orderpriority")
+    return o.select("o_orderkey", tsql_len(F.concat(priority, F.lit("  "))).alias("len"),
+                    charindex("-", "o_orderpriority").cast("long").alias("dash"),
+                    replace_text("o_orderpriority", "-", " / ").alias("replaced"),
+                    concat_nn("o_orderstatus", F.lit(None), "o_custkey").alias("joined"),
+                    F.substring(priority, 3, 4).alias("part"), F.substring(priority, 1, 1).cast("int").alias("rank"),
+                    F.chr(F.lit(64) + F.col("o_orderkey") % 26 + 1).alias("letter"),
+                    F.col("o_orderkey").cast("string").alias("key_text"))

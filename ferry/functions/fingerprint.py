@@ -12,11 +12,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ferry.functions.text import quoted
+
 
 def hash_inputs(df: DataFrame, columns: list[str] | None = None) -> list[Column]:
     """Columns as hash inputs; maps (not hashable) go through their JSON text."""
     fields = [df.schema[c] for c in (columns or df.columns)]
-    return [F.to_json(F.col(f.name)) if "map<" in f.dataType.simpleString() else F.col(f.name) for f in fields]
+    return [F.to_json(F.col(quoted(f.name))) if "map<" in f.dataType.simpleString() else F.col(quoted(f.name)) for f in fields]
 
 
 def row_hashes(df: DataFrame, columns: list[str] | None = None) -> tuple[Column, Column]:

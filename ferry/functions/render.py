@@ -9,7 +9,7 @@ Rendering (export):
     character appended, so that an empty string survives the trip and is not
     confused with NULL. Parsing removes exactly one NUL again.
   * booleans as 1 / 0, binary as upper-case hex, arrays / maps / structs as
-    JSON, every other supported type through ``cast(... as string)``.
+    JSON, timestamps as their UTC wall clock, every other supported type through ``cast(... as string)``.
 
 Parsing (import) has two NULL policies:
   * ``"marker"``: empty field -> NULL, NUL-only field -> one NUL fewer
@@ -24,6 +24,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions.text import quoted
+
 NUL = "\u0000"
 
 # Tokens read as NULL by the "tokens" policy.
@@ -33,6 +35,9 @@ _CAST_TO_STRING = (
     T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType,
     T.FloatType, T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType,
 )
+# Inside JSON: microseconds and an offset, in UTC, so nested instants survive as well.
+_JSON_OPTIONS = {"timeZone": "UTC", "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+                 "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 _JSON_TYPES = (T.ArrayType, T.MapType, T.StructType)
 _STRING_TYPES = (T.StringType, T.CharType, T.VarcharType)
 
@@ -53,21 +58,36 @@ def _raw_text(c: Column, dt: T.DataType) -> Column:
     if isinstance(dt, T.BinaryType):
         return F.hex(c)
     if isinstance(dt, _JSON_TYPES):
-        return F.to_json(c)
+        return F.to_json(c, _JSON_OPTIONS)
     if isinstance(dt, _STRING_TYPES):
         return c
+    if isinstance(dt, T.TimestampType):
+        return _utc_text(c)
     if isinstance(dt, _CAST_TO_STRING):
         return c.cast("string")
     raise UnsupportedTypeError(f"no text mapping for type {dt.simpleString()}")
 
 
+def _utc_text(instant: Column) -> Column:
+    """An instant as its UTC wall clock, whatever the session's zone: two instants never share a text."""
+    micros = (F.unix_micros(instant).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(7,0)")).cast("decimal(18,6)")
+    none = F.lit(0)
+    return (F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(none, none, none, micros)).cast("string")
+
+
+def _utc_instant(text: Column) -> Column:
+    """Text of an instant with UTC as its zone, unless it names one itself."""
+    zoned = text.rlike(r"(Z|UTC|GMT|[+-][0-9]{1,2}(:?[0-9]{2}){0,2})$") & text.contains(":")
+    return F.when(zoned, text).otherwise(F.concat(text, F.when(text.contains(":"), F.lit("Z")).otherwise(F.lit(" 00:00:00Z"))))
+
+
 def render(c: Column | str, dt: T.DataType, nulls: str = "marker") -> Column:
     """Field text of a value: NULL stays NULL here (the encoder makes it empty).
 
     ``nulls="tokens"`` writes values plainly (no NUL marker): under that policy
     an empty string, ``NULL`` and ``null`` read back as NULL, by design.
     """
-    col = F.col(c) if isinstance(c, str) else c
+    col = F.col(quoted(c)) if isinstance(c, str) else c
     txt = _raw_text(col, dt)
     if nulls == "tokens":
         return txt
@@ -81,7 +101,7 @@ def render(c: Column | str, dt: T.DataType, nulls: str = "marker") -> Column:
 
 def render_field(name: str, dt: T.DataType, nulls: str = "marker") -> Column:
     """Rendered field with NULL as the empty string (what lands in the file)."""
-    return F.coalesce(render(F.col(name), dt, nulls), F.lit(""))
+    return F.coalesce(render(name, dt, nulls), F.lit(""))
 
 
 def untoken(field: Column, nulls: str = "marker") -> Column:
@@ -117,7 +137,9 @@ def parse(text: Column, dt: T.DataType, strict: bool = True) -> Column:
         return F.when(bad, F.raise_error(F.concat(F.lit("not a hex field: "), F.substring(text, 1, 100))).cast("binary")) \
             .otherwise(F.unhex(text))
     if isinstance(dt, _JSON_TYPES):
-        return F.from_json(text, dt, {"mode": "FAILFAST"} if strict else None)
+        return F.from_json(text, dt, {**_JSON_OPTIONS, "mode": "FAILFAST" if strict else "PERMISSIVE"})
+    if isinstance(dt, T.TimestampType):
+        return _utc_instant(text).cast(dt) if strict else _utc_instant(text).try_cast(dt)
     if isinstance(dt, _CAST_TO_STRING):
         return text.cast(dt) if strict else text.try_cast(dt)
     raise UnsupportedTypeError(f"no text mapping for type {dt.simpleString()}")

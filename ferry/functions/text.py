@@ -8,8 +8,13 @@ from pyspark.sql import functions as F
 CRLF = "\r\n"
 
 
+def quoted(name: str) -> str:
+    """A column name as one identifier, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    return F.col(quoted(x)) if isinstance(x, str) else x
 
 
 def split_names(text: str | None, sep: str = ",") -> list[str]:
@@ -55,8 +60,9 @@ def quote_name(c: Column | str, left: str = "[", right: str = "]") -> Column:
     return F.concat(F.lit(left), F.replace(_c(c), F.lit(right), F.lit(right * 2)), F.lit(right))
 
 
-def remove_crlf(c: Column | str) -> Column:
-    return F.replace(_c(c), F.lit(CRLF), F.lit(""))
+def replace_text(c: Column | str, old: str, new: str) -> Column:
+    """REPLACE: every occurrence of ``old``."""
+    return F.replace(_c(c), F.lit(old), F.lit(new))
 
 
 def iif(cond: Column, a, b) -> Column:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions.render import render, render_field
+from ferry.functions.text import quoted
 from ferry.sources.delimited import FileFormat, encode
 
 
@@ -25,9 +26,9 @@ def null_counts(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """(column_name, null_rows) for each required column, one pass."""
     if not required:
         return df.sparkSession.createDataFrame([], "column_name string, null_rows long")
-    agg = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(required)])
-    stack = ", ".join(f"'{c}', n{i}" for i, c in enumerate(required))
-    return agg.selectExpr(f"stack({len(required)}, {stack}) as (column_name, null_rows)")
+    agg = df.agg(*[F.count_if(F.col(quoted(c)).isNull()).alias(f"n{i}") for i, c in enumerate(required)])
+    cells = [x for i, c in enumerate(required) for x in (F.lit(c), F.col(f"n{i}"))]
+    return agg.select(F.stack(F.lit(len(required)), *cells).alias("column_name", "null_rows"))
 
 
 def guard_not_null(df: DataFrame, required: Sequence[str], raise_on_fail: bool = False) -> DataFrame:
@@ -43,10 +44,10 @@ def guard_not_null(df: DataFrame, required: Sequence[str], raise_on_fail: bool =
 def guard_types(df: DataFrame, targets: dict[str, str], raise_on_fail: bool = False) -> DataFrame:
     """(column_name, target_type, bad_rows): non-NULL values that do not survive the cast."""
     items = list(targets.items())
-    agg = df.agg(*[F.count_if(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull()).alias(f"b{i}")
+    agg = df.agg(*[F.count_if(F.col(quoted(c)).isNotNull() & F.col(quoted(c)).try_cast(t).isNull()).alias(f"b{i}")
                    for i, (c, t) in enumerate(items)])
-    stack = ", ".join(f"'{c}', '{t}', b{i}" for i, (c, t) in enumerate(items))
-    out = agg.selectExpr(f"stack({len(items)}, {stack}) as (column_name, target_type, bad_rows)")
+    cells = [x for i, (c, t) in enumerate(items) for x in (F.lit(c), F.lit(t), F.col(f"b{i}"))]
+    out = agg.select(F.stack(F.lit(len(items)), *cells).alias("column_name", "target_type", "bad_rows"))
     if raise_on_fail:
         bad = out.filter("bad_rows > 0").collect()
         if bad:
@@ -123,13 +124,13 @@ def length_check(df: DataFrame, declared: dict[str, int] | None = None) -> DataF
     fields = df.schema.fields
     aggs = []
     for i, f in enumerate(fields):
-        ln = F.octet_length(render(F.col(f.name), f.dataType))
+        ln = F.octet_length(render(f.name, f.dataType))
         aggs.append(F.max(ln).alias(f"m{i}"))
         lim = declared.get(f.name)
         aggs.append((F.count_if(ln > lim) if lim is not None else F.lit(0).cast("long")).alias(f"o{i}"))
     agg = df.agg(*aggs)
-    stack = ", ".join(f"'{f.name}', m{i}, o{i}" for i, f in enumerate(fields))
-    return agg.selectExpr(f"stack({len(fields)}, {stack}) as (column_name, max_len, over_rows)")
+    cells = [x for i, f in enumerate(fields) for x in (F.lit(f.name), F.col(f"m{i}"), F.col(f"o{i}"))]
+    return agg.select(F.stack(F.lit(len(fields)), *cells).alias("column_name", "max_len", "over_rows"))
 
 
 def type_limits(df: DataFrame) -> dict[str, int]:
@@ -145,7 +146,7 @@ def type_limits(df: DataFrame) -> dict[str, int]:
 
 def unique_check(df: DataFrame, keys: Sequence[str], raise_on_fail: bool = False) -> DataFrame:
     """Keys that occur more than once, with their counts (PRIMARY KEY / UNIQUE check)."""
-    dup = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    dup = df.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     if raise_on_fail and not dup.isEmpty():
         raise GuardError(f"duplicate keys in ({', '.join(keys)})")
     return dup
@@ -153,12 +154,4 @@ def unique_check(df: DataFrame, keys: Sequence[str], raise_on_fail: bool = False
 
 def all_children_flag(df: DataFrame, parent: Sequence[str], cond: Column, out: str = "all_children") -> DataFrame:
     """Per parent: does every child row satisfy ``cond``? (bool_and with map-side combine)."""
-    return df.groupBy(*parent).agg(F.bool_and(F.coalesce(cond, F.lit(False))).alias(out))
-
-
-def require_mapping(df: DataFrame) -> None:
-    """Raise if a column has no text mapping (e.g. intervals)."""
-    from ferry.functions.render import is_supported
-    bad = [f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields if not is_supported(f.dataType)]
-    if bad:
-        raise GuardError("columns with no text mapping: " + ", ".join(bad))
+    return df.groupBy(*[F.col(quoted(p)) for p in parent]).agg(F.bool_and(F.coalesce(cond, F.lit(False))).alias(out))

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ferry.functions.render import is_supported, max_text_length, type_label
-from ferry.operators.names import as_list, like_to_regex, is_wildcard
+from ferry.functions.text import quoted
+from ferry.operators.names import as_list, is_wildcard, like_body
 
 import re
 
@@ -28,8 +29,8 @@ def _matches(name: str, patterns: list[str], case_sensitive: bool = False, wildc
     flags = 0 if case_sensitive else re.IGNORECASE
     for p in patterns:
         if is_wildcard(p, wildcard):
-            # the Java regex syntax used here is a subset Python understands too
-            if re.match(like_to_regex(p, wildcard), name, flags):
+            # the expression syntax used here means the same in Java and in Python
+            if re.fullmatch(like_body(p, wildcard), name, flags | re.DOTALL):
                 return True
         elif (name == p) if case_sensitive else (name.lower() == p.lower()):
             return True
@@ -65,13 +66,13 @@ def project_columns(df: DataFrame, names: str | Iterable[str] | None = None, cas
     if names is None:
         return df
     pats = as_list(names, sep)
-    return df.select(*[f.name for f in df.schema.fields if _matches(f.name, pats, case_sensitive, wildcard)])
+    return df.select(*[quoted(f.name) for f in df.schema.fields if _matches(f.name, pats, case_sensitive, wildcard)])
 
 
 def exclude_by_name(df: DataFrame, names: str | Iterable[str] | None, case_sensitive: bool = False,
                     wildcard: str | None = "*", sep: str = ",") -> DataFrame:
     pats = as_list(names, sep)
-    return df.select(*[f.name for f in df.schema.fields if not _matches(f.name, pats, case_sensitive, wildcard)])
+    return df.select(*[quoted(f.name) for f in df.schema.fields if not _matches(f.name, pats, case_sensitive, wildcard)])
 
 
 def exclude_by_type(df: DataFrame, types: str | Iterable[str] | None, wildcard: str | None = "*",
@@ -92,12 +93,12 @@ def exclude_by_type(df: DataFrame, types: str | Iterable[str] | None, wildcard:
             out.append(str(f.metadata["sql_type"]))
         return out
 
-    return df.select(*[f.name for f in df.schema.fields
+    return df.select(*[quoted(f.name) for f in df.schema.fields
                        if not any(_matches(lb, pats, False, wildcard) for lb in labels(f))])
 
 
 def exclude_by_flag(df: DataFrame, export_identity: bool = True, export_computed: bool = False) -> DataFrame:
-    keep = [f.name for f in df.schema.fields
+    keep = [quoted(f.name) for f in df.schema.fields
             if not (flag_of(f, "identity") and not export_identity)
             and not (flag_of(f, "computed") and not export_computed)]
     return df.select(*keep)
@@ -111,6 +112,17 @@ def choose_columns(df: DataFrame, exclude_names=None, exclude_types=None, export
     return exclude_by_type(out, exclude_types, wildcard=wildcard, sep=sep)
 
 
+def unknown_names(df: DataFrame, names: str | Iterable[str] | None, wildcard: str | None = "*", sep: str = ",") -> list[str]:
+    """Literal entries of a column list that name no column of ``df`` (wildcard entries may match nothing)."""
+    own = {c.lower() for c in df.columns}
+    return [p for p in as_list(names, sep) if not is_wildcard(p, wildcard) and p.lower() not in own]
+
+
+def unknown_columns(df: DataFrame, names: str | Iterable[str] | None, wildcard: str | None = "*", sep: str = ",") -> DataFrame:
+    """``unknown_names`` as rows (column_name)."""
+    return df.sparkSession.createDataFrame([(n,) for n in unknown_names(df, names, wildcard, sep)], "column_name string")
+
+
 COLUMNS_SCHEMA = T.StructType([
     T.StructField("table_name", T.StringType()),
     T.StructField("ordinal", T.IntegerType()),
@@ -125,11 +137,10 @@ COLUMNS_SCHEMA = T.StructType([
 ])
 
 
-def columns_plan(spark: SparkSession, table: str, source: DataFrame, exported: DataFrame) -> DataFrame:
-    """One row per source column with its flags and whether it is exported (metadata only)."""
+def columns_rows(table: str, source: DataFrame, exported: DataFrame) -> list[tuple]:
+    """One row (``COLUMNS_SCHEMA``) per source column with its flags and whether it is exported (metadata only)."""
     kept = set(exported.columns)
-    rows = [(table, i + 1, f.name, f.dataType.simpleString(), flag_of(f, "identity"), flag_of(f, "computed"),
+    return [(table, i + 1, f.name, f.dataType.simpleString(), flag_of(f, "identity"), flag_of(f, "computed"),
              flag_of(f, "not_null") or not f.nullable, is_supported(f.dataType),
              max_text_length(f.dataType) if is_supported(f.dataType) else None, f.name in kept)
             for i, f in enumerate(source.schema.fields)]
-    return spark.createDataFrame(rows, COLUMNS_SCHEMA)

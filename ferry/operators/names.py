@@ -1,9 +1,11 @@
 """Name lists with wildcards, matched against data columns.
 
 A pattern list is user input (bounded by what a user types), so it is turned
-into *one* JVM-side predicate: literal names become an ``isin`` (which parquet
-can push down), wildcard names become one anchored regular expression. No join
-and no shuffle is needed to filter a table of any size by such a list.
+into *one* JVM-side predicate: literal names become an ``isin``, ``x*``, ``*x``
+and ``*x*`` become prefix, suffix and substring tests, other wildcard names a
+regular expression of the whole value. The scan sees the ``isin`` itself when
+case matters, else tests by the first letter (both cases). No join and no
+shuffle is needed to filter a table of any size by such a list.
 
 Semantics of a list entry:
   * no wildcard character -> equality;
@@ -21,11 +23,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ferry.functions.text import split_names
+from ferry.functions.text import quoted, split_names
 
 
 def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    return F.col(quoted(x)) if isinstance(x, str) else x
 
 
 def as_list(names: str | Iterable[str] | None, sep: str = ",") -> list[str]:
@@ -41,8 +43,10 @@ def is_wildcard(name: str, wildcard: str | None = "*") -> bool:
     return wildcard is not None and wildcard in name
 
 
-def like_to_regex(pattern: str, wildcard: str = "*") -> str:
-    """Anchored Java regex for a LIKE pattern whose wildcard char is ``wildcard``."""
+def like_body(pattern: str, wildcard: str = "*") -> str:
+    """Regular expression, without anchors, for a LIKE pattern whose wildcard char is ``wildcard``.
+
+    It has to match the whole value with ``.`` matching line breaks."""
     out = []
     i = 0
     while i < len(pattern):
@@ -65,7 +69,12 @@ def like_to_regex(pattern: str, wildcard: str = "*") -> str:
         else:
             out.append(ch if ch.isalnum() else "\\" + ch)
         i += 1
-    return "^" + "".join(out) + "$"
+    return "".join(out)
+
+
+def like_to_regex(pattern: str, wildcard: str = "*", flags: str = "s") -> str:
+    """The same as an anchored Java expression."""
+    return rf"(?{flags})\A(?:{like_body(pattern, wildcard)})\z"
 
 
 def match_any(col: Column | str, patterns: str | Iterable[str], wildcard: str = "*",
@@ -76,22 +85,50 @@ def match_any(col: Column | str, patterns: str | Iterable[str], wildcard: str =
     literals = [p for p in pats if not is_wildcard(p, wildcard)]
     wilds = [p for p in pats if is_wildcard(p, wildcard)]
     conds = []
-    if literals:
-        conds.append(c.isin(*literals) if case_sensitive
-                     else F.lower(c).isin(*sorted({p.lower() for p in literals})))
-    if wilds:
-        rx = "|".join(f"(?:{like_to_regex(p, wildcard)})" for p in wilds)
-        conds.append(c.rlike(rx if case_sensitive else "(?i)" + rx))
-    if not conds:
-        return F.lit(False)
+    if literals and case_sensitive:
+        conds.append(c.isin(*literals))
+    elif literals:
+        same = F.lower(c).isin(*sorted({p.lower() for p in literals}))
+        starts = sorted({x for p in literals for x in _first_letters(p)})
+        # The test by first letter is implied by the list and reaches the scan; lower(...) does not.
+        conds.append(same & _any([c.startswith(x) for x in starts]) if all(_first_letters(p) for p in literals) else same)
+    conds += [_wild(c, p, wildcard, case_sensitive) for p in wilds]
+    # NULL (not false) for a NULL name: filters drop it either way, and a bare
+    # IN list stays visible to the parquet scan as a pushed filter.
+    return _any(conds) if conds else F.lit(False)
+
+
+def _any(conds: list[Column]) -> Column:
     out = conds[0]
     for x in conds[1:]:
         out = out | x
-    # NULL (not false) for a NULL name: filters drop it either way, and a bare
-    # IN list stays visible to the parquet scan as a pushed filter.
     return out
 
 
+def _first_letters(text: str) -> list[str]:
+    """Both cases of the first letter; none where another letter has the same lower case (k: the Kelvin sign)."""
+    first = text[:1]
+    return sorted({first.lower(), first.upper()}) if first.isascii() and first.lower() != "k" else []
+
+
+def _wild(c: Column, pattern: str, wildcard: str, case_sensitive: bool) -> Column:
+    """One wildcard entry: ``x*``, ``*x`` and ``*x*`` without regular expressions, others as one."""
+    core = pattern.strip(wildcard) if len(wildcard) == 1 else pattern
+    head, tail = pattern.startswith(wildcard), pattern.endswith(wildcard)
+    if any(x in core for x in (wildcard, "%", "_", "[")):
+        return c.rlike(like_to_regex(pattern, wildcard, "s" if case_sensitive else "siu"))
+    value, text = (c, core) if case_sensitive else (F.lower(c), core.lower())
+    if not core:
+        return c.isNotNull()
+    if head and tail:
+        return value.contains(text)
+    if head:
+        return value.endswith(text)
+    starts = value.startswith(text)
+    first = [] if case_sensitive else _first_letters(core)
+    return starts & _any([c.startswith(x) for x in first]) if first else starts
+
+
 def wildcard_match(df: DataFrame, col: str, patterns: str | Iterable[str], **kw) -> DataFrame:
     """Rows whose ``col`` matches any entry (semi-join semantics: each row at most once)."""
     return df.filter(match_any(col, patterns, **kw))
@@ -124,7 +161,7 @@ def wildcard_expand(spark: SparkSession, names: DataFrame, col: str, patterns: s
     lit_df = spark.createDataFrame([(p,) for p in literals], T.StructType([T.StructField(out, T.StringType())]))
     if not wilds:
         return lit_df.distinct()
-    matched = names.filter(match_any(col, wilds, wildcard, case_sensitive)).select(F.col(col).cast("string").alias(out))
+    matched = names.filter(match_any(col, wilds, wildcard, case_sensitive)).select(_c(col).cast("string").alias(out))
     return lit_df.unionByName(matched).distinct()
 
 
@@ -144,8 +181,8 @@ def flag_exceptions(df: DataFrame, exceptions, cols: tuple[str, str], flag: str
     a, b = cols
     if isinstance(exceptions, DataFrame):
         from ferry.operators.skew import skew_join
-        keys = exceptions.select(a, b).distinct().withColumn("_hit", F.lit(1))
-        return (skew_join(df, keys, [a, b], "left", right_unique=True)
+        keys = exceptions.select(_c(a), _c(b)).distinct().withColumn("_hit", F.lit(1))
+        return (skew_join(df, keys, [a, b], "left")
                 .withColumn(flag, F.coalesce(F.col("_hit"), F.lit(0))).drop("_hit"))
     cond = F.lit(False)
     for pa, pb in exceptions:
@@ -158,10 +195,10 @@ def missing_names(requested: DataFrame, existing: DataFrame, on: str, existing_c
     """Requested names with no counterpart in ``existing`` (anti join, distributed)."""
     from ferry.operators.skew import skew_join
     ecol = existing_col or on
-    norm = (lambda c: F.col(c)) if case_sensitive else (lambda c: F.lower(F.col(c).cast("string")))
-    keys = existing.select(norm(ecol).alias("_f_k")).distinct()
+    norm = _c if case_sensitive else (lambda c: F.lower(_c(c).cast("string")))
+    keys = existing.select(norm(ecol).alias("_f_k"))
     staged = requested.withColumn("_f_k", norm(on))
-    return skew_join(staged, keys, ["_f_k"], "left_anti", right_unique=True).drop("_f_k")
+    return skew_join(staged, keys, ["_f_k"], "left_anti").drop("_f_k")
 
 
 def missing_message(spark: SparkSession, names: str | Iterable[str], existing: DataFrame, col: str,
@@ -175,7 +212,7 @@ def missing_message(spark: SparkSession, names: str | Iterable[str], existing: D
     if not literals:
         return None
     req = spark.createDataFrame([(n, n.lower()) for n in literals], "name string, k string")
-    found = {r[0] for r in req.join(existing.select(F.lower(F.col(col).cast("string")).alias("k")),
+    found = {r[0] for r in req.join(existing.select(F.lower(_c(col).cast("string")).alias("k")),
                                    "k", "left_semi").select("name").collect()}
     missing = [n for n in literals if n not in found]
     if not missing:

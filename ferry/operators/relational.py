@@ -14,9 +14,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ferry.functions.text import quoted
+
 
 def _c(x: Column | str) -> Column:
-    return F.col(x) if isinstance(x, str) else x
+    return F.col(quoted(x)) if isinstance(x, str) else x
+
+
+def _own(df: DataFrame) -> list[Column]:
+    return [F.col(quoted(c)) for c in df.columns]
 
 
 # ---------------------------------------------------------------- table changes
@@ -29,27 +35,51 @@ def merge_insert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> D
     source rows that repeat one new key are all inserted, as MERGE would.
     """
     from ferry.operators.skew import skew_join
-    new = skew_join(source, target.select(*keys).distinct(), list(keys), "left_anti", right_unique=True)
-    return target.unionByName(new.select(*target.columns))
+    new = skew_join(source, target.select(*[_c(k) for k in keys]), list(keys), "left_anti")
+    return target.unionByName(new.select(*_own(target)))
 
 
 def update_set(df: DataFrame, where: Column | None, **assignments: Column | object) -> DataFrame:
-    """UPDATE df SET col = expr [WHERE cond]: rows not matching keep their values."""
-    out = df
-    for name, value in assignments.items():
-        v = value if isinstance(value, Column) else F.lit(value)
-        new = v if where is None else F.when(where, v).otherwise(F.col(name))
-        out = out.withColumn(name, new.cast(df.schema[name].dataType) if name in df.columns else new)
+    """UPDATE df SET col = expr, ... [WHERE cond]: rows not matching keep their values.
+
+    One projection over the old row: the condition and every expression see the
+    values from before the update, as in SQL. Columns match by name without
+    case; a name the table lacks is an error.
+    """
+    places = _by_name(df, assignments)
+    columns = []
+    for f in df.schema.fields:
+        if f.name not in places:
+            columns.append(F.col(quoted(f.name)))
+            continue
+        value = assignments[places[f.name]]
+        new = value if isinstance(value, Column) else F.lit(value)
+        kept = new if where is None else F.when(where, new.cast(f.dataType)).otherwise(F.col(quoted(f.name)))
+        columns.append(kept.cast(f.dataType).alias(f.name))
+    return df.select(*columns)
+
+
+def _by_name(df: DataFrame, names: Iterable[str]) -> dict[str, str]:
+    """Table column -> given name, matched without case; raises on names the table lacks or that repeat."""
+    own = {c.lower(): c for c in df.columns}
+    out: dict[str, str] = {}
+    for name in names:
+        column = own.get(name.lower())
+        if column is None:
+            raise ValueError(f"no column {name!r} in the table")
+        if column in out:
+            raise ValueError(f"column {column!r} is given twice")
+        out[column] = name
     return out
 
 
 def update_from(df: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
     """UPDATE t SET c = s.c FROM t JOIN s ON keys (s holds at most one row per key)."""
-    s = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in columns]).withColumn("_hit", F.lit(True))
-    j = df.join(s, list(keys), "left")
-    for c in columns:
-        j = j.withColumn(c, F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)))
-    return j.select(*df.columns)
+    from ferry.operators.skew import skew_join
+    s = source.select(*[_c(k) for k in keys], *[F.col(quoted(c)).alias(f"_new_{c}") for c in columns]).withColumn("_hit", F.lit(True))
+    j = skew_join(df, s, list(keys), "left")
+    return j.select(*[F.when(F.col("_hit"), F.col(quoted(f"_new_{c}"))).otherwise(F.col(quoted(c))).alias(c)
+                      if c in columns else F.col(quoted(c)) for c in df.columns])
 
 
 def delete_where(df: DataFrame, cond: Column) -> DataFrame:
@@ -64,8 +94,12 @@ def insert_values(spark: SparkSession, target: DataFrame, rows: Iterable[tuple])
 
 
 def insert_select(target: DataFrame, query: DataFrame) -> DataFrame:
-    """INSERT ... SELECT by column name; target columns the query lacks get NULL."""
-    cols = [F.col(f.name).cast(f.dataType) if f.name in query.columns else F.lit(None).cast(f.dataType).alias(f.name)
+    """INSERT ... SELECT by column name, without case; target columns the query lacks get NULL.
+
+    A query column the target lacks is an error, not a silent loss.
+    """
+    given = _by_name(target, query.columns)
+    cols = [(F.col(quoted(given[f.name])) if f.name in given else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema.fields]
     return target.unionByName(query.select(*cols))
 
@@ -76,11 +110,10 @@ def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> DataFrame:
     return df.sparkSession.read.format(fmt).load(path)
 
 
-def append_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
-    df.write.mode("append").format(fmt).save(path)
+# ---------------------------------------------------------------- aggregates
 
+_PREFIX = 64
 
-# ---------------------------------------------------------------- aggregates
 
 def ordered_concat(df: DataFrame, group: Sequence[str], order: Column | str, text: Column | str, sep: str,
                    out: str = "concat", num_partitions: int | None = None) -> DataFrame:
@@ -93,29 +126,36 @@ def ordered_concat(df: DataFrame, group: Sequence[str], order: Column | str, tex
     final value (the result itself) is assembled in one place.
     """
     from ferry.operators.numbering import range_partitions
-    o = F.col(order) if isinstance(order, str) else order
-    t = F.col(text) if isinstance(text, str) else text
+    o, t = _c(order), _c(text)
+    group = [_c(g) for g in group]
     base = df.select(*group, o.alias("_f_o"), t.cast("string").alias("_f_t"))
     n = num_partitions or range_partitions(base)
-    # ties in the order split by a hash of the text, not the text itself: the
-    # range sample the driver collects stays small however long the texts are
-    ranged = base.repartitionByRange(n, *[F.col(g) for g in group], F.col("_f_o"), F.xxhash64("_f_t")) \
+    # The range key holds at most a short prefix of a text order and a hash for
+    # ties, so the sample the driver collects stays small however long the texts
+    # are. Pieces are sorted by the same keys that split them: values that share
+    # a prefix and are longer than it all carry tie 0 and stay in one piece.
+    text_order = isinstance(base.schema["_f_o"].dataType, T.StringType)
+    tie = F.xxhash64("_f_t").bitwiseOR(F.lit(-2 ** 63))
+    if text_order:
+        base = base.withColumn("_f_p", F.substring("_f_o", 1, _PREFIX))
+        tie = F.when(F.coalesce(F.length("_f_o"), F.lit(0)) <= _PREFIX, tie).otherwise(F.lit(0).cast("long"))
+    base = base.withColumn("_f_h", tie)
+    ranged = base.repartitionByRange(n, *group, F.col("_f_p" if text_order else "_f_o"), F.col("_f_h")) \
         .withColumn("_f_pid", F.spark_partition_id())
     pieces = ranged.groupBy("_f_pid", *group).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f_o", "_f_t"))), lambda x: x["_f_t"]), sep)
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_f_o", "_f_h", "_f_t"))), lambda x: x["_f_t"]), sep)
         .alias("_f_part"))
     whole = pieces.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("_f_pid", "_f_part"))).alias("_f_a"))
     return whole.select(*group, F.array_join(F.transform("_f_a", lambda x: x["_f_part"]), sep).alias(out))
 
 
 def agg_string(df: DataFrame, group: Sequence[str], value: str, sep: str = ",", out: str = "agg",
-               distinct: bool = True, num_partitions: int | None = None) -> DataFrame:
+               distinct: bool = False, num_partitions: int | None = None) -> DataFrame:
     """STRING_AGG(value, sep) WITHIN GROUP (ORDER BY value) per group (see ``ordered_concat``).
 
-    With ``distinct`` (default) (group, value) pairs are de-duplicated first,
-    map-side combined. Values order as their type (numbers as numbers).
+    With ``distinct`` (group, value) pairs are de-duplicated first, map-side combined. Values order as their type (numbers as numbers).
     """
-    base = df.select(*group, F.col(value).alias("_f_v")).where(F.col("_f_v").isNotNull())
+    base = df.select(*[_c(g) for g in group], _c(value).alias("_f_v")).where(F.col("_f_v").isNotNull())
     if distinct:
         base = base.distinct()
     return ordered_concat(base, group, "_f_v", "_f_v", sep, out, num_partitions)
@@ -130,9 +170,10 @@ def object_agg(df: DataFrame, group: Sequence[str], order_by: str, out: str = "o
     bounded groups (one object per column of a table, dimension rows per parent).
     """
     cols = list(columns or df.columns)
-    staged = df.select(*group, F.col(order_by).alias("_f_ob"), F.to_json(F.struct(*cols)).alias("_f_j"))
+    staged = df.select(*[_c(g) for g in group], _c(order_by).alias("_f_ob"),
+                       F.to_json(F.struct(*[_c(c) for c in cols])).alias("_f_j"))
     joined = ordered_concat(staged, group, "_f_ob", "_f_j", ",", "_f_c", num_partitions)
-    return joined.select(*group, F.concat(F.lit("["), F.col("_f_c"), F.lit("]")).alias(out))
+    return joined.select(*[_c(g) for g in group], F.concat(F.lit("["), F.col("_f_c"), F.lit("]")).alias(out))
 
 
 def count_where(cond: Column, name: str) -> Column:
@@ -151,47 +192,65 @@ def outer_apply_flag(df: DataFrame, other: DataFrame, on: Sequence[tuple[str, st
     from ferry.operators.skew import skew_join
     keys = other if where is None else other.filter(where)
     rk = [r for _, r in on]
-    keys = keys.select(*[F.col(r).alias(f"_f_k{i}") for i, r in enumerate(rk)]).distinct().withColumn("_f_hit", F.lit(1))
-    j = skew_join(df, keys, [(l, f"_f_k{i}") for i, (l, _) in enumerate(on)], "left", right_unique=True)
-    return j.select(*df.columns, F.coalesce(F.col("_f_hit"), F.lit(0)).alias(flag))
+    keys = keys.select(*[_c(r).alias(f"_f_k{i}") for i, r in enumerate(rk)]).distinct().withColumn("_f_hit", F.lit(1))
+    j = skew_join(df, keys, [(l, f"_f_k{i}") for i, (l, _) in enumerate(on)], "left")
+    return j.select(*_own(df), F.coalesce(F.col("_f_hit"), F.lit(0)).alias(flag))
 
 
 def apply_union(df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[tuple[str, str]], str]],
                 out: str) -> DataFrame:
-    """OUTER APPLY over a UNION of correlated single-value branches.
+    """OUTER APPLY over a UNION of correlated branches: a row for each distinct value, one with NULL if there is none.
 
-    Each branch is (lookup table, [(df_col, lookup_col)], value column) and
-    yields at most one value per row; the branches are meant to be mutually
-    exclusive (as a base-type and a user-type lookup are), so the union is the
-    first non-NULL branch value. Each branch is one left join.
+    Each branch is (lookup table, [(df_col, lookup_col)], value column).
+    Branches correlated by the same columns of ``df`` are united into one lookup
+    of distinct (keys, value) rows and joined once, so every input is read once.
+    Branches with different key columns are joined one lookup per set of
+    columns, each reduced to one array of values per key, and the arrays united.
     """
-    from ferry.operators.skew import hot_keys, skew_join
-    cur = df
-    vals = []
-    for i, (tbl, on, val) in enumerate(branches):
-        rk = [r for _, r in on]
-        lk = tbl.select(*[F.col(r).alias(f"_b{i}_{r}") for r in rk], F.col(val).alias(f"_b{i}_v")).dropDuplicates(
-            [f"_b{i}_{r}" for r in rk])
-        # lookups are de-duplicated, so ``cur`` keeps ``df``'s rows one to one: sample
-        # the hot keys on ``df`` itself instead of on the previous join's result
-        hot = hot_keys(df, [l for l, _ in on])
-        cur = skew_join(cur, lk, [(l, f"_b{i}_{r}") for l, r in on], "left", hot=hot, right_unique=True)
-        vals.append(F.col(f"_b{i}_v"))
-    return cur.withColumn(out, F.coalesce(*vals)).drop(*[f"_b{i}_v" for i in range(len(branches))])
+    from ferry.operators.skew import skew_join
+    lookups: dict[tuple[str, ...], DataFrame] = {}
+    for table, on, value in branches:
+        on = sorted(on)
+        part = table.select(*[_c(r).alias(f"_f_k{i}") for i, (_, r) in enumerate(on)], _c(value).alias("_f_v")).dropna(
+            subset=[f"_f_k{i}" for i in range(len(on))])
+        keys = tuple(l for l, _ in on)
+        lookups[keys] = lookups[keys].union(part) if keys in lookups else part
+    if len(lookups) == 1:
+        (keys, values), = lookups.items()
+        joined = skew_join(df, values.distinct(), [(l, f"_f_k{i}") for i, l in enumerate(keys)], "left")
+        return joined.select(*_own(df), F.col("_f_v").alias(out))
+    joined, arrays = df, []
+    for n, (keys, values) in enumerate(lookups.items()):
+        names = [f"_f_k{i}" for i in range(len(keys))]
+        one = values.groupBy(*names).agg(F.collect_set(F.struct("_f_v")).alias(f"_f_a{n}"))
+        joined = skew_join(joined, one, list(zip(keys, names)), "left")
+        arrays.append(F.coalesce(F.col(f"_f_a{n}"), F.array().cast(one.schema[f"_f_a{n}"].dataType)))
+    return (joined.withColumn("_f_x", F.explode_outer(F.array_distinct(F.concat(*arrays))))
+            .select(*_own(df), F.col("_f_x._f_v").alias(out)))
 
 
 def lookup(df: DataFrame, table: DataFrame, left: str, right: str, value: str, out: str) -> DataFrame:
-    """Scalar lookup function (name <-> id) as a left join; unknown keys give NULL."""
+    """Scalar lookup function (name <-> id) as a left join; unknown keys give NULL.
+
+    A key with two different values (NULL counts as one) fails the query, as a
+    scalar subquery that returns more than one row does.
+    """
     from ferry.operators.skew import skew_join
-    lk = table.select(F.col(right).alias("_lk_k"), F.col(value).alias(out)).dropDuplicates(["_lk_k"])
-    return skew_join(df, lk, [(left, "_lk_k")], "left", right_unique=True)
+    values = _c(value)
+    unclear = (F.min(values) != F.max(values)) | ((F.count(values) != F.count(F.lit(1))) & (F.count(values) > 0))
+    message = F.concat(F.lit("more than one value for lookup key "), _c(right).cast("string"))
+    lk = (table.where(_c(right).isNotNull()).groupBy(_c(right))
+          .agg(F.min(values).alias(out), F.coalesce(unclear, F.lit(False)).alias("_f_unclear"))
+          .select(_c(right).alias("_lk_k"), F.when(F.col("_f_unclear"), F.raise_error(message).cast(
+              table.select(values).schema[0].dataType)).otherwise(_c(out)).alias(out)))
+    return skew_join(df, lk, [(left, "_lk_k")], "left")
 
 
 def existing_pairs(df: DataFrame, col_a: str, list_a: Sequence[str], col_b: str, list_b: Sequence[str]) -> DataFrame:
     """List A x list B restricted to pairs that occur in ``df`` - computed from the data's
     distinct pairs (a partial aggregation), never as a cartesian product."""
-    pairs = df.select(col_a, col_b).distinct()
-    return pairs.filter(F.col(col_a).isin(*list_a) & F.col(col_b).isin(*list_b))
+    pairs = df.select(_c(col_a), _c(col_b)).distinct()
+    return pairs.filter(_c(col_a).isin(*list_a) & _c(col_b).isin(*list_b))
 
 
 def distinct_union(*dfs: DataFrame) -> DataFrame:

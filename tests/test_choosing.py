@@ -5,9 +5,9 @@ from pyspark.sql import functions as F
 
 from ferry.functions.text import split_names
 from ferry.operators.checks import GuardError, guard_not_null, guard_types, length_check, unique_check
-from ferry.operators.columns import (choose_columns, columns_plan, exclude_by_flag, exclude_by_name,
+from ferry.operators.columns import (choose_columns, columns_rows, COLUMNS_SCHEMA, exclude_by_flag, exclude_by_name,
                                      exclude_by_type, project_columns, with_flags)
-from ferry.operators.names import (flag_exceptions, like_to_regex, match_any, missing_message, missing_names,
+from ferry.operators.names import (flag_exceptions, like_body, match_any, missing_message, missing_names,
                                    pattern_pairs, select_pairs, wildcard_expand, wildcard_match)
 from ferry.plans.catalog import SelectionError, TableRef, catalog_from_dir, select_tables
 
@@ -43,10 +43,10 @@ def test_patterns(names):
     assert _hits(names, "[^ab]*") == sorted(["fizz", "Product", "ProductModel", "x"])
 
 
-def test_like_to_regex_escapes_metacharacters():
+def test_like_body_escapes_metacharacters():
     import re
-    assert re.match(like_to_regex("a.b*"), "a.bc") and not re.match(like_to_regex("a.b*"), "axbc")
-    assert re.match(like_to_regex("(x)*"), "(x)yz")
+    assert re.fullmatch(like_body("a.b*"), "a.bc") and not re.fullmatch(like_body("a.b*"), "axbc")
+    assert re.fullmatch(like_body("(x)*"), "(x)yz")
 
 
 def test_pattern_pairs_one_row_per_match(names):
@@ -123,7 +123,7 @@ def test_column_rules(spark, flagged):
     assert exclude_by_type(flagged, "double").columns == ["id", "a"]
     assert project_columns(flagged, "c, ID").columns == ["id", "c"]
     assert choose_columns(flagged, exclude_names="b", export_identity=False).columns == ["a"]
-    plan = {r.column_name: r for r in columns_plan(spark, "t", flagged, exclude_by_flag(flagged)).collect()}
+    plan = {r.column_name: r for r in spark.createDataFrame(columns_rows("t", flagged, exclude_by_flag(flagged)), COLUMNS_SCHEMA).collect()}
     assert plan["c"].is_computed and not plan["c"].is_exported and plan["a"].is_not_null
 
 

@@ -41,7 +41,7 @@ def test_replace_table(spark):
 
 def test_agg_string_and_object_agg(spark):
     df = spark.createDataFrame([("g", "b"), ("g", "a"), ("g", "b"), ("h", None), ("h", "c")], "g string, v string")
-    assert dict(agg_string(df, ["g"], "v", ",").collect()) == {"g": "a,b", "h": "c"}
+    assert dict(agg_string(df, ["g"], "v", ",", distinct=True).collect()) == {"g": "a,b", "h": "c"}
     assert dict(agg_string(df, ["g"], "v", "|", distinct=False).collect()) == {"g": "a|b|b", "h": "c"}
     objs = dict(object_agg(df.filter("v is not null"), ["g"], "v", columns=["v"]).collect())
     assert json.loads(objs["g"]) == [{"v": "a"}, {"v": "b"}, {"v": "b"}]
@@ -93,7 +93,7 @@ def test_agg_string_splits_a_hot_group(spark):
     from ferry.operators.relational import agg_string
     rows = [("hot", f"v{i:05d}") for i in range(3000)] + [("cold", "b"), ("cold", "a"), ("cold", "a")]
     df = spark.createDataFrame(rows, "g string, v string")
-    got = dict(agg_string(df, ["g"], "v", "|", num_partitions=6).collect())
+    got = dict(agg_string(df, ["g"], "v", "|", distinct=True, num_partitions=6).collect())
     assert got["cold"] == "a|b"
     assert got["hot"] == "|".join(f"v{i:05d}" for i in range(3000))
     assert dict(agg_string(df, ["g"], "v", ",", distinct=False, num_partitions=6).collect())["cold"] == "a,a,b"
@@ -103,3 +103,52 @@ def test_agg_string_orders_numbers_as_numbers(spark):
     from ferry.operators.relational import agg_string
     df = spark.createDataFrame([(1, 10), (1, 9), (1, 100), (2, -1)], "g int, v int")
     assert dict(agg_string(df, ["g"], "v", ",").collect()) == {1: "9,10,100", 2: "-1"}
+
+
+def test_ties_do_not_depend_on_the_partition_count(spark):
+    from ferry.operators.relational import ordered_concat
+    rows = [("g", i % 3, f"text {i}") for i in range(400)]
+    df = spark.createDataFrame(rows, "g string, o int, t string").repartition(5)
+    one, many = (ordered_concat(df, ["g"], "o", "t", "|", num_partitions=n).first().concat for n in (1, 8))
+    assert one == many and sorted(one.split("|")) == sorted(r[2] for r in rows)
+    long = [("g", ("p" * 70) + str(i % 50), f"v{i}") for i in range(200)] + [("g", "p" * 64, f"s{i}") for i in range(50)]
+    df = spark.createDataFrame(long, "g string, o string, t string").repartition(4)
+    got = [ordered_concat(df, ["g"], "o", "t", "|", num_partitions=n).first().concat.split("|") for n in (1, 8)]
+    order = {t: o for _, o, t in long}
+    assert got[0] == got[1] and [order[t] for t in got[0]] == sorted(order[t] for t in got[0])
+
+
+def test_update_sees_the_old_row_and_checks_names(spark):
+    import pytest
+    df = spark.createDataFrame([(1, 0), (3, 0)], "a int, b int")
+    assert sorted(map(tuple, update_set(df, F.col("a") == 1, a=2, b=9).collect())) == [(2, 9), (3, 0)]
+    assert sorted(map(tuple, update_set(df, None, b=F.col("a"), A=0).collect())) == [(0, 1), (0, 3)]
+    with pytest.raises(ValueError):
+        update_set(df, None, nothing=1)
+
+
+def test_insert_matches_names_without_case(spark):
+    import pytest
+    target = spark.createDataFrame([(1, "a")], "id int, name string")
+    rows = spark.createDataFrame([("b", 2)], "NAME string, ID int")
+    assert sorted(map(tuple, insert_select(target, rows).collect())) == [(1, "a"), (2, "b")]
+    with pytest.raises(ValueError):
+        insert_select(target, rows.withColumnRenamed("ID", "idd"))
+
+
+def test_apply_keeps_every_match_and_lookup_refuses_two_values(spark):
+    import pytest
+    left = spark.createDataFrame([(1, 5), (2, 5), (None, 6)], "k int, j int")
+    a = spark.createDataFrame([(1, "x"), (1, "y"), (1, "x")], "id int, v string")
+    b = spark.createDataFrame([(1, "z"), (2, None)], "id int, v string")
+    c = spark.createDataFrame([(5, "x"), (6, "w")], "id int, v string")
+    key = [("k", "id")]
+    got = sorted(((r.k, r.j, r.o) for r in apply_union(left, [(a, key, "v"), (b, key, "v")], "o").collect()), key=str)
+    assert got == sorted([(1, 5, "x"), (1, 5, "y"), (1, 5, "z"), (2, 5, None), (None, 6, None)], key=str)
+    got = sorted(((r.k, r.j, r.o) for r in apply_union(left, [(a, key, "v"), (b, key, "v"), (c, [("j", "id")], "v")], "o").collect()), key=str)
+    assert got == sorted([(1, 5, "x"), (1, 5, "y"), (1, 5, "z"), (2, 5, None), (2, 5, "x"), (None, 6, "w")], key=str)
+    same = spark.createDataFrame([(1, "x"), (1, "x")], "id int, v string")
+    assert {r.k: r.o for r in lookup(left, same, "k", "id", "v", "o").collect()} == {1: "x", 2: None, None: None}
+    for bad in (a, spark.createDataFrame([(1, "x"), (1, None)], "id int, v string")):
+        with pytest.raises(Exception, match="more than one value"):
+            lookup(left, bad, "k", "id", "v", "o").collect()
