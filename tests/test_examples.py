@@ -12,6 +12,7 @@ from ferry.plans.catalog import SelectionError, TableRef, select_tables
 from ferry.plans.run import TransferOptions, plan_table
 from ferry.sources.delimited import FileFormat
 
+# The names of the schemas and tables that the example calls choose from.
 NAMES = {
     "HumanResources": ["Department", "Employee", "EmployeeDepartmentHistory", "EmployeePayHistory", "JobCandidate",
                        "Shift"],
@@ -104,7 +105,7 @@ def test_example_6_multi_line_column_list(spark):
 
 
 def test_change_script_rows_appended_and_transferred(spark):
-    """Two sales-person rows inserted (the original change script), then landed and appended to a target."""
+    """Two invented rows of a table with many types: inserted, landed and appended to a target."""
     import datetime as dt
     import decimal as dc
 
@@ -121,10 +122,10 @@ def test_change_script_rows_appended_and_transferred(spark):
         T.StructField("ModifiedDate", T.TimestampNTZType())])
     base = spark.createDataFrame([], schema)
     d = dc.Decimal
-    rows = [(1, 7, d("250000.00"), d("985.00"), d("0.016"), d("3121616.3202"), d("2396539.7601"),
-             "F509E3D4-76C8-42AA-B353-90B7B8DB08DE", dt.datetime(2025, 5, 23)),
-            (2, 4, None, d("0.00"), d("0.0"), d("559697.5639"), d("0.0000"),
-             "48754992-9EE0-4C0E-8C94-9451604E3E02", dt.datetime(2025, 5, 23, 12, 30, 0, 123000))]
+    rows = [(11, 3, d("120500.25"), d("40.00"), d("0.125"), d("7000000.0001"), d("0.5000"),
+             "00000000-AAAA-BBBB-CCCC-000000000011", dt.datetime(2021, 2, 28)),
+            (12, 3, None, d("0.00"), d("0.0"), d("15.7500"), d("0.0000"),
+             "00000000-AAAA-BBBB-CCCC-000000000012", dt.datetime(2021, 3, 1, 23, 59, 59, 999000))]
     sales_person = insert_values(spark, base, rows)
     fmt = FileFormat(header=True)
     landing, target = scratch_path(spark, "sp-land"), scratch_path(spark, "sp-target")
