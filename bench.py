@@ -36,7 +36,7 @@ from ferry.operators.checks import delimiter_check  # noqa: E402
 from ferry.plans.catalog import catalog_from_dir  # noqa: E402
 from ferry.plans.run import TransferOptions, plan_transfer, run_export, run_import  # noqa: E402
 from ferry.plans.transfer import export_all, import_table, same_content, verify_round_trip  # noqa: E402
-from ferry.session import local_session, scratch_path  # noqa: E402
+from ferry.session import local_session, remove_scratch, scratch_path  # noqa: E402
 from ferry.sources.delimited import write_delimited  # noqa: E402
 
 
@@ -104,6 +104,7 @@ def main() -> None:
         "lineitem_rows": rows, "round_trip_differences": diff, "fingerprints_equal": same, "errors": errors,
         "rows_per_sec_export": round(rows / times["export_lineitem"]) if times["export_lineitem"] else None,
     }))
+    remove_scratch(spark)
     spark.stop()
 
 

@@ -10,7 +10,7 @@ from ferry.plans.run import (TransferOptions, columns_report, format_layout, pla
                              run_import, transfer, what_if)
 from ferry.plans.transfer import (export_all, export_table, fingerprints, import_by_name, import_inferred,
                                   import_table, load_into, metrics_frame, same_content, verify_round_trip)
-from ferry.session import checkpoint_dir, local_session, scratch_path
+from ferry.session import checkpoint_dir, local_session, remove_scratch, scratch_path
 from ferry.sources.delimited import FileFormat, read_delimited, write_delimited
 from ferry.streaming.landing import stream_import
 
@@ -18,7 +18,7 @@ __all__ = [
     "FileFormat", "TransferOptions", "catalog_from_dir", "catalog_from_metastore", "checkpoint_dir",
     "columns_report", "export_all", "export_table", "fingerprints", "identity_generate", "import_by_name",
     "import_inferred", "import_table", "load_into", "local_session", "metrics_frame", "plan_preview",
-    "plan_transfer", "read_delimited", "row_number", "run_export", "run_import", "same_content", "scratch_path",
+    "plan_transfer", "read_delimited", "remove_scratch", "row_number", "run_export", "run_import", "same_content", "scratch_path",
     "select_tables", "skew_join", "stream_import", "transfer", "verify_round_trip", "what_if", "write_delimited",
     "format_layout",
 ]

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ferry.functions.render import render, render_field
@@ -182,18 +182,31 @@ def plan_preview(tables: dict[str, DataFrame], fmt: FileFormat, parallel: int =
 
 
 def column_summary(df: DataFrame, table: str, exact: bool = True) -> DataFrame:
-    """Data dictionary: (table_name, ordinal, column_name, rows, nulls, distinct_values).
+    """Data dictionary: (table_name, ordinal, column_name, nulls, distinct_values, rows).
 
-    One aggregation pass; ``exact=False`` uses HyperLogLog++ distinct counts,
-    whose memory stays fixed per column however large the table.
+    Exact counts group each column by itself: every scan reads one column of a
+    columnar table, values are combined map-side before they move, and no row is
+    repeated once per column as several distinct counts in one aggregation would.
+    Map columns count by their JSON text. ``exact=False`` is one pass with
+    HyperLogLog++ counts, whose memory stays fixed however large the table.
     """
+    def value(f) -> Column:
+        c = F.col(quoted(f.name))
+        return F.to_json(c) if "map<" in f.dataType.simpleString() else c
+
     fields = df.schema.fields
-    aggs = [F.count(F.lit(1)).alias("rows")]
+    if not exact:
+        aggs = [F.count(F.lit(1)).alias("rows")]
+        for i, f in enumerate(fields):
+            aggs += [F.count_if(value(f).isNull()).alias(f"n{i}"), F.approx_count_distinct(value(f)).alias(f"d{i}")]
+        cells = [x for i, f in enumerate(fields) for x in (F.lit(i + 1), F.lit(f.name), F.col(f"n{i}"), F.col(f"d{i}"))]
+        return df.agg(*aggs).select(F.lit(table).alias("table_name"), F.stack(F.lit(len(fields)), *cells).alias(
+            "ordinal", "column_name", "nulls", "distinct_values"), "rows")
+    out = None
     for i, f in enumerate(fields):
-        c = F.col(quoted(f.name))
-        aggs.append(F.count_if(c.isNull()).alias(f"n{i}"))
-        aggs.append((F.count_distinct(c) if exact else F.approx_count_distinct(c)).alias(f"d{i}"))
-    agg = df.agg(*aggs)
-    cells = [x for i, f in enumerate(fields) for x in (F.lit(i + 1), F.lit(f.name), F.col(f"n{i}"), F.col(f"d{i}"))]
-    return agg.select(F.lit(table).alias("table_name"),
-                      F.stack(F.lit(len(fields)), *cells).alias("ordinal", "column_name", "nulls", "distinct_values"), "rows")
+        values = df.groupBy(value(f).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        one = values.agg(F.lit(table).alias("table_name"), F.lit(i + 1).alias("ordinal"), F.lit(f.name).alias("column_name"),
+                         F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+                         F.count("v").alias("distinct_values"), F.coalesce(F.sum("n"), F.lit(0)).alias("rows"))
+        out = one if out is None else out.unionAll(one)
+    return out

@@ -66,9 +66,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique path in the shared scratch area for one landed data set."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/ferry-scratch/{label}-{uuid.uuid4().hex[:12]}"
+    """A fresh, unique path in this application's shared scratch area for one landed data set."""
+    return f"{_scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def _scratch_root(spark: SparkSession) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/ferry-scratch/{spark.sparkContext.applicationId}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete this application's scratch area; call it when no DataFrame reads from there any more."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(root, True)
 
 
 def table_path(sf_dir: str, name: str) -> str:

@@ -161,3 +161,15 @@ def test_import_into_an_existing_wider_target(spark):
     back = spark.read.parquet(f"{target}/dbo.region")
     assert back.columns == ["R_NAME", "note", "r_regionkey"] and back.count() == 6
     assert back.filter("note is null").count() == 5 and back.filter("R_NAME = 'OLD'").count() == 1
+
+
+def test_column_summary_and_scratch(spark):
+    from ferry.plans.catalog import column_summary
+    rows = [(1, "a", {"k": 1}), (1, None, {"k": 1}), (2, "a", None)]
+    df = spark.createDataFrame(rows, "i int, s string, m map<string,int>")
+    want = {("i", 0, 2, 3), ("s", 1, 1, 3), ("m", 1, 1, 3)}
+    for exact in (True, False):
+        got = column_summary(df, "t", exact).collect()
+        assert {(r.column_name, r.nulls, r.distinct_values, r["rows"]) for r in got} == want
+    assert column_summary(df.limit(0), "t").select("nulls", "distinct_values", "rows").distinct().collect() == [(0, 0, 0)]
+    assert spark.sparkContext.applicationId in scratch_path(spark, "x")
