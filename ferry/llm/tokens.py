@@ -46,7 +46,7 @@ END_ID = 1
 MAX_BITS = 18
 BLOCK_TOKENS = 131_072
 STRIDE = 128
-CACHE_WORDS = 400_000
+CACHE_WORDS = 500_000
 DOCS_AT_ONCE = 256
 BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes array<long>, offsets array<int>, "
               "payload binary")
@@ -55,7 +55,7 @@ BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes arr
 # -- tokenising ---------------------------------------------------------------
 
 PLAIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # letters that are their own NFC form and lower-case alone
-TAIL = ".,;:!?"
+EDGE = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may begin a pre-token of letters
 
 
 def _byte_letters() -> dict[int, int]:
@@ -81,16 +81,19 @@ class _Pieces(dict):
 
 
 class _Words(dict):
-    """White-space-separated word -> ids: letters in lower case and punctuation after them are looked up apart."""
+    """White-space-separated word -> ids: letters in lower case and punctuation around them are looked up apart."""
 
     def __init__(self, tokenizer, kind: str):
         self.pieces = _Pieces(tokenizer, kind)
 
     def __missing__(self, word: str) -> bytes:
-        stem = word.rstrip(TAIL)
-        tail = word[len(stem):]
+        stem = word.strip(EDGE)
         if PLAIN(stem):
-            out = self.pieces[stem.lower()] + (self.pieces[tail] if tail else b"")
+            at = word.index(stem)
+            head, tail = word[:at], word[at + len(stem):]
+            out = self.pieces[stem.lower()]
+            if head or tail:
+                out = (self.pieces[head] if head else b"") + out + (self.pieces[tail] if tail else b"")
         else:
             out = self.pieces[word] if word else b""
         if len(self) >= CACHE_WORDS:
@@ -100,6 +103,15 @@ class _Words(dict):
         return out
 
 
+def _lowered(text: str) -> str:
+    """The text in lower case where that is sure to be what the tokenizer does: all Latin-1, so in NFC already."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return text.lower()
+
+
 class Encoder:
     """Texts -> ids as little-endian bytes, by the tokenizers library.
 
@@ -129,7 +141,7 @@ class Encoder:
             return [array(self.kind, e.ids).tobytes()
                     for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         one = self.words.__getitem__
-        return [b"".join(map(one, t.replace("\n", " ").split(" "))) if t else b"" for t in texts]
+        return [b"".join(map(one, _lowered(t).replace("\n", " ").split(" "))) if t else b"" for t in texts]
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
