@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ferry.llm import lines, mixing, packing, quality, simhash
 from ferry.llm.common import landed, read
+from ferry.session import ship_package
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,6 +54,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = landed(stage(spark, docs, sf_dir), name.replace(" ", "-"))
