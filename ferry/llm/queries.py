@@ -19,5 +19,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_nn_descent": neighbours.ORACLE,
     "op5_line_dedup": lines.ORACLE,
+    "op6_substring_dedup": substrings.ORACLE,
 }

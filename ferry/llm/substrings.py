@@ -8,7 +8,7 @@ length (equal windows have equal representatives, and neighbouring windows
 share theirs, so a document has a few for a hundred words). Windows whose
 representative occurs in one document only are out; only those repeated at one
 length are extended to twice that length. At full length the representative is
-the window itself, as a 128-bit hash, and what survives there is repeated. The
+the window itself, as a 96-bit hash, and what survives there is repeated. The
 search ends early for documents without candidates; beyond the window's own
 length doubling can add nothing, since longer repeats consist of windows.
 
@@ -104,7 +104,7 @@ def _pairs(texts: DataFrame, window: int, before: int | None, size: int) -> Data
                         continue
                     hashes = word_hashes(words)
                     keys = representatives(hashes, size, window)
-                    checks = grams(hashes, window, BASES[1]) if size == window else np.zeros(len(keys), np.uint64)
+                    checks = (grams(hashes, window, BASES[1]) if size == window else np.zeros(len(keys), np.uint64)).astype(np.uint32)
                     if before:
                         keep = np.isin(representatives(hashes, before, window),
                                        alive[at + i].values.to_numpy(zero_copy_only=False).view(np.uint64))
@@ -115,10 +115,10 @@ def _pairs(texts: DataFrame, window: int, before: int | None, size: int) -> Data
                     second.append(checks[where])
                 if ids:
                     yield pa.record_batch([pa.array(np.concatenate(first).view(np.int64)),
-                                           pa.array(np.concatenate(second).view(np.int64)),
+                                           pa.array(np.concatenate(second).view(np.int32)),
                                            pa.array(np.concatenate(ids))], names=["h", "h2", "doc_id"])
 
-    return texts.mapInArrow(run, "h long, h2 long, doc_id long")
+    return texts.mapInArrow(run, "h long, h2 int, doc_id long")
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -141,10 +141,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         else:
             level = named.join(alive, "doc_id")
         pairs = _pairs(level, window, lengths[n - 1] if n else None, size)
-        spread = pairs.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-        met = pairs.join(spread.where("first < last"), ["h", "h2"])
-        if size == window:
-            met = met.where("doc_id > first")
+        if size == window:  # repeated in a document with a smaller id
+            spread = pairs.groupBy("h", "h2").agg(F.min("doc_id").alias("first"))
+            met = pairs.join(spread, ["h", "h2"]).where("doc_id > first")
+        else:
+            spread = pairs.groupBy("h", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+            met = pairs.join(spread.where("first < last"), ["h", "h2"])
         alive = met.groupBy("doc_id").agg(F.collect_list("h").alias("alive"))
 
     def cut_out(batches):
@@ -179,3 +181,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 def digest(docs: DataFrame) -> DataFrame:
     out = remove_repeats(docs)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLE = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50),
+win AS (SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS k FROM s),
+f AS (SELECT k, min(doc_id) AS first_doc FROM win GROUP BY k),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS pos FROM win JOIN f USING (k) WHERE doc_id > first_doc),
+p AS (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM d),
+r AS (SELECT p.doc_id, count(c.pos) AS gone,
+             string_agg(word, ' ' ORDER BY p.pos) FILTER (c.pos IS NULL) AS kept
+      FROM p LEFT JOIN c ON c.doc_id = p.doc_id AND c.pos = p.pos GROUP BY p.doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN r USING (doc_id)
+"""
