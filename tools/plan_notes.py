@@ -1,4 +1,4 @@
-"""Summarise the physical plan of every registered query as a markdown table.
+"""Summarise the physical plan of every query of the transfer library as a markdown table.
 
 Usage: python tools/plan_notes.py [sf_dir] > docs/PLANS.md
 
@@ -15,7 +15,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from ferry.demos import QUERIES  # noqa: E402
 from ferry.session import local_session  # noqa: E402
 
 
@@ -47,7 +47,7 @@ def main() -> None:
           "rows. `python` = any Python UDF / pandas stage (there is none).\n")
     print("| key | hash | range | single | broadcast | joins | pushed filters | python |")
     print("| --- | --- | --- | --- | --- | --- | --- | --- |")
-    for key, fn in entry.queries().items():
+    for key, fn in QUERIES.items():
         df = fn(spark, sf_dir)
         s = summary(df._jdf.queryExecution().executedPlan().toString())
         print(f"| `{key}` | {s['hash']} | {s['range']} | {s['single']} | {s['broadcast']} | {s['joins'] or '-'} | "
