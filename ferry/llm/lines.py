@@ -43,7 +43,8 @@ def frequent_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     counts = (pairs.distinct().groupBy("line_hash")
               .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("last_doc"))
               .where(F.col("n_docs") >= min_docs))
-    return pairs, counts
+    # Landed, so that its join with the pairs has an exchange on either side and AQE can split a hot line.
+    return pairs, landed(counts, "frequent-lines")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40,
