@@ -15,7 +15,7 @@ length doubling can add nothing, since longer repeats consist of windows.
 Each level moves distinct (hash, document) pairs: smallest and largest document
 per hash with map-side combine, then an equi-join AQE may split, so a passage
 that a third of all documents share is no single task's work. Texts are dealt by
-id once; all levels read that one exchange. Texts that are exact copies of one
+id once, compressed; all levels read that one exchange. Texts that are exact copies of one
 with a smaller id leave before the first level: all their windows are repeated.
 
 Defined results
@@ -30,6 +30,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -86,8 +87,21 @@ def representatives(hashes: np.ndarray, size: int, window: int) -> np.ndarray:
     return sliding_min(grams(hashes, size), window - size + 1)
 
 
-def _words(text: bytes | None) -> list[bytes]:
-    return (text or b"").split()
+def _words(packed: bytes | None) -> list[bytes]:
+    return zstandard.decompress(packed).split() if packed else []
+
+
+def _packed(texts: DataFrame) -> DataFrame:
+    """``(doc_id, m, z)``: digest and compressed text, under half of what the exchange would hold otherwise."""
+    def run(batches):
+        packer = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
+                part = batch.slice(at, DOCS_AT_ONCE)
+                z = [None if t is None else packer.compress(t) for t in part.column("text").cast(pa.binary()).to_pylist()]
+                yield pa.record_batch([part.column("doc_id"), part.column("m"), pa.array(z, pa.binary())], names=["doc_id", "m", "z"])
+
+    return texts.select("doc_id", F.md5("text").alias("m"), "text").mapInArrow(run, "doc_id long, m string, z binary")
 
 
 def _pairs(texts: DataFrame, window: int, before: int | None, size: int) -> DataFrame:
@@ -97,9 +111,9 @@ def _pairs(texts: DataFrame, window: int, before: int | None, size: int) -> Data
             alive = batch.column("alive") if before else None
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
                 ids, first, second = [], [], []
-                part = batch.column("text").slice(at, DOCS_AT_ONCE).cast(pa.binary()).to_pylist()
-                for i, (doc, text) in enumerate(zip(batch.column("doc_id").slice(at, DOCS_AT_ONCE).to_pylist(), part)):
-                    words = _words(text)
+                part = batch.column("z").slice(at, DOCS_AT_ONCE).to_pylist()
+                for i, (doc, packed) in enumerate(zip(batch.column("doc_id").slice(at, DOCS_AT_ONCE).to_pylist(), part)):
+                    words = _words(packed)
                     if len(words) < window:
                         continue
                     hashes = word_hashes(words)
@@ -125,8 +139,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    levels: int = LEVELS) -> DataFrame:
     """``(doc_id, n_words, n_removed, kept)`` for every row; ``kept`` joins the words that stay by one space."""
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    named = texts.where("doc_id is not null")
-    digests = named.select("doc_id", F.md5("text").alias("m")).where("m is not null")
+    # The same filter below and above the packing: inner and left joins then have one exchange in common.
+    named = _packed(texts.where("doc_id is not null")).where("doc_id is not null")
+    digests = texts.select("doc_id", F.md5("text").alias("m")).where("m is not null and doc_id is not null")
     first = digests.groupBy("m").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     copies = (digests.join(first.where("first < last"), "m").where("doc_id > first")
               .groupBy("doc_id").agg(F.collect_set("m").alias("copied")))
@@ -137,7 +152,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if alive is None:
             # The left join is only for dropping copies, so the texts are dealt by id here already.
             level = named.join(copies, "doc_id", "left").where(
-                F.col("copied").isNull() | ~F.array_contains("copied", F.md5("text"))).select("doc_id", "text")
+                F.col("copied").isNull() | ~F.array_contains("copied", F.col("m"))).select("doc_id", "z")
         else:
             level = named.join(alive, "doc_id")
         pairs = _pairs(level, window, lengths[n - 1] if n else None, size)
@@ -152,9 +167,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def cut_out(batches):
         for batch in batches:
             n_words, n_removed, kept = [], [], []
-            for text, gone, whole in zip(batch.column("text").cast(pa.binary()).to_pylist(),
-                                         batch.column("alive"), batch.column("copy").to_pylist()):
-                words = _words(text)
+            for packed_text, gone, whole in zip(batch.column("z").to_pylist(), batch.column("alive"),
+                                                batch.column("copy").to_pylist()):
+                words = _words(packed_text)
                 n = len(words)
                 covered = np.zeros(n, bool)
                 if n >= window and whole:
@@ -173,8 +188,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                    pa.array(kept, pa.binary()).cast(pa.string())],
                                   names=["doc_id", "n_words", "n_removed", "kept"])
 
-    whole = F.coalesce(F.array_contains("copied", F.md5("text")), F.lit(False)).alias("copy")
-    out = texts.join(copies, "doc_id", "left").join(alive, "doc_id", "left").select("doc_id", "text", "alive", whole)
+    whole = F.coalesce(F.array_contains("copied", F.col("m")), F.lit(False)).alias("copy")
+    out = named.join(copies, "doc_id", "left").join(alive, "doc_id", "left").select("doc_id", "z", "alive", whole)
+    nameless = _packed(texts.where("doc_id is null")).select(
+        "doc_id", "z", F.lit(None).cast("array<long>").alias("alive"), F.lit(False).alias("copy"))
+    out = out.unionAll(nameless)
     return out.mapInArrow(cut_out, "doc_id long, n_words long, n_removed long, kept string")
 
 
