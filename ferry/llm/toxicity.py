@@ -228,8 +228,9 @@ def _model(counts: DataFrame, wanted: DataFrame, vocabulary: list[str]) -> Model
         df[r.t] = r["count"]
     model = Model(vocabulary, np.log((1 + total) / (1 + df)) + 1)
     # At most MAX_EXAMPLES labelled examples, as a few numbers each.
-    examples = counts.join(F.broadcast(wanted), F.col("doc_id") == F.col("_id")).select("doc_id", "y", "at", "n")
-    rows = sorted(tuple(r) for r in examples.collect())
+    examples = (counts.join(F.broadcast(wanted), F.col("doc_id") == F.col("_id"))
+                .groupBy("doc_id", "y").agg(F.min(F.struct("at", "n")).alias("c")))  # one of the rows of a repeated id
+    rows = sorted((r.doc_id, r.y, r.c.at, r.c.n) for r in examples.collect())
     if not rows:
         return model
     model.prior = sum(r[1] for r in rows) / len(rows)
