@@ -165,7 +165,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         alive = met.groupBy("doc_id").agg(F.collect_list("h").alias("alive"))
 
     def cut_out(batches):
-        for batch in batches:
+        for batch in (b.slice(at, DOCS_AT_ONCE) for b in batches for at in range(0, b.num_rows, DOCS_AT_ONCE)):
             n_words, n_removed, kept = [], [], []
             for packed_text, gone, whole in zip(batch.column("z").to_pylist(), batch.column("alive"),
                                                 batch.column("copy").to_pylist()):
