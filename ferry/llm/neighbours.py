@@ -7,8 +7,13 @@ other, and each keeps its best ``LIST``. Rounds end when few lists change and an
 audit - sampled nodes against all rows, in one pass - finds the links there.
 
 Edges at the threshold are links. A list full of links is saturated: it may
-have more than it holds. Such lists are enlarged to their whole component, whose
-rows are compared block by block; only counts leave a block, never its pairs.
+have more than it holds, and what it lacks may lead out of the component found.
+Saturated nodes of different components are therefore searched against each
+other, in balls with a centre and a radius: two balls are compared row by row
+unless their angles rule a link out, and a link found joins their components.
+Then the lists are enlarged to their whole component, whose rows are compared
+block by block; only counts leave a block, never its pairs. At last the audited
+links, those of saturated nodes too, must lie within one component each.
 
 No group is one task's work: leaves, reverse lists and components are cut into
 parts of bounded size by a hash of the id.
@@ -153,8 +158,8 @@ def _refined(lists: DataFrame, nodes: DataFrame) -> DataFrame:
             .sortWithinPartitions("c", "part").mapInArrow(pairs, EDGE))
 
 
-def neighbour_lists(nodes: DataFrame, total: int, size: int, threshold: float) -> DataFrame:
-    """``(u, v, sim, place)`` after as many rounds as it takes."""
+def neighbour_lists(nodes: DataFrame, total: int, size: int, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """``(u, v, sim, place)`` after as many rounds as it takes, and the audit's links ``(u, v)``."""
     zero, one = F.lit(0).alias("age"), F.lit(1).alias("age")
     lists = landed(_trimmed(first_lists(nodes, total, size).select("u", "v", "sim", zero), LIST), "nn-lists")
     truth = landed(audited(nodes, threshold), "nn-audit")
@@ -166,13 +171,16 @@ def neighbour_lists(nodes: DataFrame, total: int, size: int, threshold: float) -
         changed = lists.where("age = 0").count()
         full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least")).where(
             (F.col("n") >= LIST) & (F.col("least") >= threshold - SLACK)).select("u")
-        # A saturated node's other links come when its list is enlarged.
+        # Other links of saturated nodes come when balls are compared and lists enlarged; near_duplicates audits them.
         missing = (truth.join(full, "u", "left_anti").join(lists.select("u", "v"), ["u", "v"], "left_anti")
                    .join(lists.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti").count())
         if changed <= SETTLED * LIST * total and not missing:
             break
+    # The audit's links help, except those between saturated nodes: what finds these is to be audited.
+    helped = truth.join(full, "u", "left_anti").unionAll(
+        truth.join(full, "u").join(full.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v"))
     return lists.select("u", "v", "sim", "place").unionAll(
-        truth.select("u", "v", F.lit(1.0).cast("float").alias("sim"), F.lit(0).alias("place")))
+        helped.select("u", "v", F.lit(1.0).cast("float").alias("sim"), F.lit(0).alias("place"))), truth
 
 
 def audited(nodes: DataFrame, threshold: float) -> DataFrame:
@@ -191,6 +199,58 @@ def audited(nodes: DataFrame, threshold: float) -> DataFrame:
     return nodes.select("id", "v").mapInArrow(run, "u long, v long")
 
 
+def _across(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: a link for every two balls of ``members(id, component)`` of different components that have one."""
+    sizes = landed(_split(members.groupBy("component").agg(F.count(F.lit(1)).alias("n")), BLOCK), "nn-groups")
+    rows = landed(members.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
+                  .join(nodes.select("id", "v"), "id").select("component", "part", "id", "v"), "nn-saturated-rows")
+
+    def ball(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(pdf.v.to_numpy())
+        x = x / np.sqrt((x * x).sum(axis=1, keepdims=True))
+        centre = x.mean(axis=0)
+        size = np.sqrt((centre * centre).sum())
+        centre = centre / size if size > 1e-9 else x[0]
+        radius = float(np.arccos(np.clip(x @ centre, -1, 1)).max())
+        return pd.DataFrame({"component": pdf.component[:1], "part": pdf.part[:1], "ball": [pdf.id.min()],
+                             "centre": [centre], "radius": [radius]})
+
+    balls = landed(rows.groupBy("component", "part").applyInPandas(
+        ball, "component long, part long, ball long, centre array<double>, radius double"), "nn-balls")
+    blocks = max(1, math.ceil(balls.count() / BLOCK))
+    dealt = (balls.withColumn("own", F.pmod(F.xxhash64("ball"), F.lit(blocks)).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+             .select(F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "component",
+                     "ball", "centre", "radius"))
+    reach = math.acos(max(-1.0, min(1.0, threshold))) + 1e-6
+
+    def reachable(pdf: pd.DataFrame) -> pd.DataFrame:
+        i, j = pdf.i.iloc[0], pdf.j.iloc[0]
+        left, right = pdf[pdf.own == i], pdf[pdf.own == j]
+        if left.empty or right.empty:
+            return pd.DataFrame({"p": np.zeros(0, np.int64), "q": np.zeros(0, np.int64)})
+        angle = np.arccos(np.clip(np.stack(left.centre.to_numpy()) @ np.stack(right.centre.to_numpy()).T, -1, 1))
+        near = angle <= left.radius.to_numpy()[:, None] + right.radius.to_numpy()[None, :] + reach
+        near &= left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
+        p, q = left.ball.to_numpy(), right.ball.to_numpy()
+        if i == j:
+            near &= p[:, None] < q[None, :]
+        a, b = np.nonzero(near)
+        return pd.DataFrame({"p": p[a], "q": q[b]})
+
+    pairs = landed(dealt.groupBy("i", "j").applyInPandas(reachable, "p long, q long"), "nn-ball-pairs")
+    held = rows.join(balls.select("component", "part", "ball"), ["component", "part"]).select("ball", "id", "v")
+    sides = pairs.select("p", "q", F.explode(F.array("p", "q")).alias("ball")).join(held, "ball")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf.ball == pdf.p.iloc[0]], pdf[pdf.ball == pdf.q.iloc[0]]
+        near = cosines(np.stack(left.v.to_numpy()), np.stack(right.v.to_numpy())) >= threshold
+        a, b = (x[:1] for x in np.nonzero(near))  # each component is whole, so one link joins them
+        return pd.DataFrame({"a": left.id.to_numpy()[a], "b": right.id.to_numpy()[b]})
+
+    return sides.groupBy("p", "q").applyInPandas(compare, "a long, b long")
+
+
 def _enlarged(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """``(id, n)``: links (weighted by copies) of the nodes of ``members(id, component)`` within their component."""
     sizes = landed(_split(members.groupBy("component").agg(F.count(F.lit(1)).alias("n")), BLOCK), "nn-components")
@@ -236,7 +296,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     if not total:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                           F.col("vec_id").isNotNull().alias("kept"))
-    lists = landed(neighbour_lists(nodes, total, len(nodes.first().v), threshold), "nn-graph")
+    lists, truth = neighbour_lists(nodes, total, len(nodes.first().v), threshold)
+    lists = landed(lists, "nn-graph")
 
     # Links: verified in double precision, each once.
     ends = lists.where(F.col("sim") >= threshold - SLACK).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
@@ -247,9 +308,21 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
                    .where(cosine >= threshold).select("a", "b", "ca", "cb"), "nn-links")
     found = landed(components(links, "a", "b").select(F.col("node").alias("id"), "component"), "nn-found")
 
+    # Links between saturated nodes of different components stand in no list.
+    full = landed(lists.where((F.col("place") == LIST) & (F.col("sim") >= threshold - SLACK))
+                  .select(F.col("u").alias("id")).join(found, "id"), "nn-full")
+    if full.select("component").distinct().limit(2).count() == 2:
+        bridges = landed(_across(nodes, full, threshold), "nn-bridges")
+        if not bridges.isEmpty():
+            found = landed(components(links.select("a", "b").unionAll(bridges), "a", "b")
+                           .select(F.col("node").alias("id"), "component"), "nn-found")
+    at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    if apart := truth.join(at("u"), "u", "left").join(at("v"), "v", "left").where(~F.col("cu").eqNullSafe(F.col("cv"))
+                                                                                  | F.col("cu").isNull()).count():
+        raise RuntimeError(f"{apart} audited links lead out of the component found")
+
     # Components with a saturated list are counted whole, the others from their links.
-    saturated = landed(lists.where((F.col("place") == LIST) & (F.col("sim") >= threshold - SLACK))
-                       .select(F.col("u").alias("id")).join(found, "id").select("component").distinct(), "nn-saturated")
+    saturated = landed(full.select("id").join(found, "id").select("component").distinct(), "nn-saturated")
     counted = links.select(F.col("a").alias("id"), F.col("cb").alias("n")).unionAll(
         links.select(F.col("b").alias("id"), F.col("ca").alias("n"))).groupBy("id").agg(F.sum("n").alias("n"))
     dense = _enlarged(nodes, found.join(saturated, "component", "left_semi"), threshold)

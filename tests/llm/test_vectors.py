@@ -60,6 +60,34 @@ def test_near_duplicates_against_all_pairs(vectors):
     assert max(n for n, _ in want.values()) > 100
 
 
+def all_pairs(points, threshold=0.9):
+    """id -> (links, smallest id reachable), by all pairs."""
+    ids = sorted(points)
+    x = np.stack([points[i] for i in ids])
+    near = neighbours.cosines(x, x) >= threshold
+    np.fill_diagonal(near, False)
+    component, changed = np.arange(len(ids)), True
+    while changed:
+        best = np.minimum(component, np.where(near, component[None, :], len(ids)).min(axis=1))
+        changed, component = (best != component).any(), best
+    return {i: (int(near[n].sum()), ids[component[n]]) for n, i in enumerate(ids)}
+
+
+def test_tight_groups_linked_to_each_other(llm_spark):
+    """Lists full of a group's own members hide the links between two groups (0.99 within, 0.92 between)."""
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x)
+    rows = []
+    for _ in range(80):
+        a, o = unit(rng.normal(size=64)), unit(rng.normal(size=64))
+        for centre in (a, unit(0.93 * a + (1 - 0.93 ** 2) ** 0.5 * unit(o - (o @ a) * a))):
+            rows += [(len(rows) + i, (centre + 0.1 * unit(rng.normal(size=64))).astype(np.float32).tolist(), 0) for i in range(10)]
+    want = all_pairs({i: np.array(v, float) for i, v, _ in rows})
+    assert len({c for _, c in want.values()}) == 80
+    got = neighbours.digest(llm_spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
+
+
 def test_search_against_brute_force(vectors):
     points = usable(made())
     ids = np.array(sorted(points))
