@@ -1,12 +1,14 @@
 """Mixing sources to target weights by a Pfair schedule, in DataFrame functions only.
 
-Each source is a stream of blocks of ``block_chars`` characters. Weights become
-whole shares a of a cycle of Q slots; block j of a cycle (from 0) is released at
-floor(j * Q / a) and due by ceil((j + 1) * Q / a). Earliest deadline first over
-one cycle gives every block a slot inside its window, so after any number of
-slots each source is within one block of its share. The cycle repeats, hence a
-block's slot is a lookup by (source, block mod a): only the cycle - its size is
-set by the number of sources, never by their rows - is computed on the driver.
+Each source is a stream of blocks of ``block_chars`` characters. Its weight w is
+an exact fraction of all weights (decimals as written, never rounded to slots);
+block j (from 0) is released at floor(j / w) and due by ceil((j + 1) / w).
+Earliest deadline first gives every block a slot inside its window, so after any
+number of slots each source is within one block of its target weight. Weights
+with a small common denominator Q repeat after Q slots; other schedules are
+computed until the last block is due. A block's slot is a lookup by (source,
+block mod its blocks in the table). The driver holds a few numbers for each
+block, of 64 KB of text by default, and refuses more than ``MAX_SLOTS`` slots.
 
 A document belongs to the block in which its first character falls when its
 source is read in the order of a hash of the id. Those running sums take no
@@ -26,14 +28,16 @@ from __future__ import annotations
 import heapq
 import json
 import math
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import folded, unfolded
+from ferry.llm.common import folded, landed, unfolded
 
 BLOCK_CHARS = 65_536
-RESOLUTION = 1_000      # least number of slots of a cycle
+RESOLUTION = 1_000      # least number of slots of a cycle of rounded shares
+MAX_SLOTS = 20_000_000  # longer schedules are refused: larger blocks make them shorter
 MAX_SOURCES = 100_000   # more than that are refused: weights are a stated table of that size at most
 ROWS_PER_BUCKET = 256
 
@@ -52,22 +56,44 @@ def shares(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str,
     return out
 
 
-def cycle_slots(parts: dict[str, int]) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of one cycle by earliest deadline first."""
+def exact_parts(weights: dict[str, float]) -> dict[str, int]:
+    """Whole numbers in exactly the proportions of the weights."""
+    if any(w <= 0 or not math.isfinite(w) for w in weights.values()):
+        raise ValueError("target weights must be positive and finite")
+    exact = {s: Fraction(str(w)) for s, w in weights.items()}
+    scale = math.lcm(*(x.denominator for x in exact.values()))
+    parts = {s: int(x * scale) for s, x in exact.items()}
+    common = math.gcd(*parts.values())
+    return {s: n // common for s, n in parts.items()}
+
+
+def cycle_slots(parts: dict[str, int], blocks: dict[str, int] | None = None) -> list[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of one cycle by earliest deadline first.
+
+    With ``blocks`` (how many each source has), a cycle that is longer than they
+    need ends when the last of them is due, and blocks beyond them are left out.
+    """
     cycle = sum(parts.values())
     window = lambda s, j: (j * cycle // parts[s], -(-(j + 1) * cycle // parts[s]))
     waiting = [(0, s, 0) for s in sorted(parts)]
     heapq.heapify(waiting)
     ready: list[tuple[int, str, int]] = []
     out = []
-    for slot in range(cycle):
+    end = cycle
+    if blocks is not None:
+        end = min(cycle, max(window(s, n - 1)[1] for s, n in blocks.items()))
+        if end > MAX_SLOTS:
+            raise ValueError(f"a schedule of {end} slots; at most {MAX_SLOTS}")
+    cut = end < cycle
+    for slot in range(end):
         while waiting and waiting[0][0] <= slot:
             _, s, j = heapq.heappop(waiting)
             heapq.heappush(ready, (window(s, j)[1], s, j))
         due, s, j = heapq.heappop(ready)  # the shares fill the cycle, so a block is always ready
         if slot >= due:
             raise AssertionError("a block missed its deadline")
-        out.append((s, j, window(s, j)[0], due, slot))
+        if not cut or j < blocks.get(s, 0):
+            out.append((s, j, window(s, j)[0], due, slot))
         if j + 1 < parts[s]:
             heapq.heappush(waiting, (window(s, j + 1)[0], s, j + 1))
     return out
@@ -99,12 +125,13 @@ def _prefix(parts: DataFrame) -> DataFrame:
 
 def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id",
               source_col: str = "source", text_col: str = "text", block_chars: int = BLOCK_CHARS,
-              resolution: int = RESOLUTION) -> DataFrame:
+              resolution: int | None = None) -> DataFrame:
     """Every row of ``docs`` with ``_block`` (of its source), ``_offset`` (characters into the block),
     ``_release``, ``_deadline`` and ``_slot``.
 
     ``weights`` names every source (``None`` for null); without it a source
-    weighs the square root of its characters, which lifts small sources.
+    weighs the square root of its characters, which lifts small sources. Only if
+    a ``resolution`` is given are weights rounded to whole slots of such a cycle.
     """
     size = F.greatest(F.coalesce(F.length(text_col), F.lit(0)), F.lit(1)).cast("long")
     sizes = source_sizes(docs, source_col, size)
@@ -114,14 +141,21 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, i
         target = {"null" if s is None else f"={s}": w for s, w in weights.items()}
         if missing := sorted(sizes.keys() - target.keys()):
             raise ValueError(f"no target weight for {missing[:10]}")
-    parts = shares(target, resolution) if target else {}
-    rows = [{"_cs": s, "_cj": j, "_a": parts[s], "_r": r, "_d": d, "_t": t} for s, j, r, d, t in cycle_slots(parts)]
+    parts = {} if not target else exact_parts(target) if resolution is None else shares(target, resolution)
+    blocks = {s: (n - 1) // block_chars + 1 for s, n in sizes.items()}
+    rows = cycle_slots(parts, blocks) if blocks else []
+    listed: dict[str, list[tuple[int, int, int]]] = {}
+    for s, _, r, d, t in rows:  # the blocks of a source come in their order
+        listed.setdefault(s, []).append((r, d, t))
+    slots = sum(parts.values())  # a schedule that was ended early holds every block and never turns
     spark = docs.sparkSession
-    cycle = (spark.range(1).select(F.explode(F.from_json(
-        F.lit(json.dumps(rows)), "array<struct<_cs: string, _cj: long, _a: long, _r: long, _d: long, _t: long>>"))
-        .alias("c")).select("c.*"))
-    slots = len(rows)
-    per_source = cycle.select(F.col("_cs").alias("_as"), F.col("_a").alias("_share")).distinct()
+    kind = "array<struct<s: string, a: long, w: array<array<long>>>>"
+    table = landed(spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(
+        [{"s": s, "a": len(w), "w": w} for s, w in listed.items()])), kind)).alias("c"))
+        .select(F.col("c.s").alias("_cs"), F.col("c.a").alias("_a"), F.posexplode("c.w").alias("_cj", "w"))
+        .select("_cs", F.col("_cj").cast("long").alias("_cj"), "_a", F.col("w")[0].alias("_r"), F.col("w")[1].alias("_d"),
+                F.col("w")[2].alias("_t")), "mixing-schedule")
+    per_source = landed(table.select(F.col("_cs").alias("_as"), F.col("_a").alias("_share")).distinct(), "mixing-shares")
 
     bits = max(1, min(40, math.ceil(math.log2(max(2, docs.count() / ROWS_PER_BUCKET)))))
     keyed = (folded(docs, _s=_source_key(F.col(source_col)), _id=id_col, _h=F.xxhash64(F.col(id_col).cast("string")),
@@ -134,11 +168,10 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, i
               .withColumn("_at", F.col("_before") + F.col("_in"))
               .withColumn("_block", F.floor(F.col("_at") / block_chars).cast("long"))
               .withColumn("_offset", F.col("_at") % block_chars))
-    # The cycle has max(RESOLUTION, 4 * sources) rows, whatever the corpus: a proven bound for the broadcast.
+    # One row per source, at most MAX_SOURCES: a proven bound for the broadcast.
     placed = placed.join(F.broadcast(per_source), F.col("_s") == F.col("_as"))
-    placed = placed.join(F.broadcast(cycle.drop("_a")),
-                         (F.col("_s") == F.col("_cs")) & (F.col("_block") % F.col("_share") == F.col("_cj")))
-    turn = F.floor(F.col("_block") / F.col("_share")).cast("long") * slots
+    placed = placed.join(table.drop("_a"), (F.col("_s") == F.col("_cs")) & (F.col("_block") % F.col("_share") == F.col("_cj")))
+    turn = F.floor(F.col("_block") / F.col("_share")).cast("long") * F.lit(slots if slots < 1 << 62 else 0)
     return placed.select(*unfolded(F.col("row"), docs.columns), "_block", "_offset", (turn + F.col("_r")).alias("_release"),
                          (turn + F.col("_d")).alias("_deadline"), (turn + F.col("_t")).alias("_slot"))
 

@@ -20,6 +20,33 @@ def test_cycle_stays_within_one_block_of_the_shares(weights):
             assert abs(done[name] - t * a / cycle) < 1
 
 
+def test_blocks_follow_the_weights_over_many_cycles():
+    weights = {"a": 0.55, **{f"s{i}": 0.05 for i in range(9)}}
+    assert mixing.exact_parts(weights) == {"a": 11, **{f"s{i}": 1 for i in range(9)}}
+    odd = {"big": 0.5, **{f"s{i}": 0.5 / 299 for i in range(299)}}
+    root = {f"s{i}": (i + 2) ** 0.5 for i in range(7)}
+    for weights in (weights, odd, root):
+        parts, total, done = mixing.exact_parts(weights), sum(weights.values()), defaultdict(int)
+        blocks = {s: int(9000 * w / total) + 1 for s, w in weights.items()}
+        cycle, rows = sum(parts.values()), mixing.cycle_slots(parts, blocks)
+        turns = -(-9000 // cycle)
+        for turn in range(turns):
+            for s, _, release, deadline, slot in rows:
+                t = turn * cycle + slot + 1
+                if t <= 9000:
+                    assert release <= slot < deadline
+                    done[s] += 1
+                    assert abs(done[s] - t * weights[s] / total) < 1 + 1e-6
+
+
+def test_slots_follow_the_weights_in_the_table(llm_spark):
+    docs = llm_spark.createDataFrame([(i, "x" * 100, "a" if i < 3300 else f"s{i % 9}") for i in range(6000)],
+                                     "doc_id long, text string, source string")
+    out = mixing.scheduled(docs, {"a": 0.55, **{f"s{i}": 0.05 for i in range(9)}}, block_chars=100).collect()
+    assert len(out) == 6000
+    assert abs(sum(r.source == "a" and r._slot < 4000 for r in out) - 2200) < 1
+
+
 def test_every_row_is_placed_once_by_its_source_position(llm_spark, messy, rows):
     out = mixing.scheduled(messy, block_chars=500).select("doc_id", "source", "text", "_block", "_offset", "_slot", "_release", "_deadline").collect()
     assert sorted((r.doc_id, r.text) for r in out if r.doc_id is not None and r.text is not None) == \
