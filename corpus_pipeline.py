@@ -37,8 +37,12 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where every piece of every document goes."""
-    return packing.packed(docs)
+    """Where every piece of every document goes; shards are contiguous runs of the source schedule.
+
+    The order of rows does not survive writing and reading, so the slots, which
+    depend on the rows alone, are worked out again.
+    """
+    return packing.packed(mixing.scheduled(docs), schedule=("_slot", "_offset"))
 
 
 STAGES = [

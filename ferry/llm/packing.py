@@ -2,8 +2,9 @@
 
 A bin never holds two documents of one source nor two of one duplicate cluster.
 Documents are dealt to shards of about ``SHARD`` pieces by a hash of the id, so
-hot sources and groups of copies spread evenly; each shard packs its own bins,
-largest piece first. Bins stand in order of their residual length and carry a
+hot sources and groups of copies spread evenly, or, given a schedule, in contiguous
+runs of it, so that shards follow one another as the schedule does; each shard packs
+its own bins, largest piece first. Bins stand in order of their residual length and carry a
 source and a cluster bitmap. The successor search starts at the smallest
 residual that holds the piece and goes on until a bin's bitmaps allow it: the
 tightest compatible bin. A new bin opens only when there is none.
@@ -25,10 +26,11 @@ from __future__ import annotations
 from bisect import bisect_left, insort
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferry.llm.common import ASCII_SPACE, landed
+from ferry.llm.mixing import _prefix
 
 CAPACITY = 2_048
 SHARD = 4_096
@@ -68,21 +70,42 @@ def words(text: Column) -> Column:
     return F.size(F.filter(F.split(F.coalesce(text, F.lit("")), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")).cast("long")
 
 
+def _numbered(items: DataFrame) -> DataFrame:
+    """``items`` with ``before``: the pieces that stand before a document in the schedule."""
+    slots = _prefix(items.groupBy(F.lit("").alias("_s"), F.col("slot").alias("_b")).agg(F.sum("n").alias("_n")))
+    within = Window.partitionBy("slot").orderBy("place", "doc_id", "cluster")  # a slot is one block of text
+    return (items.withColumn("_in", F.sum("n").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+            .join(slots.select("_pb", "_before"), F.col("slot") == F.col("_pb"))
+            .withColumn("before", F.col("_before") + F.col("_in")))
+
+
 def packed(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text",
            cluster: Column | None = None, length: Column | None = None, capacity: int = CAPACITY,
-           one_per_source: bool = True) -> DataFrame:
-    """``(doc_id, piece, start, length, bin_shard, bin_no, bin_offset)``, one row per piece of every document."""
+           one_per_source: bool = True, schedule: tuple[str, str] | None = None) -> DataFrame:
+    """``(doc_id, piece, start, length, bin_shard, bin_no, bin_offset)``, one row per piece of every document.
+
+    ``schedule`` names the columns of a document's slot and of its place in the
+    slot: shard 0 then holds the first pieces of the schedule, shard 1 the next.
+    """
     length = words(F.col(text_col)) if length is None else length
     cluster = F.md5(F.btrim(F.coalesce(F.col(text_col), F.lit("")), F.lit(ASCII_SPACE))) if cluster is None else cluster
     items = landed(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                               cluster.cast("string").alias("cluster"), length.alias("words")), "packing-items")
+                               cluster.cast("string").alias("cluster"), length.alias("words"),
+                               *[F.col(c).cast("long").alias(n) for c, n in zip(schedule or (), ("slot", "place"))]),
+                   "packing-items")
     last = F.greatest(F.ceil(F.col("words") / capacity) - 1, F.lit(0)).cast("long")
-    pieces = (items.select("doc_id", "source", "cluster", "words", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+    if schedule:
+        items = _numbered(items.withColumn("n", last + 1))
+    pieces = (items.select("doc_id", "source", "cluster", "words", *["before"] * bool(schedule), F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
               .withColumn("start", F.col("piece") * capacity)
               .withColumn("length", F.least(F.lit(capacity).cast("long"), F.col("words") - F.col("start"))))
-    shards = max(1, round(pieces.count() / SHARD))
+    total = pieces.count()
+    shards = max(1, round(total / SHARD))
     # The cluster is part of the hash: repeated rows of one id meet only if they are copies.
     pieces = pieces.withColumn("bin_shard", F.pmod(F.xxhash64("doc_id", "piece", "cluster"), F.lit(shards)))
+    if schedule:
+        size = -(-total // shards)
+        pieces = pieces.withColumn("bin_shard", F.floor((F.col("before") + F.col("piece")) / F.lit(size)).cast("long")).drop("before")
 
     def pack(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(["length", "doc_id", "piece", "source", "cluster"],

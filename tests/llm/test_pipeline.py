@@ -86,3 +86,22 @@ def test_run_equals_its_stages_and_takes_empty_tables(llm_spark, folder, no_docs
     no_docs.write.parquet(f"{tmp_path}/documents.parquet")
     llm_spark.read.parquet(f"{folder}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
     assert corpus_pipeline.run(llm_spark, str(tmp_path)).collect() == []
+
+
+def test_shards_follow_the_schedule(llm_spark, monkeypatch, tmp_path):
+    """Consecutive shards hold the target shares of their sources, until a source runs out."""
+    monkeypatch.setattr(packing, "SHARD", 100)
+    rows = [(i, f"w{i} " * 200, "en", "big" if i % 10 else "small", 1) for i in range(3000)]
+    docs = llm_spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    monkeypatch.setattr(mixing.scheduled, "__defaults__", tuple(
+        1_000 if x == mixing.BLOCK_CHARS else x for x in mixing.scheduled.__defaults__))
+    mixed = corpus_pipeline.mix_sources(llm_spark, docs, "")
+    mixed.write.parquet(f"{tmp_path}/mixed")
+    out = corpus_pipeline.best_fit_packing(llm_spark, llm_spark.read.parquet(f"{tmp_path}/mixed"), "").collect()
+    assert sorted(r.doc_id for r in out) == list(range(3000))
+    held = defaultdict(list)
+    for r in out:
+        held[r.bin_shard].append(rows[r.doc_id][3])
+    assert sorted(held) == list(range(30)) and all(len(x) == 100 for x in held.values())
+    for n in range(11):  # weights 3 : 1 by the square root, so 300 small ones last for 1,200 documents
+        assert abs(held[n].count("small") - 25) <= 3
