@@ -13,7 +13,8 @@ Defined results
     null text counts as empty, and empty texts get the score of a text without
     words; null ids are scored and are never training rows; a repeated labels
     row counts once (the larger label wins a conflict); without training rows
-    every score is 0.5; empty table: empty result; extra columns are not read.
+    every score is 0.5, and ``keep_good`` keeps every document; empty table:
+    empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -97,6 +98,7 @@ class Model:
         self.directions = rng.normal(size=(d, FEATURES)) / (WIDTH * np.sqrt(d))
         self.phases = rng.uniform(0, 2 * np.pi, FEATURES)
         self.weights = np.zeros(FEATURES + 1)
+        self.trained = False
         self.knots = isotonic(np.zeros(0), np.zeros(0), np.zeros(0))
 
     def features(self, x: np.ndarray) -> np.ndarray:
@@ -132,6 +134,7 @@ def fit(stats: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col:
     if not moments.n:
         return Model(np.zeros(d), np.ones(d))
     model = Model(np.array(moments.m), np.array(moments.s))
+    model.trained = True
 
     def sums(batches):
         total = np.zeros((FOLDS, FEATURES + 1, FEATURES + 2))
@@ -191,8 +194,13 @@ def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, keep_at: float = KEEP_AT) -> DataFrame:
-    """The rows of ``docs`` that the classifier does not reject, all columns, without a shuffle of texts."""
+    """The rows of ``docs`` that the classifier does not reject, all columns, without a shuffle of texts.
+
+    Without training rows there is no classifier, and nothing is rejected.
+    """
     model = fit(landed(statistics_table(docs, "doc_id", "text"), "quality-statistics"), training_labels(labels))
+    if not model.trained:
+        return docs
     place = docs.columns.index("text")
 
     def run(batches):

@@ -80,6 +80,15 @@ def test_messy_tables(messy, rows, no_docs, plain_labels, llm_spark):
     assert kept.columns == messy.columns and kept.count() <= len(rows)
 
 
+def test_nothing_is_rejected_without_training_rows(messy, rows, plain_labels):
+    from pyspark.sql import functions as F
+    held_out = plain_labels.where(quality.is_held_out(F.col("doc_id"), 4, 2))
+    assert held_out.count() > 0
+    for labels in (plain_labels.limit(0), held_out, plain_labels.withColumn("quality", F.lit(None).cast("int"))):
+        kept = quality.keep_good(messy, labels)
+        assert kept.columns == messy.columns and kept.count() == len(rows)
+
+
 def test_statistics_of_odd_texts():
     assert quality.statistics(None) == quality.statistics(b"") == quality.statistics(b" \n") == [0.0] * len(quality.STATISTICS)
     for text in ("###", "\n\n|", "a" * 100_000, "é ü", "x\n" * 5000):
