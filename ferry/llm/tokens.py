@@ -117,6 +117,8 @@ class Encoder:
 
     Where the tokenizer lower-cases, drops white space and never joins across
     it, words are encoded once and remembered; otherwise whole texts are encoded.
+    So are texts that hold an added token in any case: the library finds those
+    before it lower-cases or splits.
     """
 
     def __init__(self, path: str):
@@ -131,6 +133,17 @@ class Encoder:
                    and pre[0]["behavior"] == "Removed" and pre[0]["invert"] and not pre[1]["add_prefix_space"]
                    and r"[\p{L}]+" in pre[0]["pattern"]["Regex"] and spec["model"]["type"] == "BPE")
         self.words = _Words(self.tokenizer, self.kind) if by_word else None
+        added = [x["content"] for x in spec["added_tokens"] if x["content"]]
+        self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
+        # Most texts hold no mark, so a plain search is all they take; a token without symbols needs the full one.
+        marks = {max(re.findall(r"[!-/:-@\[-`{-~]+", x), key=len, default="") for x in added}
+        self.marks = [""] if "" in marks else sorted(marks)
+
+    def _whole(self, text: str) -> bool:
+        return any(m in text for m in self.marks) and self.added(text) is not None
+
+    def _encoded(self, text: str) -> bytes:
+        return array(self.kind, self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
     @property
     def kind(self) -> str:
@@ -141,7 +154,8 @@ class Encoder:
             return [array(self.kind, e.ids).tobytes()
                     for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
         one = self.words.__getitem__
-        return [b"".join(map(one, _lowered(t).replace("\n", " ").split(" "))) if t else b"" for t in texts]
+        return [b"" if not t else self._encoded(t) if self._whole(t)
+                else b"".join(map(one, _lowered(t).replace("\n", " ").split(" "))) for t in texts]
 
 
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",

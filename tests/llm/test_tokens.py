@@ -27,6 +27,21 @@ def test_word_by_word_equals_whole_texts(text):
     assert got == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
 
 
+ADDED = ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|StartOfText|>", "<|endoftext", "|>", "\u017ftartoftext"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.one_of(st.sampled_from([*ADDED, " ", "\n", "x", "y.", "A", "\u0338"]), st.text(max_size=4)), max_size=8).map("".join))
+def test_added_tokens_are_the_librarys(text):
+    assert np.frombuffer(ENCODER([text])[0], "<u2").tolist() == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_added_tokens_alone():
+    assert np.frombuffer(ENCODER(["<|endoftext|>"])[0], "<u2").tolist() == [49407]
+    for text in ("x<|ENDOFTEXT|>y", "a <|startoftext|> b", "<|endoftext|>.", "x<|endoftext|>Y"):
+        assert np.frombuffer(ENCODER([text])[0], "<u2").tolist() == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_files_read_back_against_the_library(messy, rows, tokenizer):
     got = tokens.digest(messy).orderBy("start").collect()
     coded = sorted(((d is not None, d, np.array(tokenizer.encode(t or "", add_special_tokens=False).ids + [1], "<u4").tobytes())
