@@ -4,7 +4,12 @@ Equal vectors are one node. A first neighbour graph comes from random-hyperplane
 leaves (every leaf's best pairs); then rounds of neighbours-of-neighbours joins
 refine it: the neighbours of a node, forward and reverse, are compared with each
 other, and each keeps its best ``LIST``. Rounds end when few lists change and an
-audit - sampled nodes against all rows, in one pass - finds the links there.
+audit - sampled nodes against all rows - finds the links there. The number of
+trees grows with their depth, so that two vectors at the threshold share a leaf
+as often in a large table as in a small one; crowded leaves are cut by further
+planes. The audit widens until it has seen ``AUDIT_LINKED`` nodes with links (or
+``AUDIT_MOST`` nodes). While it misses links, trees and rounds are added; if it
+still finds less than ``RECALL`` of them after ``PASSES``, the run fails.
 
 Edges at the threshold are links. A list full of links is saturated: it may
 have more than it holds, and what it lacks may lead out of the component found.
@@ -28,6 +33,7 @@ Defined results
 
 from __future__ import annotations
 
+import logging
 import math
 
 import numpy as np
@@ -41,15 +47,22 @@ from ferry.llm.components import components
 from ferry.llm.vectors import as_doubles, matrix
 
 LIST = 8
-TREES = 12
+TREES = 12          # at least
+MISS = 0.035        # share of pairs at the threshold that no tree may hold in one leaf
+MORE = 16           # further planes for crowded leaves
 LEAF = 128
 PART = 32           # reverse neighbours joined at once
 BLOCK = 1_024       # rows of a component compared at once
-AUDIT = 128
+AUDIT = 128         # nodes audited at first
+AUDIT_LINKED = 64
+AUDIT_MOST = 8_192
 MAX_ROUNDS = 8
+PASSES = 4
+RECALL = 0.99
 SETTLED = 0.05      # share of list entries that may still change
 SLACK = 1e-5        # lists are in single precision; links are verified in double
 SEED = 5
+LOG = logging.getLogger(__name__)
 EDGE = "u long, v long, sim float"
 
 
@@ -86,29 +99,42 @@ def _split(counts: DataFrame, size: int) -> DataFrame:
     return counts.withColumn("parts", F.greatest(F.lit(1), F.ceil(F.col("n") / size)).cast("int"))
 
 
-def first_lists(nodes: DataFrame, total: int, size: int) -> DataFrame:
-    """Best pairs of the leaves of ``TREES`` random-hyperplane trees."""
-    bits = max(0, math.ceil(math.log2(max(1, total / LEAF))))
-    planes = np.random.default_rng(SEED).normal(size=(TREES, bits, size)).astype(np.float32)
+def tree_count(bits: int, threshold: float) -> int:
+    """Trees of ``bits`` planes after which a pair at ``threshold`` has shared a leaf, but for ``MISS``."""
+    together = (1 - math.acos(max(-1.0, min(1.0, threshold))) / math.pi) ** bits
+    return TREES if together >= 1 else max(TREES, math.ceil(math.log(MISS) / math.log1p(-max(together, 1e-4))))
+
+
+def first_lists(nodes: DataFrame, total: int, size: int, threshold: float, turn: int = 0) -> DataFrame:
+    """Best pairs of the leaves of random-hyperplane trees; other trees in each ``turn``."""
+    bits = min(46, max(0, math.ceil(math.log2(max(1, total / LEAF)))))
+    trees = tree_count(bits, threshold)
+    planes = np.random.default_rng(SEED + turn).normal(size=(trees, bits + MORE, size)).astype(np.float32)
 
     def leaves(batches):
-        weights = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
+        weights = np.left_shift(np.int64(1), np.arange(bits + MORE, dtype=np.int64))
         for batch in batches:
             x = matrix(batch.column("x"), size)
-            for tree in range(TREES):
-                leaf = (x @ planes[tree].T > 0) @ weights if bits else np.zeros(len(x), np.int64)
-                yield pa.record_batch([pa.array(np.full(len(x), tree)), pa.array(leaf.astype(np.int64)), batch.column("id"),
-                                       batch.column("x")], names=["tree", "leaf", "id", "x"])
-
-    rows = nodes.select("id", "x").mapInArrow(leaves, "tree long, leaf long, id long, x array<float>")
-    sizes = landed(_split(rows.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")), LEAF), "nn-leaves")
-    dealt = rows.join(sizes, ["tree", "leaf"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
+            for tree in range(trees):
+                code = ((x @ planes[tree].T > 0) @ weights).astype(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(x), tree)), pa.array(code & ((1 << bits) - 1)), pa.array(code >> bits),
+                                       batch.column("id"), batch.column("x")], names=["tree", "leaf", "more", "id", "x"])
+
+    rows = nodes.select("id", "x").mapInArrow(leaves, "tree long, leaf long, more long, id long, x array<float>")
+    # Crowded leaves take as many further planes as would halve them to size; what these cannot part is cut by a hash.
+    crowded = landed(rows.groupBy("tree", "leaf").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 2 * LEAF)
+                     .select("tree", "leaf", F.least(F.lit(MORE), F.ceil(F.log2(F.col("n") / LEAF))).cast("int").alias("extra")),
+                     "nn-crowded")
+    rows = (rows.join(crowded, ["tree", "leaf"], "left")
+            .withColumn("more", F.expr("more & (shiftleft(1L, coalesce(extra, 0)) - 1)")).drop("extra"))
+    sizes = landed(_split(rows.groupBy("tree", "leaf", "more").agg(F.count(F.lit(1)).alias("n")), LEAF), "nn-leaves")
+    dealt = rows.join(sizes, ["tree", "leaf", "more"]).withColumn("part", F.pmod(F.xxhash64("id", "tree"), F.col("parts")))
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         u, v, sim = _best_pairs(pdf.id.to_numpy(), np.stack(pdf.x.to_numpy()), LIST)
         return pd.DataFrame({"u": u, "v": v, "sim": sim})
 
-    return dealt.groupBy("tree", "leaf", "part").applyInPandas(compare, EDGE)
+    return dealt.groupBy("tree", "leaf", "more", "part").applyInPandas(compare, EDGE)
 
 
 def _refined(lists: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -161,21 +187,30 @@ def _refined(lists: DataFrame, nodes: DataFrame) -> DataFrame:
 def neighbour_lists(nodes: DataFrame, total: int, size: int, threshold: float) -> tuple[DataFrame, DataFrame]:
     """``(u, v, sim, place)`` after as many rounds as it takes, and the audit's links ``(u, v)``."""
     zero, one = F.lit(0).alias("age"), F.lit(1).alias("age")
-    lists = landed(_trimmed(first_lists(nodes, total, size).select("u", "v", "sim", zero), LIST), "nn-lists")
-    truth = landed(audited(nodes, threshold), "nn-audit")
-    for n in range(MAX_ROUNDS):
-        found = _refined(lists, nodes)
+    lists = landed(_trimmed(first_lists(nodes, total, size, threshold).select("u", "v", "sim", zero), LIST), "nn-lists")
+    truth = landed(audited(nodes, threshold, total), "nn-audit")
+    for n in range(PASSES * MAX_ROUNDS):
+        found = _refined(lists, nodes).select("u", "v", "sim", F.lit(2).alias("age"))
+        if n and n % MAX_ROUNDS == 0:
+            found = found.unionAll(first_lists(nodes, total, size, threshold, n // MAX_ROUNDS).select(
+                "u", "v", "sim", F.lit(2).alias("age")))
         # Ages: 0 new, 1 compared before; a pair found again stays old (the smaller of 1 and 2), a new one comes in as 2.
-        merged = lists.select("u", "v", "sim", one).unionAll(found.select("u", "v", "sim", F.lit(2).alias("age")))
+        merged = lists.select("u", "v", "sim", one).unionAll(found)
         lists = landed(_trimmed(merged, LIST).withColumn("age", F.when(F.col("age") == 2, 0).otherwise(1)), "nn-lists")
         changed = lists.where("age = 0").count()
         full = lists.groupBy("u").agg(F.count(F.lit(1)).alias("n"), F.min("sim").alias("least")).where(
             (F.col("n") >= LIST) & (F.col("least") >= threshold - SLACK)).select("u")
         # Other links of saturated nodes come when balls are compared and lists enlarged; near_duplicates audits them.
-        missing = (truth.join(full, "u", "left_anti").join(lists.select("u", "v"), ["u", "v"], "left_anti")
+        asked = truth.join(full, "u", "left_anti")
+        missing = (asked.join(lists.select("u", "v"), ["u", "v"], "left_anti")
                    .join(lists.select(F.col("v").alias("u"), F.col("u").alias("v")), ["u", "v"], "left_anti").count())
         if changed <= SETTLED * LIST * total and not missing:
             break
+    links = asked.count()
+    recall = 1 - missing / links if links else 1.0
+    LOG.info("audit: %d of %d links missing after %d rounds, recall %.4f", missing, links, n + 1, recall)
+    if recall < RECALL:
+        raise RuntimeError(f"the search found {recall:.4f} of the audited links, less than {RECALL}")
     # The audit's links help, except those between saturated nodes: what finds these is to be audited.
     helped = truth.join(full, "u", "left_anti").unionAll(
         truth.join(full, "u").join(full.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v"))
@@ -183,18 +218,29 @@ def neighbour_lists(nodes: DataFrame, total: int, size: int, threshold: float) -
         helped.select("u", "v", F.lit(1.0).cast("float").alias("sim"), F.lit(0).alias("place"))), truth
 
 
-def audited(nodes: DataFrame, threshold: float) -> DataFrame:
-    """All links ``(u, v)`` of at most ``AUDIT`` sampled nodes, by brute force in one pass."""
-    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(AUDIT).select("id", "v").toPandas()
+def audited(nodes: DataFrame, threshold: float, total: int) -> DataFrame:
+    """All links ``(u, v)`` of sampled nodes, by brute force: at least ``AUDIT``, more until enough of them have links."""
+    most, size = min(total, AUDIT_MOST), AUDIT
+    while True:
+        out = landed(_links_of(nodes, min(size, most), threshold), "nn-audited")
+        if size >= most or out.select("u").distinct().count() >= AUDIT_LINKED:
+            return out
+        size *= 8
+
+
+def _links_of(nodes: DataFrame, size: int, threshold: float) -> DataFrame:
+    sample = nodes.orderBy(F.xxhash64("id"), "id").limit(size).select("id", "v").toPandas()
     ids, vectors = sample.id.to_numpy(), np.stack(sample.v.to_numpy())
 
     def run(batches):
         for batch in batches:
-            other = batch.column("id").to_numpy()
-            near = cosines(vectors, matrix(batch.column("v"))) >= threshold
-            near &= ids[:, None] != other[None, :]
-            a, b = np.nonzero(near)
-            yield pa.record_batch([pa.array(ids[a]), pa.array(other[b])], names=["u", "v"])
+            other, x = batch.column("id").to_numpy(), matrix(batch.column("v"))
+            for at in range(0, len(ids), 512):
+                some = ids[at:at + 512]
+                near = cosines(vectors[at:at + 512], x) >= threshold if len(x) else np.zeros((len(some), 0), bool)
+                near &= some[:, None] != other[None, :]
+                a, b = np.nonzero(near)
+                yield pa.record_batch([pa.array(some[a]), pa.array(other[b])], names=["u", "v"])
 
     return nodes.select("id", "v").mapInArrow(run, "u long, v long")
 

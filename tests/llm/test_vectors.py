@@ -88,6 +88,28 @@ def test_tight_groups_linked_to_each_other(llm_spark):
     assert {r.vec_id: (r.n_links, r.component_id) for r in got} == want
 
 
+def test_trees_grow_with_their_depth():
+    together = 1 - np.arccos(0.9) / np.pi
+    for bits in (0, 9, 17, 20):
+        assert 1 - (1 - together ** bits) ** neighbours.tree_count(bits, 0.9) >= 0.96
+
+
+def test_a_search_that_misses_links_fails(llm_spark, vectors, monkeypatch):
+    nothing = llm_spark.createDataFrame([], neighbours.EDGE)
+    monkeypatch.setattr(neighbours, "first_lists", lambda *a: nothing)
+    monkeypatch.setattr(neighbours, "_refined", lambda *a: nothing)
+    monkeypatch.setattr(neighbours, "MAX_ROUNDS", 1)
+    with pytest.raises(RuntimeError):
+        neighbours.digest(vectors).collect()
+
+
+def test_audit_sees_linked_nodes_where_few_have_links(llm_spark):
+    x = np.random.default_rng(4).normal(size=(4000, 32))
+    x[:50] = x[50:100] * 1.01 + 0.01
+    nodes = llm_spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<double>")
+    assert len({r.u for r in neighbours.audited(nodes, 0.9, 4000).collect()}) >= 64
+
+
 def test_search_against_brute_force(vectors):
     points = usable(made())
     ids = np.array(sorted(points))
