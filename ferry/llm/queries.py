@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ferry.llm import ann, lines, mixing, neighbours, packing, quality, simhash, substrings, tokens, toxicity
+from ferry.llm import ann, collocations, lines, mixing, negatives, neighbours, packing, quality, repetition, simhash, substrings, tokens, toxicity
 from ferry.llm.common import read
 
 QUERIES = {
@@ -16,10 +16,16 @@ QUERIES = {
     "op8_pfair_mixing": lambda spark, d: mixing.digest(read(spark, d, "documents")),
     "op9_quality_rff": lambda spark, d: quality.digest(read(spark, d, "documents"), read(spark, d, "labels")),
     "op10_best_fit_packing": lambda spark, d: packing.digest(read(spark, d, "documents")),
+    "op11_hard_negatives": lambda spark, d: negatives.digest(read(spark, d, "embeddings")),
+    "op12_collocations": lambda spark, d: collocations.digest(read(spark, d, "documents")),
+    "op13_suffix_rules": lambda spark, d: repetition.digest(read(spark, d, "documents")),
 }
 
 ORACLES = {
     "op2_nn_descent": neighbours.ORACLE,
     "op5_line_dedup": lines.ORACLE,
     "op6_substring_dedup": substrings.ORACLE,
+    "op11_hard_negatives": negatives.ORACLE,
+    "op12_collocations": collocations.ORACLE,
+    "op13_suffix_rules": repetition.ORACLE,
 }
