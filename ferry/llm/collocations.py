@@ -45,7 +45,7 @@ from ferry.session import scratch_path
 MIN_COUNT = 10
 MAX_WORDS = 3
 TOP = 2000
-SHARDS = 4
+SHARDS = 2               # more start longer phrases earlier, and carry counts under way through more shuffles
 SLOTS = 1 << 22
 NEVER = 255              # a slot that no phrase has reached; steps stay far below it
 SALTS = 64
@@ -287,7 +287,8 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
             fresh.append(0)
             step += 1
             continue
-        counts = (reduce(DataFrame.unionByName, parts).groupBy("lang", "size", "phrase")
+        # Few rows of a task are alike, so they are dealt out first and summed once.
+        counts = (reduce(DataFrame.unionByName, parts).repartition("lang", "size", "phrase").groupBy("lang", "size", "phrase")
                   .agg(F.max("due").alias("due"), F.sum("n").alias("n"), F.sum("before").alias("before")))
         counts = landed(counts.where((F.col("due") > step) | (F.col("n") >= min_count) | (F.col("size") == 0)),
                         "collocation-counts")
