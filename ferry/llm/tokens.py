@@ -46,9 +46,9 @@ END_ID = 1
 MAX_BITS = 18
 BLOCK_TOKENS = 131_072
 STRIDE = 128
-CACHE_WORDS = 500_000
+CACHE_WORDS, CACHE_PIECES = 300_000, 200_000  # of each of two generations, in every worker process
 DOCS_AT_ONCE = 256
-BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes array<long>, offsets array<int>, "
+BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes array<long>, offsets array<long>, "
               "payload binary")
 
 
@@ -59,48 +59,66 @@ EDGE = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrop
 
 
 def _byte_letters() -> dict[int, int]:
-    """Byte -> letter of byte-level BPE: printable bytes stand for themselves, the others from 256 on."""
+    """Byte -> letter of byte-level BPE (fixed by the tokenizer's format): printable bytes stand for themselves, the others from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in shown]
     return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
 
 
-class _Pieces(dict):
+class _Remembered(dict):
+    """Text -> ids as bytes, worked out on a miss.
+
+    What is looked up stays for two generations: a full one becomes the old one,
+    and only what is asked for again moves from there to the new one. Rare words
+    leave, frequent ones do not.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most, self.old = most, {}
+
+    def __missing__(self, text: str) -> bytes:
+        out = self.old.get(text)
+        if out is None:
+            out = self.work_out(text)
+        if len(self) >= self.most:
+            self.old = dict(self)
+            self.clear()
+        self[text] = out
+        return out
+
+
+class _Pieces(_Remembered):
     """Piece -> its ids as bytes; computed once by the library."""
 
     def __init__(self, tokenizer, kind: str):
+        super().__init__(CACHE_PIECES)
         self.tokenizer, self.model, self.kind, self.letters = tokenizer, tokenizer.model, kind, _byte_letters()
 
-    def __missing__(self, piece: str) -> bytes:
+    def work_out(self, piece: str) -> bytes:
         if PLAIN(piece):  # a single pre-token: straight to the library's model
             ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = out = array(self.kind, ids).tobytes()
-        return out
+        return array(self.kind, ids).tobytes()
 
 
-class _Words(dict):
+class _Words(_Remembered):
     """White-space-separated word -> ids: letters in lower case and punctuation around them are looked up apart."""
 
     def __init__(self, tokenizer, kind: str):
+        super().__init__(CACHE_WORDS)
         self.pieces = _Pieces(tokenizer, kind)
 
-    def __missing__(self, word: str) -> bytes:
+    def work_out(self, word: str) -> bytes:
         stem = word.strip(EDGE)
-        if PLAIN(stem):
-            at = word.index(stem)
-            head, tail = word[:at], word[at + len(stem):]
-            out = self.pieces[stem.lower()]
-            if head or tail:
-                out = (self.pieces[head] if head else b"") + out + (self.pieces[tail] if tail else b"")
-        else:
-            out = self.pieces[word] if word else b""
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-            self.pieces.clear()
-        self[word] = out
-        return out
+        if not PLAIN(stem):
+            return self.pieces[word] if word else b""
+        if len(stem) == len(word):
+            return self.pieces[stem.lower()]
+        at = word.index(stem)
+        head, tail = word[:at], word[at + len(stem):]
+        return (self.pieces[head] if head else b"") + self.pieces[stem.lower()] + (self.pieces[tail] if tail else b"")
 
 
 def _lowered(text: str) -> str:
@@ -158,11 +176,22 @@ class Encoder:
                 else b"".join(map(one, _lowered(t).replace("\n", " ").split(" "))) for t in texts]
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """The encoder of this process: a Python worker keeps what it has looked up for the tasks after."""
+    if path not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                 end_id: int = END_ID) -> DataFrame:
     """``(doc_id, ids)`` landed: each document's ids with the end id, as little-endian bytes (2 or 4 an id)."""
     def run(batches):
-        encoder = Encoder(tokenizer)
+        encoder = encoder_of(tokenizer)
         end = array(encoder.kind, [end_id]).tobytes()
         for batch in batches:
             for at in range(0, batch.num_rows, DOCS_AT_ONCE):
@@ -232,7 +261,7 @@ class Code:
         # Codes do not overlap, so sums of 32-bit parts are exact in floating point.
         high = np.bincount(word, (shifted >> np.uint64(32)).astype(np.float64), n)
         low = np.bincount(word + 1, (shifted & np.uint64(0xFFFFFFFF)).astype(np.float64), n)
-        return (high + low).astype(">u4").tobytes(), at[::STRIDE].astype(np.int32)
+        return (high + low).astype(">u4").tobytes(), at[::STRIDE]
 
 
 def decode(payload: bytes, offsets: np.ndarray, n: int, table: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
@@ -283,7 +312,7 @@ def write_blocks(tokens: DataFrame, code: Code, path: str, wide: bool) -> None:
             payload, offsets = code.encode(np.frombuffer(b"".join(x for _, x in docs), "<u4" if wide else "<u2"))
             return pa.record_batch(
                 [pa.array([part]), pa.array([block]), pa.array([first]), pa.array([[d for d, _ in docs]], pa.list_(pa.int64())),
-                 pa.array([sizes], pa.list_(pa.int64())), pa.array([offsets], pa.list_(pa.int32())),
+                 pa.array([sizes], pa.list_(pa.int64())), pa.array([offsets], pa.list_(pa.int64())),
                  pa.array([payload], pa.binary())],
                 names=["part", "block", "first", "doc_ids", "sizes", "offsets", "payload"])
 

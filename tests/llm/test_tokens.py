@@ -108,3 +108,21 @@ def test_blocks_round_trip(symbols, n, seed):
     part = offsets[len(offsets) // 2:]  # decoding may begin at any checkpoint
     at = len(offsets) // 2 * tokens.STRIDE
     assert (tokens.decode(payload, part, n - at, code.table()) == ids[at:]).all()
+
+
+def test_rare_words_leave_the_cache_and_frequent_ones_stay(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_WORDS", 8)
+    monkeypatch.setattr(tokens, "CACHE_PIECES", 8)
+    encoder, asked = tokens.Encoder(PATH), []
+    work_out = encoder.words.work_out
+    encoder.words.work_out = lambda word: asked.append(word) or work_out(word)
+    for i in range(60):
+        text = f"often rare{chr(97 + i % 26)}{chr(97 + i // 26)}, often Once!"
+        assert np.frombuffer(encoder([text])[0], "<u2").tolist() == ENCODER.tokenizer.encode(text, add_special_tokens=False).ids
+    assert asked.count("often") == 1 and len(encoder.words) <= 8 and len(encoder.words.old) <= 8
+
+
+def test_one_encoder_for_a_process_and_wide_offsets():
+    assert tokens.encoder_of(PATH) is tokens.encoder_of(PATH)
+    code = tokens.Code(np.array([3, 5]), np.array([1, 1]))
+    assert code.encode(np.array([3, 5] * 300))[1].dtype == np.int64  # a document may pass 2^31 bits
