@@ -46,7 +46,7 @@ END_ID = 1
 MAX_BITS = 18
 BLOCK_TOKENS = 131_072
 STRIDE = 128
-CACHE_WORDS, CACHE_PIECES = 300_000, 200_000  # of each of two generations, in every worker process
+CACHE_WORDS = 200_000   # of each of two generations, in every worker process
 DOCS_AT_ONCE = 256
 BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes array<long>, offsets array<long>, "
               "payload binary")
@@ -65,60 +65,41 @@ def _byte_letters() -> dict[int, int]:
     return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
 
 
-class _Remembered(dict):
-    """Text -> ids as bytes, worked out on a miss.
+class _Words(dict):
+    """White-space-separated word -> its ids as bytes, worked out on a miss.
 
-    What is looked up stays for two generations: a full one becomes the old one,
-    and only what is asked for again moves from there to the new one. Rare words
-    leave, frequent ones do not.
+    Letters and the punctuation around them are looked up apart. What is looked
+    up stays for two generations: a full one becomes the old one, and only what is
+    asked for again moves from there to the new one. Rare words leave, frequent ones do not.
     """
 
-    def __init__(self, most: int):
+    def __init__(self, tokenizer, kind: str, most: int):
         super().__init__()
+        self.tokenizer, self.tokenize, self.kind, self.letters = tokenizer, tokenizer.model.tokenize, kind, _byte_letters()
+        self.bytes_of = [array(kind, [i]).tobytes() for i in range(tokenizer.get_vocab_size())]
         self.most, self.old = most, {}
 
-    def __missing__(self, text: str) -> bytes:
-        out = self.old.get(text)
+    def __missing__(self, word: str) -> bytes:
+        out = self.old.get(word)
         if out is None:
-            out = self.work_out(text)
+            out = self.work_out(word)
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
-        self[text] = out
+        self[word] = out
         return out
 
-
-class _Pieces(_Remembered):
-    """Piece -> its ids as bytes; computed once by the library."""
-
-    def __init__(self, tokenizer, kind: str):
-        super().__init__(CACHE_PIECES)
-        self.tokenizer, self.model, self.kind, self.letters = tokenizer, tokenizer.model, kind, _byte_letters()
-
-    def work_out(self, piece: str) -> bytes:
-        if PLAIN(piece):  # a single pre-token: straight to the library's model
-            ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
-        else:
-            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return array(self.kind, ids).tobytes()
-
-
-class _Words(_Remembered):
-    """White-space-separated word -> ids: letters in lower case and punctuation around them are looked up apart."""
-
-    def __init__(self, tokenizer, kind: str):
-        super().__init__(CACHE_WORDS)
-        self.pieces = _Pieces(tokenizer, kind)
-
     def work_out(self, word: str) -> bytes:
+        if PLAIN(word):  # a single pre-token: straight to the library's model
+            word = word.lower()
+            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
+            return b"".join([self.bytes_of[t.id] for t in self.tokenize(letters)])
         stem = word.strip(EDGE)
-        if not PLAIN(stem):
-            return self.pieces[word] if word else b""
-        if len(stem) == len(word):
-            return self.pieces[stem.lower()]
-        at = word.index(stem)
-        head, tail = word[:at], word[at + len(stem):]
-        return (self.pieces[head] if head else b"") + self.pieces[stem.lower()] + (self.pieces[tail] if tail else b"")
+        if PLAIN(stem):
+            at = word.index(stem)
+            head, tail = word[:at], word[at + len(stem):]
+            return (self[head] if head else b"") + self[stem] + (self[tail] if tail else b"")
+        return array(self.kind, self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes() if word else b""
 
 
 def _lowered(text: str) -> str:
@@ -150,7 +131,7 @@ class Encoder:
         by_word = (steps == ["NFC", "Replace", "Lowercase"] and [x["type"] for x in pre] == ["Split", "ByteLevel"]
                    and pre[0]["behavior"] == "Removed" and pre[0]["invert"] and not pre[1]["add_prefix_space"]
                    and r"[\p{L}]+" in pre[0]["pattern"]["Regex"] and spec["model"]["type"] == "BPE")
-        self.words = _Words(self.tokenizer, self.kind) if by_word else None
+        self.words = _Words(self.tokenizer, self.kind, CACHE_WORDS) if by_word else None
         added = [x["content"] for x in spec["added_tokens"] if x["content"]]
         self.added = re.compile("|".join(map(re.escape, added)), re.IGNORECASE).search if added else lambda text: None
         # Most texts hold no mark, so a plain search is all they take; a token without symbols needs the full one.

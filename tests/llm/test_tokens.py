@@ -112,7 +112,6 @@ def test_blocks_round_trip(symbols, n, seed):
 
 def test_rare_words_leave_the_cache_and_frequent_ones_stay(monkeypatch):
     monkeypatch.setattr(tokens, "CACHE_WORDS", 8)
-    monkeypatch.setattr(tokens, "CACHE_PIECES", 8)
     encoder, asked = tokens.Encoder(PATH), []
     work_out = encoder.words.work_out
     encoder.words.work_out = lambda word: asked.append(word) or work_out(word)
