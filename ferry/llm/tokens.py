@@ -54,10 +54,15 @@ BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes arr
 
 # -- tokenising ---------------------------------------------------------------
 
-PLAIN = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # letters that are their own NFC form and lower-case alone
+LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # letters that are their own NFC form and lower-case alone
 EDGE = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may begin a pre-token of letters
 
 
+def is_plain(word: str) -> bool:
+    """Only such letters."""
+    return word.isalpha() if word.isascii() else LETTERS(word) is not None
+
+
 def _byte_letters() -> dict[int, int]:
     """Byte -> letter of byte-level BPE (fixed by the tokenizer's format): printable bytes stand for themselves, the others from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
@@ -90,12 +95,12 @@ class _Words(dict):
         return out
 
     def work_out(self, word: str) -> bytes:
-        if PLAIN(word):  # a single pre-token: straight to the library's model
+        if is_plain(word):  # a single pre-token: straight to the library's model
             word = word.lower()
             letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
             return b"".join([self.bytes_of[t.id] for t in self.tokenize(letters)])
         stem = word.strip(EDGE)
-        if PLAIN(stem):
+        if is_plain(stem):
             at = word.index(stem)
             head, tail = word[:at], word[at + len(stem):]
             return (self[head] if head else b"") + self[stem] + (self[tail] if tail else b"")
