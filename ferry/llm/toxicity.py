@@ -1,22 +1,26 @@
 """Toxicity by nearest labelled examples.
 
-Terms are words and word beginnings. Those whose presence depends on the label
-(chi-square and lift over a bounded sample of labelled rows) form the vocabulary; their
-document frequencies are counted over the whole corpus. Examples are unit
-TF-IDF vectors in an inverted index cut into blocks with the largest weight per
-term and block. A text's bound for a block is the sum of its term weights times
-those maxima; blocks are scored in order of their bound until the k-th best
-cosine beats the next bound, so the k nearest are exact. Cosine-weighted votes,
-shrunk to the base rate, are calibrated on leave-one-out votes.
-
-``MAX_EXAMPLES`` and ``MAX_TERMS`` bound what the driver and the broadcast hold.
+Terms are the words and word beginnings of a bounded sample of labelled rows
+(``MAX_EXAMPLES``, half of them of the rarer label if there are so many): all of
+their terms, so that a text is compared by everything an example holds. Document
+frequencies are counted over the whole corpus. A term's weight is its frequency in
+the text, its inverse document frequency, and a factor for how far its presence
+depends on the label; the factor never falls below ``FLOOR``, so no term is left out.
+
+Examples are unit vectors in an inverted index, with the largest weight of each
+term in each block of examples. A text's rare and telling terms are added up
+first; what its other terms can add to a block at most follows from the block maxima,
+so only examples that can still be among the k nearest are completed, from their
+own vectors. The k nearest are exact. Votes weighted by nearness are
+calibrated on the votes that each example gets from the others.
 
 Defined results
-    null text counts as empty; a text without vocabulary terms has no
-    neighbours and gets the calibrated base rate of such texts; null ids are
-    scored and never examples; repeated labels rows count once (the larger
-    label wins); no usable labels: every score is 0.0 without evidence; ties in
-    cosine go to the smaller example id; empty table: empty result.
+    null text counts as empty; a text without a term of any example has no
+    neighbours and gets the rate of such examples; null ids are scored and never
+    examples; repeated labels rows count once (the larger label wins), of the
+    texts of a repeated id the smallest is the example; no usable labels: every
+    score is 0.0 without evidence; ties in cosine go to the smaller example id;
+    empty table: empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -26,122 +30,118 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ferry.llm.calibration import bin_of, calibrated, isotonic
 from ferry.llm.common import is_held_out, landed
 
-MAX_EXAMPLES = 16_384   # labelled rows the classifier is fitted on
-MAX_TERMS = 2_048
-MIN_CHI2 = 28.0         # about one in ten million by chance, for many terms tested at once
-MIN_LIFT = 3.0          # a term is this many times as common in one class as in the other
-MIN_ROWS, MIN_SHARE = 4.0, 0.01  # and has at least so many rows, and this share of the rows, of that class
+MAX_EXAMPLES = 8_192    # labelled rows the classifier is fitted on
 NEIGHBOURS = 15
 BLOCK = 64
+PREFIX = 5              # letters of a word's beginning
+FLOOR = 0.03            # least factor for the label, beside at most 1
+REST = 0.04             # what the terms added last may add to a cosine, about
+NEAR = 0.05             # added to a distance, so that an exact copy has a bounded vote
 SHRINK = 0.25           # votes the base rate has
-PREFIXES = (4, 5, 6)
 KEEP_AT = 0.7
 WORD = re.compile(r"\w+")
 
 
-def terms(text: str | None) -> Counter:
+def terms(text: str | None) -> dict[str, int]:
     """Occurrences of each word and of each word beginning ('^' and its first letters)."""
     words = Counter(WORD.findall((text or "").lower()))
-    out: Counter = Counter(words)
+    out = dict(words)
     for word, n in words.items():
-        for size in PREFIXES:
-            if len(word) >= size:
-                out["^" + word[:size]] += n
-    return out
-
-
-def vocabulary_counts(text: str | None, whole: dict[str, int], starts: dict[str, int]) -> dict[int, int]:
-    """Term number -> occurrences, for vocabulary terms only."""
-    out: dict[int, int] = {}
-    words = Counter(WORD.findall((text or "").lower()))
-    for word in words.keys() & whole.keys():
-        out[whole[word]] = words[word]
-    if starts:
-        for size in PREFIXES:
-            for word, n in words.items():
-                at = starts.get(word[:size])
-                if at is not None and len(word) >= size:
-                    out[at] = out.get(at, 0) + n
+        if len(word) >= PREFIX:
+            start = "^" + word[:PREFIX]
+            out[start] = out.get(start, 0) + n
     return out
 
 
 class BlockMaxIndex:
-    """Unit vectors in blocks, with the largest weight of each term in each block."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], ids: np.ndarray, labels: np.ndarray, terms: int):
-        # Examples with the same strongest term stand together: their block maxima are then tight.
-        order = sorted(range(len(ids)), key=lambda i: (vectors[i][0][vectors[i][1].argmax()], ids[i]))
-        self.ids, self.labels, self.terms = ids[order], labels[order], terms
-        self.row = np.concatenate([np.full(len(vectors[i][0]), n) for n, i in enumerate(order)] or [np.zeros(0, int)])
-        self.term = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, int)]).astype(np.int64)
-        self.weight = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
-        self.blocks = -(-len(ids) // BLOCK)
-        cell = self.term * max(1, self.blocks) + self.row // BLOCK
-        by_cell = np.argsort(cell, kind="stable")
-        cells, first = np.unique(cell[by_cell], return_index=True)
-        self.cell_block = cells % max(1, self.blocks)
-        self.cell_max = np.maximum.reduceat(self.weight[by_cell], first) if len(cells) else np.zeros(0)
-        self.cell_from = np.searchsorted(cells // max(1, self.blocks), np.arange(terms + 1))
-        self.block_from = np.searchsorted(self.row, np.arange(self.blocks + 1) * BLOCK)
+    """Unit vectors by term, with the largest weight of each term in each block of vectors, and by vector."""
+
+    def __init__(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, terms: int):
+        """``row``: the vector of each entry, ascending."""
+        self.ids, self.labels, self.n, self.terms = ids, labels, len(ids), terms
+        self.blocks = max(1, -(-self.n // BLOCK))
+        self.row_from = np.searchsorted(row, np.arange(self.n + 1))
+        self.row_term, self.row_weight = term.astype(np.int32), weight
+        by = np.argsort(term, kind="stable")
+        self.term_from = np.searchsorted(term[by], np.arange(terms + 1))
+        self.term_row, self.term_weight = row[by].astype(np.int32), weight[by]
+        cell = term[by] * self.blocks + self.term_row // BLOCK
+        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
+        self.cell_block = (cell[first] % self.blocks).astype(np.int32)
+        self.cell_max = np.maximum.reduceat(self.term_weight, first) if len(first) else np.zeros(0)
+        self.cell_from = np.searchsorted(cell[first] // self.blocks, np.arange(terms + 1))
+        self.most = np.zeros(terms)
+        np.maximum.at(self.most, term, weight)
+
+    @staticmethod
+    def _within(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Positions of all the given ranges, one after the other, and the lengths of the ranges."""
+        lengths = ends - starts
+        before = np.cumsum(lengths) - lengths
+        return np.repeat(starts - before, lengths) + np.arange(lengths.sum()), lengths
+
+    def _sums(self, at: np.ndarray, weight: np.ndarray, cells: bool) -> np.ndarray:
+        """Per vector, the sum over the terms ``at``; with ``cells`` per block, of the block maxima."""
+        if cells:
+            place, lengths = self._within(self.cell_from[at], self.cell_from[at + 1])
+            return np.bincount(self.cell_block[place], self.cell_max[place] * np.repeat(weight, lengths), self.blocks)
+        place, lengths = self._within(self.term_from[at], self.term_from[at + 1])
+        return np.bincount(self.term_row[place], self.term_weight[place] * np.repeat(weight, lengths), self.n)
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, without: int | None = None):
-        """Positions and cosines of the k nearest examples with a positive cosine, nearest first."""
-        bound = np.zeros(self.blocks)
-        for t, w in zip(at, weight):
-            part = slice(self.cell_from[t], self.cell_from[t + 1])
-            bound[self.cell_block[part]] += w * self.cell_max[part]
+        """Positions and cosines of the k nearest vectors with a positive cosine, nearest first."""
+        # Terms whose lists are long for what they can add come last, up to a sum of REST.
+        most = weight * self.most[at]
+        length = self.term_from[at + 1] - self.term_from[at]
+        by = np.argsort(most / np.maximum(length, 1), kind="stable")
+        last = np.zeros(len(at), bool)
+        last[by[np.cumsum(most[by]) <= REST]] = True
+        score = self._sums(at[~last], weight[~last], cells=False)
+        bound = np.repeat(self._sums(at[last], weight[last], cells=True), BLOCK)[:self.n]
+        if without is not None:
+            score[without], bound[without] = -1.0, 0.0
+        least = np.partition(score, -k)[-k] if self.n > k else 0.0
+        rows = np.flatnonzero((score + bound >= least - 1e-9) & (score + bound > 0))
+        if len(rows) * 4 > self.n:  # bounds say little: add up everything
+            score += self._sums(at[last], weight[last], cells=False)
+            least = np.partition(score, -k)[-k] if self.n > k else 0.0
+            rows = np.flatnonzero((score >= least - 1e-9) & (score > 0))
         query = np.zeros(self.terms)
         query[at] = weight
-        best_row, best = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or len(best) == k and bound[b] < best[-1] - 1e-9:
-                break
-            part = slice(self.block_from[b], self.block_from[b + 1])
-            rows = np.arange(b * BLOCK, min((b + 1) * BLOCK, len(self.ids)))
-            score = np.bincount(self.row[part] - b * BLOCK, query[self.term[part]] * self.weight[part], len(rows))
-            keep = (score > 0) & (rows != (-1 if without is None else without))
-            best_row, best = np.concatenate([best_row, rows[keep]]), np.concatenate([best, score[keep]])
-            top = np.lexsort((self.ids[best_row], -np.round(best, 12)))[:k]
-            best_row, best = best_row[top], best[top]
-        return best_row, np.minimum(best, 1.0)
+        place, lengths = self._within(self.row_from[rows], self.row_from[rows + 1])
+        exact = np.bincount(np.repeat(np.arange(len(rows)), lengths), query[self.row_term[place]] * self.row_weight[place], len(rows))
+        rows, exact = rows[exact > 0], exact[exact > 0]
+        top = np.lexsort((self.ids[rows], -np.round(exact, 12)))[:k]
+        return rows[top], np.minimum(exact[top], 1.0)
 
 
 class Model:
-    """Vocabulary, weights, index and calibration; of bounded size."""
-
-    def __init__(self, vocabulary: list[str], idf: np.ndarray):
-        self.whole = {t: i for i, t in enumerate(vocabulary) if t[0] != "^"}
-        self.starts = {t[1:]: i for i, t in enumerate(vocabulary) if t[0] == "^"}
-        self.idf, self.index, self.prior, self.bare, self.knots = idf, None, 0.0, 0.0, None
-
-    def vector(self, at: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        weight = (1 + np.log(n)) * self.idf[at]
-        return at, weight / np.sqrt((weight ** 2).sum())
-
-    def vote(self, at: np.ndarray, weight: np.ndarray, without: int | None = None):
-        rows, cosine = self.index.nearest(at, weight, NEIGHBOURS, without)
-        raw = (cosine @ self.index.labels[rows] + SHRINK * self.prior) / (cosine.sum() + SHRINK)
-        return raw, rows, cosine
-
-    def calibrate(self) -> None:
-        index, raw = self.index, np.zeros(len(self.index.ids))
-        edge = np.searchsorted(index.row, np.arange(len(index.ids) + 1))
-        for i in range(len(index.ids)):
-            part = slice(edge[i], edge[i + 1])
-            raw[i] = self.vote(index.term[part], index.weight[part], without=i)[0]
-        bins, where = np.unique(bin_of(raw), return_inverse=True)
-        self.knots = isotonic(bins, np.bincount(where).astype(float), np.bincount(where, index.labels))
+    """Vocabulary, weights, index and calibration; of the size of the examples."""
+
+    def __init__(self):
+        self.index, self.prior, self.bare, self.knots = None, 0.0, 0.0, None
+        self.weight = np.zeros(0)
+
+    def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        weight = (1 + np.log(n)) * self.weight[at]
+        return weight / np.sqrt((weight ** 2).sum())
+
+    def vote(self, at: np.ndarray, n: np.ndarray, without: int | None = None):
+        rows, cosine = self.index.nearest(at, self.vector(at, n), NEIGHBOURS, without)
+        near = 1 / (1 - cosine + NEAR)
+        return (near @ self.index.labels[rows] + SHRINK * self.prior) / (near.sum() + SHRINK), rows, cosine
 
     def score(self, at: np.ndarray, n: np.ndarray) -> tuple[float, list[tuple[int, float, int]]]:
         if self.index is None or not len(at):
             return self.bare, []
-        raw, rows, cosine = self.vote(*self.vector(at, n))
+        raw, rows, cosine = self.vote(at, n)
         return float(calibrated(np.array([raw]), self.knots)[0]), \
             [(int(self.index.ids[r]), float(c), int(self.index.labels[r])) for r, c in zip(rows, cosine)]
 
@@ -150,68 +150,74 @@ def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
-def choose_terms(sample: DataFrame) -> list[str]:
-    """Terms of ``sample(doc_id, text, y)`` that depend most on the label, at most ``MAX_TERMS``."""
-    def count(batches):
-        rows, hits = Counter(), Counter()
-        for batch in batches:
-            for text, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
-                found = terms(text).keys()
-                rows.update(found)
-                if y:
-                    hits.update(found)
-            if len(rows) > 400_000:  # partial sums; Spark adds them up
-                yield _counted(rows, hits)
-                rows, hits = Counter(), Counter()
-        yield _counted(rows, hits)
-
-    all_rows, all_hits = sample.agg(F.count(F.lit(1)), F.coalesce(F.sum("y"), F.lit(0))).first()
-    if not 0 < all_hits < all_rows:
-        return []
-    n, t, a, b = (F.lit(float(all_rows)), F.lit(float(all_hits)), F.col("hits").cast("double"), F.col("n").cast("double"))
-    chi2 = n * F.pow(a * n - b * t, F.lit(2)) / (b * (n - b) * t * (n - t))
-    in_hits, in_rest = a / t, (b - a) / (n - t)
-    telling = (((in_hits >= MIN_LIFT * in_rest) & (a >= F.greatest(F.lit(MIN_ROWS), MIN_SHARE * t)))
-               | ((in_rest >= MIN_LIFT * in_hits) & (b - a >= F.greatest(F.lit(MIN_ROWS), MIN_SHARE * (n - t)))))
-    found = (sample.mapInArrow(count, "term string, n long, hits long").groupBy("term")
-             .agg(F.sum("n").alias("n"), F.sum("hits").alias("hits")).where(F.col("n") < all_rows).where(telling)
-             .select("term", chi2.alias("chi2")).where(F.col("chi2") >= MIN_CHI2)
-             .orderBy(F.desc("chi2"), "term").limit(MAX_TERMS))
-    return sorted(r.term for r in found.collect())
-
-
-def _counted(rows: Counter, hits: Counter) -> pa.RecordBatch:
-    return pa.record_batch([pa.array(list(rows), pa.string()), pa.array(list(rows.values()), pa.int64()),
-                            pa.array([hits[t] for t in rows], pa.int64())], names=["term", "n", "hits"])
+def _chosen(labels: DataFrame, id_col: str, label_col: str) -> tuple[DataFrame, dict[int, float]]:
+    """At most ``MAX_EXAMPLES`` labelled ids, by hash within their label, and how many rows each stands for."""
+    known = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
+             .groupBy(F.col(id_col).cast("long").alias("_id")).agg((F.max(label_col) > 0).cast("int").alias("y")))
+    there = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
+    half = MAX_EXAMPLES // 2
+    taken = {y: min(n, max(half, MAX_EXAMPLES - there.get(1 - y, 0))) for y, n in there.items()}
+    parts = [known.where(F.col("y") == y).orderBy(F.xxhash64("_id"), "_id").limit(n) for y, n in taken.items()]
+    chosen = parts[0].unionAll(parts[1]) if len(parts) == 2 else parts[0] if parts else known.limit(0)
+    return chosen, {y: there[y] / taken[y] for y in there}
+
+
+def _counted(batches):
+    """``(doc_id, y, terms, n)`` of the examples' texts."""
+    for batch in batches:
+        found = [terms(t) for t in batch.column("text").to_pylist()]
+        yield pa.record_batch([batch.column("doc_id"), batch.column("y"), pa.array([list(f) for f in found], pa.list_(pa.string())),
+                               pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))],
+                              names=["doc_id", "y", "terms", "n"])
+
+
+def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row of every element of a list column without nulls, and where rows begin."""
+    sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(sizes)), sizes), np.concatenate([[0], np.cumsum(sizes)])
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              label_col: str = "toxic") -> DataFrame:
     """``(doc_id, score, evidence)`` for every row of ``docs``; learns from all rows of ``labels`` given."""
-    wanted = (labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull())
-              .groupBy(F.col(id_col).cast("long").alias("_id")).agg(F.max(label_col).cast("int").alias("y"))
-              .orderBy(F.xxhash64("_id"), "_id").limit(MAX_EXAMPLES))
+    chosen, stands_for = _chosen(labels, id_col, label_col)
     texts = _texts(docs, id_col, text_col)
-    sample = landed(texts.join(F.broadcast(wanted), texts.doc_id == wanted._id).select("doc_id", "text", "y"),
-                    "toxicity-sample")
-    vocabulary = choose_terms(sample)
-    empty = Model(vocabulary, np.zeros(len(vocabulary)))
+    # One text for each id, and at most MAX_EXAMPLES of them.
+    sample = landed(texts.join(F.broadcast(chosen), texts.doc_id == chosen._id).groupBy("doc_id", "y")
+                    .agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+                    .mapInArrow(_counted, "doc_id long, y int, terms array<string>, n array<int>"), "toxicity-examples")
+    examples = sample.toArrow().combine_chunks().sort_by("doc_id")
+    lists = examples.column("terms").combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.to_pylist()
+    number = {t: i for i, t in enumerate(words)}
+    whole = {t: i for t, i in number.items() if t[0] != "^"}
+    starts = {t[1:]: i for t, i in number.items() if t[0] == "^"}
 
     def count(batches):
         for batch in batches:
-            counted = [vocabulary_counts(t, empty.whole, empty.starts) for t in batch.column("text").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"),
-                                   pa.array([list(c) for c in counted], pa.list_(pa.int32())),
-                                   pa.array([list(c.values()) for c in counted], pa.list_(pa.int32()))],
-                                  names=["doc_id", "at", "n"])
-
-    counts = landed(texts.mapInArrow(count, "doc_id long, at array<int>, n array<int>"), "toxicity-terms")
-    model = _model(counts, wanted, vocabulary)
+            at, n, sizes = [], [], []
+            for text in batch.column("text").to_pylist():
+                found = Counter(WORD.findall((text or "").lower()))
+                own = {whole[w]: found[w] for w in found.keys() & whole.keys()}
+                for w, m in found.items():
+                    if len(w) >= PREFIX and (i := starts.get(w[:PREFIX])) is not None:
+                        own[i] = own.get(i, 0) + m
+                at += own
+                n += own.values()
+                sizes.append(len(own))
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
+            yield pa.record_batch([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(at, pa.int32())),
+                                   pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32()))], names=["doc_id", "at", "n"])
+
+    counts = landed(texts.mapInArrow(count, "doc_id long, at array<int>, n array<int>"), "toxicity-terms", compression="zstd")
+    model = _model(counts, examples, coded.indices.to_numpy(zero_copy_only=False), len(words), stands_for)
 
     def run(batches):
         for batch in batches:
-            found = [model.score(np.array(a, np.int64), np.array(n, np.float64))
-                     for a, n in zip(batch.column("at").to_pylist(), batch.column("n").to_pylist())]
+            _, edge = _flat(batch.column("at"))
+            at, n = batch.column("at").flatten().to_numpy().astype(np.int64), batch.column("n").flatten().to_numpy().astype(float)
+            found = [model.score(at[a:b], n[a:b]) for a, b in zip(edge[:-1], edge[1:])]
             proof = [[{"doc_id": d, "cosine": c, "label": y} for d, c, y in e] for _, e in found]
             kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
             yield pa.record_batch([batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()),
@@ -221,30 +227,84 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         run, "doc_id long, score double, evidence array<struct<doc_id: long, cosine: double, label: int>>")
 
 
-def _model(counts: DataFrame, wanted: DataFrame, vocabulary: list[str]) -> Model:
-    total = counts.count()
-    df = np.zeros(len(vocabulary))
-    for r in counts.select(F.explode("at").alias("t")).groupBy("t").count().collect():
-        df[r.t] = r["count"]
-    model = Model(vocabulary, np.log((1 + total) / (1 + df)) + 1)
-    # At most MAX_EXAMPLES labelled examples, as a few numbers each.
-    examples = (counts.join(F.broadcast(wanted), F.col("doc_id") == F.col("_id"))
-                .groupBy("doc_id", "y").agg(F.min(F.struct("at", "n")).alias("c")))  # one of the rows of a repeated id
-    rows = sorted((r.doc_id, r.y, r.c.at, r.c.n) for r in examples.collect())
-    if not rows:
+def document_frequencies(counts: DataFrame, terms_: int) -> tuple[np.ndarray, int]:
+    """Rows of ``counts`` that hold each term, and all its rows (a number per term and task is shuffled)."""
+    def run(batches):
+        total, rows = np.zeros(terms_ + 1, np.int64), 0
+        for batch in batches:
+            total += np.bincount(batch.column("at").flatten().to_numpy(), minlength=terms_ + 1)
+            rows += batch.num_rows
+        total[terms_] = rows
+        there = np.flatnonzero(total)
+        yield pa.record_batch([pa.array(there), pa.array(total[there])], names=["t", "n"])
+
+    got = counts.select("at").mapInArrow(run, "t long, n long").groupBy("t").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(terms_ + 1)
+    out[got["t"].to_numpy(np.int64)] = got["n"]
+    return out[:-1], int(out[-1])
+
+
+def label_factor(row: np.ndarray, term: np.ndarray, y: np.ndarray, stands_for: np.ndarray, terms_: int) -> np.ndarray:
+    """``FLOOR`` plus the correlation (0 to 1) of each term's presence with the label, by rows stood for."""
+    n, hits = stands_for.sum(), (stands_for * y).sum()
+    with_term = np.bincount(term, stands_for[row], terms_)
+    both = np.bincount(term, (stands_for * y)[row], terms_)
+    spread = np.sqrt(with_term * (n - with_term) * hits * (n - hits))
+    return FLOOR + np.divide(np.abs(both * n - with_term * hits), spread, out=np.zeros(terms_), where=spread > 1e-9)
+
+
+def _model(counts: DataFrame, examples: pa.Table, term: np.ndarray, terms_: int, stands_for: dict[int, float]) -> Model:
+    df, total = document_frequencies(counts, terms_)
+    model = Model()
+    ids, y = examples.column("doc_id").to_numpy(), examples.column("y").to_numpy().astype(float)
+    if not len(ids):
+        return model
+    each = np.array([stands_for[int(v)] for v in y])
+    row, edge = _flat(examples.column("terms").combine_chunks())
+    term, n = term.astype(np.int64), examples.column("n").combine_chunks().flatten().to_numpy().astype(float)
+    # A term that every text holds keeps a small weight, so that a text of such terms has a direction.
+    model.weight = np.maximum(np.log((1 + total) / (1 + df)), 0.01) * label_factor(row, term, y, each, terms_)
+    model.prior = float((each * y).sum() / each.sum())
+    empty = edge[1:] == edge[:-1]
+    model.bare = float(((each * y)[empty].sum() + model.prior) / (each[empty].sum() + 1))
+    if empty.all():
         return model
-    model.prior = sum(r[1] for r in rows) / len(rows)
-    bare = [r[1] for r in rows if not r[2]]
-    model.bare = (sum(bare) + model.prior) / (len(bare) + 1)
-    full = [r for r in rows if r[2]]
-    if full:
-        vectors = [model.vector(np.array(r[2], np.int64), np.array(r[3], np.float64)) for r in full]
-        model.index = BlockMaxIndex(vectors, np.array([r[0] for r in full]), np.array([r[1] for r in full], float),
-                                    len(vocabulary))
-        model.calibrate()
+    weight = (1 + np.log(n)) * model.weight[term]
+    norm = np.sqrt(np.bincount(row, weight ** 2, len(ids)))
+    # Examples with the same strongest term stand together: their block maxima are then tight.
+    unit = weight / norm[row]
+    strongest = np.full(len(ids), terms_)
+    by = np.lexsort((unit, row))
+    strongest[row[by]] = term[by]  # the last, the largest, stays
+    order = np.lexsort((ids, strongest))
+    order = order[~empty[order]]
+    place = np.empty(len(ids), np.int64)
+    place[order] = np.arange(len(order))
+    again = np.argsort(place[row], kind="stable")
+    model.index = BlockMaxIndex(place[row][again], term[again], unit[again], ids[order], y[order], terms_)
+    _calibrate(model, counts.sparkSession, n[again], each[order])
     return model
 
 
+def _calibrate(model: Model, spark, n: np.ndarray, each: np.ndarray) -> None:
+    """Isotonic fit of the votes that every example gets from the others (examples spread over tasks)."""
+    index = model.index
+
+    def run(batches):
+        for batch in batches:
+            raw = []
+            for i in batch.column("id").to_numpy():
+                part = slice(index.row_from[i], index.row_from[i + 1])
+                raw.append(model.vote(index.row_term[part].astype(np.int64), n[part], without=int(i))[0])
+            yield pa.record_batch([batch.column("id"), pa.array(raw, pa.float64())], names=["id", "raw"])
+
+    got = spark.range(index.n).mapInArrow(run, "id long, raw double").toPandas()
+    raw = np.zeros(index.n)
+    raw[got["id"]] = got["raw"]
+    bins, where = np.unique(bin_of(raw), return_inverse=True)
+    model.knots = isotonic(bins, np.bincount(where, each), np.bincount(where, each * index.labels))
+
+
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns, plus the evidence."""
     known = labels.where(~is_held_out(F.col("doc_id"), 3, 1))

@@ -130,27 +130,111 @@ def test_isotonic_fit_against_all_averages():
 def test_block_max_index_is_exact():
     rng = np.random.default_rng(2)
     terms = 40
-    dense = np.where(rng.random((300, terms)) < 0.1, rng.random((300, terms)), 0)
-    dense = dense[dense.any(axis=1)]
-    dense[5] = dense[6] = dense[7]  # ties
-    dense /= np.linalg.norm(dense, axis=1, keepdims=True)
-    ids = rng.permutation(len(dense)) + 10
-    index = toxicity.BlockMaxIndex([(np.flatnonzero(r), r[r > 0]) for r in dense], ids, np.zeros(len(dense)), terms)
-    for q in dense[:120]:
-        rows, cosine = index.nearest(np.flatnonzero(q), q[q > 0], 15)
-        exact = dense @ q
-        order = np.lexsort((ids, -np.round(exact, 12)))
-        order = [i for i in order if exact[i] > 0][:15]
-        assert index.ids[rows].tolist() == ids[order].tolist()
-        assert np.allclose(cosine, np.minimum(exact[order], 1))
-
-
-def test_vocabulary_counts_match_all_terms():
-    text = "Idiots idiot, IDIOTIC été 12 a"
-    every = toxicity.terms(text)
-    vocabulary = sorted(every)
-    whole = {t: i for i, t in enumerate(vocabulary) if t[0] != "^"}
-    starts = {t[1:]: i for i, t in enumerate(vocabulary) if t[0] == "^"}
-    counted = toxicity.vocabulary_counts(text, whole, starts)
-    assert {vocabulary[i]: n for i, n in counted.items()} == dict(every)
-    assert toxicity.terms(None) == Counter() and words(None) == [] and math.isclose(1, 1)
+    for share in (0.1, 0.7):
+        dense = np.where(rng.random((300, terms)) < share, rng.random((300, terms)) ** 4, 0)
+        dense = dense[dense.any(axis=1)]
+        dense[5] = dense[6] = dense[7]  # ties
+        dense /= np.linalg.norm(dense, axis=1, keepdims=True)
+        ids = rng.permutation(len(dense)) + 10
+        row, term = np.nonzero(dense)
+        index = toxicity.BlockMaxIndex(row, term, dense[row, term], ids, np.zeros(len(dense)), terms)
+        for i, q in enumerate(dense[:120]):
+            without = i if i % 2 else None
+            rows, cosine = index.nearest(np.flatnonzero(q), q[q > 0], 15, without)
+            exact = dense @ q
+            order = [j for j in np.lexsort((ids, -np.round(exact, 12))) if exact[j] > 0 and j != without][:15]
+            assert index.ids[rows].tolist() == ids[order].tolist()
+            assert np.allclose(cosine, np.minimum(exact[order], 1))
+
+
+def brute_toxicity(rows, labels):
+    """Scores and evidence of all rows by dense vectors; ``labels``: (doc_id, toxic) rows that may be learnt from."""
+    known = {}
+    for d, y in labels:
+        if d is not None and y is not None:
+            known[d] = max(known.get(d, 0), y)
+    texts = {}
+    for d, text, *_ in rows:
+        if d in known:
+            texts[d] = min(texts.get(d, text or ""), text or "")
+    vectors = {d: toxicity.terms(t) for d, t in texts.items()}
+    vocabulary = sorted(set(t for v in vectors.values() for t in v))
+    counted = [{t: n for t, n in toxicity.terms(r[1]).items() if t in set(vocabulary)} for r in rows] if vocabulary else [{} for _ in rows]
+    df = Counter(t for c in counted for t in c)
+    ids = sorted(vectors)
+    y = np.array([known[d] for d in ids], float)
+    n, hits = len(ids), y.sum()
+    weight = {}
+    for t in vocabulary:
+        has = np.array([t in vectors[d] for d in ids], float)
+        spread = math.sqrt(has.sum() * (n - has.sum()) * hits * (n - hits))
+        phi = abs((has * y).sum() * n - has.sum() * hits) / spread if spread > 1e-9 else 0
+        weight[t] = max(math.log((1 + len(rows)) / (1 + df[t])), 0.01) * (toxicity.FLOOR + phi)
+
+    def unit(c):
+        v = np.array([(1 + math.log(c[t])) * weight[t] if t in c else 0.0 for t in vocabulary])
+        return v / np.linalg.norm(v)
+
+    full = [i for i, d in enumerate(ids) if vectors[d]]
+    dense = np.array([unit(vectors[ids[i]]) for i in full])
+    prior = y.mean()
+    empty = [i for i in range(n) if i not in full]
+    bare = (y[empty].sum() + prior) / (len(empty) + 1)
+
+    def vote(v, without=None):
+        cos = np.minimum(dense @ v, 1)
+        order = sorted((-round(cos[j], 12), ids[i], cos[j], y[i]) for j, i in enumerate(full) if cos[j] > 0 and j != without)[:15]
+        near = np.array([1 / (1 - o[2] + toxicity.NEAR) for o in order])
+        raw = (near @ np.array([o[3] for o in order]) + toxicity.SHRINK * prior) / (near.sum() + toxicity.SHRINK)
+        return raw, [(o[1], o[2], o[3]) for o in order]
+
+    raw = np.array([vote(dense[j], j)[0] for j in range(len(full))])
+    bins, where = np.unique(calibration.bin_of(raw), return_inverse=True)
+    knots = calibration.isotonic(bins, np.bincount(where).astype(float), np.bincount(where, y[full]))
+    out = []
+    for r, c in zip(rows, counted):
+        if not c:
+            out.append((r[0], bare, []))
+        else:
+            raw, proof = vote(unit(c))
+            out.append((r[0], float(calibration.calibrated(np.array([raw]), knots)[0]), proof))
+    return out
+
+
+def test_whole_toxicity_query_against_brute_force(messy, rows, plain_labels):
+    labels = [(r.doc_id, r.toxic) for r in plain_labels.collect() if r.doc_id is None or not toxicity_held(r.doc_id)]
+    want = brute_toxicity(rows, labels)
+    got = toxicity.digest(messy, plain_labels).collect()
+    key = lambda d, s, e: (d is not None, d or 0, round(s, 9), [(x[0], round(x[1], 9)) for x in e])
+    assert sorted(key(r.doc_id, r.score, [(e.doc_id, e.cosine) for e in r.evidence]) for r in got) == sorted(key(*w) for w in want)
+    assert sum(bool(r.evidence) for r in got) > 60
+
+
+def test_copies_of_labelled_texts_have_them_as_evidence(llm_spark):
+    """Rare wording counts as well: an unlabelled exact copy finds its example, at a cosine of 1."""
+    rng = random.Random(8)
+    prose = lambda: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(7)) for _ in range(40))
+    texts = [prose() for _ in range(90)]
+    rows = [(i, t) for i, t in enumerate(texts)] + [(1000 + i, t) for i, t in enumerate(texts)]
+    docs = llm_spark.createDataFrame(rows, "doc_id long, text string")
+    labels = llm_spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels).collect()}
+    for i in range(90):
+        first = got[1000 + i].evidence[0]
+        assert (first.doc_id, first.label) == (i, int(i % 3 == 0)) and abs(first.cosine - 1) < 1e-9
+
+
+def test_examples_are_bounded_and_stand_for_their_rows(llm_spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MAX_EXAMPLES", 20)
+    for toxic in (4, 60):
+        labels = llm_spark.createDataFrame([(i, int(i < toxic)) for i in range(100)], "doc_id long, toxic int")
+        chosen, stands_for = toxicity._chosen(labels, "doc_id", "toxic")
+        taken = Counter(r.y for r in chosen.collect())
+        assert taken == ({1: 4, 0: 16} if toxic == 4 else {1: 10, 0: 10})
+        assert {y: round(stands_for[y] * n) for y, n in taken.items()} == {1: toxic, 0: 100 - toxic}
+
+
+def test_terms_are_words_and_their_beginnings():
+    assert toxicity.terms("Idiots idiot, IDIOTIC \u00e9t\u00e9 12 a") == {
+        "idiots": 1, "idiot": 1, "idiotic": 1, "^idiot": 3, "\u00e9t\u00e9": 1, "12": 1, "a": 1}
+    assert toxicity.terms(None) == {} and words(None) == []
