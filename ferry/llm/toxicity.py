@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from ferry.llm.calibration import bin_of, calibrated, isotonic
 from ferry.llm.common import is_held_out, landed
 
-MAX_EXAMPLES = 8_192    # labelled rows the classifier is fitted on
+MAX_EXAMPLES = 4_096    # labelled rows the classifier is fitted on
 NEIGHBOURS = 15
 BLOCK = 64
 PREFIX = 5              # letters of a word's beginning
@@ -189,10 +189,13 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     examples = sample.toArrow().combine_chunks().sort_by("doc_id")
     lists = examples.column("terms").combine_chunks()
     coded = lists.flatten().dictionary_encode()
-    words = coded.dictionary.to_pylist()
-    number = {t: i for i, t in enumerate(words)}
-    whole = {t: i for t, i in number.items() if t[0] != "^"}
-    starts = {t[1:]: i for t, i in number.items() if t[0] == "^"}
+    whole: dict[str, int] = {}
+    starts: dict[str, int] = {}
+    for i, t in enumerate(coded.dictionary.to_pylist()):
+        if t[0] == "^":
+            starts[t[1:]] = i
+        else:
+            whole[t] = i
 
     def count(batches):
         for batch in batches:
@@ -211,7 +214,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
                                    pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32()))], names=["doc_id", "at", "n"])
 
     counts = landed(texts.mapInArrow(count, "doc_id long, at array<int>, n array<int>"), "toxicity-terms", compression="zstd")
-    model = _model(counts, examples, coded.indices.to_numpy(zero_copy_only=False), len(words), stands_for)
+    model = _model(counts, examples, coded.indices.to_numpy(zero_copy_only=False), len(coded.dictionary), stands_for)
 
     def run(batches):
         for batch in batches:
