@@ -122,28 +122,54 @@ class BlockMaxIndex:
         return rows[top], np.minimum(exact[top], 1.0)
 
 
-class Model:
-    """Vocabulary, weights, index and calibration; of the size of the examples."""
+class Examples:
+    """The examples in a compact form (a term and its occurrences for each entry); workers build the index from it."""
 
-    def __init__(self):
-        self.index, self.prior, self.bare, self.knots = None, 0.0, 0.0, None
-        self.weight = np.zeros(0)
+    def __init__(self, row: np.ndarray, term: np.ndarray, n: np.ndarray, ids: np.ndarray, labels: np.ndarray, weight: np.ndarray):
+        """``row``: the example of each entry, ascending; ``weight``: of each term."""
+        self.row_from = np.searchsorted(row, np.arange(len(ids) + 1))
+        self.term, self.n = term.astype(np.int32), n.astype(np.uint16 if n.max(initial=0) < 1 << 16 else np.uint32)
+        self.ids, self.labels, self.weight, self._index = ids, labels, weight, None
+
+    def __getstate__(self) -> dict:
+        return {**self.__dict__, "_index": None}
 
     def vector(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
         weight = (1 + np.log(n)) * self.weight[at]
         return weight / np.sqrt((weight ** 2).sum())
 
-    def vote(self, at: np.ndarray, n: np.ndarray, without: int | None = None):
+    def entries(self, i: int) -> tuple[np.ndarray, np.ndarray]:
+        part = slice(self.row_from[i], self.row_from[i + 1])
+        return self.term[part].astype(np.int64), self.n[part].astype(float)
+
+    @property
+    def index(self) -> BlockMaxIndex:
+        if self._index is None:
+            row = np.repeat(np.arange(len(self.ids)), np.diff(self.row_from))
+            weight = (1 + np.log(self.n.astype(float))) * self.weight[self.term]
+            norm = np.sqrt(np.bincount(row, weight ** 2, len(self.ids)))
+            self._index = BlockMaxIndex(row, self.term.astype(np.int64), weight / norm[row], self.ids, self.labels, len(self.weight))
+        return self._index
+
+    def vote(self, at: np.ndarray, n: np.ndarray, prior: float, without: int | None = None):
         rows, cosine = self.index.nearest(at, self.vector(at, n), NEIGHBOURS, without)
         near = 1 / (1 - cosine + NEAR)
-        return (near @ self.index.labels[rows] + SHRINK * self.prior) / (near.sum() + SHRINK), rows, cosine
+        return (near @ self.labels[rows] + SHRINK * prior) / (near.sum() + SHRINK), rows, cosine
+
+
+class Model:
+    """What scores a text: the examples (one broadcast for fitting and scoring), base rates and calibration."""
+
+    def __init__(self):
+        self.examples, self.prior, self.bare, self.knots = None, 0.0, 0.0, None
 
     def score(self, at: np.ndarray, n: np.ndarray) -> tuple[float, list[tuple[int, float, int]]]:
-        if self.index is None or not len(at):
+        if self.examples is None or not len(at):
             return self.bare, []
-        raw, rows, cosine = self.vote(at, n)
+        examples = self.examples.value
+        raw, rows, cosine = examples.vote(at, n, self.prior)
         return float(calibrated(np.array([raw]), self.knots)[0]), \
-            [(int(self.index.ids[r]), float(c), int(self.index.labels[r])) for r, c in zip(rows, cosine)]
+            [(int(examples.ids[r]), float(c), int(examples.labels[r])) for r, c in zip(rows, cosine)]
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -266,46 +292,43 @@ def _model(counts: DataFrame, examples: pa.Table, term: np.ndarray, terms_: int,
     row, edge = _flat(examples.column("terms").combine_chunks())
     term, n = term.astype(np.int64), examples.column("n").combine_chunks().flatten().to_numpy().astype(float)
     # A term that every text holds keeps a small weight, so that a text of such terms has a direction.
-    model.weight = np.maximum(np.log((1 + total) / (1 + df)), 0.01) * label_factor(row, term, y, each, terms_)
+    weights = np.maximum(np.log((1 + total) / (1 + df)), 0.01) * label_factor(row, term, y, each, terms_)
     model.prior = float((each * y).sum() / each.sum())
     empty = edge[1:] == edge[:-1]
     model.bare = float(((each * y)[empty].sum() + model.prior) / (each[empty].sum() + 1))
     if empty.all():
         return model
-    weight = (1 + np.log(n)) * model.weight[term]
-    norm = np.sqrt(np.bincount(row, weight ** 2, len(ids)))
     # Examples with the same strongest term stand together: their block maxima are then tight.
-    unit = weight / norm[row]
     strongest = np.full(len(ids), terms_)
-    by = np.lexsort((unit, row))
+    by = np.lexsort(((1 + np.log(n)) * weights[term], row))
     strongest[row[by]] = term[by]  # the last, the largest, stays
     order = np.lexsort((ids, strongest))
     order = order[~empty[order]]
     place = np.empty(len(ids), np.int64)
     place[order] = np.arange(len(order))
     again = np.argsort(place[row], kind="stable")
-    model.index = BlockMaxIndex(place[row][again], term[again], unit[again], ids[order], y[order], terms_)
-    _calibrate(model, counts.sparkSession, n[again], each[order])
+    spark = counts.sparkSession
+    model.examples = spark.sparkContext.broadcast(Examples(place[row][again], term[again], n[again], ids[order], y[order], weights))
+    _calibrate(model, spark, each[order])
     return model
 
 
-def _calibrate(model: Model, spark, n: np.ndarray, each: np.ndarray) -> None:
+def _calibrate(model: Model, spark, each: np.ndarray) -> None:
     """Isotonic fit of the votes that every example gets from the others (examples spread over tasks)."""
-    index = model.index
+    shared, prior = model.examples, model.prior
 
     def run(batches):
+        examples = shared.value
         for batch in batches:
-            raw = []
-            for i in batch.column("id").to_numpy():
-                part = slice(index.row_from[i], index.row_from[i + 1])
-                raw.append(model.vote(index.row_term[part].astype(np.int64), n[part], without=int(i))[0])
+            raw = [examples.vote(*examples.entries(int(i)), prior, without=int(i))[0] for i in batch.column("id").to_numpy()]
             yield pa.record_batch([batch.column("id"), pa.array(raw, pa.float64())], names=["id", "raw"])
 
-    got = spark.range(index.n).mapInArrow(run, "id long, raw double").toPandas()
-    raw = np.zeros(index.n)
+    labels = model.examples.value.labels
+    got = spark.range(len(labels)).mapInArrow(run, "id long, raw double").toPandas()
+    raw = np.zeros(len(labels))
     raw[got["id"]] = got["raw"]
     bins, where = np.unique(bin_of(raw), return_inverse=True)
-    model.knots = isotonic(bins, np.bincount(where, each), np.bincount(where, each * index.labels))
+    model.knots = isotonic(bins, np.bincount(where, each), np.bincount(where, each * labels))
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
