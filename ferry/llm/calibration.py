@@ -13,10 +13,12 @@ def bin_of(raw: np.ndarray) -> np.ndarray:
     return np.minimum(at.astype(np.int64), BINS - 1)
 
 
-def isotonic(bins: np.ndarray, rows: np.ndarray, hits: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def isotonic(bins: np.ndarray, rows: np.ndarray, hits: np.ndarray,
+             base: float | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Knots (raw, probability) of the least-squares increasing fit, pooling adjacent violators.
 
-    No rows give the constant 0.5.
+    No rows give the constant 0.5. With a ``base`` rate, every pooled block counts one more row of that
+    rate, so that a block of three or four rows is no proof.
     """
     if not len(bins):
         return np.array([LOW]), np.array([0.5])
@@ -28,7 +30,10 @@ def isotonic(bins: np.ndarray, rows: np.ndarray, hits: np.ndarray) -> tuple[np.n
             last = blocks.pop()
             blocks[-1] = [x + y for x, y in zip(blocks[-1], last)]
     table = np.array(blocks)
-    return table[:, 2] / table[:, 0], table[:, 1] / table[:, 0]
+    fit = table[:, 1] / table[:, 0]
+    if base is not None:
+        fit = np.maximum.accumulate((table[:, 1] + base) / (table[:, 0] + 1))
+    return table[:, 2] / table[:, 0], fit
 
 
 def calibrated(raw: np.ndarray, knots: tuple[np.ndarray, np.ndarray]) -> np.ndarray:

@@ -1,17 +1,17 @@
 """Toxicity by nearest labelled examples.
 
-Terms are the words and word beginnings of a bounded sample of labelled rows
-(``MAX_EXAMPLES``, half of them of the rarer label if there are so many): all of
-their terms, so that a text is compared by everything an example holds. Document
+Terms are the words of a bounded sample of labelled rows (``MAX_EXAMPLES``, half
+of them of the rarer label if there are so many): all of their words, so that a
+text is compared by everything an example holds. Document
 frequencies are counted over the whole corpus. A term's weight is its frequency in
 the text, its inverse document frequency, and a factor for how far its presence
 depends on the label; the factor never falls below ``FLOOR``, so no term is left out.
 
-Examples are unit vectors in an inverted index, with the largest weight of each
-term in each block of examples. A text's rare and telling terms are added up
-first; what its other terms can add to a block at most follows from the block maxima,
-so only examples that can still be among the k nearest are completed, from their
-own vectors. The k nearest are exact. Votes weighted by nearness are
+Examples are unit vectors in an inverted index; terms with long lists have, beside
+them, the largest weight in each block of examples. A text's rare and telling terms
+are added up first; what its other terms can add to a block at most follows from
+the block maxima, so their lists are not read: only examples that can still be
+among the k nearest are completed. The k nearest are exact. Votes weighted by nearness are
 calibrated on the votes that each example gets from the others.
 
 Defined results
@@ -40,83 +40,65 @@ from ferry.llm.common import is_held_out, landed
 MAX_EXAMPLES = 4_096    # labelled rows the classifier is fitted on
 NEIGHBOURS = 15
 BLOCK = 64
-PREFIX = 5              # letters of a word's beginning
 FLOOR = 0.03            # least factor for the label, beside at most 1
-REST = 0.04             # what the terms added last may add to a cosine, about
+REST = 0.1              # what the terms that are not added up may add to a cosine
+LONG = 8                # lists of more than a part in LONG of the examples are long
 NEAR = 0.05             # added to a distance, so that an exact copy has a bounded vote
 SHRINK = 0.25           # votes the base rate has
 KEEP_AT = 0.7
 WORD = re.compile(r"\w+")
 
 
-def terms(text: str | None) -> dict[str, int]:
-    """Occurrences of each word and of each word beginning ('^' and its first letters)."""
-    words = Counter(WORD.findall((text or "").lower()))
-    out = dict(words)
-    for word, n in words.items():
-        if len(word) >= PREFIX:
-            start = "^" + word[:PREFIX]
-            out[start] = out.get(start, 0) + n
-    return out
+def terms(text: str | None) -> Counter:
+    """Occurrences of each word, in lower case."""
+    return Counter(WORD.findall((text or "").lower()))
 
 
 class BlockMaxIndex:
-    """Unit vectors by term, with the largest weight of each term in each block of vectors, and by vector."""
+    """Unit vectors by term; terms with long lists also as rows of a table, with their largest weight in each block."""
 
     def __init__(self, row: np.ndarray, term: np.ndarray, weight: np.ndarray, ids: np.ndarray, labels: np.ndarray, terms: int):
-        """``row``: the vector of each entry, ascending."""
-        self.ids, self.labels, self.n, self.terms = ids, labels, len(ids), terms
-        self.blocks = max(1, -(-self.n // BLOCK))
-        self.row_from = np.searchsorted(row, np.arange(self.n + 1))
-        self.row_term, self.row_weight = term.astype(np.int32), weight
+        """``row``: the vector of each entry."""
+        self.ids, self.labels, self.n = ids, labels, len(ids)
         by = np.argsort(term, kind="stable")
         self.term_from = np.searchsorted(term[by], np.arange(terms + 1))
-        self.term_row, self.term_weight = row[by].astype(np.int32), weight[by]
-        cell = term[by] * self.blocks + self.term_row // BLOCK
-        first = np.flatnonzero(np.concatenate([[True], cell[1:] != cell[:-1]])) if len(cell) else np.zeros(0, np.int64)
-        self.cell_block = (cell[first] % self.blocks).astype(np.int32)
-        self.cell_max = np.maximum.reduceat(self.term_weight, first) if len(first) else np.zeros(0)
-        self.cell_from = np.searchsorted(cell[first] // self.blocks, np.arange(terms + 1))
+        self.term_row, self.term_weight = row[by], weight[by]
         self.most = np.zeros(terms)
         np.maximum.at(self.most, term, weight)
-
-    @staticmethod
-    def _within(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Positions of all the given ranges, one after the other, and the lengths of the ranges."""
-        lengths = ends - starts
-        before = np.cumsum(lengths) - lengths
-        return np.repeat(starts - before, lengths) + np.arange(lengths.sum()), lengths
-
-    def _sums(self, at: np.ndarray, weight: np.ndarray, cells: bool) -> np.ndarray:
-        """Per vector, the sum over the terms ``at``; with ``cells`` per block, of the block maxima."""
-        if cells:
-            place, lengths = self._within(self.cell_from[at], self.cell_from[at + 1])
-            return np.bincount(self.cell_block[place], self.cell_max[place] * np.repeat(weight, lengths), self.blocks)
-        place, lengths = self._within(self.term_from[at], self.term_from[at + 1])
-        return np.bincount(self.term_row[place], self.term_weight[place] * np.repeat(weight, lengths), self.n)
+        long = np.flatnonzero(np.diff(self.term_from) * LONG > self.n)
+        self.long_of = np.full(terms, -1)
+        self.long_of[long] = np.arange(len(long))
+        blocks = max(1, -(-self.n // BLOCK))
+        self.table = np.zeros((len(long), blocks * BLOCK))
+        mine = np.flatnonzero(self.long_of[term] >= 0)
+        self.table[self.long_of[term[mine]], row[mine]] = weight[mine]
+        self.block_most = self.table.reshape(len(long), blocks, BLOCK).max(axis=2)
+
+    def _sums(self, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Per vector, the sum over the terms ``at`` of their lists."""
+        if not len(at):
+            return np.zeros(self.n)
+        parts = [slice(a, b) for a, b in zip(self.term_from[at].tolist(), self.term_from[at + 1].tolist())]
+        rows = np.concatenate([self.term_row[p] for p in parts])
+        return np.bincount(rows, np.concatenate([self.term_weight[p] for p in parts])
+                           * np.repeat(weight, self.term_from[at + 1] - self.term_from[at]), self.n)
 
     def nearest(self, at: np.ndarray, weight: np.ndarray, k: int, without: int | None = None):
         """Positions and cosines of the k nearest vectors with a positive cosine, nearest first."""
-        # Terms whose lists are long for what they can add come last, up to a sum of REST.
-        most = weight * self.most[at]
-        length = self.term_from[at + 1] - self.term_from[at]
-        by = np.argsort(most / np.maximum(length, 1), kind="stable")
+        # Of the terms with long lists, those that can add least are left to the end, up to a sum of REST.
+        long = self.long_of[at] >= 0
+        most = np.where(long, weight * self.most[at], np.inf)
+        by = np.argsort(most, kind="stable")
         last = np.zeros(len(at), bool)
         last[by[np.cumsum(most[by]) <= REST]] = True
-        score = self._sums(at[~last], weight[~last], cells=False)
-        bound = np.repeat(self._sums(at[last], weight[last], cells=True), BLOCK)[:self.n]
+        score = self._sums(at[~last], weight[~last])
+        row, rest = self.long_of[at[last]], weight[last]
+        bound = np.repeat(rest @ self.block_most[row], BLOCK)[:self.n]
         if without is not None:
-            score[without], bound[without] = -1.0, 0.0
-        least = np.partition(score, -k)[-k] if self.n > k else 0.0
-        rows = np.flatnonzero((score + bound >= least - 1e-9) & (score + bound > 0))
-        if len(rows) * 4 > self.n:  # bounds say little: add up everything
-            score += self._sums(at[last], weight[last], cells=False)
-            least = np.partition(score, -k)[-k] if self.n > k else 0.0
-            rows = np.flatnonzero((score >= least - 1e-9) & (score > 0))
-        query = np.zeros(self.terms)
-        query[at] = weight
-        place, lengths = self._within(self.row_from[rows], self.row_from[rows + 1])
-        exact = np.bincount(np.repeat(np.arange(len(rows)), lengths), query[self.row_term[place]] * self.row_weight[place], len(rows))
+            score[without] = -2.0
+        least = max(np.partition(score, -k)[-k], 0.0) if self.n > k else 0.0
+        rows = np.flatnonzero((score >= 0) & (score + bound >= least - 1e-9) & (score + bound > 0))
+        exact = score[rows] + (rest @ self.table[row[:, None], rows] if len(row) else 0.0)
         rows, exact = rows[exact > 0], exact[exact > 0]
         top = np.lexsort((self.ids[rows], -np.round(exact, 12)))[:k]
         return rows[top], np.minimum(exact[top], 1.0)
@@ -215,26 +197,17 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     examples = sample.toArrow().combine_chunks().sort_by("doc_id")
     lists = examples.column("terms").combine_chunks()
     coded = lists.flatten().dictionary_encode()
-    whole: dict[str, int] = {}
-    starts: dict[str, int] = {}
-    for i, t in enumerate(coded.dictionary.to_pylist()):
-        if t[0] == "^":
-            starts[t[1:]] = i
-        else:
-            whole[t] = i
+    whole = {t: i for i, t in enumerate(coded.dictionary.to_pylist())}
 
     def count(batches):
         for batch in batches:
             at, n, sizes = [], [], []
             for text in batch.column("text").to_pylist():
-                found = Counter(WORD.findall((text or "").lower()))
-                own = {whole[w]: found[w] for w in found.keys() & whole.keys()}
-                for w, m in found.items():
-                    if len(w) >= PREFIX and (i := starts.get(w[:PREFIX])) is not None:
-                        own[i] = own.get(i, 0) + m
-                at += own
-                n += own.values()
-                sizes.append(len(own))
+                found = terms(text)
+                common = found.keys() & whole.keys()
+                at += map(whole.__getitem__, common)
+                n += map(found.__getitem__, common)
+                sizes.append(len(common))
             offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32))
             yield pa.record_batch([batch.column("doc_id"), pa.ListArray.from_arrays(offsets, pa.array(at, pa.int32())),
                                    pa.ListArray.from_arrays(offsets, pa.array(n, pa.int32()))], names=["doc_id", "at", "n"])
@@ -328,7 +301,7 @@ def _calibrate(model: Model, spark, each: np.ndarray) -> None:
     raw = np.zeros(len(labels))
     raw[got["id"]] = got["raw"]
     bins, where = np.unique(bin_of(raw), return_inverse=True)
-    model.knots = isotonic(bins, np.bincount(where, each), np.bincount(where, each * labels))
+    model.knots = isotonic(bins, np.bincount(where, each), np.bincount(where, each * labels), base=prior)
 
 
 def digest(docs: DataFrame, labels: DataFrame) -> DataFrame:

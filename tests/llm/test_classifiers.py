@@ -190,7 +190,7 @@ def brute_toxicity(rows, labels):
 
     raw = np.array([vote(dense[j], j)[0] for j in range(len(full))])
     bins, where = np.unique(calibration.bin_of(raw), return_inverse=True)
-    knots = calibration.isotonic(bins, np.bincount(where).astype(float), np.bincount(where, y[full]))
+    knots = calibration.isotonic(bins, np.bincount(where).astype(float), np.bincount(where, y[full]), base=prior)
     out = []
     for r, c in zip(rows, counted):
         if not c:
@@ -234,7 +234,6 @@ def test_examples_are_bounded_and_stand_for_their_rows(llm_spark, monkeypatch):
         assert {y: round(stands_for[y] * n) for y, n in taken.items()} == {1: toxic, 0: 100 - toxic}
 
 
-def test_terms_are_words_and_their_beginnings():
-    assert toxicity.terms("Idiots idiot, IDIOTIC \u00e9t\u00e9 12 a") == {
-        "idiots": 1, "idiot": 1, "idiotic": 1, "^idiot": 3, "\u00e9t\u00e9": 1, "12": 1, "a": 1}
+def test_terms_are_words():
+    assert toxicity.terms("Idiots idiot, IDIOT \u00e9t\u00e9 12 a") == {"idiots": 1, "idiot": 2, "\u00e9t\u00e9": 1, "12": 1, "a": 1}
     assert toxicity.terms(None) == {} and words(None) == []
