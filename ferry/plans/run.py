@@ -28,7 +28,8 @@ from ferry.plans.catalog import SelectionError, TableRef, plan_preview, select_t
 from ferry.plans.transfer import (FingerprintTap, TransferResult, fingerprints, import_inferred,
                                   import_table, load_into, metrics_frame, run_parallel)
 from ferry.functions.text import quoted
-from ferry.sources.delimited import (FileFormat, discard, has_data, publish, read_manifest, refusal, refuse,
+from ferry.plans.control import Claimed, WorkLog
+from ferry.sources.delimited import (FileFormat, discard, has_data, publish, read_manifest, refusal, refuse, settle,
                                      write_delimited, write_manifest)
 
 
@@ -147,7 +148,8 @@ def _failed(name: str, msg: str) -> TransferResult:
     return TransferResult(name, now, now, None, msg)
 
 
-def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts: TransferOptions) -> DataFrame:
+def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts: TransferOptions,
+               log: WorkLog | None = None) -> DataFrame:
     """Land every planned table under ``landing/<schema>.<table>``; metrics DataFrame.
 
     Every table is written to a folder of its own beside the landing and
@@ -155,14 +157,27 @@ def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts:
     With ``check_delimiters`` the same pass counts records that would not read
     back; a table with any is not published, and its landing is marked so that
     ``run_import`` refuses it until an export succeeds. A manifest with the rows
-    and the fingerprint of every published batch stays next to its files.
+    and the fingerprint of every published batch stays next to its files. With a
+    ``log``, tables that have landed in this run are not written again.
     """
+    replace_all = opts.landing_mode == "overwrite"
+
     def item(p: TablePlan):
         path = f"{landing.rstrip('/')}/{p.name}"
         if p.error:
             return _failed(p.name, p.error)
         from datetime import datetime
         start = datetime.now()
+        if log:
+            try:
+                step = log.claim(p.name)
+            except Claimed as other:
+                return _failed(p.name, str(other))
+            if step["state"] == "landing":  # broken off while the files were moved
+                publish(spark, step["made"], path, replace_all)
+                step = log.record(p.name, "landed")
+            if step["state"] != "claimed":
+                return TransferResult(p.name, start, datetime.now(), step["rows_landed"], None, path)
         made = f"{landing.rstrip('/')}/_ferry_batch_{uuid.uuid4().hex}"
         stats: dict = {"fingerprint": True}
         rows, err = None, None
@@ -175,18 +190,25 @@ def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts:
             else:
                 write_manifest(spark, made, {"rows": rows, "fingerprint": list(stats["fingerprint"]),
                                              "columns": p.exported.columns})
-                publish(spark, made, path, replace_all=opts.landing_mode == "overwrite")
+                if log:
+                    log.record(p.name, "landing", made=made, rows_landed=rows)
+                publish(spark, made, path, replace_all)
+                if log:
+                    log.record(p.name, "landed")
         except Exception as exc:  # noqa: BLE001 - one failing table must not stop the others
             rows, err = None, f"{type(exc).__name__}: {str(exc).splitlines()[0] if str(exc) else ''}"
             discard(spark, made)
             refuse(spark, path, err)
+        if err and log:
+            log.record(p.name, "failed", error=err)
         return TransferResult(p.name, start, datetime.now(), rows, err, path)
 
     return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
 
 
 def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target_root: str,
-               opts: TransferOptions, targets: dict[str, T.StructType] | None = None) -> DataFrame:
+               opts: TransferOptions, targets: dict[str, T.StructType] | None = None,
+               log: WorkLog | None = None) -> DataFrame:
     """Load landed tables into ``target_root/<schema>.<table>`` (parquet); metrics DataFrame.
 
     ``typed``: fields by position with the exported types, matched by name
@@ -196,21 +218,60 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
     target's current maximum, in ``identity_order`` (default: the first
     exported column). Rows are appended, as bulk loads never truncate.
     ``inferred``: types inferred from the text, table replaced, columns by name.
+
+    Rows are loaded into a folder beside the target, compared with the source, and
+    only then moved into it: a load that fails leaves the target as it was. With a
+    ``log``, tables committed in this run are not loaded again.
     """
     targets = targets or {}
 
+    def moved(name: str, res: TransferResult, made: str, dest: str, replace_all: bool) -> TransferResult:
+        """Publish loaded rows, or drop them if there was an error."""
+        if res.error is None:
+            if log:
+                log.record(name, "loading", made=made, rows_loaded=res.rows)
+            publish(spark, made, dest, replace_all)
+            if log:
+                log.record(name, "committed")
+        else:
+            discard(spark, made)
+        return res
+
+    def logged(p: TablePlan):
+        """``item`` under the log: skip, finish or do the work."""
+        from datetime import datetime
+        if log is None or p.error:
+            return item(p)
+        start, dest = datetime.now(), f"{target_root.rstrip('/')}/{p.name}"
+        try:
+            step = log.claim(p.name)
+            if step["state"] == "loading":  # broken off while the rows were moved
+                publish(spark, step["made"], dest, replace_all=opts.target == "inferred")
+                step = log.record(p.name, "committed")
+        except Claimed as other:
+            return _failed(p.name, str(other))
+        if step["state"] == "committed":
+            return TransferResult(p.name, start, datetime.now(), step["rows_loaded"], None, dest)
+        res = item(p)
+        if res.error:
+            log.record(p.name, "failed", error=res.error)
+        return res
+
     def item(p: TablePlan):
         if p.error:
             return _failed(p.name, p.error)
         path = f"{landing.rstrip('/')}/{p.name}"
         dest = f"{target_root.rstrip('/')}/{p.name}"
+        settle(spark, path)
+        settle(spark, dest)
         refused = refusal(spark, path)
         if refused:
             return _failed(p.name, f"not loaded, its export failed: {refused}")
         if opts.target == "inferred":
             if not opts.fmt.header:
                 return _failed(p.name, "an inferred-schema load needs a header record")
-            return load_into(import_inferred(spark, path, opts.fmt), dest, mode="overwrite")
+            made = f"{target_root.rstrip('/')}/_ferry_load_{uuid.uuid4().hex}"
+            return moved(p.name, load_into(import_inferred(spark, path, opts.fmt), made, mode="errorifexists"), made, dest, True)
         schema = targets.get(p.name) or _existing_schema(spark, dest, p.source.schema) or p.source.schema
         parsed = import_table(spark, path, opts.fmt, p.exported.schema)
         df = _to_target(parsed, schema)
@@ -226,7 +287,8 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
         same = len(tap_cols) == len(p.exported.columns) and all(
             by_lower[f.name.lower()].dataType == f.dataType for f in p.exported.schema.fields)
         tap = FingerprintTap(df, tap_cols) if manifest and same else None
-        res = load_into(tap.df if tap else df, dest, mode="append")
+        made = f"{dest}/_ferry_load_{uuid.uuid4().hex}"
+        res = load_into(tap.df if tap else df, made, mode="errorifexists")
         if opts.verify and res.error is None:
             if tap:
                 # fingerprint taken during the load vs the one taken during the export
@@ -238,9 +300,9 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
                 ok = a == b
             if not ok:
                 res.error = "loaded content differs from the source (fingerprint mismatch)"
-        return res
+        return moved(p.name, res, made, dest, False)
 
-    return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
+    return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: logged(p)) for p in plans], opts.parallel))
 
 
 def _existing_schema(spark: SparkSession, dest: str, source: T.StructType) -> T.StructType | None:
@@ -275,18 +337,23 @@ def _continue_identity(spark: SparkSession, df: DataFrame, col: str, order: list
 
 
 def transfer(spark: SparkSession, catalog: list[TableRef], landing: str, target_root: str, opts: TransferOptions,
-             **selection) -> DataFrame:
+             run_id: str | None = None, takeover: bool = False, **selection) -> DataFrame:
     """Choose, land and load in one call; one report row per table.
 
+    With a ``run_id`` the run keeps a control table (``ferry.plans.control``) in the target
+    folder: started again under the same id, it goes on where it was broken off and loads
+    no row twice. ``takeover`` says that an earlier driver of the run is dead.
+
     ``selection`` takes the ``plan_transfer`` arguments (schemas, tables,
     schemas_except, tables_except, all_tables). The report sets rows landed
     beside rows loaded, both durations, and the first error of either step.
     """
     plans = plan_transfer(spark, catalog, opts, **selection)
-    ex = run_export(spark, plans, landing, opts)
+    log = WorkLog(spark, target_root, run_id, takeover) if run_id else None
+    ex = run_export(spark, plans, landing, opts, log)
     ok = [p for p in plans if p.error is None]
     failed_export = {r.table_name for r in ex.filter("error <> 'None'").select("table_name").collect()}
-    im = run_import(spark, [p for p in ok if p.name not in failed_export], landing, target_root, opts)
+    im = run_import(spark, [p for p in ok if p.name not in failed_export], landing, target_root, opts, log=log)
     e = ex.select("table_name", F.col("rows_copied").alias("rows_landed"),
                   F.col("duration_ms").alias("export_ms"), F.col("error").alias("export_error"))
     i = im.select("table_name", F.col("rows_copied").alias("rows_loaded"),

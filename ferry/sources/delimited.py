@@ -204,13 +204,65 @@ def refusal(spark: SparkSession, path: str) -> str | None:
     return _read_small(spark, f"{path.rstrip('/')}/{REFUSED_FILE}")["error"] if REFUSED_FILE in file_names(spark, path) else None
 
 
+def write_once(spark: SparkSession, target: str, info: dict) -> bool:
+    """Make a small file that is there whole or not at all; False if it exists (it is never overwritten)."""
+    from py4j.protocol import Py4JJavaError
+    folder, _, _ = target.rpartition("/")
+    draft = f"{folder}/_draft-{uuid.uuid4().hex}"
+    _write_small(spark, draft, info)
+    source, fs = _hadoop_fs(spark, draft)
+    to, _ = _hadoop_fs(spark, target)
+    sc = spark.sparkContext
+    context = sc._jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.makeQualified(source).toUri(), sc._jsc.hadoopConfiguration())
+    never = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 0)  # no option: an existing file stays
+    try:
+        context.rename(fs.makeQualified(source), fs.makeQualified(to), never)
+    except Py4JJavaError:
+        fs.delete(source, False)
+        if not fs.exists(to):
+            raise
+        return False
+    return True
+
+
+def _replaced(path: str) -> str:
+    """Where the old files of a folder stand while it is being replaced."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_ferry_old_{name}"
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Undo a replacement that was broken off between its two renames: the old files come back."""
+    target, fs = _hadoop_fs(spark, path)
+    old, _ = _hadoop_fs(spark, _replaced(path))
+    if not fs.exists(target) and fs.exists(old):
+        fs.rename(old, target)
+
+
 def publish(spark: SparkSession, made: str, path: str, replace_all: bool) -> None:
-    """Move a finished batch of files into ``path``; with ``replace_all`` they become its only files."""
+    """Move a finished batch of files into ``path``; with ``replace_all`` they become its only files.
+
+    Broken off anywhere, it can be called again with the same arguments. A
+    replacement is two renames of whole folders; between them the old files stand beside the target.
+    """
     source, fs = _hadoop_fs(spark, made)
     target, _ = _hadoop_fs(spark, path)
     jvm = spark.sparkContext._jvm
-    if replace_all and fs.exists(target):
-        fs.delete(target, True)
+    if replace_all:
+        old, _ = _hadoop_fs(spark, _replaced(path))
+        if fs.exists(source):
+            fs.delete(jvm.org.apache.hadoop.fs.Path(source, "_SUCCESS"), False)
+            if fs.exists(target):
+                fs.delete(old, True)
+                if not fs.rename(target, old):
+                    raise OSError(f"could not move {path} aside")
+            fs.mkdirs(target.getParent())
+            if not fs.rename(source, target):
+                raise OSError(f"could not move the new files to {path}")
+        fs.delete(old, True)
+        return
+    if not fs.exists(source):
+        return  # moved already
     fs.mkdirs(target)
     for status in fs.listStatus(source):
         name = status.getPath().getName()
