@@ -1,0 +1,81 @@
+"""Joins with patterns from a table."""
+
+import random
+import re
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from ferry.operators.names import is_wildcard, like_to_regex, pattern_pairs
+from ferry.operators.patterns import FOLDED, literal_runs, pattern_join, pattern_keys
+
+SF = "/root/testdata/sf0.01"
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+VALUES = ["Order", "orders", "ORDER_ITEM", "order%", "a", "", None, "Straße", "é_x", "K1", "k1", "x[y]", "line\nbreak", "Product", "productModel"]
+PATTERNS = ["order*", "*order*", "Order", "*", "", "a", "_", "__", "*er", "[kp]*", "[^o]*", "*%", "É*", "k*", "STRASSE", "*\n*", "x[[]y]", None, "*o*u*",
+            "Product*", "Product*", "nothing*like*it"]
+
+
+@pytest.mark.parametrize("case_sensitive", [False, True])
+def test_same_pairs_as_a_typed_list(spark, case_sensitive):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(VALUES + ["Order"])], "key int, name string")
+    patterns = spark.createDataFrame([(p,) for p in PATTERNS], "pattern string")
+    got = sorted((r.key, r.p) for r in pattern_join(df, "name", patterns, "pattern", out="p", case_sensitive=case_sensitive).collect())
+    typed = [p for p in dict.fromkeys(PATTERNS) if p]
+    want = sorted((r.key, r.p) for r in pattern_pairs(df, "name", typed, out="p", case_sensitive=case_sensitive).collect())
+    assert [g for g in got if g[1]] == want and len(want) > 30
+    assert [g for g in got if not g[1]] == [(5, "")]  # an empty pattern equals the empty value
+
+
+def test_ten_thousand_patterns_against_whole_texts(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rng = random.Random(1)
+    pool = [t for t in texts.values() if len(t) > 200]
+    patterns = []
+    for i in range(10_000):
+        text = rng.choice(pool)
+        at = rng.randrange(len(text) - 60)
+        piece = re.sub(r"[*%_\[]", "x", text[at:at + rng.randint(12, 40)])
+        patterns.append(f"*{piece}*" if i % 2 else f"*{piece[:9]}*{piece[9:]}zzz*")  # half of them match nothing
+    joined = pattern_join(docs, "text", spark.createDataFrame([(p,) for p in patterns], "p string"), "p")
+    plan = plan_of(joined)
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    got = {(r.doc_id, r.pattern) for r in joined.select("doc_id", "pattern").collect()}
+    lowered = {d: t.lower() for d, t in texts.items()}
+    want = {(d, p) for p in set(patterns[1::2]) for d, t in lowered.items() if p[1:-1].lower() in t}
+    assert {g for g in got if "zzz" not in g[1]} == want and len(want) >= 5_000
+    assert not {g for g in got if "zzz" in g[1]}
+
+
+def test_no_patterns_and_no_values(spark):
+    df = spark.createDataFrame([("a",)], "name string")
+    none = spark.createDataFrame([], "p string")
+    assert pattern_join(df, "name", none, "p").collect() == []
+    assert pattern_join(df.limit(0), "name", spark.createDataFrame([("*a*",), ("a",)], "p string"), "p").collect() == []
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text("abkiKIſİı é*%_[]^-", max_size=8), st.text("abkiKIſİıéÉ -", max_size=10))
+def test_keys_never_lose_a_match(pattern, value):
+    for case_sensitive in (False, True):
+        if not is_wildcard(pattern):
+            continue
+        body = like_to_regex(pattern, "*", "s" if case_sensitive else "si")
+        try:
+            regex = re.compile(body.replace(r"\z", r"\Z"))
+        except re.error:
+            continue
+        if regex.match(value):
+            folded = value if case_sensitive else "".join(FOLDED.get(c, c) for c in value).lower()
+            assert all(k in folded for k in pattern_keys(pattern, "*", case_sensitive))
+
+
+def test_literal_runs():
+    assert literal_runs("a*bc%d_e[xy]f[") == ["a", "bc", "d", "e", "f["] and literal_runs("***") == []
