@@ -6,6 +6,8 @@ the data read back, so their oracle is the plain table.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,7 +19,8 @@ from ferry.operators.numbering import identity_generate
 from ferry.operators.relational import object_agg
 from ferry.plans.catalog import catalog_from_dir, column_summary, format_fields, plan_preview
 from ferry.plans.run import TransferOptions, transfer
-from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_into
+from ferry.plans.control import WorkLog
+from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_into, metrics_frame
 from ferry.session import scratch_path
 from ferry.sources.delimited import (encode, encode_rows, header_line, parse_records, read_delimited, read_header_records,
                                      write_delimited)
@@ -275,14 +278,58 @@ def infer_codes(spark, sf):
 
 
 @query("exact_timestamps",
-       "SELECT event_id, ts, ts AS nested, [ts, NULL] AS many FROM events")
+       "SELECT event_id, ts, ts AS nested, ts AS first, CAST(NULL AS TIMESTAMP) AS second, 2 AS elements FROM events")
 def exact_timestamps(spark, sf):
     """Instants, alone and nested, survive to the microsecond."""
     ev = load(spark, sf, "events").select("event_id", "ts", F.struct(F.col("ts").alias("t")).alias("s"),
                                           F.array("ts", F.lit(None)).alias("many"))
     path = scratch_path(spark, "timestamps")
     write_delimited(ev, path, FMT)
-    return read_delimited(spark, path, ev.schema, FMT).select("event_id", "ts", F.col("s.t").alias("nested"), "many")
+    return read_delimited(spark, path, ev.schema, FMT).select(
+        "event_id", "ts", F.col("s.t").alias("nested"), F.get("many", F.lit(0)).alias("first"),
+        F.get("many", F.lit(1)).alias("second"), F.size("many").alias("elements"))
+
+
+@query("import_equal_header", "SELECT n_name FROM nation UNION ALL SELECT 'n_name' FROM region")
+def import_equal_header(spark, sf):
+    """Data records that look like the header are data, in whatever file they land."""
+    names = load(spark, sf, "nation").select("n_name").unionAll(load(spark, sf, "region").select(F.lit("n_name").alias("n_name")))
+    return _round_trip(spark, names, "equal-header", FMT.with_(header=True))
+
+
+@query("transfer_resumed", " UNION ALL ".join(
+    f"SELECT 'dbo.{t}' AS table_name, count(*) AS rows_landed, count(*) AS rows_loaded, count(*) AS rows_stored, 'committed' AS state, "
+    f"{2 if t == CORE_TABLES[4] else 1} AS attempt FROM {t}" for t in CORE_TABLES))
+def transfer_resumed(spark, sf):
+    """A run that stopped after four of eight tables, with a fifth begun, goes on under the same id."""
+    base, catalog = scratch_path(spark, "resumed"), catalog_from_dir(sf, spark=spark)
+    opts = TransferOptions(fmt=FMT.with_(header=True), parallel=4)
+    where = (spark, catalog, f"{base}/landing", f"{base}/target", opts)
+    transfer(*where, run_id="nightly", schemas="dbo", tables=", ".join(CORE_TABLES[:4])).collect()
+    WorkLog(spark, f"{base}/target", "nightly").claim(f"dbo.{CORE_TABLES[4]}")  # by a driver that died then
+    report = transfer(*where, run_id="nightly", takeover=True, schemas="dbo", tables=", ".join(CORE_TABLES))
+    stored = None
+    for t in CORE_TABLES:
+        one = spark.read.parquet(f"{base}/target/dbo.{t}").agg(F.count(F.lit(1)).alias("rows_stored")).withColumn("table_name", F.lit(f"dbo.{t}"))
+        stored = one if stored is None else stored.unionByName(one)
+    log = WorkLog(spark, f"{base}/target", "nightly").frame().select(F.col("item").alias("table_name"), "state", F.col("attempt").cast("int"))
+    return (report.join(stored, "table_name").join(log, "table_name")
+            .select("table_name", "rows_landed", "rows_loaded", "rows_stored", "state", "attempt"))
+
+
+@query("transfer_stamps", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, true AS in_order, true AS within_run, true AS duration_agrees, count(*) AS rows_copied FROM {t}"
+    for t in CORE_TABLES))
+def transfer_stamps(spark, sf):
+    """The start and end stamps of every table lie within the run, and the duration is their difference."""
+    begun = F.lit(datetime.now())
+    results = export_all(spark, {t: (lambda t=t: load(spark, sf, t)) for t in CORE_TABLES}, scratch_path(spark, "stamps"), FMT)
+    ended = F.lit(datetime.now())
+    ms = (F.unix_micros(F.col("end_time").cast("timestamp")) - F.unix_micros(F.col("start_time").cast("timestamp"))) / 1000
+    return metrics_frame(spark, results).select(
+        "table_name", (F.col("start_time") <= F.col("end_time")).alias("in_order"),
+        ((F.col("start_time") >= begun.cast("timestamp_ntz")) & (F.col("end_time") <= ended.cast("timestamp_ntz"))).alias("within_run"),
+        (F.abs(ms - F.col("duration_ms")) <= 1).alias("duration_agrees"), "rows_copied")
 
 
 def _format_fields_sql() -> str:

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ferry.demos.common import load
+from ferry.functions.collation import count_collated, join_collated
 from ferry.functions.text import charindex, concat_nn, quote_name, replace_text, split_explode, tsql_len
 from ferry.operators.checks import unique_check
 from ferry.operators.numbering import last_in_group, next_key, row_number
 from ferry.operators.relational import (agg_string, apply_union, count_where, delete_where, distinct_union,
                                         existing_pairs, insert_select, insert_values, lookup, merge_insert,
-                                        outer_apply_flag, replace_table, update_set)
+                                        outer_apply_flag, replace_table, update_from, update_set)
+from ferry.operators.patterns import pattern_join
 from ferry.operators.skew import skew_join
+from ferry.operators.uniqueness import UniqueAppender
 from ferry.session import scratch_path
+from ferry.sources.versions import VersionedTable
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -292,6 +298,98 @@ def replace_table_demo(spark, sf):
     return replace_table(second, path)
 
 
+@query("update_from",
+       "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, coalesce(c_mktsegment, o_orderpriority) "
+       "AS o_orderpriority FROM orders LEFT JOIN customer ON o_custkey = c_custkey AND c_mktsegment = 'BUILDING'")
+def update_from_demo(spark, sf):
+    c = load(spark, sf, "customer").where("c_mktsegment = 'BUILDING'")
+    source = c.select(F.col("c_custkey").alias("o_custkey"), F.col("c_mktsegment").alias("o_orderpriority"))
+    return update_from(load(spark, sf, "orders"), source, ["o_custkey"], ["o_orderpriority"])
+
+
+@query("update_files",
+       "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, CASE WHEN o_orderkey < 100 THEN "
+       "o_orderstatus || '!' ELSE o_orderpriority END AS o_orderpriority FROM orders "
+       "WHERE NOT (o_orderkey >= 200 AND o_orderkey < 300)")
+def update_files(spark, sf):
+    """An update and a delete in a table of 20 files; of these, only those with such rows are written anew."""
+    table = VersionedTable(spark, scratch_path(spark, "update-files"))
+    table.replace(load(spark, sf, "orders").repartitionByRange(20, "o_orderkey"))
+    table.update(F.col("o_orderkey") < 100, o_orderpriority=F.concat("o_orderstatus", F.lit("!")))
+    table.delete((F.col("o_orderkey") >= 200) & (F.col("o_orderkey") < 300))
+    return table.read()
+
+
+@query("table_versions",
+       "SELECT 1 AS version, count(*) AS rows, min(c_custkey) AS first, max(c_custkey) AS last FROM customer WHERE c_nationkey < 10 "
+       "UNION ALL SELECT 2, count(*), min(c_custkey), max(c_custkey) FROM customer WHERE c_nationkey < 15 "
+       "UNION ALL SELECT 3, count(*), min(c_custkey), max(c_custkey) FROM customer WHERE c_nationkey IS NOT NULL "
+       "UNION ALL SELECT 4, count(*), min(c_custkey), max(c_custkey) FROM customer WHERE c_nationkey = 3")
+def table_versions(spark, sf):
+    """Replace, append a batch (twice, counted once), merge, replace again; every version stays readable."""
+    c = load(spark, sf, "customer")
+    table = VersionedTable(spark, scratch_path(spark, "table-versions"))
+    table.replace(c.where("c_nationkey < 10"))
+    for _ in range(2):
+        table.append(c.where("c_nationkey >= 10 and c_nationkey < 15"), batch="second")
+    table.merge_insert(c.where("c_nationkey >= 12"), ["c_custkey"])
+    table.replace(c.where("c_nationkey = 3"), expect=3)
+    found = [table.read(v).agg(F.lit(v).alias("version"), F.count(F.lit(1)).alias("rows"), F.min("c_custkey").alias("first"),
+                               F.max("c_custkey").alias("last")) for v in range(1, table.version() + 1)]
+    return reduce(lambda a, b: a.unionAll(b), found)
+
+
+@query("unique_append",
+       "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem b WHERE l_linestatus = 'F' AND EXISTS ("
+       "SELECT 1 FROM lineitem s WHERE s.l_returnflag <> 'N' AND s.l_orderkey = b.l_orderkey AND s.l_linenumber = b.l_linenumber)")
+def unique_append(spark, sf):
+    """Keys of a batch that are stored already, found by the Bloom filter of the stored keys and an exact look-up."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus")
+    path = scratch_path(spark, "unique-append")
+    li.where("l_returnflag <> 'N'").write.parquet(path)
+    return UniqueAppender(spark, path, ["l_orderkey", "l_linenumber"]).conflicts(li.where("l_linestatus = 'F'"))
+
+
+# ---------------------------------------------------------------- patterns from a table, collations
+
+@query("join_patterns",
+       "WITH p AS (SELECT DISTINCT regexp_replace(substr(text, 1, 30), '[*%_\\[\\]^]', '', 'g') AS part FROM "
+       "(SELECT text FROM documents UNION ALL SELECT text FROM benchmark) WHERE length(text) >= 30) "
+       "SELECT doc_id, '*' || part || '*' AS pattern FROM documents JOIN p ON contains(lower(text), lower(part)) WHERE part <> ''")
+def join_patterns(spark, sf):
+    """Every document with the patterns that it matches, out of those made from all beginnings of texts."""
+    d, b = load(spark, sf, "documents"), load(spark, sf, "benchmark")
+    part = F.regexp_replace(F.substring("text", 1, 30), r"[*%_\[\]^]", "")
+    parts = d.select("text").unionAll(b.select("text")).where(F.length("text") >= 30).select(part.alias("part")).where("part <> ''")
+    patterns = parts.select(F.concat(F.lit("*"), "part", F.lit("*")).alias("pattern"))
+    return pattern_join(d, "text", patterns, "pattern").select("doc_id", "pattern")
+
+
+_SPELT = ("CASE c_custkey % 4 WHEN 0 THEN c_mktsegment WHEN 1 THEN lower(c_mktsegment) "
+          "WHEN 2 THEN replace(c_mktsegment, 'U', 'Ü') || '  ' ELSE c_mktsegment || ' ' END")
+
+
+@query("collate_groups",
+       f"WITH v AS (SELECT {_SPELT} AS segment FROM customer) "
+       "SELECT 'AI' AS accents, min(segment) AS segment, count(*) AS n FROM v GROUP BY strip_accents(lower(rtrim(segment))) "
+       "UNION ALL SELECT 'AS', min(segment), count(*) FROM v GROUP BY lower(rtrim(segment))")
+def collate_groups(spark, sf):
+    """Groups of spellings: without case and end blanks, with and without accents."""
+    v = load(spark, sf, "customer").select(F.expr(_SPELT).alias("segment"))
+    return (count_collated(v, "segment", "Latin1_General_CI_AI").select(F.lit("AI").alias("accents"), "segment", "n")
+            .unionAll(count_collated(v, "segment", "Latin1_General_CI_AS").select(F.lit("AS"), "segment", "n")))
+
+
+@query("collate_join",
+       f"WITH v AS (SELECT c_custkey, {_SPELT} AS segment FROM customer), s AS ("
+       "SELECT DISTINCT c_mktsegment AS name, length(c_mktsegment)::BIGINT AS letters FROM customer) "
+       "SELECT c_custkey, segment, name, letters FROM v JOIN s ON lower(rtrim(segment)) = lower(rtrim(name))")
+def collate_join(spark, sf):
+    c = load(spark, sf, "customer")
+    names = c.select(F.col("c_mktsegment").alias("name"), F.length("c_mktsegment").cast("long").alias("letters")).distinct()
+    return join_collated(c.select("c_custkey", F.expr(_SPELT).alias("segment")), names, [("segment", "name")])
+
+
 # ---------------------------------------------------------------- scalar functions
 
 @query("split_explode",

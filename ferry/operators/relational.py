@@ -74,12 +74,23 @@ def _by_name(df: DataFrame, names: Iterable[str]) -> dict[str, str]:
 
 
 def update_from(df: DataFrame, source: DataFrame, keys: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """UPDATE t SET c = s.c FROM t JOIN s ON keys (s holds at most one row per key)."""
+    """UPDATE t SET c = s.c FROM t JOIN s ON keys.
+
+    A row that meets more than one source row fails the query, as in MERGE: which of them would win is not
+    defined. Source rows that no row meets may repeat. NULL keys meet nothing.
+    """
     from ferry.operators.skew import skew_join
-    s = source.select(*[_c(k) for k in keys], *[F.col(quoted(c)).alias(f"_new_{c}") for c in columns]).withColumn("_hit", F.lit(True))
+    new = F.struct(*[_c(c).alias(f"c{i}") for i, c in enumerate(columns)])
+    s = source.groupBy(*[_c(k) for k in keys]).agg(F.first(new).alias("_f_new"), F.count(F.lit(1)).alias("_f_n"))
     j = skew_join(df, s, list(keys), "left")
-    return j.select(*[F.when(F.col("_hit"), F.col(quoted(f"_new_{c}"))).otherwise(F.col(quoted(c))).alias(c)
-                      if c in columns else F.col(quoted(c)) for c in df.columns])
+    message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*[_c(k) for k in keys])))
+    places = {c: i for i, c in enumerate(columns)}
+
+    def value(c):
+        got = F.when(F.col("_f_n") > 1, F.raise_error(message).cast(source.schema[c].dataType)).otherwise(F.col("_f_new").getField(f"c{places[c]}"))
+        return F.when(F.col("_f_n").isNotNull(), got).otherwise(F.col(quoted(c))).alias(c)
+
+    return j.select(*[value(c) if c in places else F.col(quoted(c)) for c in df.columns])
 
 
 def delete_where(df: DataFrame, cond: Column) -> DataFrame:
@@ -232,18 +243,18 @@ def apply_union(df: DataFrame, branches: Sequence[tuple[DataFrame, Sequence[tupl
 def lookup(df: DataFrame, table: DataFrame, left: str, right: str, value: str, out: str) -> DataFrame:
     """Scalar lookup function (name <-> id) as a left join; unknown keys give NULL.
 
-    A key with two different values (NULL counts as one) fails the query, as a
-    scalar subquery that returns more than one row does.
+    A row whose key has two different values (NULL counts as one) fails the query, as a
+    scalar subquery that returns more than one row does; such keys that no row asks for do no harm.
     """
     from ferry.operators.skew import skew_join
     values = _c(value)
     unclear = (F.min(values) != F.max(values)) | ((F.count(values) != F.count(F.lit(1))) & (F.count(values) > 0))
-    message = F.concat(F.lit("more than one value for lookup key "), _c(right).cast("string"))
-    lk = (table.where(_c(right).isNotNull()).groupBy(_c(right))
-          .agg(F.min(values).alias(out), F.coalesce(unclear, F.lit(False)).alias("_f_unclear"))
-          .select(_c(right).alias("_lk_k"), F.when(F.col("_f_unclear"), F.raise_error(message).cast(
-              table.select(values).schema[0].dataType)).otherwise(_c(out)).alias(out)))
-    return skew_join(df, lk, [(left, "_lk_k")], "left")
+    lk = (table.where(_c(right).isNotNull()).groupBy(_c(right).alias("_lk_k"))
+          .agg(F.min(values).alias("_lk_v"), F.coalesce(unclear, F.lit(False)).alias("_lk_unclear")))
+    message = F.concat(F.lit("more than one value for lookup key "), _c(left).cast("string"))
+    failed = F.raise_error(message).cast(table.select(values).schema[0].dataType)
+    joined = skew_join(df, lk, [(left, "_lk_k")], "left")
+    return joined.select(*_own(df), F.when(F.col("_lk_unclear"), failed).otherwise(F.col("_lk_v")).alias(out))
 
 
 def existing_pairs(df: DataFrame, col_a: str, list_a: Sequence[str], col_b: str, list_b: Sequence[str]) -> DataFrame:

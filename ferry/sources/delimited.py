@@ -4,7 +4,8 @@ Layout of one landed table (a directory):
   * one text record per row: fields joined by ``field_delim``, record ended by
     ``row_delim`` followed by CRLF (the physical line separator);
   * with ``header=True`` the column names form the only record of the file
-    ``part-00000-*``; data lives in the other part files;
+    ``part-00000-*``; data lives in the other part files; a hidden file names the
+    header parts, so a data record that looks like the header is never taken for it;
   * optional gzip per part file (many parts keep the unsplittable codec parallel).
 
 Writing is a single shuffle-free stage: parquet scan -> codegen'd render ->
@@ -122,12 +123,16 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
         body = rec.observe(obs, *metrics).select("value")
     out = body
     if fmt.header:
-        hdr = spark.createDataFrame([(header_line(df.columns, fmt),)], "value string")
-        out = hdr.coalesce(1).union(body)
+        # Two partitions, the second empty: single partitions of both sides of a union may be made one, and
+        # the header stands alone in the first part.
+        hdr = spark.range(0, 2, 1, 2).where("id = 0").select(F.lit(header_line(df.columns, fmt)).alias("value"))
+        out = hdr.union(body)
     writer = out.write.mode(mode).option("lineSep", fmt.line_sep)
     if fmt.compression:
         writer = writer.option("compression", fmt.compression)
     writer.text(path)
+    if fmt.header:
+        _note_header_parts(spark, path)
     got = obs.get
     if stats is not None:
         stats["unsafe"] = int(got.get("unsafe", 0) or 0)
@@ -137,6 +142,7 @@ def write_delimited(df: DataFrame, path: str, fmt: FileFormat, mode: str = "erro
     return int(got.get("rows", 0) or 0)
 
 
+HEADERS_PREFIX = "_ferry_headers"
 MANIFEST_PREFIX = "_ferry_manifest"
 REFUSED_FILE = "_ferry_refused.json"
 
@@ -178,6 +184,19 @@ def _read_small(spark: SparkSession, target: str) -> dict:
         stream.close()
 
 
+def known_header_parts(spark: SparkSession, path: str) -> list[str] | None:
+    """Names of the header parts of a landing that this library wrote; None for foreign files."""
+    notes = [n for n in file_names(spark, path) if n.startswith(HEADERS_PREFIX)]
+    return sorted({f for n in notes for f in _read_small(spark, f"{path.rstrip('/')}/{n}")["files"]}) if notes else None
+
+
+def _note_header_parts(spark: SparkSession, path: str) -> None:
+    """Remember which part of the write just done holds the header (appended writes have one each)."""
+    known = set(known_header_parts(spark, path) or [])
+    new = [n for n in file_names(spark, path) if n.startswith(HEADER_FILE_PREFIX) and n not in known]
+    _write_small(spark, f"{path.rstrip('/')}/{HEADERS_PREFIX}-{uuid.uuid4().hex}.json", {"files": new})
+
+
 def write_manifest(spark: SparkSession, path: str, info: dict) -> None:
     """Facts of one landing batch (rows, fingerprint, columns) as a hidden file that readers skip.
 
@@ -284,19 +303,28 @@ def read_records(spark: SparkSession, path: str, fmt: FileFormat, skip_header: b
                  header_text: str | None = None) -> DataFrame:
     """Raw records (column ``value``) of a landed directory or of foreign files.
 
-    The header is known by its content, not by the name of a part file: records
-    at the beginning of a file (its first split) that equal the header record
-    are left out, all others are data. ``header_text`` names the header; without
-    it, it is the first record (``read_header``).
+    The header parts of our own landings are known by name; they are not even read,
+    and every other record is data. In foreign files the header is the first record
+    of a file, if it equals the header's text (``header_text``, else the first record of all,
+    ``read_header``); further records with that text are data.
     """
     raw = spark.read.option("lineSep", fmt.line_sep).text(path)
     skip = fmt.header if skip_header is None else skip_header
     if not skip:
         return raw
+    known = known_header_parts(spark, path)
+    if known is not None:
+        return raw.filter(~F.col("_metadata.file_name").isin(known)).select("value")
     if header_text is None:
         header_text = header_line(read_header(spark, path, fmt), fmt)
-    is_header = (F.col("value") == F.lit(header_text)) & (F.col("_metadata.file_block_start") == 0)
-    return raw.filter(~is_header).select("value")
+    same = (F.col("value") == F.lit(header_text)) & (F.col("_metadata.file_block_start") == 0)
+    # Records of one text are alike, so it is enough to know for every file how many of them are data.
+    tops = (raw.select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+                       F.monotonically_increasing_id().alias("place")).where(F.col("start") == 0)
+            .groupBy("file").agg((F.min_by("value", "place") == F.lit(header_text)).cast("int").alias("head"),
+                                 F.count_if(F.col("value") == F.lit(header_text)).cast("int").alias("n")))
+    again = tops.select(F.explode(F.array_repeat(F.lit(header_text), F.col("n") - F.col("head"))).alias("value"))
+    return raw.filter(~same).select("value").unionAll(again)
 
 
 class HeaderError(ValueError):
@@ -310,6 +338,9 @@ def read_header(spark: SparkSession, path: str, fmt: FileFormat) -> list[str]:
     the data parts; a foreign single file gives its first record.
     """
     rdr = spark.read.option("lineSep", fmt.line_sep)
+    known = known_header_parts(spark, path)
+    if known:
+        return rdr.text(f"{path.rstrip('/')}/{known[0]}").first()[0].split(fmt.field_delim)
     try:
         first = rdr.text(f"{path.rstrip('/')}/{HEADER_FILE_PREFIX}*").limit(1).collect()
     except AnalysisException:  # no header part below this path: a foreign file

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ferry.session import checkpoint_dir
-from ferry.sources.delimited import FileFormat, header_line, parse_records
+from ferry.sources.delimited import HEADER_FILE_PREFIX, FileFormat, has_data, header_line, known_header_parts, parse_records
 
 
 def stream_import(spark: SparkSession, landing: str, file_fields: list[T.StructField] | T.StructType,
@@ -35,9 +35,12 @@ def stream_import(spark: SparkSession, landing: str, file_fields: list[T.StructF
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     raw = reader.load(landing)
     if fmt.header:
-        # by content, as in read_records: a part file is never skipped for its name
-        header = header_line([f.name for f in fields], fmt)
-        raw = raw.filter((F.col("value") != F.lit(header)) | (F.col("_metadata.file_block_start") > 0)).select("value")
+        if known_header_parts(spark, landing) is not None or not has_data(spark, landing):
+            # our own landing (or one that is still empty): headers are parts of their own, everything else is data
+            raw = raw.filter(~F.col("_metadata.file_name").startswith(HEADER_FILE_PREFIX)).select("value")
+        else:  # foreign files: by content, at the beginning of a file
+            header = header_line([f.name for f in fields], fmt)
+            raw = raw.filter((F.col("value") != F.lit(header)) | (F.col("_metadata.file_block_start") > 0)).select("value")
     rows = parse_records(raw, fields, fmt, target=target)
     ckpt = checkpoint or f"{checkpoint_dir(spark).rstrip('/')}/ferry-streams/{name}"
     writer = (rows.writeStream.format("parquet").option("path", target_path)
