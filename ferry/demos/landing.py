@@ -18,6 +18,7 @@ from ferry.operators.columns import exclude_by_name
 from ferry.operators.numbering import identity_generate
 from ferry.operators.relational import object_agg
 from ferry.plans.catalog import catalog_from_dir, column_summary, format_fields, plan_preview
+from ferry.plans.locate import locate_differences
 from ferry.plans.run import TransferOptions, transfer
 from ferry.plans.control import WorkLog
 from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_into, metrics_frame
@@ -25,6 +26,7 @@ from ferry.session import scratch_path
 from ferry.sources.delimited import (encode, encode_rows, header_line, parse_records, read_delimited, read_header_records,
                                      write_delimited)
 from ferry.sources.logs import log_metrics
+from ferry.sources.rejects import load_with_rejects
 
 Q: dict = {}
 SQL: dict[str, str] = {}
@@ -317,6 +319,34 @@ def transfer_resumed(spark, sf):
             .select("table_name", "rows_landed", "rows_loaded", "rows_stored", "state", "attempt"))
 
 
+@query("import_rejects",
+       "SELECT o_orderkey, CASE WHEN o_orderkey % 5000 = 1 THEN 'column o_totalprice: abc is not double' "
+       "ELSE 'record has 7 fields, 6 expected' END AS reason, "
+       "(SELECT count(*) FROM orders WHERE o_orderkey % 5000 NOT IN (1, 2)) AS loaded FROM orders WHERE o_orderkey % 5000 IN (1, 2)")
+def import_rejects(spark, sf):
+    """Bad records are listed with their reason, good ones are loaded."""
+    orders, base = load(spark, sf, "orders"), scratch_path(spark, "rejects")
+    mark = F.col("o_orderkey") % 5000
+    texts = orders.withColumn("o_totalprice", F.when(mark == 1, F.lit("abc")).when(mark == 2, F.concat(F.col("o_totalprice").cast("string"), F.lit("^|^")))
+                              .otherwise(F.col("o_totalprice").cast("string")))
+    write_delimited(texts, f"{base}/landing", FMT)
+    load_with_rejects(spark, f"{base}/landing", orders.schema, FMT, f"{base}/target", f"{base}/rejects", max_rejects=1_000_000)
+    loaded = spark.read.parquet(f"{base}/target").agg(F.count(F.lit(1)).alias("loaded"))
+    found = spark.read.parquet(f"{base}/rejects")
+    return found.select(F.split("record", r"\^\|\^")[0].cast("long").alias("o_orderkey"), "reason").join(F.broadcast(loaded))
+
+
+@query("locate_difference",
+       "SELECT l_orderkey, l_linenumber, l_quantity, 1 AS source_rows, 0 AS landed_rows FROM lineitem WHERE l_orderkey % 20000 = 1 "
+       "UNION ALL SELECT l_orderkey, l_linenumber, l_quantity + 1, 0, 1 FROM lineitem WHERE l_orderkey % 20000 = 1")
+def locate_difference(spark, sf):
+    """The rows that differ between two sides, found in the few buckets whose fingerprints differ."""
+    li = load(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate")
+    other = li.withColumn("l_quantity", F.when(F.col("l_orderkey") % 20000 == 1, F.col("l_quantity") + 1).otherwise(F.col("l_quantity")))
+    return locate_differences(li, other, ["l_orderkey", "l_linenumber"]).select(
+        "l_orderkey", "l_linenumber", "l_quantity", "source_rows", "landed_rows")
+
+
 @query("transfer_stamps", " UNION ALL ".join(
     f"SELECT '{t}' AS table_name, true AS in_order, true AS within_run, true AS duration_agrees, count(*) AS rows_copied FROM {t}"
     for t in CORE_TABLES))
