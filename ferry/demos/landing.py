@@ -20,6 +20,7 @@ from ferry.operators.relational import object_agg
 from ferry.plans.catalog import catalog_from_dir, column_summary, format_fields, plan_preview
 from ferry.plans.locate import locate_differences
 from ferry.plans.run import TransferOptions, transfer
+from ferry.plans.summary import RunningSummary
 from ferry.plans.control import WorkLog
 from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_into, metrics_frame
 from ferry.session import scratch_path
@@ -405,3 +406,17 @@ def plan_preview_demo(spark, sf):
     for i, (c, _t) in enumerate(TABLE_COLUMNS["orders"])))
 def column_summary_demo(spark, sf):
     return column_summary(load(spark, sf, "orders"), "orders")
+
+
+@query("summary_running", " UNION ALL ".join(
+    f"SELECT 'orders' AS table_name, {i + 1} AS ordinal, '{c}' AS column_name, count(*)::BIGINT AS rows, (count(*) - count({c}))::BIGINT AS nulls, "
+    f"true AS distinct_within_bound FROM orders" for i, (c, _t) in enumerate(TABLE_COLUMNS["orders"])))
+def summary_running(spark, sf):
+    """The summary of a table from the sketches of its batches, its distinct counts held against exact ones."""
+    orders, running = load(spark, sf, "orders"), RunningSummary(spark, scratch_path(spark, "running"))
+    for year, part in enumerate([orders.where("o_orderstatus = 'F'"), orders.where("o_orderstatus <> 'F' or o_orderstatus is null")]):
+        running.add(part, "orders", f"batch {year}")
+    exact = column_summary(orders, "orders").select("ordinal", F.col("distinct_values").alias("exact"))
+    close = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.02 * F.col("exact"))
+    return running.summary().join(exact, "ordinal").select("table_name", "ordinal", "column_name", "rows", "nulls",
+                                                           close.alias("distinct_within_bound"))

@@ -63,16 +63,21 @@ def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES)
         floor = int(spark.sparkContext.defaultParallelism)
     except Exception:  # noqa: BLE001 - no SparkContext access (e.g. a remote session)
         floor = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    known = input_bytes(df)
+    return floor if known is None else max(floor, -(-known // target_bytes))
+
+
+def input_bytes(df: DataFrame) -> int | None:
+    """Bytes of the inputs of a plan as far as they are known (None: not at all), without running it."""
+    spark = df.sparkSession
     unknown = int(spark.conf.get("spark.sql.defaultSizeInBytes", str(2 ** 63 - 1)))
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
         sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size())]
-    except Exception:  # noqa: BLE001 - no estimate: use the configured count
-        return floor
+    except Exception:  # noqa: BLE001 - no estimate
+        return None
     known = [x for x in sizes if x < unknown]
-    if not known:
-        return floor
-    return max(floor, -(-sum(known) // target_bytes))
+    return sum(known) if known else None
 
 
 def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str] = (),

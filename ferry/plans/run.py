@@ -23,13 +23,13 @@ from pyspark.sql import types as T
 
 from ferry.functions.render import is_supported
 from ferry.operators.columns import COLUMNS_SCHEMA, choose_columns, columns_rows, flag_of, unknown_names
-from ferry.operators.numbering import identity_generate
+from ferry.operators.numbering import identity_generate, input_bytes
 from ferry.plans.catalog import SelectionError, TableRef, plan_preview, select_tables
 from ferry.plans.transfer import (FingerprintTap, TransferResult, fingerprints, import_inferred,
                                   import_table, load_into, metrics_frame, run_parallel)
 from ferry.functions.text import quoted
 from ferry.plans.control import Claimed, WorkLog
-from ferry.sources.delimited import (FileFormat, discard, has_data, publish, read_manifest, refusal, refuse, settle,
+from ferry.sources.delimited import (FileFormat, discard, folder_bytes, has_data, publish, read_manifest, refusal, refuse, settle,
                                      write_delimited, write_manifest)
 
 
@@ -203,7 +203,8 @@ def run_export(spark: SparkSession, plans: list[TablePlan], landing: str, opts:
             log.record(p.name, "failed", error=err)
         return TransferResult(p.name, start, datetime.now(), rows, err, path)
 
-    return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel))
+    weights = [0 if p.error else input_bytes(p.exported) or 0 for p in plans]
+    return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: item(p)) for p in plans], opts.parallel, weights))
 
 
 def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target_root: str,
@@ -302,7 +303,8 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
                 res.error = "loaded content differs from the source (fingerprint mismatch)"
         return moved(p.name, res, made, dest, False)
 
-    return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: logged(p)) for p in plans], opts.parallel))
+    weights = [0 if p.error else folder_bytes(spark, f"{landing.rstrip('/')}/{p.name}") for p in plans]
+    return metrics_frame(spark, run_parallel(spark, [(p.name, lambda p=p: logged(p)) for p in plans], opts.parallel, weights))
 
 
 def _existing_schema(spark: SparkSession, dest: str, source: T.StructType) -> T.StructType | None:

@@ -124,8 +124,12 @@ class FingerprintTap:
 
 
 def run_parallel(spark: SparkSession, items: list[tuple[str, Callable[[], TransferResult]]],
-                 parallel: int = 4) -> list[TransferResult]:
-    """Run transfer items from a bounded pool of driver threads, one FAIR pool per item."""
+                 parallel: int = 4, weights: list[int] | None = None) -> list[TransferResult]:
+    """Run transfer items from a bounded pool of driver threads, one FAIR pool per item; results in the items' order.
+
+    With ``weights`` (bytes, about) the heaviest start first, so that a large table that happens to be
+    listed last does not run alone at the end: the run takes at most 4/3 of the best possible time.
+    """
     sc = spark.sparkContext
 
     def run(item: tuple[str, Callable[[], TransferResult]]) -> TransferResult:
@@ -143,8 +147,10 @@ def run_parallel(spark: SparkSession, items: list[tuple[str, Callable[[], Transf
 
     if parallel <= 1 or len(items) <= 1:
         return [run(i) for i in items]
+    order = sorted(range(len(items)), key=lambda i: -weights[i]) if weights else list(range(len(items)))
     with ThreadPoolExecutor(max_workers=min(parallel, len(items))) as pool:
-        return list(pool.map(run, items))
+        done = dict(zip(order, pool.map(run, [items[i] for i in order])))
+    return [done[i] for i in range(len(items))]
 
 
 def export_all(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]], base_path: str,

@@ -159,6 +159,12 @@ def file_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(st.getPath().getName() for st in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder, 0 if there is no such folder."""
+    p, fs = _hadoop_fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def has_data(spark: SparkSession, path: str) -> bool:
     return any(not n.startswith(("_", ".")) for n in file_names(spark, path))
 
