@@ -22,7 +22,7 @@ from ferry.plans.locate import locate_differences
 from ferry.plans.run import TransferOptions, transfer
 from ferry.plans.summary import RunningSummary
 from ferry.plans.control import WorkLog
-from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_into, metrics_frame
+from ferry.plans.transfer import export_all, import_by_name, import_inferred, import_table, load_inferred, load_into, metrics_frame
 from ferry.session import scratch_path
 from ferry.sources.delimited import (encode, encode_rows, header_line, parse_records, read_delimited, read_header_records,
                                      write_delimited)
@@ -420,3 +420,14 @@ def summary_running(spark, sf):
     close = F.abs(F.col("distinct_values") - F.col("exact")) <= F.greatest(F.lit(1.0), 0.02 * F.col("exact"))
     return running.summary().join(exact, "ordinal").select("table_name", "ordinal", "column_name", "rows", "nulls",
                                                            close.alias("distinct_within_bound"))
+
+
+@query("infer_once",
+       "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name, p_brand, p_type, CAST(p_size AS BIGINT) AS p_size, 1 AS scans FROM part")
+def infer_once(spark, sf):
+    """An inferred load whose guess from the first records holds: the text is gone through once."""
+    p = load(spark, sf, "part").drop("p_retailprice")
+    base, fmt = scratch_path(spark, "infer-once"), FMT.with_(header=True)
+    write_delimited(p, f"{base}/landing", fmt)
+    _, _, scans = load_inferred(spark, f"{base}/landing", fmt, f"{base}/target")
+    return spark.read.parquet(f"{base}/target").withColumn("scans", F.lit(scans))

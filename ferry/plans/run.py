@@ -25,8 +25,8 @@ from ferry.functions.render import is_supported
 from ferry.operators.columns import COLUMNS_SCHEMA, choose_columns, columns_rows, flag_of, unknown_names
 from ferry.operators.numbering import identity_generate, input_bytes
 from ferry.plans.catalog import SelectionError, TableRef, plan_preview, select_tables
-from ferry.plans.transfer import (FingerprintTap, TransferResult, fingerprints, import_inferred,
-                                  import_table, load_into, metrics_frame, run_parallel)
+from ferry.plans.transfer import (FingerprintTap, TransferResult, fingerprints, import_table,
+                                  load_inferred, load_into, metrics_frame, run_parallel)
 from ferry.functions.text import quoted
 from ferry.plans.control import Claimed, WorkLog
 from ferry.sources.delimited import (FileFormat, discard, folder_bytes, has_data, publish, read_manifest, refusal, refuse, settle,
@@ -272,7 +272,7 @@ def run_import(spark: SparkSession, plans: list[TablePlan], landing: str, target
             if not opts.fmt.header:
                 return _failed(p.name, "an inferred-schema load needs a header record")
             made = f"{target_root.rstrip('/')}/_ferry_load_{uuid.uuid4().hex}"
-            return moved(p.name, load_into(import_inferred(spark, path, opts.fmt), made, mode="errorifexists"), made, dest, True)
+            return moved(p.name, load_inferred(spark, path, opts.fmt, made)[0], made, dest, True)
         schema = targets.get(p.name) or _existing_schema(spark, dest, p.source.schema) or p.source.schema
         parsed = import_table(spark, path, opts.fmt, p.exported.schema)
         df = _to_target(parsed, schema)

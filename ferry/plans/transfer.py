@@ -90,6 +90,41 @@ def import_inferred(spark: SparkSession, path: str, fmt: FileFormat, sample_frac
     return read_delimited(spark, path, fields, fmt)
 
 
+def load_inferred(spark: SparkSession, path: str, fmt: FileFormat, dest: str,
+                  guess_rows: int = 10_000) -> tuple[TransferResult, list[T.StructField], int]:
+    """Load a landed table into the new folder ``dest`` with inferred types; the result, the types and the scans it took.
+
+    The types are guessed from the first records, and the load counts in the same pass what every
+    column's values would be. If the guess is what all values say, that was the only scan; else the
+    table is loaded once more with the types now known.
+    """
+    from ferry.functions.render import parse
+    from ferry.sources.delimited import decide_types, discard, type_votes
+    start = datetime.now()
+    obs = Observation(f"ferry_infer_{uuid.uuid4().hex}")
+    try:
+        names = read_header(spark, path, fmt) if fmt.header else None
+        records = read_records(spark, path, fmt)
+        if names is None:
+            first = records.limit(1).collect()
+            names = [f"_c{i}" for i in range(len(first[0][0].split(fmt.field_delim)) if first else 0)]
+        texts, votes = type_votes(records.limit(guess_rows), len(names), fmt)
+        guess = decide_types(names, texts.agg(*votes).first().asDict())
+        texts, votes = type_votes(records, len(names), fmt)
+        typed = texts.observe(obs, F.count(F.lit(1)).alias("rows"), *votes).select(
+            *[parse(F.col(f"c{i}"), f.dataType, strict=False).alias(f.name) for i, f in enumerate(guess)])
+        typed.write.parquet(dest)
+        fields, scans = decide_types(names, obs.get), 1
+        if fields != guess:
+            discard(spark, dest)
+            read_delimited(spark, path, fields, fmt).write.parquet(dest)
+            scans = 2
+        rows, err = int(obs.get["rows"]), None
+    except Exception as exc:  # noqa: BLE001 - one failing table must not stop the others
+        fields, scans, rows, err = [], 0, None, f"{type(exc).__name__}: {str(exc).splitlines()[0] if str(exc) else ''}"
+    return TransferResult(dest, start, datetime.now(), rows, err, dest), fields, scans
+
+
 def load_into(df: DataFrame, target_path: str, mode: str = "append", fmt: str = "parquet") -> TransferResult:
     """Append (bulk load never truncates) or replace a target table stored at ``target_path``."""
     start = datetime.now()

@@ -440,10 +440,16 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
         first = records.limit(1).collect()
         width = len(first[0][0].split(fmt.field_delim)) if first else 0
         names = [f"_c{i}" for i in range(width)]
+    texts, votes = type_votes(records, len(names), fmt)
+    return decide_types(names, texts.agg(*votes).first().asDict() if votes else {})
+
+
+def type_votes(records: DataFrame, width: int, fmt: FileFormat) -> tuple[DataFrame, list[Column]]:
+    """The records' fields as texts ``c0``, ``c1``, ... and aggregates from which :func:`decide_types` tells their types."""
     parts = F.split(F.col("value"), fmt.split_regex, -1)
-    staged = records.select(*[untoken(F.get(parts, i), fmt.nulls).alias(f"c{i}") for i in range(len(names))])
+    texts = records.select(*[untoken(F.get(parts, i), fmt.nulls).alias(f"c{i}") for i in range(width)])
     aggs = []
-    for i in range(len(names)):
+    for i in range(width):
         t = F.col(f"c{i}")
         aggs += [
             F.count(t).alias(f"n{i}"),
@@ -456,7 +462,11 @@ def infer_fields(spark: SparkSession, path: str, fmt: FileFormat,
             F.count_if(t.rlike(_DATE_RE) & t.try_cast("date").isNotNull()).alias(f"dt{i}"),
             F.count_if(t.rlike(_TIME_RE) & t.try_cast("timestamp_ntz").isNotNull()).alias(f"ts{i}"),
         ]
-    votes = staged.agg(*aggs).collect()[0] if aggs else None
+    return texts, aggs
+
+
+def decide_types(names: list[str], votes: dict) -> list[T.StructField]:
+    """The narrowest type that all values of a column accept."""
     fields = []
     for i, name in enumerate(names):
         n = votes[f"n{i}"]
