@@ -7,8 +7,9 @@ Earliest deadline first gives every block a slot inside its window, so after any
 number of slots each source is within one block of its target weight. Weights
 with a small common denominator Q repeat after Q slots; other schedules are
 computed until the last block is due. A block's slot is a lookup by (source,
-block mod its blocks in the table). The driver holds a few numbers for each
-block, of 64 KB of text by default, and refuses more than ``MAX_SLOTS`` slots.
+block mod its blocks in the table). The schedule is written to the shared
+folder ``BATCH`` blocks at a time: the driver holds one batch and one entry per
+source, whatever the length. Its time is a few microseconds a slot.
 
 A document belongs to the block in which its first character falls when its
 source is read in the order of a hash of the id. Those running sums take no
@@ -18,7 +19,7 @@ once a source runs out, its slots stay empty and the others keep their order.
 
 Defined results
     a null source is a source of its own; null or empty text counts one
-    character; null ids take part (hashed as null); repeated rows share a
+    character; null ids take part (placed by their text); repeated rows share a
     source position order but each keeps its own place; empty table: empty
     result; extra columns are carried through untouched.
 """
@@ -26,36 +27,24 @@ Defined results
 from __future__ import annotations
 
 import heapq
+import itertools
 import json
 import math
+from collections.abc import Iterator
 from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ferry.llm.common import folded, landed, unfolded
+from ferry.session import scratch_path
 
 BLOCK_CHARS = 65_536
-RESOLUTION = 1_000      # least number of slots of a cycle of rounded shares
-MAX_SLOTS = 20_000_000  # longer schedules are refused: larger blocks make them shorter
+BATCH = 100_000         # blocks of the schedule that the driver holds at once
 MAX_SOURCES = 100_000   # more than that are refused: weights are a stated table of that size at most
 ROWS_PER_BUCKET = 256
 
 
-def shares(weights: dict[str, float], resolution: int = RESOLUTION) -> dict[str, int]:
-    """Whole slots of a cycle per source: at least one each, the rest by largest remainder."""
-    if any(w <= 0 or not math.isfinite(w) for w in weights.values()):
-        raise ValueError("target weights must be positive and finite")
-    cycle = max(resolution, 4 * len(weights))
-    total, spare = sum(weights.values()), cycle - len(weights)
-    exact = {s: w / total * spare for s, w in weights.items()}
-    out = {s: 1 + math.floor(x) for s, x in exact.items()}
-    left = cycle - sum(out.values())
-    for s in sorted(exact, key=lambda s: (math.floor(exact[s]) - exact[s], s))[:left]:
-        out[s] += 1
-    return out
-
-
 def exact_parts(weights: dict[str, float]) -> dict[str, int]:
     """Whole numbers in exactly the proportions of the weights."""
     if any(w <= 0 or not math.isfinite(w) for w in weights.values()):
@@ -67,42 +56,72 @@ def exact_parts(weights: dict[str, float]) -> dict[str, int]:
     return {s: n // common for s, n in parts.items()}
 
 
-def cycle_slots(parts: dict[str, int], blocks: dict[str, int] | None = None) -> list[tuple[str, int, int, int, int]]:
-    """(source, block, release, deadline, slot) of one cycle by earliest deadline first.
+def _window(parts: dict[str, int], cycle: int, s: str, j: int) -> tuple[int, int]:
+    """Release and deadline of block ``j`` of a source."""
+    return j * cycle // parts[s], -(-(j + 1) * cycle // parts[s])
+
+
+def schedule_end(parts: dict[str, int], blocks: dict[str, int]) -> int:
+    """Slots of the schedule: one cycle, or less if the last block is due sooner."""
+    cycle = sum(parts.values())
+    return min(cycle, max(_window(parts, cycle, s, n - 1)[1] for s, n in blocks.items()))
+
+
+def cycle_slots(parts: dict[str, int], blocks: dict[str, int] | None = None) -> Iterator[tuple[str, int, int, int, int]]:
+    """(source, block, release, deadline, slot) of one cycle by earliest deadline first, in the order of slots.
 
     With ``blocks`` (how many each source has), a cycle that is longer than they
     need ends when the last of them is due, and blocks beyond them are left out.
     """
     cycle = sum(parts.values())
-    window = lambda s, j: (j * cycle // parts[s], -(-(j + 1) * cycle // parts[s]))
     waiting = [(0, s, 0) for s in sorted(parts)]
     heapq.heapify(waiting)
-    ready: list[tuple[int, str, int]] = []
-    out = []
-    end = cycle
-    if blocks is not None:
-        end = min(cycle, max(window(s, n - 1)[1] for s, n in blocks.items()))
-        if end > MAX_SLOTS:
-            raise ValueError(f"a schedule of {end} slots; at most {MAX_SLOTS}")
-    cut = end < cycle
+    ready: list[tuple[int, str, int, int]] = []
+    end = cycle if blocks is None else schedule_end(parts, blocks)
     for slot in range(end):
         while waiting and waiting[0][0] <= slot:
-            _, s, j = heapq.heappop(waiting)
-            heapq.heappush(ready, (window(s, j)[1], s, j))
-        due, s, j = heapq.heappop(ready)  # the shares fill the cycle, so a block is always ready
+            release, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (_window(parts, cycle, s, j)[1], s, j, release))
+        due, s, j, release = heapq.heappop(ready)  # the shares fill the cycle, so a block is always ready
         if slot >= due:
             raise AssertionError("a block missed its deadline")
-        if not cut or j < blocks.get(s, 0):
-            out.append((s, j, window(s, j)[0], due, slot))
+        if end == cycle or j < blocks.get(s, 0):
+            yield s, j, release, due, slot
         if j + 1 < parts[s]:
-            heapq.heappush(waiting, (window(s, j + 1)[0], s, j + 1))
-    return out
+            heapq.heappush(waiting, (_window(parts, cycle, s, j + 1)[0], s, j + 1))
+
+
+def _listed(spark: SparkSession, values: list, kind: str) -> DataFrame:
+    """A small list from the driver as rows ``c``."""
+    return spark.range(0, 1, 1, 1).select(F.explode(F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")).alias("c"))
+
+
+def schedule_table(spark: SparkSession, parts: dict[str, int], blocks: dict[str, int]) -> DataFrame:
+    """``(_cs, _cj, _r, _d, _t)``: the schedule as files, written ``BATCH`` blocks at a time."""
+    path = scratch_path(spark, "mixing-schedule")
+    rows = cycle_slots(parts, blocks) if blocks else iter(())
+    batch, schema = list(itertools.islice(rows, BATCH)), None
+    while batch or schema is None:
+        by_source: dict[str, list[tuple[int, int, int, int]]] = {}
+        for s, *numbers in batch:
+            by_source.setdefault(s, []).append(numbers)
+        table = (_listed(spark, [{"s": s, "w": w} for s, w in by_source.items()], "struct<s: string, w: array<array<long>>>")
+                 .select(F.col("c.s").alias("_cs"), F.explode("c.w").alias("w"))
+                 .select("_cs", *[F.col("w")[i].alias(name) for i, name in enumerate(["_cj", "_r", "_d", "_t"])]))
+        table.write.mode("append").parquet(path)
+        batch, schema = list(itertools.islice(rows, BATCH)), table.schema
+    return spark.read.schema(schema).parquet(path)
 
 
 def _source_key(source: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), source.cast("string")), F.lit("null"))
 
 
+def _place(id_col: str, text_col: str) -> Column:
+    """What is hashed for a row's place in its source: its id, or its text where it has none."""
+    return F.coalesce(F.col(id_col).cast("string"), F.md5(text_col))
+
+
 def source_sizes(docs: DataFrame, source_col: str, size: Column) -> dict[str, int]:
     """Characters per source key; refuses more than ``MAX_SOURCES`` sources."""
     rows = (docs.groupBy(_source_key(F.col(source_col)).alias("s")).agg(F.sum(size).alias("n"))
@@ -124,14 +143,12 @@ def _prefix(parts: DataFrame) -> DataFrame:
 
 
 def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, id_col: str = "doc_id",
-              source_col: str = "source", text_col: str = "text", block_chars: int = BLOCK_CHARS,
-              resolution: int | None = None) -> DataFrame:
+              source_col: str = "source", text_col: str = "text", block_chars: int = BLOCK_CHARS) -> DataFrame:
     """Every row of ``docs`` with ``_block`` (of its source), ``_offset`` (characters into the block),
     ``_release``, ``_deadline`` and ``_slot``.
 
     ``weights`` names every source (``None`` for null); without it a source
-    weighs the square root of its characters, which lifts small sources. Only if
-    a ``resolution`` is given are weights rounded to whole slots of such a cycle.
+    weighs the square root of its characters, which lifts small sources.
     """
     size = F.greatest(F.coalesce(F.length(text_col), F.lit(0)), F.lit(1)).cast("long")
     sizes = source_sizes(docs, source_col, size)
@@ -141,24 +158,18 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, i
         target = {"null" if s is None else f"={s}": w for s, w in weights.items()}
         if missing := sorted(sizes.keys() - target.keys()):
             raise ValueError(f"no target weight for {missing[:10]}")
-    parts = {} if not target else exact_parts(target) if resolution is None else shares(target, resolution)
+    parts = exact_parts(target) if target else {}
     blocks = {s: (n - 1) // block_chars + 1 for s, n in sizes.items()}
-    rows = cycle_slots(parts, blocks) if blocks else []
-    listed: dict[str, list[tuple[int, int, int]]] = {}
-    for s, _, r, d, t in rows:  # the blocks of a source come in their order
-        listed.setdefault(s, []).append((r, d, t))
-    slots = sum(parts.values())  # a schedule that was ended early holds every block and never turns
+    slots = sum(parts.values())
     spark = docs.sparkSession
-    kind = "array<struct<s: string, a: long, w: array<array<long>>>>"
-    table = landed(spark.range(1).select(F.explode(F.from_json(F.lit(json.dumps(
-        [{"s": s, "a": len(w), "w": w} for s, w in listed.items()])), kind)).alias("c"))
-        .select(F.col("c.s").alias("_cs"), F.col("c.a").alias("_a"), F.posexplode("c.w").alias("_cj", "w"))
-        .select("_cs", F.col("_cj").cast("long").alias("_cj"), "_a", F.col("w")[0].alias("_r"), F.col("w")[1].alias("_d"),
-                F.col("w")[2].alias("_t")), "mixing-schedule")
-    per_source = landed(table.select(F.col("_cs").alias("_as"), F.col("_a").alias("_share")).distinct(), "mixing-shares")
+    table = schedule_table(spark, parts, blocks)
+    # A schedule that was ended early holds every block and never turns.
+    turning = bool(blocks) and schedule_end(parts, blocks) == slots
+    per_source = landed(_listed(spark, [{"s": s, "a": parts[s] if turning else n} for s, n in blocks.items()], "struct<s: string, a: long>")
+                        .select(F.col("c.s").alias("_as"), F.col("c.a").alias("_share")), "mixing-shares")
 
     bits = max(1, min(40, math.ceil(math.log2(max(2, docs.count() / ROWS_PER_BUCKET)))))
-    keyed = (folded(docs, _s=_source_key(F.col(source_col)), _id=id_col, _h=F.xxhash64(F.col(id_col).cast("string")),
+    keyed = (folded(docs, _s=_source_key(F.col(source_col)), _id=id_col, _h=F.xxhash64(_place(id_col, text_col)),
                     _n=size, _m=F.md5(text_col))
              .withColumn("_b", F.shiftrightunsigned("_h", 64 - bits)))
     before = _prefix(keyed.groupBy("_s", "_b").agg(F.sum("_n").alias("_n")))
@@ -170,8 +181,8 @@ def scheduled(docs: DataFrame, weights: dict[str | None, float] | None = None, i
               .withColumn("_offset", F.col("_at") % block_chars))
     # One row per source, at most MAX_SOURCES: a proven bound for the broadcast.
     placed = placed.join(F.broadcast(per_source), F.col("_s") == F.col("_as"))
-    placed = placed.join(table.drop("_a"), (F.col("_s") == F.col("_cs")) & (F.col("_block") % F.col("_share") == F.col("_cj")))
-    turn = F.floor(F.col("_block") / F.col("_share")).cast("long") * F.lit(slots if slots < 1 << 62 else 0)
+    placed = placed.join(table, (F.col("_s") == F.col("_cs")) & (F.col("_block") % F.col("_share") == F.col("_cj")))
+    turn = F.floor(F.col("_block") / F.col("_share")).cast("long") * F.lit(slots if turning else 0)
     return placed.select(*unfolded(F.col("row"), docs.columns), "_block", "_offset", (turn + F.col("_r")).alias("_release"),
                          (turn + F.col("_d")).alias("_deadline"), (turn + F.col("_t")).alias("_slot"))
 

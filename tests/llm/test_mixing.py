@@ -1,18 +1,20 @@
+import collections
+import tracemalloc
 from collections import defaultdict
 
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from ferry.llm import mixing
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.floats(0.001, 1000), min_size=1, max_size=12))
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=12))
 def test_cycle_stays_within_one_block_of_the_shares(weights):
-    parts = mixing.shares({f"s{i}": w for i, w in enumerate(weights)}, 200)
+    parts = {f"s{i}": w for i, w in enumerate(weights)}
     cycle, done = sum(parts.values()), defaultdict(int)
-    assert cycle == 200 and min(parts.values()) >= 1
     for t, (s, j, release, deadline, slot) in enumerate(mixing.cycle_slots(parts), 1):
         assert slot == t - 1 and release <= slot < deadline and j == done[s]
         done[s] += 1
@@ -28,7 +30,7 @@ def test_blocks_follow_the_weights_over_many_cycles():
     for weights in (weights, odd, root):
         parts, total, done = mixing.exact_parts(weights), sum(weights.values()), defaultdict(int)
         blocks = {s: int(9000 * w / total) + 1 for s, w in weights.items()}
-        cycle, rows = sum(parts.values()), mixing.cycle_slots(parts, blocks)
+        cycle, rows = sum(parts.values()), list(mixing.cycle_slots(parts, blocks))
         turns = -(-9000 // cycle)
         for turn in range(turns):
             for s, _, release, deadline, slot in rows:
@@ -77,7 +79,33 @@ def test_stated_weights_and_order(llm_spark):
     with pytest.raises(ValueError):
         mixing.scheduled(docs, {"a": 1.0})
     with pytest.raises(ValueError):
-        mixing.shares({"a": 0.0})
+        mixing.exact_parts({"a": 0.0})
+
+
+def test_the_schedule_is_written_in_batches(llm_spark, monkeypatch):
+    parts, blocks = mixing.exact_parts({"a": 2 ** 0.5, "b": 1.0, "c": 3 ** 0.5}), {"a": 700, "b": 400, "c": 900}
+    monkeypatch.setattr(mixing, "BATCH", 300)
+    table = mixing.schedule_table(llm_spark, parts, blocks)
+    assert sorted(map(tuple, table.collect())) == sorted(mixing.cycle_slots(parts, blocks))
+    assert table.count() == 2000 and len(table.inputFiles()) == 7
+
+
+def test_long_schedules_take_fixed_memory():
+    parts = mixing.exact_parts({"a": 2 ** 0.5, "b": 1.0})
+    tracemalloc.start()
+    last = collections.deque(mixing.cycle_slots(parts, {"a": 117_000, "b": 82_000}), maxlen=1)[0]
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert last[4] > 198_000 and held < 100_000
+
+
+def test_rows_without_id_are_spread(llm_spark):
+    docs = llm_spark.createDataFrame([(None if i % 3 else i, f"text {i}" * 9, "a") for i in range(3000)], "doc_id long, text string, source string")
+    places = docs.select(F.xxhash64(mixing._place("doc_id", "text")).alias("h")).distinct().count()
+    assert places == 3000
+    out = mixing.scheduled(docs, block_chars=100).select((F.col("_block") * 100 + F.col("_offset")).alias("at"), F.length("text").alias("n")).collect()
+    at = sorted((r.at, r.n) for r in out)
+    assert all(a + n == b for (a, n), (b, _) in zip(at, at[1:]))
 
 
 def test_empty_table_and_native_plan(messy, no_docs):
