@@ -9,7 +9,9 @@ trees grows with their depth, so that two vectors at the threshold share a leaf
 as often in a large table as in a small one; crowded leaves are cut by further
 planes. The audit widens until it has seen ``AUDIT_LINKED`` nodes with links (or
 ``AUDIT_MOST`` nodes). While it misses links, trees and rounds are added; if it
-still finds less than ``RECALL`` of them after ``PASSES``, the run fails.
+still finds less than ``RECALL`` of them after ``PASSES``, the lists are made
+exactly: rows in balls with a centre and a radius, all pairs of balls that could
+hold a link compared. That takes time, but always ends with whole lists.
 
 Edges at the threshold are links. A list full of links is saturated: it may
 have more than it holds, and what it lacks may lead out of the component found.
@@ -18,7 +20,8 @@ other, in balls with a centre and a radius: two balls are compared row by row
 unless their angles rule a link out, and a link found joins their components.
 Then the lists are enlarged to their whole component, whose rows are compared
 block by block; only counts leave a block, never its pairs. At last the audited
-links, those of saturated nodes too, must lie within one component each.
+links, those of saturated nodes too, must lie within one component each, or the
+search is repeated from exact lists.
 
 No group is one task's work: leaves, reverse lists and components are cut into
 parts of bounded size by a hash of the id.
@@ -210,7 +213,7 @@ def neighbour_lists(nodes: DataFrame, total: int, size: int, threshold: float) -
     recall = 1 - missing / links if links else 1.0
     LOG.info("audit: %d of %d links missing after %d rounds, recall %.4f", missing, links, n + 1, recall)
     if recall < RECALL:
-        raise RuntimeError(f"the search found {recall:.4f} of the audited links, less than {RECALL}")
+        return exact_lists(nodes, total, size, threshold), truth
     # The audit's links help, except those between saturated nodes: what finds these is to be audited.
     helped = truth.join(full, "u", "left_anti").unionAll(
         truth.join(full, "u").join(full.withColumnRenamed("u", "v"), "v", "left_anti").select("u", "v"))
@@ -245,8 +248,11 @@ def _links_of(nodes: DataFrame, size: int, threshold: float) -> DataFrame:
     return nodes.select("id", "v").mapInArrow(run, "u long, v long")
 
 
-def _across(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
-    """``(a, b)``: a link for every two balls of ``members(id, component)`` of different components that have one."""
+def _near_balls(nodes: DataFrame, members: DataFrame, threshold: float, within: bool) -> DataFrame:
+    """``(p, q, ball, id, v)``: the rows of every two balls of ``members(id, component)`` that could hold a link.
+
+    Balls of one component (and a ball with itself) count only if ``within``.
+    """
     sizes = landed(_split(members.groupBy("component").agg(F.count(F.lit(1)).alias("n")), BLOCK), "nn-groups")
     rows = landed(members.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")))
                   .join(nodes.select("id", "v"), "id").select("component", "part", "id", "v"), "nn-saturated-rows")
@@ -277,16 +283,22 @@ def _across(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame
             return pd.DataFrame({"p": np.zeros(0, np.int64), "q": np.zeros(0, np.int64)})
         angle = np.arccos(np.clip(np.stack(left.centre.to_numpy()) @ np.stack(right.centre.to_numpy()).T, -1, 1))
         near = angle <= left.radius.to_numpy()[:, None] + right.radius.to_numpy()[None, :] + reach
-        near &= left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
         p, q = left.ball.to_numpy(), right.ball.to_numpy()
+        if not within:
+            near &= left.component.to_numpy()[:, None] != right.component.to_numpy()[None, :]
         if i == j:
-            near &= p[:, None] < q[None, :]
+            near &= p[:, None] <= q[None, :]
         a, b = np.nonzero(near)
         return pd.DataFrame({"p": p[a], "q": q[b]})
 
     pairs = landed(dealt.groupBy("i", "j").applyInPandas(reachable, "p long, q long"), "nn-ball-pairs")
     held = rows.join(balls.select("component", "part", "ball"), ["component", "part"]).select("ball", "id", "v")
-    sides = pairs.select("p", "q", F.explode(F.array("p", "q")).alias("ball")).join(held, "ball")
+    return pairs.select("p", "q", F.explode(F.array_distinct(F.array("p", "q"))).alias("ball")).join(held, "ball")
+
+
+def _across(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b)``: a link for every two balls of ``members(id, component)`` of different components that have one."""
+    sides = _near_balls(nodes, members, threshold, within=False)
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
         left, right = pdf[pdf.ball == pdf.p.iloc[0]], pdf[pdf.ball == pdf.q.iloc[0]]
@@ -297,6 +309,42 @@ def _across(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame
     return sides.groupBy("p", "q").applyInPandas(compare, "a long, b long")
 
 
+def exact_lists(nodes: DataFrame, total: int, size: int, threshold: float) -> DataFrame:
+    """``(u, v, sim, place)`` with the best ``LIST`` links of every node, none missing: balls of the leaves of one
+    tree, compared unless their angles rule a link out."""
+    bits = min(62, max(0, math.ceil(math.log2(max(1, total / BLOCK)))))
+    planes = np.random.default_rng(SEED).normal(size=(bits, size))
+
+    def leaf(batches):
+        weights = np.left_shift(np.int64(1), np.arange(bits, dtype=np.int64))
+        for batch in batches:
+            code = ((matrix(batch.column("v"), size) @ planes.T > 0) @ weights).astype(np.int64)
+            yield pa.record_batch([batch.column("id"), pa.array(code)], names=["id", "component"])
+
+    members = nodes.select("id", "v").mapInArrow(leaf, "id long, component long")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        left, right = pdf[pdf.ball == pdf.p.iloc[0]], pdf[pdf.ball == pdf.q.iloc[0]]
+        sims = cosines(np.stack(left.v.to_numpy()), np.stack(right.v.to_numpy()))
+        sims[left.id.to_numpy()[:, None] == right.id.to_numpy()[None, :]] = -2
+        out = [_best_of(left.id.to_numpy(), right.id.to_numpy(), sims, threshold - SLACK)]
+        if pdf.p.iloc[0] != pdf.q.iloc[0]:
+            out.append(_best_of(right.id.to_numpy(), left.id.to_numpy(), sims.T, threshold - SLACK))
+        return pd.concat(out)
+
+    found = _near_balls(nodes, members, threshold, within=True).groupBy("p", "q").applyInPandas(compare, EDGE)
+    return landed(_trimmed(found.withColumn("age", F.lit(0)), LIST).select("u", "v", "sim", "place"), "nn-exact")
+
+
+def _best_of(ids: np.ndarray, others: np.ndarray, sims: np.ndarray, least: float) -> pd.DataFrame:
+    """(u, v, sim): for each of ``ids`` its ``LIST`` nearest ``others`` of at least ``least``."""
+    k = min(LIST, len(others))
+    top = np.argpartition(-sims, k - 1, axis=1)[:, :k]
+    best = np.take_along_axis(sims, top, axis=1)
+    keep = best >= least
+    return pd.DataFrame({"u": np.repeat(ids, k)[keep.ravel()], "v": others[top[keep]], "sim": best[keep].astype(np.float32)})
+
+
 def _enlarged(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """``(id, n)``: links (weighted by copies) of the nodes of ``members(id, component)`` within their component."""
     sizes = landed(_split(members.groupBy("component").agg(F.count(F.lit(1)).alias("n")), BLOCK), "nn-components")
@@ -322,6 +370,40 @@ def _enlarged(nodes: DataFrame, members: DataFrame, threshold: float) -> DataFra
             .groupBy("id").agg(F.sum("n").alias("n")))
 
 
+def _verified(ends: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """``(a, b, ca, cb)``: the pairs of ``ends(a, b)`` at the threshold in double precision, with their copies."""
+    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
+    cosine = dot(F.col("va"), F.col("vb")) / (F.sqrt(dot(F.col("va"), F.col("va"))) * F.sqrt(dot(F.col("vb"), F.col("vb"))))
+    return (ends.join(nodes.select(F.col("id").alias("a"), F.col("v").alias("va"), F.col("copies").alias("ca")), "a")
+            .join(nodes.select(F.col("id").alias("b"), F.col("v").alias("vb"), F.col("copies").alias("cb")), "b")
+            .where(cosine >= threshold).select("a", "b", "ca", "cb"))
+
+
+def linked(nodes: DataFrame, lists: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The verified links ``(a, b, ca, cb)``, the components ``(id, component)`` and the saturated nodes ``(id, component)``."""
+    ends = lists.where(F.col("sim") >= threshold - SLACK).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+    links = landed(_verified(ends, nodes, threshold), "nn-links")
+    found = landed(components(links, "a", "b").select(F.col("node").alias("id"), "component"), "nn-found")
+
+    # Links between saturated nodes of different components stand in no list.
+    full = landed(lists.where((F.col("place") == LIST) & (F.col("sim") >= threshold - SLACK))
+                  .select(F.col("u").alias("id")).join(found, "id"), "nn-full")
+    if full.select("component").distinct().limit(2).count() == 2:
+        bridges = landed(_across(nodes, full, threshold), "nn-bridges")
+        if not bridges.isEmpty():
+            found = landed(components(links.select("a", "b").unionAll(bridges), "a", "b")
+                           .select(F.col("node").alias("id"), "component"), "nn-found")
+    return links, found, full
+
+
+def _apart(nodes: DataFrame, truth: DataFrame, found: DataFrame, threshold: float) -> int:
+    """Audited links whose ends are not in one component."""
+    at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
+    out = (truth.join(at("u"), "u", "left").join(at("v"), "v", "left")
+           .where(~F.col("cu").eqNullSafe(F.col("cv")) | F.col("cu").isNull()))
+    return _verified(out.select(F.col("u").alias("a"), F.col("v").alias("b")), nodes, threshold).count()
+
+
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding",
                     threshold: float = 0.9) -> DataFrame:
     """``(vec_id, n_links, component_id, kept)`` for every row of ``vectors``."""
@@ -342,30 +424,12 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "
     if not total:
         return ids.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"),
                           F.col("vec_id").isNotNull().alias("kept"))
-    lists, truth = neighbour_lists(nodes, total, len(nodes.first().v), threshold)
-    lists = landed(lists, "nn-graph")
-
-    # Links: verified in double precision, each once.
-    ends = lists.where(F.col("sim") >= threshold - SLACK).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
-    dot = lambda p, q: F.aggregate(F.zip_with(p, q, lambda s, t: s * t), F.lit(0.0), lambda s, t: s + t)
-    cosine = dot(F.col("va"), F.col("vb")) / (F.sqrt(dot(F.col("va"), F.col("va"))) * F.sqrt(dot(F.col("vb"), F.col("vb"))))
-    links = landed(ends.join(nodes.select(F.col("id").alias("a"), F.col("v").alias("va"), F.col("copies").alias("ca")), "a")
-                   .join(nodes.select(F.col("id").alias("b"), F.col("v").alias("vb"), F.col("copies").alias("cb")), "b")
-                   .where(cosine >= threshold).select("a", "b", "ca", "cb"), "nn-links")
-    found = landed(components(links, "a", "b").select(F.col("node").alias("id"), "component"), "nn-found")
-
-    # Links between saturated nodes of different components stand in no list.
-    full = landed(lists.where((F.col("place") == LIST) & (F.col("sim") >= threshold - SLACK))
-                  .select(F.col("u").alias("id")).join(found, "id"), "nn-full")
-    if full.select("component").distinct().limit(2).count() == 2:
-        bridges = landed(_across(nodes, full, threshold), "nn-bridges")
-        if not bridges.isEmpty():
-            found = landed(components(links.select("a", "b").unionAll(bridges), "a", "b")
-                           .select(F.col("node").alias("id"), "component"), "nn-found")
-    at = lambda end: found.select(F.col("id").alias(end), F.col("component").alias(f"c{end}"))
-    if apart := truth.join(at("u"), "u", "left").join(at("v"), "v", "left").where(~F.col("cu").eqNullSafe(F.col("cv"))
-                                                                                  | F.col("cu").isNull()).count():
-        raise RuntimeError(f"{apart} audited links lead out of the component found")
+    size = len(nodes.first().v)
+    lists, truth = neighbour_lists(nodes, total, size, threshold)
+    links, found, full = linked(nodes, landed(lists, "nn-graph"), threshold)
+    if apart := _apart(nodes, truth, found, threshold):
+        LOG.info("%d audited links lead out of the component found", apart)
+        links, found, full = linked(nodes, exact_lists(nodes, total, size, threshold), threshold)
 
     # Components with a saturated list are counted whole, the others from their links.
     saturated = landed(full.select("id").join(found, "id").select("component").distinct(), "nn-saturated")

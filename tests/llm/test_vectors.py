@@ -73,6 +73,26 @@ def all_pairs(points, threshold=0.9):
     return {i: (int(near[n].sum()), ids[component[n]]) for n, i in enumerate(ids)}
 
 
+@pytest.mark.parametrize("broken", ["trees", "lists"])
+def test_exact_lists_where_the_search_fails(llm_spark, monkeypatch, broken):
+    """Without trees the audit finds nothing; with empty lists handed on, its links lead out of the components."""
+    rows = made(seed=4, n=400)
+    if broken == "trees":
+        monkeypatch.setattr(neighbours, "MAX_ROUNDS", 1)
+        monkeypatch.setattr(neighbours, "first_lists", lambda nodes, *_: nodes.select(
+            F.col("id").alias("u"), F.col("id").alias("v"), F.lit(0.0).cast("float").alias("sim")).limit(0))
+    else:
+        monkeypatch.setattr(neighbours, "neighbour_lists", lambda nodes, total, size, threshold: (
+            llm_spark.createDataFrame([], "u long, v long, sim float, place int"), neighbours.audited(nodes, threshold, total)))
+    monkeypatch.setattr(neighbours, "BLOCK", 64)
+    asked, exact = [], neighbours.exact_lists
+    monkeypatch.setattr(neighbours, "exact_lists", lambda *a: asked.append(1) or exact(*a))
+    got = neighbours.digest(llm_spark.createDataFrame(rows, SCHEMA).repartition(4)).collect()
+    want = all_pairs(usable(rows))
+    assert asked == [1]
+    assert {r.vec_id: (r.n_links, r.component_id) for r in got if r.vec_id in want} == want
+
+
 def test_tight_groups_linked_to_each_other(llm_spark):
     """Lists full of a group's own members hide the links between two groups (0.99 within, 0.92 between)."""
     rng = np.random.default_rng(8)
@@ -94,15 +114,6 @@ def test_trees_grow_with_their_depth():
         assert 1 - (1 - together ** bits) ** neighbours.tree_count(bits, 0.9) >= 0.96
 
 
-def test_a_search_that_misses_links_fails(llm_spark, vectors, monkeypatch):
-    nothing = llm_spark.createDataFrame([], neighbours.EDGE)
-    monkeypatch.setattr(neighbours, "first_lists", lambda *a: nothing)
-    monkeypatch.setattr(neighbours, "_refined", lambda *a: nothing)
-    monkeypatch.setattr(neighbours, "MAX_ROUNDS", 1)
-    with pytest.raises(RuntimeError):
-        neighbours.digest(vectors).collect()
-
-
 def test_audit_sees_linked_nodes_where_few_have_links(llm_spark):
     x = np.random.default_rng(4).normal(size=(4000, 32))
     x[:50] = x[50:100] * 1.01 + 0.01
