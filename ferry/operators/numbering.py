@@ -3,10 +3,10 @@
 A plain ``Window.partitionBy(g).orderBy(k)`` sends every row of a group to one
 task, and a window without ``partitionBy`` sends the whole table to one task.
 
-Groups are counted first (keys only, map-side combined). Groups below
-``HOT_ROWS`` take the plain window: one exchange of full rows. Larger ones -
-there are at most rows / ``HOT_ROWS`` of them - and numbering without groups are
-*range*-partitioned on (group, order keys, tie-breaker), so a hot group is cut
+Groups are measured first (rows and bytes, map-side combined). Groups below
+``HOT_ROWS`` and ``HOT_BYTES`` take the plain window: one exchange of full rows.
+Larger ones - there are at most rows / ``HOT_ROWS`` + bytes / ``HOT_BYTES`` of
+them - and numbering without groups are *range*-partitioned on (group, order keys, tie-breaker), so a hot group is cut
 into consecutive pieces on several partitions:
 
   1. ``repartitionByRange`` + ``sortWithinPartitions``; the tie-breaker is a hash
@@ -22,11 +22,12 @@ into consecutive pieces on several partitions:
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-
+from pyspark.sql import types as T
 
 from ferry.functions.fingerprint import hash_inputs
 from ferry.functions.text import quoted
@@ -45,6 +46,7 @@ def _names(cols: Sequence[Column | str]) -> set[str]:
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 HOT_ROWS = 2_000_000
+HOT_BYTES = 256 * 1024 * 1024
 
 
 def range_partitions(df: DataFrame, target_bytes: int = TARGET_PARTITION_BYTES) -> int:
@@ -80,6 +82,15 @@ def input_bytes(df: DataFrame) -> int | None:
     return sum(known) if known else None
 
 
+def row_bytes(df: DataFrame) -> tuple[int, Column | None]:
+    """About how many bytes a row takes: 8 a column, and the lengths of texts and nested values (None: there are none)."""
+    lengths = [F.octet_length(_col(f.name) if isinstance(f.dataType, (T.StringType, T.BinaryType)) else _col(f.name).cast("string"))
+               for f in df.schema.fields
+               if isinstance(f.dataType, (T.StringType, T.BinaryType, T.ArrayType, T.MapType, T.StructType))]
+    more = [F.coalesce(x, F.lit(0)).cast("long") for x in lengths]
+    return 8 * len(df.columns), functools.reduce(lambda a, b: a + b, more) if more else None
+
+
 def spread(df: DataFrame, order_by: Sequence[Column | str], partition_by: Sequence[str] = (),
            num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(ranged rows with piece id and position, piece table with offsets)."""
@@ -122,7 +133,10 @@ def _by_size(df: DataFrame, partition_by: Sequence[str], hot_rows: int) -> tuple
     """(rows of ordinary groups, rows of hot groups); None where there are no such rows."""
     if not partition_by:
         return None, df
-    keys = df.groupBy(*[_col(c) for c in partition_by]).agg(F.count(F.lit(1)).alias(_N)).where(F.col(_N) >= hot_rows)
+    fixed, more = row_bytes(df)
+    rows, size = F.count(F.lit(1)), F.count(F.lit(1)) * fixed
+    keys = (df.groupBy(*[_col(c) for c in partition_by]).agg(rows.alias(_N), (size if more is None else size + F.sum(more)).alias(_MID))
+            .where((F.col(_N) >= hot_rows) | (F.col(_MID) >= HOT_BYTES)))
     checkpoint_dir(df.sparkSession)
     hot = keys.select(*[_col(c).alias(f"_f_g{i}") for i, c in enumerate(partition_by)]).checkpoint(eager=True)
     if not hot.take(1):

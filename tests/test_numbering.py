@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from ferry.operators import numbering
 from ferry.operators.numbering import identity_generate, last_in_group, next_key, row_number, spread
 
 
@@ -105,3 +106,29 @@ def test_range_partition_count_follows_data_size(spark):
     small = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert range_partitions(small) == spark.sparkContext.defaultParallelism
     assert range_partitions(small, target_bytes=1024) > 8  # a (pretend) large table gets more partitions
+
+
+def test_few_wide_rows_are_hot_by_their_bytes(spark, monkeypatch):
+    wide = spark.range(60).select(F.when(F.col("id") < 40, 0).otherwise(F.col("id")).cast("int").alias("g"), F.col("id").alias("k"),
+                                  F.repeat(F.lit("x"), 5000).alias("text"), F.array(F.repeat(F.lit("y"), 100)).alias("parts"))
+    monkeypatch.setattr(numbering, "HOT_BYTES", 100_000)
+    cold, hot = numbering._by_size(wide, ["g"], numbering.HOT_ROWS)
+    assert hot.count() == 40 and cold.count() == 20
+    got = {r.k: r.rn for r in row_number(wide, ["k"], ["g"], out="rn").collect()}
+    assert got == {**{k: k + 1 for k in range(40)}, **{k: 1 for k in range(40, 60)}}
+
+
+def test_types_that_parquet_cannot_hold(spark):
+    odd = spark.range(9).select("id", F.lit(None).alias("nothing"), F.expr("make_interval(0, id)").alias("span"))
+    got = row_number(odd, [F.desc("id")], out="rn")
+    assert {r.id: r.rn for r in got.select("rn", "id").collect()} == {i: 9 - i for i in range(9)}
+    assert got.columns == ["rn", "id", "nothing", "span"]
+
+
+def test_values_survive_the_files(spark):
+    rows = spark.sql("""SELECT * FROM VALUES
+        (1, TIMESTAMP'0001-01-01 00:00:00.000001', DATE'0001-01-01', 'NaN'::double, X'00ff', map('a', 1), struct(1 AS `x y`)),
+        (2, TIMESTAMP'9999-12-31 23:59:59.999999', DATE'9999-12-31', -0.0::double, NULL, NULL, NULL) AS t(k, at, d, x, raw, m, `a.b`)""")
+    out = row_number(rows, ["k"], out="rn")
+    text = lambda df: sorted(map(str, df.select(*[F.col(f"`{c}`").cast("string") for c in rows.columns]).collect()))
+    assert text(out) == text(rows) and sorted(r.rn for r in out.select("rn").collect()) == [1, 2]
