@@ -1,22 +1,30 @@
 """``value LIKE pattern`` joins with patterns from a table, as equi-joins.
 
 A typed list of patterns is one predicate (``ferry.operators.names``); thousands of
-patterns from a table are not. Here each pattern is keyed by its rarest trigram
-(three letters in a row that every match must hold; how rare is counted over the
-values), and values meet patterns on that trigram: an equi-join that Spark
+patterns from a table are not. Here each pattern is keyed by a piece of text that
+every match must hold, and values meet patterns on that piece: an equi-join that Spark
 shuffles, broadcasts or splits like any other. Only the pairs that meet are tested
-with the whole pattern. Patterns without wildcards meet values by equality; those
-whose letters are all in shorter runs are keyed by two or one letters, and those
-without any letter meet every value (such a pattern matches most of them anyway).
+with the whole pattern. Patterns without wildcards meet values by equality.
 
-Values are cut into their pieces, and pieces that no pattern holds are dropped before
-they are shuffled with a hash of their value; texts themselves move once, to meet the pairs found.
+How long a piece is follows from the pattern's longest run of letters (``LEVELS``): the
+longer the run, the longer the piece and the fewer the values that hold it by chance. Of
+the pieces in a window of letters only the one of the smallest hash counts; a value that
+holds the run holds its windows, so it finds the same pieces, and has to show only a few of
+its own. Of a pattern's pieces the rarest is taken, as counted over the values.
+Patterns without any letter meet every value (they match most of them anyway).
+
+Pieces travel as hashes with a hash of their value, and only those that are in a Bloom filter of
+the patterns' pieces; equal hashes of different texts only mean one more pair to test. Texts
+themselves move once, to meet the pairs found.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import cache
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +33,20 @@ from ferry.functions.text import quoted
 from ferry.operators.names import is_wildcard, like_to_regex
 
 # The letters beyond ASCII that equal an ASCII letter when case is ignored, and that letter.
-FOLDED = {"İ": "i", "ı": "i", "ſ": "s", "K": "k"}
-GRAM = 3
+FOLDED = {"İ": "i", "ı": "i", "ſ": "s", "K": "k"}
+# Letters of a piece, and pieces in a window: patterns take the first level whose windows fit a run.
+LEVELS = ((16, 9), (9, 4), (5, 2), (3, 1), (2, 1), (1, 1))
+SPAN = max(size + window - 1 for size, window in LEVELS)
+# Where lower and upper case are one letter each and long settled, or there is none: ASCII, Latin, Greek, Cyrillic,
+# Hebrew to Myanmar, Hangul and Ethiopic, punctuation, CJK, full-width punctuation.
+SETTLED = ((0x01, 0x17F), (0x384, 0x3CE), (0x400, 0x45F), (0x590, 0x109F), (0x1100, 0x139F), (0x2000, 0x20BF),
+           (0x2E80, 0xA4CF), (0xAC00, 0xD7A3), (0xFF01, 0xFF20))
+LETTERS_AT_ONCE = 1 << 15   # arrays of so many hashes stay in a core's cache
+MAP_BITS = 32_768        # of one bitmap, fixed by Spark's bitmap functions
+MOST_MAPS = 8_192        # 32 MB of filter; with more patterns it lets more pieces through, none is lost
+BITS_PER_KEY = 16
+PROBES = (0, 20, 36)     # each bit of a key in the filter is named by the key from this bit on
+EVERY = 0                # the key that every value has
 
 
 def literal_runs(pattern: str, wildcard: str = "*") -> list[str]:
@@ -45,15 +65,97 @@ def literal_runs(pattern: str, wildcard: str = "*") -> list[str]:
     return [r for r in [*runs, run] if r]
 
 
-def pattern_keys(pattern: str, wildcard: str = "*", case_sensitive: bool = False) -> list[str]:
-    """Pieces of which any one finds all matches of a wildcard pattern: trigrams, else its longest run, else ''."""
-    # Without case ASCII only: beyond it, equal letters may be written in other lengths. With case, letters of one UTF-16 unit.
-    last = "\uffff" if case_sensitive else "\x7f"
-    runs = [part for r in literal_runs(pattern, wildcard) for part in "".join(c if c <= last else "\0" for c in r).split("\0") if part]
+def _fold(letter: str) -> str:
+    """The letter for all those that a regular expression takes for it when case is ignored."""
+    upper = letter.upper()
+    lower = (upper if len(upper) == 1 else letter).lower()
+    return FOLDED.get(letter) or (lower if len(lower) == 1 else letter)
+
+
+@cache
+def _letters(case_sensitive: bool) -> np.ndarray:
+    """Code point -> the code point that stands for it in pieces; 0 where no piece may hold it."""
+    out = np.arange(1 << 16, dtype=np.uint32)
     if not case_sensitive:
-        runs = [r.lower() for r in runs]
-    grams = sorted({r[i:i + GRAM] for r in runs for i in range(len(r) - GRAM + 1)})
-    return grams or [max(runs, key=len)[:GRAM - 1] if runs else ""]
+        out = np.array([ord(_fold(chr(c))) for c in range(1 << 16)], np.uint32)
+        settled = np.zeros(1 << 16, bool)
+        for first, last in SETTLED:
+            settled[first:last + 1] = True
+        out[~settled[np.minimum(out, 0xFFFF)]] = 0
+    out[0xD800:0xE000] = out[0xFFFF] = 0  # 0xFFFF: and all beyond
+    return out
+
+
+def _codes(text: str, case_sensitive: bool) -> np.ndarray:
+    return _letters(case_sensitive)[np.minimum(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4"), 0xFFFF)]
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def _hashes(codes: np.ndarray, size: int) -> np.ndarray:
+    """A hash of every ``size`` letters in a row, put together from those of 1, 2, 4 ... letters."""
+    base, total = 0x9E3779B97F4A7C15, len(codes) - size + 1
+    block, width = _mixed(codes.astype(np.uint64) + np.uint64(1)), 1
+    out, got = None, 0
+    while True:
+        if size & width:
+            out = block[:total] if out is None else out * np.uint64(pow(base, width, 1 << 64)) + block[got:got + total]
+            got += width
+        if got == size:
+            return _mixed(out + np.uint64(size))
+        block = block[:-width] * np.uint64(pow(base, width, 1 << 64)) + block[width:]
+        width *= 2
+
+
+def _may_be_in(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """The places of the keys that the filter lets through."""
+    at = np.arange(len(keys))
+    for p in PROBES:
+        bit = (keys[at].view(np.uint64) >> np.uint64(p)) & np.uint64(len(bits) * 8 - 1)
+        at = at[(bits[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+    return at
+
+
+def _pieces(texts: list[str], size: int, window: int, case_sensitive: bool, bits: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Index of the text and key of each window's piece that may be in the filter ``bits``; the same piece in a row counts once."""
+    codes = _codes("\0".join(texts), case_sensitive)
+    span = size + window - 1
+    if len(codes) < span:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    least, cover = _hashes(codes, size), 1
+    while cover < window:
+        step = min(cover, window - cover)
+        least, cover = np.minimum(least[:-step], least[step:]), cover + step
+    cuts = np.concatenate([[0], np.cumsum(codes == 0)])
+    whole = cuts[span:] == cuts[:-span]  # windows in one text, without a letter that no piece may hold
+    first = whole.copy()
+    first[1:] &= (least[1:] != least[:-1]) | ~whole[:-1]
+    at = np.flatnonzero(first)
+    keys = _mixed(least[at]).view(np.int64)
+    if bits is not None:
+        let = _may_be_in(bits, keys)
+        at, keys = at[let], keys[let]
+    starts = np.cumsum([0] + [len(t) + 1 for t in texts[:-1]])
+    return np.searchsorted(starts, at, "right") - 1, keys
+
+
+def pattern_keys(pattern: str, wildcard: str = "*", case_sensitive: bool = False) -> list[str]:
+    """Pieces of one length of which any one finds all matches of a wildcard pattern; '' if it has no letter."""
+    whole = (_codes(r, case_sensitive).tobytes().decode("utf-32-le") for r in literal_runs(pattern, wildcard))
+    runs = [part for r in whole for part in r.split("\0") if part]
+    longest = max(map(len, runs), default=0)
+    if not longest:
+        return [""]
+    size, window = next((s, w) for s, w in LEVELS if s + w - 1 <= longest)
+    out = set()
+    for r in runs:
+        if len(r) >= size + window - 1:
+            found = _hashes(np.frombuffer(r.encode("utf-32-le"), "<u4"), size)
+            out |= {r[j:j + size] for j in (i + int(found[i:i + window].argmin()) for i in range(len(found) - window + 1))}
+    return sorted(out)
 
 
 def _keyed(wildcard: str, case_sensitive: bool):
@@ -62,24 +164,66 @@ def _keyed(wildcard: str, case_sensitive: bool):
         for batch in batches:
             patterns = batch.column("pattern").to_pylist()
             wild = [is_wildcard(p, wildcard) for p in patterns]
+            texts = [pattern_keys(p, wildcard, case_sensitive) if w else [] for p, w in zip(patterns, wild)]
+            key_of = {"": EVERY}
+            for size, _ in LEVELS:
+                some = list({k for keys in texts for k in keys if len(k) == size})
+                owner, keys = _pieces(some, size, 1, True)  # folded already
+                key_of |= {some[i]: k for i, k in zip(owner.tolist(), keys.tolist())}
             yield pa.record_batch(
                 [pa.array(patterns, pa.string()), pa.array([like_to_regex(p, wildcard, flags) if w else None for p, w in zip(patterns, wild)], pa.string()),
-                 pa.array([pattern_keys(p, wildcard, case_sensitive) if w else [] for p, w in zip(patterns, wild)], pa.list_(pa.string()))],
-                names=["pattern", "regex", "keys"])
+                 pa.array([len(keys[0]) if keys else None for keys in texts], pa.int32()),
+                 pa.array([[key_of[k] for k in keys] for keys in texts], pa.list_(pa.int64()))],
+                names=["pattern", "regex", "size", "keys"])
 
     return run
 
 
-def _pieces(value: Column, sizes: list[int]) -> Column:
-    """The distinct pieces of the given numbers of letters (0: the empty piece)."""
-    letters = F.split(value, "")
-    parts = [F.array(F.lit("")).cast("array<string>")] if 0 in sizes else []
-    for n in [s for s in sizes if s]:
-        grams = letters
-        for k in range(1, n):  # the letters joined with those k further on; past the end there are none, and no piece
-            grams = F.zip_with(grams, F.slice(letters, k + 1, F.greatest(F.size(letters) - k, F.lit(0))), lambda a, b: F.concat(a, b))
-        parts.append(F.array_compact(grams))
-    return F.array_distinct(F.concat(*parts))
+def _key_filter(keys: DataFrame, n: int) -> np.ndarray:
+    """A Bloom filter of about ``n`` keys in at most ``MOST_MAPS`` bitmaps (tasks send bitmaps, not keys)."""
+    maps = min(MOST_MAPS, 1 << max(0, math.ceil(math.log2(max(1, n * BITS_PER_KEY / MAP_BITS)))))
+    bits = [F.shiftrightunsigned("key", p).bitwiseAND(F.lit(maps * MAP_BITS - 1)) for p in PROBES]
+    rows = (keys.select(F.explode(F.array(*bits)).alias("bit"))
+            .groupBy(F.shiftright("bit", 15).alias("map"))
+            .agg(F.expr(f"bitmap_construct_agg(bit & {MAP_BITS - 1})").alias("bits")).collect())
+    out = np.zeros(maps * MAP_BITS // 8, np.uint8)
+    for r in rows:
+        out[r["map"] * MAP_BITS // 8:(r["map"] + 1) * MAP_BITS // 8] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _in_parts(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts with their places, about ``LETTERS_AT_ONCE`` letters at a time; longer texts in parts that overlap by a window."""
+    places, parts, held = [], [], 0
+    for i, text in enumerate(texts):
+        for at in range(0, len(text), LETTERS_AT_ONCE):
+            part = text[at:at + LETTERS_AT_ONCE + SPAN]
+            if held and held + len(part) > LETTERS_AT_ONCE:
+                yield places, parts
+                places, parts, held = [], [], 0
+            places.append(i)
+            parts.append(part)
+            held += len(part)
+    if parts:
+        yield places, parts
+
+
+def _value_keys(sizes: list[int], case_sensitive: bool, shared):
+    levels = [x for x in LEVELS if x[0] in sizes]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(shared.value, np.uint8)
+        for batch in batches:
+            vids = batch.column("vid").to_numpy()
+            found = [(vids, np.full(len(vids), EVERY))] if 0 in sizes else []
+            for places, parts in _in_parts(batch.column("value").to_pylist()) if levels else ():
+                for level in levels:
+                    owner, keys = _pieces(parts, *level, case_sensitive, bits)
+                    found.append((vids[np.array(places)[owner]], keys))
+            if found:
+                yield pa.record_batch([pa.array(np.concatenate(x)) for x in zip(*found)], names=["vid", "key"])
+
+    return run
 
 
 def pattern_join(df: DataFrame, col: str, patterns: DataFrame, pattern_col: str, out: str = "pattern",
@@ -89,29 +233,28 @@ def pattern_join(df: DataFrame, col: str, patterns: DataFrame, pattern_col: str,
     Entries match as in ``match_any``: with the wildcard as LIKE, without it by equality. Repeated patterns count
     once, NULL values and NULL patterns match nothing.
     """
-    def fold(c: Column) -> Column:
-        if case_sensitive:
-            return c
-        return F.lower(F.translate(c, "".join(FOLDED), "".join(FOLDED.values())))
-
     chosen = (patterns.select(F.col(quoted(pattern_col)).cast("string").alias("pattern")).where(F.col("pattern").isNotNull()).distinct()
-              .mapInArrow(_keyed(wildcard, case_sensitive), "pattern string, regex string, keys array<string>"))
+              .mapInArrow(_keyed(wildcard, case_sensitive), "pattern string, regex string, size int, keys array<long>"))
     value = F.col(quoted(col)).cast("string")
     equal = (lambda c: c) if case_sensitive else F.lower
     own = [F.col(quoted(c)) for c in df.columns]
     rows = df.where(value.isNotNull())
-    plain = chosen.where(F.col("regex").isNull()).select(equal(F.col("pattern")).alias("_f_same"), F.col("pattern").alias("_f_pattern"))
     out_cols = [*own, F.col("_f_pattern").alias(out)]
+    # A row for each length of pieces, and one (NULL) for the patterns without wildcards.
+    sizes = {r["size"]: r["n"] for r in chosen.groupBy("size").agg(F.sum(F.size("keys")).alias("n")).collect()}
+    plain = chosen.where(F.col("regex").isNull()).select(equal(F.col("pattern")).alias("_f_same"), F.col("pattern").alias("_f_pattern"))
     found = rows.withColumn("_f_same", equal(value)).join(plain, "_f_same").select(*out_cols)
-    wild = chosen.where(F.col("regex").isNotNull())
-    keys = wild.select("pattern", "regex", F.explode("keys").alias("key"))
-    # At most four numbers: which lengths of pieces are needed.
-    sizes = sorted(r[0] for r in keys.select(F.length("key").alias("n")).distinct().collect())
+    has_plain = sizes.pop(None, None) is not None
     if not sizes:
         return found
+    wild = chosen.where(F.col("regex").isNotNull())
+    keys = wild.select("pattern", "regex", F.explode("keys").alias("key"))
+    shared = df.sparkSession.sparkContext.broadcast(_key_filter(keys, sum(sizes.values())).tobytes())
     # Values travel as hashes; equal hashes of different values only mean one more pair to test.
-    pieces = (rows.select(F.xxhash64(value).alias("vid"), F.explode(_pieces(fold(value), sizes)).alias("key"))
-              .join(keys.select("key").distinct(), "key", "left_semi").distinct())
+    pieces = (rows.select(F.xxhash64(value).alias("vid"), value.alias("value"))
+              .mapInArrow(_value_keys(sorted(sizes), case_sensitive, shared), "vid long, key long")
+              # Said here, so that both uses below read one shuffle.
+              .where(F.col("vid").isNotNull() & F.col("key").isNotNull()).distinct())
     often = pieces.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
     # A piece that no value holds shows that the pattern matches nothing.
     rarest = (keys.join(often, "key", "left").groupBy("pattern", "regex")
@@ -121,4 +264,4 @@ def pattern_join(df: DataFrame, col: str, patterns: DataFrame, pattern_col: str,
                                               F.col("regex").alias("_f_regex"))
     tested = (rows.withColumn("_f_vid", F.xxhash64(value)).join(pairs, "_f_vid")
               .where(F.rlike(value, F.col("_f_regex"))).select(*out_cols))
-    return found.unionAll(tested)
+    return found.unionAll(tested) if has_plain else tested

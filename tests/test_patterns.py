@@ -79,3 +79,31 @@ def test_keys_never_lose_a_match(pattern, value):
 
 def test_literal_runs():
     assert literal_runs("a*bc%d_e[xy]f[") == ["a", "bc", "d", "e", "f["] and literal_runs("***") == []
+
+
+def test_long_patterns_meet_few_values():
+    rng = random.Random(2)
+    values = ["".join(rng.choice(["ab", "ba", "é", "日"]) for _ in range(60)) for _ in range(300)]
+    patterns = [f"*{v[10:40]}*" for v in values]
+    meet = [min(sum(k in v for v in values) for k in pattern_keys(p)) for p in patterns]
+    assert min(meet) >= 1 and sum(meet) <= 2 * len(patterns)  # of 300 * 300
+    assert pattern_keys("*日本語の文章*") != [""] and pattern_keys("*\U0001F600*") == [""]
+
+
+def test_small_alphabets_other_scripts_and_long_texts(spark, monkeypatch):
+    monkeypatch.setattr("ferry.operators.patterns.MOST_MAPS", 1)  # a filter that lets most pieces through
+    rng = random.Random(3)
+    letters = {"latin": ["ab", "Ba", "é", "É", " "], "greek": ["σ", "ς", "Σ", "α", "ΐ"], "cyrillic": ["Д", "д", "ᲁ", "о"], "cjk": ["日", "本", "、"],
+               "fold": ["K", "k", "ſ", "S", "ı", "İ", "å", "Å"], "far": ["\U0001F600", "ab", "\0", "x"]}
+    values = ["".join(rng.choice(some) for _ in range(rng.randint(0, 90))) for some in letters.values() for _ in range(25)]
+    long = "".join(rng.choice("abc") for _ in range(70_000))
+    values += [long, long, long[:40_000], None]
+    patterns = [f"*{v[at:at + rng.randint(1, 40)].swapcase()}*" for v in values[:150] for at in [rng.randint(0, max(0, len(v) - 5))] if v]
+    patterns += [f"*{long[at:at + 30]}*" for at in (0, 32_750, 32_768, 65_520, 69_970)] + [f"{long[:20].upper()}*{long[-20:]}", "*ab*本*", "**", None]
+    df = spark.createDataFrame(list(enumerate(values)), "key int, name string")
+    for case_sensitive in (False, True):
+        got = sorted(pattern_join(df, "name", spark.createDataFrame([(p,) for p in patterns], "p string"), "p", case_sensitive=case_sensitive)
+                     .select("key", "pattern").collect())
+        rules = [(p, like_to_regex(p, "*", "s" if case_sensitive else "siu")) for p in sorted({p for p in patterns if p})]
+        want = sorted(df.crossJoin(spark.createDataFrame(rules, "pattern string, regex string")).where("name rlike regex").select("key", "pattern").collect())
+        assert got == want and len(want) > 300
