@@ -35,6 +35,7 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +48,8 @@ MAX_BITS = 18
 BLOCK_TOKENS = 131_072
 STRIDE = 128
 CACHE_WORDS = 200_000   # of each of two generations, in every worker process
-DOCS_AT_ONCE = 256
+TEXT_AT_ONCE = 4 << 20  # bytes of text whose words are looked up together; a longer text is taken alone
+WORDS_AT_ONCE = 1 << 20
 BLOCK_KIND = ("part long, block long, first long, doc_ids array<long>, sizes array<long>, offsets array<long>, "
               "payload binary")
 
@@ -58,20 +60,26 @@ LETTERS = re.compile("[a-zA-ZÀ-ÖØ-öø-ÿ]+").fullmatch  # letters that are t
 EDGE = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"  # ASCII punctuation but the apostrophe, which may begin a pre-token of letters
 
 
+LETTER, MARK, SPACE, OTHER = 1, 2, 4, 8
+BYTE_IS = np.array([SPACE if c in b" \n" else OTHER if c >= 128 else LETTER if chr(c).isalpha() else MARK if chr(c) in EDGE else OTHER
+                    for c in range(256)], np.uint8)
+
+
 def is_plain(word: str) -> bool:
     """Only such letters."""
     return word.isalpha() if word.isascii() else LETTERS(word) is not None
 
 
-def _byte_letters() -> dict[int, int]:
-    """Byte -> letter of byte-level BPE (fixed by the tokenizer's format): printable bytes stand for themselves, the others from 256 on."""
+def _byte_letters() -> dict[int, str]:
+    """Latin-1 letter -> letters of byte-level BPE for its UTF-8 bytes (fixed by the tokenizer's format): printable bytes
+    stand for themselves, the others from 256 on."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in shown]
-    return {b: b if b in shown else 256 + hidden.index(b) for b in range(256)}
+    return {c: "".join(chr(b if b in shown else 256 + hidden.index(b)) for b in chr(c).encode()) for c in range(256)}
 
 
 class _Words(dict):
-    """White-space-separated word -> its ids as bytes, worked out on a miss.
+    """Word -> its ids as bytes, worked out on a miss.
 
     Letters and the punctuation around them are looked up apart. What is looked
     up stays for two generations: a full one becomes the old one, and only what is
@@ -85,20 +93,61 @@ class _Words(dict):
         self.most, self.old = most, {}
 
     def __missing__(self, word: str) -> bytes:
-        out = self.old.get(word)
-        if out is None:
-            out = self.work_out(word)
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        self[word] = out
-        return out
+        return self.each([word])[0]
+
+    def each(self, words: list[str]) -> list[bytes]:
+        """The ids of every word."""
+        found = list(map(self.get, words))
+        old, work_out = self.old.get, self.work_out
+        for i, ids in enumerate(found):
+            if ids is None:
+                word = words[i]
+                ids = old(word)
+                if ids is None:
+                    ids = work_out(word)
+                found[i] = self[word] = ids
+                if len(self) >= self.most:
+                    self.old = dict(self)
+                    self.clear()
+                    old = self.old.get
+        return found
+
+    def of(self, texts: list[str]) -> list[bytes]:
+        """The ids of whole texts: cut into words where the tokenizer never joins, each distinct word looked up once."""
+        data = np.frombuffer(bytearray("\n".join(texts), "utf-8"), np.uint8)
+        kind = BYTE_IS[data]
+        space = kind == SPACE
+        first = ~space
+        first[1:] &= space[:-1] | (kind[1:] + kind[:-1] == LETTER + MARK)
+        at = np.flatnonzero(first)
+        if not len(at):
+            return [b""] * len(texts)
+        spaces = np.cumsum(space, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+        offsets = np.append(at - spaces[at], len(data) - spaces[-1])
+        words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[~space])]).dictionary_encode()
+        found = self.each(words.dictionary.to_numpy(zero_copy_only=False).tolist())
+        ids = np.frombuffer(bytearray().join(found), self.kind)
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // ids.itemsize
+        starts, words = np.cumsum(sizes) - sizes, words.indices.to_numpy()
+        ends, out = np.zeros(len(words) + 1, np.int64), []
+        for i in range(0, len(words), WORDS_AT_ONCE):
+            some = words[i:i + WORDS_AT_ONCE]
+            n = sizes[some]
+            until = np.cumsum(n)
+            ends[i + 1:i + 1 + len(some)] = ends[i] + until
+            out.append(ids[np.repeat(starts[some] - (until - n), n) + np.arange(until[-1])].tobytes())
+        begin = np.cumsum([0] + [len(t) if t.isascii() else len(t.encode()) for t in texts]) + np.arange(len(texts) + 1)
+        cuts = (ends[np.searchsorted(at, begin)] * ids.itemsize).tolist()
+        joined = out[0] if len(out) == 1 else b"".join(out)
+        return [joined[x:y] for x, y in zip(cuts, cuts[1:])]
 
     def work_out(self, word: str) -> bytes:
-        if is_plain(word):  # a single pre-token: straight to the library's model
-            word = word.lower()
-            letters = word if word.isascii() else word.encode().decode("latin-1").translate(self.letters)
-            return b"".join([self.bytes_of[t.id] for t in self.tokenize(letters)])
+        if word.isalpha() if word.isascii() else LETTERS(word):  # a single pre-token: straight to the library's model
+            letters = word.lower()
+            bytes_of, tokens = self.bytes_of, self.tokenize(letters if letters.isascii() else letters.translate(self.letters))
+            if len(tokens) == 1:
+                return bytes_of[tokens[0].id]
+            return b"".join([bytes_of[t.id] for t in tokens])
         stem = word.strip(EDGE)
         if is_plain(stem):
             at = word.index(stem)
@@ -120,7 +169,7 @@ class Encoder:
     """Texts -> ids as little-endian bytes, by the tokenizers library.
 
     Where the tokenizer lower-cases, drops white space and never joins across
-    it, words are encoded once and remembered; otherwise whole texts are encoded.
+    it nor letters with punctuation, words are encoded once and remembered; otherwise whole texts are encoded.
     So are texts that hold an added token in any case: the library finds those
     before it lower-cases or splits.
     """
@@ -157,9 +206,11 @@ class Encoder:
         if self.words is None:
             return [array(self.kind, e.ids).tobytes()
                     for e in self.tokenizer.encode_batch_fast([t or "" for t in texts], add_special_tokens=False)]
-        one = self.words.__getitem__
-        return [b"" if not t else self._encoded(t) if self._whole(t)
-                else b"".join(map(one, _lowered(t).replace("\n", " ").split(" "))) for t in texts]
+        whole = {i: self._encoded(t) for i, t in enumerate(texts) if t and self._whole(t)}
+        out = self.words.of([_lowered(t) if t and i not in whole else "" for i, t in enumerate(texts)])
+        for i, ids in whole.items():
+            out[i] = ids
+        return out
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -180,10 +231,13 @@ def token_table(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_co
         encoder = encoder_of(tokenizer)
         end = array(encoder.kind, [end_id]).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, DOCS_AT_ONCE):
-                ids = [x + end for x in encoder(batch.column(1).slice(at, DOCS_AT_ONCE).to_pylist())]
-                yield pa.record_batch([batch.column(0).slice(at, DOCS_AT_ONCE), pa.array(ids, pa.binary())],
-                                      names=["doc_id", "ids"])
+            sizes = np.cumsum([0 if n is None else n for n in pc.binary_length(batch.column(1)).to_pylist()])
+            at = 0
+            while at < batch.num_rows:
+                n = max(1, int(np.searchsorted(sizes, (sizes[at - 1] if at else 0) + TEXT_AT_ONCE, "right")) - at)
+                ids = [x + end for x in encoder(batch.column(1).slice(at, n).to_pylist())]
+                yield pa.record_batch([batch.column(0).slice(at, n), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+                at += n
 
     texts = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return landed(texts.mapInArrow(run, "doc_id long, ids binary"), "token-ids", compression="zstd")

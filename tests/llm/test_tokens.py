@@ -121,6 +121,18 @@ def test_rare_words_leave_the_cache_and_frequent_ones_stay(monkeypatch):
     assert asked.count("often") == 1 and len(encoder.words) <= 8 and len(encoder.words.old) <= 8
 
 
+def test_distinct_words_are_looked_up_once_without_their_punctuation(monkeypatch):
+    encoder, asked = tokens.Encoder(PATH), []
+    each = encoder.words.each
+    encoder.words.each = lambda words: asked.extend(words) or each(words)
+    monkeypatch.setattr(tokens, "WORDS_AT_ONCE", 3)
+    texts = ["Often, (often) often.", None, " \n ", "often; don't ,'s a,b.c!! \u2019a. \xa0", "", "\xe9t\xe9, often", "<|endoftext|> often"]
+    want = [x.ids for x in encoder.tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert [np.frombuffer(bytearray(x), "<u2").tolist() for x in encoder(texts)] == want
+    assert asked.count("often") == 1 and not {"often,", "(often)", "often.", "often;"} & set(asked)
+    assert encoder([" "]) == [b""] and encoder([]) == [] and encoder(["\xa0", "\r"]) == [b"", b""]
+
+
 def test_one_encoder_for_a_process_and_wide_offsets():
     assert tokens.encoder_of(PATH) is tokens.encoder_of(PATH)
     code = tokens.Code(np.array([3, 5]), np.array([1, 1]))
