@@ -121,6 +121,12 @@ def test_rare_words_leave_the_cache_and_frequent_ones_stay(monkeypatch):
     assert asked.count("often") == 1 and len(encoder.words) <= 8 and len(encoder.words.old) <= 8
 
 
+def test_punctuation_makes_no_second_entry_of_a_word():
+    encoder = tokens.Encoder(PATH)
+    encoder(["often, (often) often.", "often; often"])
+    assert "often" in encoder.words and not [w for w in encoder.words if "often" in w and w != "often"]
+
+
 def test_distinct_words_are_looked_up_once_without_their_punctuation(monkeypatch):
     encoder, asked = tokens.Encoder(PATH), []
     each = encoder.words.each
