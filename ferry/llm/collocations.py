@@ -17,8 +17,8 @@ needlessly, never wrongly, and the frequent ones are told by their counts.
 
 Counts go from tasks to Spark as partial sums by language and phrase (exact
 strings, no hashes); a step adds them to the counts under way in one shuffle and
-lands the result, so a lost executor costs part of a step. The driver gets the new
-slots of a step (at most ``SLOTS`` numbers a length) and nothing that grows with the corpus.
+lands the result, so a lost executor costs part of a step. The driver gets the
+slots of a step as one bitmap a length (``SLOTS`` bits) and nothing that grows with the corpus.
 
 Defined results
     null text counts as empty, null lang as ``und``; repeated rows are texts of
@@ -47,6 +47,7 @@ MAX_WORDS = 3
 TOP = 2000
 SHARDS = 2               # more start longer phrases earlier, and carry counts under way through more shuffles
 SLOTS = 1 << 22
+MAP_BITS = 32_768        # of one bitmap, fixed by Spark's bitmap functions
 NEVER = 255              # a slot that no phrase has reached; steps stay far below it
 SALTS = 64
 BYTES_AT_ONCE, WORDS_AT_ONCE = 2 << 20, 1 << 19
@@ -246,14 +247,29 @@ def _count(step: int, shards: int, reached: list[np.ndarray]):
 
 
 def _slots(batches):
-    """``(size, slot)`` of phrases."""
+    """``(size, map, bits)``: the slots of a task's phrases, as the bitmaps of ``MAP_BITS`` slots that hold any."""
+    found: dict[int, np.ndarray] = {}
     for batch in batches:
-        out = []
-        for lang, phrase in zip(batch.column("lang").to_pylist(), batch.column("phrase").cast(pa.binary()).to_pylist()):
-            seed = lang_seed(lang)
-            hashes = [np.array([xxhash.xxh64_intdigest(w, seed)], np.uint64) for w in phrase.split(b" ")]
-            out.append(int(slots_of(reduce(joined, hashes))[0]))
-        yield pa.record_batch([batch.column("size"), pa.array(out, pa.int64())], names=["size", "slot"])
+        sizes, langs, phrases = batch.column("size").to_numpy(), batch.column("lang"), batch.column("phrase").cast(pa.binary())
+        for size in np.unique(sizes).tolist():
+            some = pa.array(sizes == size)
+            seeds = {lang: lang_seed(lang) for lang in langs.filter(some).unique().to_pylist()}
+            hashes = np.array([[xxhash.xxh64_intdigest(w, seeds[lang]) for w in phrase.split(b" ")] for lang, phrase
+                               in zip(langs.filter(some).to_pylist(), phrases.filter(some).to_pylist())], np.uint64)
+            found.setdefault(size, np.zeros(-(-SLOTS // MAP_BITS) * MAP_BITS, bool))[slots_of(reduce(joined, hashes.T))] = True
+    for size, flags in found.items():
+        bits = np.packbits(flags, bitorder="little").reshape(-1, MAP_BITS // 8)
+        maps = np.flatnonzero(bits.any(axis=1))
+        yield pa.record_batch([pa.array(np.full(len(maps), size, np.int32)), pa.array(maps.astype(np.int32)),
+                               pa.array([bits[m].tobytes() for m in maps], pa.binary())], names=["size", "map", "bits"])
+
+
+def crossed_slots(phrases: DataFrame) -> Iterator[tuple[int, np.ndarray]]:
+    """``(size, slots)`` of the phrases (``lang, size, phrase``), a bitmap at a time; the driver holds bitmaps, whatever their number."""
+    maps = (phrases.select("lang", "size", "phrase").mapInArrow(_slots, "size int, map int, bits binary")
+            .groupBy("size", "map").agg(F.expr("bitmap_or_agg(bits)").alias("bits")).collect())
+    for r in maps:
+        yield r["size"], r["map"] * MAP_BITS + np.flatnonzero(np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little"))
 
 
 def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_count: int = MIN_COUNT,
@@ -294,11 +310,9 @@ def frequent_phrases(docs: DataFrame, lang_col: str = "lang", text_col: str = "t
                         "collocation-counts")
         crossed = counts.where((F.col("before") < min_count) & (F.col("n") >= min_count)
                                & F.col("size").between(1, max_words - 1))
-        new = crossed.select("lang", "size", "phrase").mapInArrow(_slots, "size int, slot long").distinct().toPandas()
         fresh.append(0)
-        for size, slot in new.groupby("size")["slot"]:
+        for size, slot in crossed_slots(crossed):
             table = reached[size - 1]
-            slot = slot.to_numpy()
             slot = slot[table[slot] == NEVER]
             table[slot] = step
             fresh[-1] += len(slot)

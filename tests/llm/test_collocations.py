@@ -115,3 +115,31 @@ def test_empty_table(no_docs):
 def test_texts_without_words(llm_spark):
     df = llm_spark.createDataFrame([(1, None, None), (2, " .,\n", "en")], "doc_id long, text string, lang string")
     assert collocations.digest(df.withColumn("n", F.lit(1))).collect() == []
+
+
+def test_slots_reach_the_driver_as_bitmaps(llm_spark, monkeypatch):
+    """However many phrases reach the threshold, the driver gets a bitmap for each 32,768 slots."""
+    texts = [" ".join(f"w{i + j}" for j in range(100)) + "." for i in range(0, 4000, 100)] * 2
+    df = llm_spark.createDataFrame([(i, t, "en" if i % 3 else None) for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    sent = []
+    for name in ("collect", "toPandas"):
+        monkeypatch.setattr(type(df), name, lambda self, *a, f=getattr(type(df), name): (sent.append(len(out := f(self, *a))), out)[1])
+    found = collocations.frequent_phrases(df, min_count=1)
+    assert sent and max(sent) <= 2 * -(-collocations.SLOTS // 32_768)
+    monkeypatch.undo()
+    sizes = Counter(r["size"] for r in found.where("size > 0").select("size").collect())
+    of = lambda k: len({(i % 3 > 0, *ws[j:j + k]) for i, t in enumerate(texts) for ws in [t[:-1].split()] for j in range(101 - k)})
+    assert sizes == {k: of(k) for k in (1, 2, 3)} and sizes[1] > 4000
+
+
+def test_crossed_slots_are_those_of_the_phrases(llm_spark):
+    phrases = [("en", 1, "a"), ("dé", 1, "a"), ("en", 2, "a b"), ("en", 1, "é"), *(("en", 2, f"x{i} y") for i in range(500))]
+    df = llm_spark.createDataFrame(phrases, "lang string, size int, phrase string").repartition(3)
+    got = {(size, int(s)) for size, slots in collocations.crossed_slots(df) for s in slots}
+    counters = {lang: collocations._Vocabulary(lang) for lang in ("en", "dé")}
+    want = set()
+    for lang, size, phrase in phrases:
+        ids = [counters[lang][w.encode()] for w in phrase.split(" ")]
+        h = [collocations.np.array([counters[lang].hashes[i]], collocations.np.uint64) for i in ids]
+        want.add((size, int(collocations.slots_of(collocations.reduce(collocations.joined, h))[0])))
+    assert got == want
