@@ -7,8 +7,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from ferry.operators import patterns as patterns_module
 from ferry.operators.names import is_wildcard, like_to_regex, pattern_pairs
-from ferry.operators.patterns import FOLDED, literal_runs, pattern_join, pattern_keys
+from ferry.operators.patterns import FOLDED, LEVELS, literal_runs, pattern_join, pattern_keys
 
 SF = "/root/testdata/sf0.01"
 
@@ -107,3 +108,39 @@ def test_small_alphabets_other_scripts_and_long_texts(spark, monkeypatch):
         rules = [(p, like_to_regex(p, "*", "s" if case_sensitive else "siu")) for p in sorted({p for p in patterns if p})]
         want = sorted(df.crossJoin(spark.createDataFrame(rules, "pattern string, regex string")).where("name rlike regex").select("key", "pattern").collect())
         assert got == want and len(want) > 300
+
+
+def test_patterns_that_share_most_letters_meet_their_own_values(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = ["With the opened and edges " + f"{i:04}" + " " + "".join(rng.choice("abc ") for _ in range(200)) for i in range(150)]
+    df = spark.createDataFrame(list(enumerate(texts)), "key int, name string")
+    patterns = spark.createDataFrame([(f"*{t[:30]}*",) for t in texts], "p string")
+    joined = pattern_join(df, "name", patterns, "p")
+    assert sorted((r.key, r.pattern) for r in joined.select("key", "pattern").collect()) == [(i, f"*{t[:30]}*") for i, t in enumerate(texts)]
+    monkeypatch.setattr(patterns_module.F, "rlike", lambda *a: patterns_module.F.lit(True))
+    assert pattern_join(df, "name", patterns, "p").count() <= 2 * len(texts)  # pairs that are tested; of 150 * 150
+
+
+@pytest.mark.parametrize("case_sensitive", [False, True])
+def test_matches_around_a_piece_and_far_from_it(spark, case_sensitive):
+    run = "An open Pattern of 28 letter"
+    values = [run, "x" + run, run + "y", run[:24] + "#" * 100 + run, run[4:] + "É\U0001F600" * 40 + run.swapcase(), "é" * 200 + run + "z" * 70_000,
+              "z" * 32_760 + run, run[:24] + "#" * 70_000 + run, run[:27], run[1:], run[:14] + "\n" + run[14:], None]
+    own = [f"*{run}*", f"%{run}*", f"{run}*", f"*{run}", f"*{run[:14]}*{run[14:]}*", f"*{run[:14]}_{run[14:]}*", f"*{run.lower()}*"]
+    others = [f"*{run[:n]}*" for n in range(1, 28)]  # with these no length is frequent
+    df = spark.createDataFrame(list(enumerate(values)), "key int, name string")
+    for patterns in (own, own + others):
+        got = sorted((r.key, r.p) for r in pattern_join(df, "name", spark.createDataFrame([(p,) for p in patterns], "p string"), "p", out="p",
+                                                        case_sensitive=case_sensitive).select("key", "p").collect())
+        want = sorted((r.key, r.p) for r in pattern_pairs(df, "name", patterns, out="p", case_sensitive=case_sensitive).select("key", "p").collect())
+        assert got == want and len(want) > 20
+
+
+def test_levels_of_frequent_lengths():
+    assert patterns_module.levels_for({}) == LEVELS == patterns_module.levels_for({n: 1 for n in range(60)})
+    assert patterns_module.levels_for({30: 9, 24: 2, 65: 4}) == ((30, 1), *LEVELS)
+    assert patterns_module.levels_for({16: 1}) == ((16, 1), *LEVELS[1:]) and patterns_module.levels_for({65: 9, 1: 9}) == LEVELS
+    for pattern in ("*" + "abcdefgh" * 5 + "*", "*abcdefghijkl*xyz*"):
+        for levels in (LEVELS, patterns_module.levels_for({12: 1}), patterns_module.levels_for({30: 1})):
+            keys = pattern_keys(pattern, levels=levels)
+            assert keys and all(k in pattern for k in keys) and len({len(k) for k in keys}) == 1
